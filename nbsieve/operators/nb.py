@@ -140,8 +140,8 @@ def class_stats(all_counts: DataFrame) -> DataFrame:
     return all_counts.agg(
         F.max(F.when(F.col("token") == _SENTINEL, F.col("df_spam"))).alias("n_docs_spam"),
         F.max(F.when(F.col("token") == _SENTINEL, F.col("df_ham"))).alias("n_docs_ham"),
-        F.sum("n_spam").cast("bigint").alias("N_spam"),
-        F.sum("n_ham").cast("bigint").alias("N_ham"),
+        F.sum("n_spam").cast("bigint").alias("ntok_spam"),
+        F.sum("n_ham").cast("bigint").alias("ntok_ham"),
     ).withColumn("n_docs", F.col("n_docs_spam") + F.col("n_docs_ham"))
 
 
@@ -284,7 +284,7 @@ def log_posteriors(frame: DataFrame, model: NBModel, alphas, models=MODELS,
         for c in CLASSES:
             if mdl == "multinomial":
                 ll = F.col(f"m_{c}_{i}") + F.col("n_tokens") * (
-                    math.log(a) - F.log(F.col(f"N_{c}") + a * F.col("V")))
+                    math.log(a) - F.log(F.col(f"ntok_{c}") + a * F.col("V")))
             elif mdl == "bernoulli":
                 ll = F.col(f"base_{c}_{i}") + F.col(f"b_{c}_{i}")
             else:
