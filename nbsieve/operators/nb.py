@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from nbsieve import config as C
 from nbsieve.functions import text as T
+from nbsieve.session import cut_lineage
 
 MODELS = ("multinomial", "bernoulli", "gaussian")
 CLASSES = ("ham", "spam")
@@ -154,22 +155,24 @@ def fit(tok: DataFrame, min_df: int = C.MIN_DF, max_df: float = C.MAX_DF,
         gaussian_alpha: float = C.ALPHA, persist: bool = True) -> NBModel:
     """L1: train all three models from labelled tokenised documents.
 
-    Actions: the count table is materialised once (persist) and the small
-    stats row is computed once; V is read on the driver (one number)."""
+    The count table, the vocabulary and the stats row are checkpointed
+    (reliable, in the shared checkpoint folder): later jobs read them
+    instead of recomputing, and their plans stay small. V is read on the
+    driver (one number: it sizes the broadcast decision)."""
     all_counts = token_class_counts(tok)
     if persist:
-        all_counts = all_counts.persist()
+        all_counts = cut_lineage(all_counts)
     cs = class_stats(all_counts)
     vocab = all_counts.crossJoin(F.broadcast(cs.select("n_docs"))) \
         .where(vocabulary_filter(all_counts, F.col("n_docs"), min_df, max_df)) \
         .select("token", "n_spam", "n_ham", "df_spam", "df_ham")
     if persist:
-        vocab = vocab.persist()
+        vocab = cut_lineage(vocab)
     v = vocab.count()
     stats = cs.withColumn("V", F.lit(v).cast("bigint")) \
               .crossJoin(gaussian_moments(tok, alpha=gaussian_alpha))
     if persist:
-        stats = stats.persist()
+        stats = cut_lineage(stats)
     _check_classes(stats)
     return NBModel(counts=vocab, all_counts=all_counts.where(F.col("token") != _SENTINEL),
                    stats=stats, vocab_size=v, min_df=min_df, max_df=max_df)

@@ -4,7 +4,7 @@
 row to one task. Both helpers here split the order into bins that are
 monotone in the sort key, compute per-bin totals (a table bounded by the bin
 count), turn them into prefix offsets with a window over that small table,
-join the offsets back as a broadcast and finish with a window per bin.
+join the offsets back and finish with a window per bin.
 The result equals the single-window answer.
 """
 
@@ -45,26 +45,25 @@ def rank_by_hash(df: DataFrame, part_cols, hash_col: str, tie_col: str,
 
 
 def running_totals(df: DataFrame, part_cols, order_col: str, value_cols,
-                   n_bins: int = 1024, accuracy: int = 100000) -> DataFrame:
+                   bin_bits: int = 20) -> DataFrame:
     """Inclusive ascending running sums ``cum_<v>`` of ``value_cols`` over
-    ``order_col`` within ``part_cols``. ``df`` must be unique on
-    (part_cols, order_col) (aggregate by the key first). Bins come from
-    approximate quantiles, so they hold about equal numbers of rows; their
-    exactness does not matter, only their monotonicity."""
+    ``order_col`` within ``part_cols``.
+
+    For keys in [0, 1] (probabilities) already rounded to 12 decimals and
+    unique per (part_cols, order_col): bins are ``floor(key * 2**bin_bits)``,
+    monotone in the key. Both sides are bounded whatever the data size: at
+    most 2**bin_bits bins per group (the prefix window runs on that small
+    table) and at most 1e-12 resolution -> ~1e6 distinct keys per bin (the
+    window inside a bin)."""
     part = _cols(part_cols)
     vals = _cols(value_cols)
-    levels = [i / n_bins for i in range(1, n_bins)]
-    splits = df.groupBy(*part).agg(
-        F.percentile_approx(F.col(order_col), levels, accuracy).alias("__splits"))
-    x = df.join(F.broadcast(splits), part) if part else df.crossJoin(F.broadcast(splits))
-    x = x.withColumn("__bin", F.size(F.filter("__splits", lambda s: s < F.col(order_col)))) \
-         .drop("__splits")
+    x = df.withColumn("__bin", F.floor(F.col(order_col) * float(2 ** bin_bits)).cast("long"))
     per_bin = x.groupBy(*part, "__bin").agg(*[F.sum(v).alias(v) for v in vals])
     w_prev = Window.partitionBy(*part).orderBy("__bin") \
                    .rowsBetween(Window.unboundedPreceding, -1)
     offs = per_bin.select(*part, "__bin", *[
         F.coalesce(F.sum(v).over(w_prev), F.lit(0)).alias(f"__off_{v}") for v in vals])
-    x = x.join(F.broadcast(offs), part + ["__bin"])
+    x = x.join(offs, part + ["__bin"])
     w_in = Window.partitionBy(*part, "__bin").orderBy(order_col) \
                  .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for v in vals:

@@ -210,3 +210,135 @@ def with_model(*ctes: str) -> str:
 
 def r6(x: str) -> str:
     return f"round({x}, 6) + 0.0"
+
+
+def metrics_sql(src: str = "lsc", by: str = "model") -> str:
+    """Confusion + report + AUCs per ``by`` from a long scores CTE."""
+    def div(a, b):
+        return f"CASE WHEN ({b}) = 0 THEN 0.0 ELSE ({a}) / ({b}) END"
+    p, r = div("tp", "tp + fp"), div("tp", "tp + fn")
+    ph, rh = div("tn", "tn + fn"), div("tn", "tn + fp")
+    f1 = div(f"2 * ({p}) * ({r})", f"({p}) + ({r})")
+    f1h = div(f"2 * ({ph}) * ({rh})", f"({ph}) + ({rh})")
+    n = "(tp + tn + fp + fn)"
+    cols = {
+        "accuracy": div("tp + tn", n), "precision": p, "recall": r, "f1": f1,
+        "macro_precision": f"(({p}) + ({ph})) / 2", "macro_recall": f"(({r}) + ({rh})) / 2",
+        "macro_f1": f"(({f1}) + ({f1h})) / 2",
+        "weighted_precision": div(f"({p}) * (tp + fn) + ({ph}) * (tn + fp)", n),
+        "weighted_recall": div(f"({r}) * (tp + fn) + ({rh}) * (tn + fp)", n),
+        "weighted_f1": div(f"({f1}) * (tp + fn) + ({f1h}) * (tn + fp)", n),
+    }
+    sel = ", ".join(f"round({v}, 6) + 0.0 AS {k}" for k, v in cols.items())
+    return f"""cm AS (
+  SELECT {by}, count(*) FILTER (WHERE label = 'spam' AND raw_prediction = 'spam') AS tp,
+         count(*) FILTER (WHERE label <> 'spam' AND raw_prediction <> 'spam') AS tn,
+         count(*) FILTER (WHERE label <> 'spam' AND raw_prediction = 'spam') AS fp,
+         count(*) FILTER (WHERE label = 'spam' AND raw_prediction <> 'spam') AS fn
+  FROM {src} GROUP BY {by}
+),
+rep AS (SELECT {by}, tp, tn, fp, fn, {sel} FROM cm),
+sg AS (
+  SELECT {by}, round(p_spam, 12) AS s, sum(CASE WHEN label = 'spam' THEN 1 ELSE 0 END) AS pos,
+         sum(CASE WHEN label = 'spam' THEN 0 ELSE 1 END) AS neg
+  FROM {src} GROUP BY {by}, round(p_spam, 12)
+),
+rt AS (
+  SELECT *, sum(pos) OVER (PARTITION BY {by} ORDER BY s) AS cum_pos,
+         sum(neg) OVER (PARTITION BY {by} ORDER BY s) AS cum_neg,
+         sum(pos) OVER (PARTITION BY {by}) AS P, sum(neg) OVER (PARTITION BY {by}) AS N
+  FROM sg
+),
+cur AS (
+  SELECT {by},
+    CASE WHEN max(P) > 0 AND max(N) > 0 THEN
+      round(sum(pos * (cum_neg - neg + neg / 2.0)) / (max(P) * max(N)), 6) + 0.0 END AS roc_auc,
+    CASE WHEN max(P) > 0 AND max(N) > 0 THEN
+      round(sum(pos * (P - cum_pos + pos) / ((P - cum_pos + pos) + (N - cum_neg + neg))) / max(P), 6) + 0.0
+    END AS pr_auc
+  FROM rt GROUP BY {by}
+)"""
+
+
+def sweep_sql(alphas, src: str = "val", models=("multinomial", "bernoulli")) -> str:
+    """Per (model, alpha) confusion and metrics over ``src`` (CTE list +
+    final ``swp`` CTE)."""
+    ctes, parts = [], []
+    for i, a in enumerate(alphas):
+        ctes.append(scores_cte(src, alpha=a, name=f"s{i}"))
+        ctes.append(long_scores(f"s{i}", models=models, out=f"l{i}"))
+        parts.append(f"SELECT CAST({lit(a)} AS DOUBLE) AS alpha, * FROM l{i}")
+    ctes.append("sw AS (" + " UNION ALL ".join(parts) + ")")
+    ctes.append(metrics_sql("sw", "model, alpha"))
+    return ",\n".join(ctes)
+
+
+def cv_sql(k: int = C.K_FOLDS, alpha_m: float = 1.0, alpha_b: float = 1.0) -> str:
+    """Brute-force k-fold CV: each fold's training documents are copied
+    per fold and counted directly (no subtraction trick)."""
+    a, b = lit(alpha_m), lit(alpha_b)
+    gauss = {}
+    for c in ("spam", "ham"):
+        gauss[c] = " + ".join(
+            f"(-0.5 * ln(2 * pi() * g{c}.var_{f}) - pow(t.{f} - g{c}.mu_{f}, 2) / (2 * g{c}.var_{f}))"
+            for f in C.GAUSSIAN_FEATURES)
+    return "WITH " + ",\n".join([
+        MSG, split_cte(),
+        fold_cte(k, src="(SELECT * FROM spl WHERE split IN ('train', 'val'))"),
+        tokens_cte("tok", "fld", "doc_id, label, fold"),
+        f"fs AS (SELECT CAST(range AS BIGINT) AS f FROM range(1, {k + 1}))",
+        "tr AS (SELECT fs.f, t.* FROM tok t, fs WHERE t.fold <> fs.f)",
+        """cnt AS (
+  SELECT f, token, sum(n_spam) AS n_spam, sum(n_ham) AS n_ham, sum(df_spam) AS df_spam, sum(df_ham) AS df_ham
+  FROM (
+    SELECT f, token, CASE WHEN label = 'spam' THEN 1 ELSE 0 END AS n_spam,
+           CASE WHEN label = 'spam' THEN 0 ELSE 1 END AS n_ham, 0 AS df_spam, 0 AS df_ham
+    FROM (SELECT f, label, unnest(tokens) AS token FROM tr)
+    UNION ALL
+    SELECT f, token, 0, 0, CASE WHEN label = 'spam' THEN 1 ELSE 0 END, CASE WHEN label = 'spam' THEN 0 ELSE 1 END
+    FROM (SELECT f, label, unnest(list_distinct(tokens)) AS token FROM tr)
+  ) GROUP BY f, token)""",
+        """cls AS (
+  SELECT f, count(*) FILTER (WHERE label = 'spam') AS n_docs_spam, count(*) FILTER (WHERE label = 'ham') AS n_docs_ham,
+         count(*) AS n_docs, coalesce(sum(len(tokens)) FILTER (WHERE label = 'spam'), 0) AS ntok_spam,
+         coalesce(sum(len(tokens)) FILTER (WHERE label = 'ham'), 0) AS ntok_ham
+  FROM tr GROUP BY f)""",
+        f"""voc AS (SELECT c.* FROM cnt c JOIN cls ON c.f = cls.f
+  WHERE c.df_spam + c.df_ham >= {C.MIN_DF} AND (c.df_spam + c.df_ham) / cls.n_docs <= {C.MAX_DF})""",
+        "vsz AS (SELECT f, count(*) AS V FROM voc GROUP BY f)",
+        "gm AS (SELECT f, label, " + ", ".join(
+            f"avg({x}) AS mu_{x}, var_pop({x}) + {lit(C.GAUSSIAN_VAR_EPS)} AS var_{x}"
+            for x in C.GAUSSIAN_FEATURES) + " FROM (SELECT f, label, " + feats_sql() + " FROM tr) GROUP BY f, label)",
+        f"""ms AS (SELECT o.doc_id, sum(ln(v.n_spam + {a}) - ln({a})) AS m_spam, sum(ln(v.n_ham + {a}) - ln({a})) AS m_ham
+  FROM (SELECT doc_id, fold, unnest(tokens) AS token FROM tok) o JOIN voc v ON o.fold = v.f AND o.token = v.token
+  GROUP BY o.doc_id)""",
+        f"""bs AS (SELECT o.doc_id,
+    sum(ln((v.df_spam + {b}) / (c.n_docs_spam + 2 * {b})) - ln(1 - (v.df_spam + {b}) / (c.n_docs_spam + 2 * {b}))) AS b_spam,
+    sum(ln((v.df_ham + {b}) / (c.n_docs_ham + 2 * {b})) - ln(1 - (v.df_ham + {b}) / (c.n_docs_ham + 2 * {b}))) AS b_ham
+  FROM (SELECT doc_id, fold, unnest(list_distinct(tokens)) AS token FROM tok) o
+  JOIN voc v ON o.fold = v.f AND o.token = v.token JOIN cls c ON c.f = o.fold GROUP BY o.doc_id)""",
+        f"""base AS (SELECT v.f, sum(ln(1 - (v.df_spam + {b}) / (c.n_docs_spam + 2 * {b}))) AS base_spam,
+    sum(ln(1 - (v.df_ham + {b}) / (c.n_docs_ham + 2 * {b}))) AS base_ham
+  FROM voc v JOIN cls c ON v.f = c.f GROUP BY v.f)""",
+        f"""lp AS (
+  SELECT t.doc_id, t.label, t.fold, t.length AS n_tokens,
+    ln(c.n_docs_spam / c.n_docs) + coalesce(ms.m_spam, 0) + t.length * (ln({a}) - ln(c.ntok_spam + {a} * z.V)) AS mult_lp_spam,
+    ln(c.n_docs_ham / c.n_docs) + coalesce(ms.m_ham, 0) + t.length * (ln({a}) - ln(c.ntok_ham + {a} * z.V)) AS mult_lp_ham,
+    ln(c.n_docs_spam / c.n_docs) + coalesce(bb.base_spam, 0) + coalesce(bs.b_spam, 0) AS bern_lp_spam,
+    ln(c.n_docs_ham / c.n_docs) + coalesce(bb.base_ham, 0) + coalesce(bs.b_ham, 0) AS bern_lp_ham,
+    ln(c.n_docs_spam / c.n_docs) + {gauss['spam']} AS gauss_lp_spam,
+    ln(c.n_docs_ham / c.n_docs) + {gauss['ham']} AS gauss_lp_ham
+  FROM (SELECT doc_id, label, fold, {feats_sql()} FROM tok) t
+  JOIN cls c ON c.f = t.fold JOIN vsz z ON z.f = t.fold LEFT JOIN base bb ON bb.f = t.fold
+  LEFT JOIN ms ON ms.doc_id = t.doc_id LEFT JOIN bs ON bs.doc_id = t.doc_id
+  JOIN gm gspam ON gspam.f = t.fold AND gspam.label = 'spam'
+  JOIN gm gham ON gham.f = t.fold AND gham.label = 'ham')""",
+        long_scores("lp", keep="label, fold", out="cvs"),
+        """cv AS (
+  SELECT model, fold, count(*) AS n,
+         count(*) FILTER (WHERE label = 'spam' AND raw_prediction = 'spam') AS tp,
+         count(*) FILTER (WHERE label <> 'spam' AND raw_prediction <> 'spam') AS tn,
+         count(*) FILTER (WHERE label <> 'spam' AND raw_prediction = 'spam') AS fp,
+         count(*) FILTER (WHERE label = 'spam' AND raw_prediction <> 'spam') AS fn
+  FROM cvs GROUP BY model, fold)""",
+    ]) + "\n"

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from nbsieve import config as C
 from nbsieve.operators import nb
 from nbsieve.operators.split import with_split
+from nbsieve.session import cut_lineage
 from nbsieve.sources import tables
 
 
@@ -32,8 +33,10 @@ def split_tokens(spark: SparkSession, sf_dir: str, seed=C.SEED) -> DataFrame:
 
 def prepare(spark: SparkSession, sf_dir: str, min_df: int = C.MIN_DF,
             max_df: float = C.MAX_DF, train_splits=("train",)) -> Prepared:
-    # Tokens feed several passes (counts, moments, scoring): tokenise once.
-    tok = split_tokens(spark, sf_dir).persist()
+    # Tokens feed several passes (counts, moments, scoring): tokenise once
+    # and cut the lineage (reliable checkpoint in the shared checkpoint
+    # folder: survives executor loss and keeps later plans small).
+    tok = cut_lineage(split_tokens(spark, sf_dir))
     train = tok.where(F.col("split").isin(*train_splits))
     model = nb.fit(train, min_df=min_df, max_df=max_df)
     return Prepared(tok=tok, model=model)

@@ -217,3 +217,230 @@ def q_score_all(spark, sf):
     p = _prepared(spark, sf)
     docs = nb.tokenize(tables.all_documents(spark, sf).select("doc_id", "label", "text"))
     return _round_scores(nb.score(p.model, docs))
+
+
+# ---------------------------------------------------------------------------
+# Splits and folds
+# ---------------------------------------------------------------------------
+
+from nbsieve.operators import metrics as M  # noqa: E402
+from nbsieve.operators.split import with_folds, with_split  # noqa: E402
+from nbsieve.plans import tuning  # noqa: E402
+
+
+@register("W4_split_assignment", "WITH " + O.MSG + ",\n" + O.split_cte() + """
+SELECT doc_id, label, split FROM spl""")
+def q_split(spark, sf):
+    return with_split(tables.messages(spark, sf)).select("doc_id", "label", "split")
+
+
+@register("A21_split_summary", "WITH " + O.MSG + ",\n" + O.split_cte() + """
+SELECT split, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE label = 'spam') AS BIGINT) AS n_spam,
+       CAST(count(*) FILTER (WHERE label = 'ham') AS BIGINT) AS n_ham FROM spl GROUP BY split""")
+def q_split_summary(spark, sf):
+    s = with_split(tables.messages(spark, sf))
+    return s.groupBy("split").agg(F.count(F.lit(1)).alias("n"),
+                                  F.count(F.when(F.col("label") == "spam", 1)).alias("n_spam"),
+                                  F.count(F.when(F.col("label") == "ham", 1)).alias("n_ham"))
+
+
+@register("W5_U2_fold_assignment", "WITH " + O.MSG + ",\n" + O.split_cte() + ",\n"
+          + O.fold_cte(src="(SELECT * FROM spl WHERE split IN ('train', 'val'))") + """
+SELECT doc_id, label, fold FROM fld""")
+def q_folds(spark, sf):
+    s = with_split(tables.messages(spark, sf)).where(F.col("split").isin("train", "val"))
+    return with_folds(s).select("doc_id", "label", "fold")
+
+
+# ---------------------------------------------------------------------------
+# Metrics and curves on the test split
+# ---------------------------------------------------------------------------
+
+_TEST = O.with_model("tst AS (SELECT * FROM tok WHERE split = 'test')", O.scores_cte("tst"),
+                     O.long_scores(), O.metrics_sql())
+_METRIC_COLS = ["accuracy", "precision", "recall", "f1", "macro_precision", "macro_recall",
+                "macro_f1", "weighted_precision", "weighted_recall", "weighted_f1",
+                "roc_auc", "pr_auc"]
+
+
+def _test_scores(spark, sf):
+    p = _prepared(spark, sf)
+    return nb.score(p.model, p.part("test"))
+
+
+@register("A10_A14_L4_test_metrics", _TEST + """
+SELECT r.*, c.roc_auc, c.pr_auc FROM rep r LEFT JOIN cur c ON r.model = c.model""")
+def q_test_metrics(spark, sf):
+    ev = M.evaluate(_test_scores(spark, sf))
+    return ev.select("model", "tp", "tn", "fp", "fn", *[r6(c).alias(c) for c in _METRIC_COLS])
+
+
+@register("W1_roc_points", _TEST + """
+SELECT model, round(s, 6) + 0.0 AS threshold, round((N - cum_neg + neg) / N, 6) + 0.0 AS fpr,
+       round((P - cum_pos + pos) / P, 6) + 0.0 AS tpr FROM rt
+UNION ALL SELECT DISTINCT model, NULL, 0.0, 0.0 FROM rt""")
+def q_roc(spark, sf):
+    r = M.roc_points(_test_scores(spark, sf))
+    return r.select("model", r6("threshold").alias("threshold"), r6("fpr").alias("fpr"),
+                    r6("tpr").alias("tpr"))
+
+
+@register("W2_pr_points", _TEST + """
+SELECT model, round(s, 6) + 0.0 AS threshold,
+       round((P - cum_pos + pos) / ((P - cum_pos + pos) + (N - cum_neg + neg)), 6) + 0.0 AS precision,
+       round(CASE WHEN P = 0 THEN 1.0 ELSE (P - cum_pos + pos) / P END, 6) + 0.0 AS recall FROM rt
+UNION ALL SELECT DISTINCT model, NULL, 1.0, 0.0 FROM rt""")
+def q_pr(spark, sf):
+    r = M.pr_points(_test_scores(spark, sf))
+    return r.select("model", r6("threshold").alias("threshold"), r6("precision").alias("precision"),
+                    r6("recall").alias("recall"))
+
+
+@register("L7_error_breakdown", _TEST + """
+SELECT model, outcome, CAST(cnt AS BIGINT) AS count FROM (
+  SELECT model, 'TP' AS outcome, tp AS cnt FROM cm UNION ALL SELECT model, 'TN', tn FROM cm
+  UNION ALL SELECT model, 'FP', fp FROM cm UNION ALL SELECT model, 'FN', fn FROM cm)""")
+def q_errors(spark, sf):
+    return M.error_breakdown(_test_scores(spark, sf))
+
+
+_VAL = O.with_model("val AS (SELECT * FROM tok WHERE split = 'val')", O.scores_cte("val"),
+                    O.long_scores(), O.metrics_sql())
+
+
+@register("T9_threshold_tuning", _VAL + """
+SELECT 'multinomial' AS model, round(coalesce(min(s) FILTER (WHERE
+    (P - cum_pos + pos) / ((P - cum_pos + pos) + (N - cum_neg + neg)) >= 0.95
+    AND (P - cum_pos + pos) / P >= 0.9), 0.5), 6) + 0.0 AS threshold
+FROM rt WHERE model = 'multinomial'""")
+def q_threshold(spark, sf):
+    p = _prepared(spark, sf)
+    s = nb.score(p.model, p.part("val"), models=("multinomial",))
+    t = M.tuned_threshold(s)
+    return t.select("model", r6("threshold").alias("threshold"))
+
+
+# ---------------------------------------------------------------------------
+# Smoothing search (L2, T8a, T8b, J11) on the validation split
+# ---------------------------------------------------------------------------
+
+def _sweep(spark, sf, alphas):
+    p = _prepared(spark, sf)
+    return tuning.alpha_sweep(p.model, p.part("val"), alphas)
+
+
+_SWEEP_F1 = O.with_model("val AS (SELECT * FROM tok WHERE split = 'val')",
+                         O.sweep_sql(C.ALPHA_GRID_F1))
+_SWEEP_ACC = O.with_model("val AS (SELECT * FROM tok WHERE split = 'val')",
+                          O.sweep_sql(C.ALPHA_GRID_ACCURACY))
+
+
+@register("L2_J11_alpha_sweep", _SWEEP_F1 + """
+SELECT model, alpha, tp, tn, fp, fn, accuracy, precision, recall, f1 FROM rep""")
+def q_sweep(spark, sf):
+    s = _sweep(spark, sf, C.ALPHA_GRID_F1)
+    return s.select("model", "alpha", "tp", "tn", "fp", "fn",
+                    *[r6(c).alias(c) for c in ("accuracy", "precision", "recall", "f1")])
+
+
+@register("T8a_best_alpha_f1", _SWEEP_F1 + """
+SELECT model, arg_max(alpha, (f1, -alpha)) AS alpha, max(f1) AS best_f1 FROM rep GROUP BY model""")
+def q_best_f1(spark, sf):
+    s = _sweep(spark, sf, C.ALPHA_GRID_F1).withColumn("f1", r6("f1"))
+    return tuning.best_alpha(s, "f1")
+
+
+@register("T8b_best_alpha_accuracy", _SWEEP_ACC + """
+SELECT m.model, CAST(coalesce(b.alpha, 1.0) AS DOUBLE) AS alpha, b.best_accuracy FROM (SELECT DISTINCT model FROM rep) m
+LEFT JOIN (SELECT model, arg_max(alpha, (accuracy, -alpha)) AS alpha, max(accuracy) AS best_accuracy
+           FROM rep WHERE accuracy > 0 GROUP BY model) b ON m.model = b.model""")
+def q_best_acc(spark, sf):
+    s = _sweep(spark, sf, C.ALPHA_GRID_ACCURACY).withColumn("accuracy", r6("accuracy"))
+    return tuning.best_alpha(s, "accuracy", default=1.0, floor=0.0)
+
+
+# ---------------------------------------------------------------------------
+# Cross-validation (L3, A25, A26, L8) and model comparison
+# ---------------------------------------------------------------------------
+
+from nbsieve.operators import stats as S  # noqa: E402
+
+
+def _cv(spark, sf):
+    s = with_split(tables.messages(spark, sf)).where(F.col("split").isin("train", "val"))
+    return tuning.cross_validate(s.select("doc_id", "label", "text"))
+
+
+@register("L3_cross_validation", O.cv_sql() + """
+SELECT model, fold, n, tp, tn, fp, fn, round((tp + tn) / n, 6) + 0.0 AS accuracy FROM cv""")
+def q_cv(spark, sf):
+    cv = _cv(spark, sf)
+    return cv.select("model", "fold", "n", "tp", "tn", "fp", "fn", r6("accuracy").alias("accuracy"))
+
+
+@register("A25_A26_cv_summary", O.cv_sql() + """, acc AS (SELECT model, fold, (tp + tn) / n AS a FROM cv)
+SELECT model, round(avg(a), 6) + 0.0 AS cv_mean_acc, round(stddev_samp(a), 6) + 0.0 AS cv_std_acc,
+  round(avg(a) - 2.7764451051977987 * stddev_samp(a) / sqrt(count(*)), 6) + 0.0 AS ci_lower,
+  round(avg(a) + 2.7764451051977987 * stddev_samp(a) / sqrt(count(*)), 6) + 0.0 AS ci_upper
+FROM acc GROUP BY model""")
+def q_cv_summary(spark, sf):
+    ci = S.confidence_interval(_cv(spark, sf), "accuracy", ["model"])
+    return ci.select("model", r6("mean").alias("cv_mean_acc"), r6("std").alias("cv_std_acc"),
+                     r6("ci_lower").alias("ci_lower"), r6("ci_upper").alias("ci_upper"))
+
+
+@register("L8_cv_series", O.cv_sql() + """
+SELECT model, fold, round((tp + tn) / n, 6) + 0.0 AS accuracy,
+       round(avg((tp + tn) / n) OVER (PARTITION BY model), 6) + 0.0 AS mean_accuracy FROM cv""")
+def q_cv_series(spark, sf):
+    cv = _cv(spark, sf)
+    from pyspark.sql import Window
+    return cv.select("model", "fold", r6("accuracy").alias("accuracy"),
+                     r6(F.avg("accuracy").over(Window.partitionBy("model"))).alias("mean_accuracy"))
+
+
+@register("A27_paired_t_test", O.cv_sql() + """, acc AS (SELECT model, fold, (tp + tn) / n AS a FROM cv),
+d AS (SELECT x.fold, x.a - y.a AS diff FROM acc x JOIN acc y ON x.fold = y.fold
+      WHERE x.model = 'multinomial' AND y.model = 'bernoulli'),
+st AS (SELECT avg(diff) AS dm, count(*) AS n,
+       CASE WHEN var_samp(diff) > 0 THEN sqrt(var_samp(diff)) ELSE 1e-10 END AS sd FROM d)
+SELECT 'multinomial' AS model_a, 'bernoulli' AS model_b, round(dm, 6) + 0.0 AS mean_diff,
+       round(dm / (sd / sqrt(n)), 6) + 0.0 AS t_statistic, CAST(n - 1 AS BIGINT) AS df FROM st""")
+def q_ttest(spark, sf):
+    t = S.paired_t_test(_cv(spark, sf), "multinomial", "bernoulli")
+    return t.select("model_a", "model_b", r6("mean_diff").alias("mean_diff"),
+                    r6("t_statistic").alias("t_statistic"), "df")
+
+
+@register("M6_t_p_value", None)
+def q_tp(spark, sf):
+    """Two-sided p-value of the paired t statistic (closed-form Student-t
+    CDF for integer degrees of freedom) with the verdict."""
+    t = S.paired_t_test(_cv(spark, sf), "multinomial", "bernoulli")
+    return t.select("model_a", "model_b", r6("t_statistic").alias("t_statistic"), "df",
+                    r6("p_value").alias("p_value"), "reject_null", "conclusion")
+
+
+_MCN = _TEST + """, pr AS (SELECT doc_id, label, model, raw_prediction FROM lsc),
+bc AS (SELECT b.model AS model_b,
+  count(*) FILTER (WHERE a.raw_prediction = a.label AND b.raw_prediction <> b.label) AS b,
+  count(*) FILTER (WHERE a.raw_prediction <> a.label AND b.raw_prediction = b.label) AS c
+  FROM pr a JOIN pr b ON a.doc_id = b.doc_id WHERE a.model = 'multinomial' AND b.model <> 'multinomial'
+  GROUP BY b.model)
+"""
+
+
+@register("A28_mcnemar", _MCN + """
+SELECT 'multinomial' AS model_a, model_b, CAST(b AS BIGINT) AS b, CAST(c AS BIGINT) AS c,
+  round(CASE WHEN b + c = 0 THEN 0.0 ELSE pow(abs(b - c) - 1, 2) / (b + c) END, 6) + 0.0 AS chi2
+FROM bc""")
+def q_mcnemar(spark, sf):
+    m = S.mcnemar(_test_scores(spark, sf), "multinomial")
+    return m.select("model_a", "model_b", "b", "c", r6("chi2").alias("chi2"))
+
+
+@register("M7_L5_mcnemar_p_value", None)
+def q_mcnemar_p(spark, sf):
+    m = S.mcnemar(_test_scores(spark, sf), "multinomial")
+    return m.select("model_a", "model_b", "b", "c", r6("chi2").alias("chi2"),
+                    r6("p_value").alias("p_value"), "reject_null", "conclusion")
