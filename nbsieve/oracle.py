@@ -342,3 +342,26 @@ def cv_sql(k: int = C.K_FOLDS, alpha_m: float = 1.0, alpha_b: float = 1.0) -> st
          count(*) FILTER (WHERE label = 'spam' AND raw_prediction <> 'spam') AS fn
   FROM cvs GROUP BY model, fold)""",
     ]) + "\n"
+
+
+W = r"[^\p{L}\p{N}_]"
+
+
+def re2_rule(pattern: str) -> str:
+    """A sender-rule regex in RE2 form: Python's Unicode ``\\b`` at the ends
+    becomes an explicit non-word-or-edge group, ``.`` is "not a newline"."""
+    p = pattern
+    if r"\b.*\b" in p:
+        a, b = p.split(r"\b.*\b")
+        p = a + rf"[^\p{{L}}\p{{N}}_\n]([^\n]*[^\p{{L}}\p{{N}}_\n])?" + b
+    if p.startswith(r"\b"):
+        p = f"(^|{W})" + p[2:]
+    if p.endswith(r"\b"):
+        p = p[:-2] + f"({W}|$)"
+    return p
+
+
+def boost_sql(text: str, rules) -> str:
+    parts = [f"CASE WHEN regexp_matches(lower({text}), '{re2_rule(p)}') THEN {lit(b)} ELSE 0.0 END"
+             for p, b in rules]
+    return "CAST(greatest(0.0, " + ", ".join(parts) + ") AS DOUBLE)"

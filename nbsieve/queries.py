@@ -444,3 +444,483 @@ def q_mcnemar_p(spark, sf):
     m = S.mcnemar(_test_scores(spark, sf), "multinomial")
     return m.select("model_a", "model_b", "b", "c", r6("chi2").alias("chi2"),
                     r6("p_value").alias("p_value"), "reject_null", "conclusion")
+
+
+# ---------------------------------------------------------------------------
+# Sender rules, requests, ensemble, label noise (J9, A29, M8, S7, P8, I5, M9,
+# P10, P11, I6, A30, A31, A24, I4, W7)
+# ---------------------------------------------------------------------------
+
+from nbsieve.operators import ensemble as EN  # noqa: E402
+from nbsieve.operators import explain as X  # noqa: E402
+from nbsieve.operators import rules as R  # noqa: E402
+
+# Rule set used against the driver data: the fixed sender rules never match
+# these documents, so two word rules exercise the matching path as well.
+CUSTOM_RULES = tuple(C.SENDER_RULES) + ((r"\btrash\b", 0.30), (r"\bworthless\b", 0.40))
+
+
+@register("J9_A29_M8_sender_boost", "SELECT doc_id, " + O.boost_sql("text", CUSTOM_RULES)
+          + " AS boost FROM documents")
+def q_boost(spark, sf):
+    d = tables.table(spark, sf, "documents").select("doc_id", "text")
+    return d.select("doc_id", R.sender_boost(F.col("text"), CUSTOM_RULES).alias("boost"))
+
+
+def _alld_sql():
+    return O.tokens_cte(
+        "alld", "(SELECT d.doc_id, d.text, CASE WHEN l.toxic IS NULL THEN NULL WHEN l.toxic = 1 "
+        "THEN 'spam' ELSE 'ham' END AS label FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)",
+        "doc_id, label")
+
+
+_CONF_EXPL = ("CASE WHEN is_confident THEN printf('Confident %s (P=%.4f >= threshold=0.7)', "
+              "upper(raw_prediction), confidence) ELSE printf('UNCERTAIN - P(spam)=%.4f, P(ham)=%.4f. "
+              "Neither class exceeds threshold=0.7. This message is ambiguous — different people might "
+              "classify it differently.', p_spam, p_ham) END")
+
+
+@register("S7_I5_P8_M9_request_scoring", O.with_model(
+    _alld_sql(), O.scores_cte("alld"), O.long_scores(models=("multinomial",), thr=0.65)) + f"""
+, rq AS (
+  SELECT l.doc_id AS request_id, l.n_tokens, l.p_spam, l.p_ham, l.raw_prediction, l.prediction,
+         l.confidence, l.is_confident, {_CONF_EXPL} AS explanation,
+         d.text, length(trim(d.text)) = 0 AS blank, {O.boost_sql('d.text', CUSTOM_RULES)} AS boost
+  FROM lsc l JOIN documents d ON l.doc_id = d.doc_id
+), rb AS (
+  SELECT *, CASE WHEN boost > 0 THEN least(1.0, p_spam + boost) ELSE p_spam END AS boosted FROM rq
+), rc AS (SELECT *, boosted <> p_spam AS changed, boosted <> p_spam AND boosted > 1 - 0.65 AS flips FROM rb)
+SELECT request_id, CASE WHEN blank THEN 'error' ELSE 'ok' END AS status,
+  CASE WHEN blank THEN NULL WHEN n_tokens = 0 THEN 'uncertain' WHEN flips THEN 'spam' ELSE prediction END AS prediction,
+  round(CASE WHEN blank THEN NULL WHEN n_tokens = 0 THEN 0.0 WHEN flips THEN boosted ELSE confidence END, 6) + 0.0 AS confidence,
+  CASE WHEN blank THEN NULL WHEN n_tokens = 0 THEN false WHEN flips THEN true ELSE is_confident END AS is_confident,
+  CASE WHEN blank THEN 'Message cannot be empty' WHEN n_tokens = 0 THEN 'No meaningful words remaining after preprocessing.'
+       WHEN flips THEN printf('Sender-boosted SPAM (P=%.4f)', boosted) ELSE explanation END AS explanation,
+  round(CASE WHEN blank THEN NULL WHEN n_tokens = 0 THEN 0.5 WHEN changed THEN boosted ELSE p_spam END, 6) + 0.0 AS p_spam,
+  round(CASE WHEN blank THEN NULL WHEN n_tokens = 0 THEN 0.5 WHEN changed THEN 1 - boosted ELSE p_ham END, 6) + 0.0 AS p_ham,
+  (NOT blank AND n_tokens > 0 AND changed) AS boost_applied
+FROM rc""")
+def q_requests(spark, sf):
+    p = _prepared(spark, sf)
+    req = tables.table(spark, sf, "documents").select(
+        F.col("doc_id").alias("request_id"), F.col("text").alias("message"),
+        F.lit(None).cast("double").alias("decision_threshold"),
+        F.lit(True).alias("use_sender_boost"))
+    out = R.score_requests(p.model, req, rules=CUSTOM_RULES)
+    return out.select(*[r6(c).alias(c) if c in ("confidence", "p_spam", "p_ham") else F.col(c)
+                        for c in out.columns])
+
+
+@register("P10_P11_inbox_badges", O.with_model(
+    _alld_sql(), O.scores_cte("alld"), O.long_scores(models=("multinomial",), thr=0.65)) + """
+SELECT doc_id, prediction,
+  CASE WHEN prediction = 'spam' THEN printf('[SPAM %.0f%%]', confidence * 100) ELSE '[HAM]' END AS badge,
+  CASE WHEN prediction = 'spam' THEN '🔴 Spam Detected' WHEN prediction = 'ham' THEN '🟢 Legitimate'
+       ELSE '⚠️ Uncertain' END AS popup_verdict
+FROM lsc""")
+def q_badges(spark, sf):
+    p = _prepared(spark, sf)
+    docs = nb.tokenize(tables.all_documents(spark, sf).select("doc_id", "label", "text"))
+    s = nb.score(p.model, docs, models=("multinomial",), decision_threshold=0.65)
+    b = R.badges(F.col("prediction"), F.col("confidence"))
+    return s.select("doc_id", "prediction", b[0], b[1])
+
+
+_ENS = O.with_model(
+    "tst AS (SELECT * FROM tok WHERE split = 'test')", O.scores_cte("tst"), O.long_scores(),
+    O.metrics_sql(), _alld_sql(), O.scores_cte("alld", name="sca"),
+    O.long_scores("sca", thr=0.65, out="lsa")) + """
+, wts AS (SELECT model, f1 AS weight FROM rep)
+"""
+
+
+@register("I6_A30_A31_ensemble", _ENS + f"""
+, ag AS (
+  SELECT s.doc_id, sum(w.weight * s.p_spam) / sum(w.weight) AS wp,
+         count(DISTINCT CASE WHEN s.prediction <> 'uncertain' THEN s.prediction END) AS npred
+  FROM lsa s JOIN wts w ON s.model = w.model GROUP BY s.doc_id
+), bo AS (SELECT ag.*, {O.boost_sql('d.text', C.SENDER_RULES)} AS boost FROM ag JOIN documents d ON ag.doc_id = d.doc_id),
+fin AS (SELECT *, CASE WHEN boost > 0 THEN least(1.0, wp + boost) ELSE wp END AS p FROM bo)
+SELECT doc_id, round(wp, 6) + 0.0 AS weighted_p_spam, round(p, 6) + 0.0 AS p_spam,
+  CASE WHEN p > 1 - 0.65 THEN 'spam' ELSE 'ham' END AS prediction,
+  round(CASE WHEN p > 1 - 0.65 THEN p ELSE 1 - p END, 6) + 0.0 AS confidence, npred <= 1 AS consensus
+FROM fin""")
+def q_ensemble(spark, sf):
+    p = _prepared(spark, sf)
+    test = nb.score(p.model, p.part("test"))
+    weights = M.evaluate(test).select("model", r6("f1").alias("weight"))
+    docs = nb.tokenize(tables.all_documents(spark, sf).select("doc_id", "label", "text"))
+    s = nb.score(p.model, docs, decision_threshold=0.65)
+    boosts = tables.table(spark, sf, "documents").select(
+        "doc_id", R.sender_boost(F.col("text")).alias("boost"))
+    e = EN.ensemble(s, weights, boosts)
+    return e.select("doc_id", r6("weighted_p_spam").alias("weighted_p_spam"), r6("p_spam").alias("p_spam"),
+                    "prediction", r6("confidence").alias("confidence"), "consensus")
+
+
+_NOISE = O.with_model("tst AS (SELECT * FROM tok WHERE split = 'test')", O.scores_cte("tst"),
+                      O.long_scores()) + """
+, nz AS (SELECT *, CASE WHEN NOT is_confident THEN 'uncertain'
+    WHEN (CASE WHEN p_spam > p_ham THEN 'spam' ELSE 'ham' END) = label THEN 'confident_correct'
+    ELSE 'confident_wrong' END AS category FROM lsc)
+"""
+
+
+@register("A24_I4_label_noise", _NOISE + """
+, cats AS (SELECT * FROM (VALUES ('confident_correct'), ('confident_wrong'), ('uncertain')) t(category)),
+tot AS (SELECT model, count(*) AS total FROM nz GROUP BY model)
+SELECT t.model, c.category, CAST(coalesce(n.n, 0) AS BIGINT) AS n, CAST(t.total AS BIGINT) AS total,
+  round(coalesce(n.n, 0) / t.total * 100, 6) + 0.0 AS pct
+FROM tot t CROSS JOIN cats c LEFT JOIN (SELECT model, category, count(*) AS n FROM nz GROUP BY ALL) n
+  ON n.model = t.model AND n.category = c.category""")
+def q_noise(spark, sf):
+    p = _prepared(spark, sf)
+    nz = EN.label_noise(nb.score(p.model, p.part("test")))
+    s = EN.noise_summary(nz)
+    return s.select("model", "category", "n", "total", r6("pct").alias("pct"))
+
+
+@register("W7_noise_examples", _NOISE + """
+SELECT nz.model, nz.category, CAST(rk AS BIGINT) AS example_rank, nz.doc_id, nz.label, nz.argmax,
+       round(nz.confidence, 6) + 0.0 AS confidence, array_to_string(t.tokens[1:10], ' ') AS tokens_preview
+FROM (SELECT *, CASE WHEN p_spam > p_ham THEN 'spam' ELSE 'ham' END AS argmax,
+             row_number() OVER (PARTITION BY model, category ORDER BY doc_id) AS rk FROM nz
+      WHERE category <> 'confident_correct') nz JOIN tok t ON nz.doc_id = t.doc_id WHERE rk <= 5""")
+def q_noise_examples(spark, sf):
+    p = _prepared(spark, sf)
+    nz = EN.label_noise(nb.score(p.model, p.part("test")))
+    ex = EN.noise_examples(nz, p.part("test"))
+    return ex.select("model", "category", "example_rank", "doc_id", "label", "argmax",
+                     r6("confidence").alias("confidence"), "tokens_preview")
+
+
+# ---------------------------------------------------------------------------
+# Explanations
+# ---------------------------------------------------------------------------
+
+_LR = """lr AS (SELECT v.token, ln((v.n_spam + 1.0) / (cls.ntok_spam + 1.0 * vsz.V))
+    - ln((v.n_ham + 1.0) / (cls.ntok_ham + 1.0 * vsz.V)) AS score FROM voc v, cls, vsz)"""
+
+
+@register("T4_message_evidence", O.with_model(
+    "tst AS (SELECT * FROM tok WHERE split = 'test')", _LR) + """
+, ev AS (SELECT d.doc_id, d.token, lr.score FROM (SELECT doc_id, unnest(list_distinct(tokens)) AS token FROM tst) d
+         JOIN lr ON d.token = lr.token),
+rk AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, token) AS r_top,
+              row_number() OVER (PARTITION BY doc_id ORDER BY score, token DESC) AS r_bot FROM ev)
+SELECT doc_id, 'spam' AS side, CAST(r_top AS INTEGER) AS rank, token, round(score, 6) + 0.0 AS score FROM rk WHERE r_top <= 10
+UNION ALL
+SELECT doc_id, 'ham', CAST(r_bot AS INTEGER), token, round(score, 6) + 0.0 FROM rk WHERE r_bot <= 10""")
+def q_evidence(spark, sf):
+    p = _prepared(spark, sf)
+    t = X.top_evidence(X.doc_evidence(p.model, p.part("test")), 10)
+    return t.select("doc_id", "side", "rank", "token", r6("score").alias("score"))
+
+
+@register("T5_P9_unigram_evidence", O.with_model(
+    "tst AS (SELECT * FROM tok WHERE split = 'test')", _LR) + """
+, ev AS (SELECT d.doc_id, d.token, lr.score FROM (SELECT doc_id, unnest(list_distinct(
+           list_filter(tokens, lambda t: NOT contains(t, '_')))) AS token FROM tst) d JOIN lr ON d.token = lr.token),
+rk AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, token) AS r_top,
+              row_number() OVER (PARTITION BY doc_id ORDER BY score, token DESC) AS r_bot FROM ev)
+SELECT doc_id, 'spam' AS side, CAST(r_top AS INTEGER) AS rank, token, round(score, 6) + 0.0 AS score,
+       round(least(100.0, abs(score) * 20), 6) + 0.0 AS bar FROM rk WHERE r_top <= 5
+UNION ALL
+SELECT doc_id, 'ham', CAST(r_bot AS INTEGER), token, round(score, 6) + 0.0, round(least(100.0, abs(score) * 20), 6) + 0.0
+FROM rk WHERE r_bot <= 5""")
+def q_unigram_evidence(spark, sf):
+    p = _prepared(spark, sf)
+    t = X.evidence_bars(X.doc_evidence(p.model, p.part("test"), unigrams_only=True), 5)
+    return t.select("doc_id", "side", "rank", "token", r6("score").alias("score"), r6("bar").alias("bar"))
+
+
+@register("T6_J6_corpus_top_words", O.with_model(_LR) + """
+SELECT * FROM (SELECT 'spam' AS side, token, round(score, 6) + 0.0 AS score FROM lr ORDER BY score DESC, token LIMIT 10)
+UNION ALL
+SELECT * FROM (SELECT 'ham', token, round(score, 6) + 0.0 FROM lr ORDER BY score, token DESC LIMIT 10)""")
+def q_corpus_top(spark, sf):
+    p = _prepared(spark, sf)
+    return X.corpus_top_words(p.model).select("side", "token", r6("score").alias("score"))
+
+
+@register("T7_J7_pruned_vocabulary", O.with_model(_LR) + f"""
+SELECT v.token, v.n_spam, v.n_ham, round(abs(lr.score), 6) + 0.0 AS abs_score
+FROM voc v JOIN (SELECT * FROM lr ORDER BY abs(score) DESC, token LIMIT {C.MAX_VOCAB_PRUNED}) lr
+  ON v.token = lr.token""")
+def q_pruned(spark, sf):
+    p = _prepared(spark, sf)
+    kept = X.prune_vocabulary(p.model)
+    pc = X.pruned_counts(p.model, kept)
+    return pc.join(kept, "token").select("token", "n_spam", "n_ham", r6("abs_score").alias("abs_score"))
+
+
+@register("T2_T3_word_clouds", O.with_model() + """
+SELECT label, token, count, CAST(rank AS BIGINT) AS rank, round(count / max(count) OVER (PARTITION BY label), 6) + 0.0 AS weight
+FROM (SELECT label, token, count, row_number() OVER (PARTITION BY label ORDER BY count DESC, token) AS rank
+      FROM (SELECT 'spam' AS label, token, n_spam AS count FROM cnt WHERE n_spam > 0
+            UNION ALL SELECT 'ham', token, n_ham FROM cnt WHERE n_ham > 0)) WHERE rank <= 100""")
+def q_clouds(spark, sf):
+    p = _prepared(spark, sf)
+    w = X.word_clouds(p.model.all_counts, 100)
+    return w.select("label", "token", "count", "rank", r6("weight").alias("weight"))
+
+
+_BENCH_WORDS = O.tokens_cte("bt", "benchmark", "item_id") + """,
+words AS (SELECT DISTINCT unnest(list_filter(tokens, lambda t: NOT contains(t, '_'))) AS token FROM bt)"""
+
+
+def _bench_words(spark, sf):
+    b = nb.tokenize(tables.table(spark, sf, "benchmark").select("item_id", "text"))
+    return nb.explode_tokens(b.select(T.unigram_only(F.col("tokens")).alias("u")), "u", []).distinct()
+
+
+@register("I10_word_trace", O.with_model(_BENCH_WORDS) + """
+SELECT w.token, CAST(coalesce(c.n_spam, 0) AS BIGINT) AS count_spam,
+  round(coalesce(c.n_spam, 0) + 1.0, 6) + 0.0 AS numerator_spam,
+  round(cls.ntok_spam + 1.0 * vsz.V, 6) + 0.0 AS denominator_spam,
+  round((coalesce(c.n_spam, 0) + 1.0) / (cls.ntok_spam + 1.0 * vsz.V), 6) + 0.0 AS p_spam,
+  CAST(coalesce(c.n_ham, 0) AS BIGINT) AS count_ham,
+  round(coalesce(c.n_ham, 0) + 1.0, 6) + 0.0 AS numerator_ham,
+  round(cls.ntok_ham + 1.0 * vsz.V, 6) + 0.0 AS denominator_ham,
+  round((coalesce(c.n_ham, 0) + 1.0) / (cls.ntok_ham + 1.0 * vsz.V), 6) + 0.0 AS p_ham
+FROM words w LEFT JOIN cnt c ON w.token = c.token, cls, vsz""")
+def q_word_trace(spark, sf):
+    p = _prepared(spark, sf)
+    t = X.word_trace(p.model, _bench_words(spark, sf))
+    return t.select(*[r6(c).alias(c) if c.startswith(("numerator", "denominator", "p_")) else F.col(c)
+                      for c in t.columns])
+
+
+@register("J12_vocabulary_probe", O.with_model(_BENCH_WORDS) + """
+SELECT w.token, v.token IS NOT NULL AS in_vocabulary FROM words w LEFT JOIN voc v ON w.token = v.token""")
+def q_probe(spark, sf):
+    p = _prepared(spark, sf)
+    return X.vocabulary_probe(p.model, _bench_words(spark, sf))
+
+
+@register("I9_absent_sample", O.with_model() + """
+SELECT token, round(pas, 6) + 0.0 AS p_absent_spam, round(pah, 6) + 0.0 AS p_absent_ham, round(pas / pah, 6) + 0.0 AS ratio
+FROM (SELECT v.token, 1 - (v.df_spam + 1.0) / (cls.n_docs_spam + 2.0) AS pas,
+             1 - (v.df_ham + 1.0) / (cls.n_docs_ham + 2.0) AS pah FROM voc v, cls
+      ORDER BY md5('42-' || v.token) LIMIT 10)""")
+def q_absent(spark, sf):
+    p = _prepared(spark, sf)
+    a = X.absent_sample(p.model)
+    return a.select("token", *[r6(c).alias(c) for c in ("p_absent_spam", "p_absent_ham", "ratio")])
+
+
+@register("I7_multinomial_trace", O.with_model("tst AS (SELECT * FROM tok WHERE split = 'test')") + """
+, tf AS (SELECT doc_id, token, count(*) AS tf FROM (SELECT doc_id, unnest(tokens) AS token FROM tst) GROUP BY ALL),
+cl AS (SELECT * FROM (VALUES ('spam'), ('ham')) t(class)),
+pt AS (
+  SELECT t.doc_id, cl.class, t.token, CAST(t.tf AS INTEGER) AS tf,
+    CASE WHEN v.token IS NULL THEN ln(1.0 / (CASE WHEN cl.class = 'spam' THEN cls.ntok_spam ELSE cls.ntok_ham END + vsz.V))
+         ELSE ln((CASE WHEN cl.class = 'spam' THEN v.n_spam ELSE v.n_ham END + 1.0)
+                 / (CASE WHEN cl.class = 'spam' THEN cls.ntok_spam ELSE cls.ntok_ham END + vsz.V)) END AS ll,
+    v.token IS NULL AS unseen,
+    ln(CASE WHEN cl.class = 'spam' THEN cls.n_docs_spam ELSE cls.n_docs_ham END / cls.n_docs) AS lprior
+  FROM tf t CROSS JOIN cl LEFT JOIN voc v ON t.token = v.token CROSS JOIN cls CROSS JOIN vsz),
+tt AS (
+  SELECT d.doc_id, cl.class, coalesce(sum(pt.tf * pt.ll), 0.0) AS contribution,
+    ln(CASE WHEN cl.class = 'spam' THEN cls.n_docs_spam ELSE cls.n_docs_ham END / cls.n_docs) AS lprior
+  FROM tst d CROSS JOIN cl CROSS JOIN cls LEFT JOIN pt ON pt.doc_id = d.doc_id AND pt.class = cl.class
+  GROUP BY d.doc_id, cl.class, cls.n_docs_spam, cls.n_docs_ham, cls.n_docs)
+SELECT doc_id, class, token, tf, round(ll, 6) + 0.0 AS log_lik, unseen, round(tf * ll, 6) + 0.0 AS contribution,
+       round(lprior, 6) + 0.0 AS log_prior, CAST(NULL AS DOUBLE) AS log_posterior FROM pt
+UNION ALL
+SELECT doc_id, class, NULL, NULL, NULL, NULL, round(contribution, 6) + 0.0, round(lprior, 6) + 0.0,
+       round(lprior + contribution, 6) + 0.0 FROM tt""")
+def q_mtrace(spark, sf):
+    p = _prepared(spark, sf)
+    t = X.multinomial_trace(p.model, p.part("test"))
+    return t.select("doc_id", "class", "token", "tf", r6("log_lik").alias("log_lik"), "unseen",
+                    r6("contribution").alias("contribution"), r6("log_prior").alias("log_prior"),
+                    r6("log_posterior").alias("log_posterior"))
+
+
+_BTRACE = O.with_model("tst AS (SELECT * FROM tok WHERE split = 'test')", "b AS (SELECT 1)") + """
+, cl AS (SELECT * FROM (VALUES ('spam'), ('ham')) t(class)),
+pt AS (
+  SELECT d.doc_id, cl.class, d.token,
+    (CASE WHEN cl.class = 'spam' THEN v.df_spam ELSE v.df_ham END + 1.0)
+      / (CASE WHEN cl.class = 'spam' THEN cls.n_docs_spam ELSE cls.n_docs_ham END + 2.0) AS p
+  FROM (SELECT doc_id, unnest(list_distinct(tokens)) AS token FROM tst) d JOIN voc v ON d.token = v.token
+  CROSS JOIN cl CROSS JOIN cls),
+base AS (SELECT cl.class, sum(ln(1 - (CASE WHEN cl.class = 'spam' THEN v.df_spam ELSE v.df_ham END + 1.0)
+    / (CASE WHEN cl.class = 'spam' THEN cls.n_docs_spam ELSE cls.n_docs_ham END + 2.0))) AS baseline
+  FROM voc v CROSS JOIN cl CROSS JOIN cls GROUP BY cl.class)
+"""
+
+
+@register("I8_bernoulli_trace_tokens", _BTRACE + """
+SELECT doc_id, class, token, round(ln(p), 6) + 0.0 AS log_p_present, round(ln(1 - p), 6) + 0.0 AS log_p_absent,
+       round(ln(p) - ln(1 - p), 6) + 0.0 AS delta FROM pt""")
+def q_btrace_tokens(spark, sf):
+    p = _prepared(spark, sf)
+    per_tok, _ = X.bernoulli_trace(p.model, p.part("test"))
+    return per_tok.select("doc_id", "class", "token", *[r6(c).alias(c) for c in
+                                                        ("log_p_present", "log_p_absent", "delta")])
+
+
+@register("I8_bernoulli_trace_totals", _BTRACE + """
+SELECT d.doc_id, cl.class, round(b.baseline, 6) + 0.0 AS baseline,
+  round(coalesce(s.ds, 0.0), 6) + 0.0 AS delta_sum,
+  round(ln(CASE WHEN cl.class = 'spam' THEN cls.n_docs_spam ELSE cls.n_docs_ham END / cls.n_docs), 6) + 0.0 AS log_prior,
+  round(b.baseline + coalesce(s.ds, 0.0), 6) + 0.0 AS log_likelihood,
+  round(ln(CASE WHEN cl.class = 'spam' THEN cls.n_docs_spam ELSE cls.n_docs_ham END / cls.n_docs)
+        + b.baseline + coalesce(s.ds, 0.0), 6) + 0.0 AS log_posterior
+FROM tst d CROSS JOIN cl CROSS JOIN cls JOIN base b ON b.class = cl.class
+LEFT JOIN (SELECT doc_id, class, sum(ln(p) - ln(1 - p)) AS ds FROM pt GROUP BY ALL) s
+  ON s.doc_id = d.doc_id AND s.class = cl.class""")
+def q_btrace_totals(spark, sf):
+    p = _prepared(spark, sf)
+    _, tot = X.bernoulli_trace(p.model, p.part("test"))
+    return tot.select("doc_id", "class", *[r6(c).alias(c) for c in
+                                           ("baseline", "delta_sum", "log_prior", "log_likelihood",
+                                            "log_posterior")])
+
+
+@register("I12_message_report", O.with_model(
+    "tst AS (SELECT * FROM tok WHERE split = 'test')", O.scores_cte("tst"),
+    O.long_scores(models=("multinomial",)), _LR) + f"""
+, ev AS (SELECT d.doc_id, d.token, lr.score FROM (SELECT doc_id, unnest(list_distinct(tokens)) AS token FROM tst) d
+         JOIN lr ON d.token = lr.token),
+rk AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, token) AS r_top,
+              row_number() OVER (PARTITION BY doc_id ORDER BY score, token DESC) AS r_bot FROM ev),
+tops AS (SELECT doc_id, string_agg(CASE WHEN r_top <= 10 THEN token END, ' ' ORDER BY r_top) AS top_spam_words,
+                string_agg(CASE WHEN r_bot <= 10 THEN token END, ' ' ORDER BY r_bot) AS top_ham_words FROM rk GROUP BY doc_id)
+SELECT l.doc_id, l.prediction, round(l.confidence, 6) + 0.0 AS confidence, round(l.p_spam, 6) + 0.0 AS p_spam,
+  round(l.p_ham, 6) + 0.0 AS p_ham, l.n_tokens, 1.0 AS alpha, {_CONF_EXPL.replace('threshold=0.7)', 'threshold=0.7)')} AS explanation,
+  coalesce(t.top_spam_words, '') AS top_spam_words, coalesce(t.top_ham_words, '') AS top_ham_words
+FROM lsc l LEFT JOIN tops t ON l.doc_id = t.doc_id""")
+def q_report(spark, sf):
+    p = _prepared(spark, sf)
+    test = p.part("test")
+    s = nb.score(p.model, test, models=("multinomial",))
+    s = s.withColumn("explanation", nb.explanation(F.col("raw_prediction"), F.col("confidence"),
+                                                   F.col("p_spam"), F.col("p_ham"),
+                                                   F.col("is_confident"), C.CONFIDENCE_THRESHOLD))
+    ev = X.top_evidence(X.doc_evidence(p.model, test), 10)
+    lists = ev.groupBy("doc_id").agg(*[
+        F.array_join(F.transform(F.array_sort(F.collect_list(
+            F.when(F.col("side") == side, F.struct("rank", "token")))), lambda s: s["token"]), " ")
+        .alias(f"top_{side}_words") for side in ("spam", "ham")])
+    out = s.join(lists, "doc_id", "left")
+    return out.select("doc_id", "prediction", r6("confidence").alias("confidence"),
+                      r6("p_spam").alias("p_spam"), r6("p_ham").alias("p_ham"), "n_tokens",
+                      F.lit(C.ALPHA).alias("alpha"), "explanation",
+                      F.coalesce("top_spam_words", F.lit("")).alias("top_spam_words"),
+                      F.coalesce("top_ham_words", F.lit("")).alias("top_ham_words"))
+
+
+# ---------------------------------------------------------------------------
+# Profiles (A15-A20, A22, A23)
+# ---------------------------------------------------------------------------
+
+from nbsieve.operators import profile as PR  # noqa: E402
+
+_WC = f"len(list_filter(regexp_split_to_array(text, '[{C.PY_WHITESPACE}]+'), lambda w: length(w) > 0))"
+
+
+def _pct_sql(col: str, qs) -> str:
+    return ", ".join(f"round(quantile_cont({col}, {q}), 6) + 0.0 AS p{int(round(q * 100))}" for q in qs)
+
+
+@register("A15_length_stats", "WITH " + O.MSG + f"""
+, x AS (SELECT label, length(text) AS length, {_WC} AS word_count FROM msg)
+SELECT label, 'length' AS measure, round(avg(length), 6) + 0.0 AS mean, round(quantile_cont(length, 0.5), 6) + 0.0 AS median,
+  CAST(min(length) AS DOUBLE) AS min, CAST(max(length) AS DOUBLE) AS max, round(stddev_samp(length), 6) + 0.0 AS std
+FROM x GROUP BY label
+UNION ALL
+SELECT label, 'word_count', round(avg(word_count), 6) + 0.0, round(quantile_cont(word_count, 0.5), 6) + 0.0,
+  CAST(min(word_count) AS DOUBLE), CAST(max(word_count) AS DOUBLE), round(stddev_samp(word_count), 6) + 0.0
+FROM x GROUP BY label""")
+def q_length_stats(spark, sf):
+    s = PR.length_stats(tables.messages(spark, sf))
+    return s.select("label", "measure", *[r6(c).alias(c) for c in ("mean", "median", "min", "max", "std")])
+
+
+@register("A16_length_percentiles", "WITH " + O.MSG + """
+SELECT label, """ + _pct_sql("length(text)", (0.25, 0.5, 0.75, 0.9, 0.95)) + " FROM msg GROUP BY label")
+def q_length_pct(spark, sf):
+    p = PR.length_percentiles(tables.messages(spark, sf))
+    return p.select("label", *[r6(c).alias(c) for c in p.columns if c != "label"])
+
+
+@register("A17_longer_class", "WITH " + O.MSG + """
+SELECT round(avg(length(text)) FILTER (WHERE label = 'ham'), 6) + 0.0 AS avg_ham_length,
+       round(avg(length(text)) FILTER (WHERE label = 'spam'), 6) + 0.0 AS avg_spam_length,
+       CASE WHEN avg(length(text)) FILTER (WHERE label = 'ham') > avg(length(text)) FILTER (WHERE label = 'spam')
+            THEN 'ham' ELSE 'spam' END AS longer FROM msg""")
+def q_longer(spark, sf):
+    x = PR.longer_class(tables.messages(spark, sf))
+    return x.select(r6("avg_ham_length").alias("avg_ham_length"),
+                    r6("avg_spam_length").alias("avg_spam_length"), "longer")
+
+
+@register("A18_T10_raw_label_distribution", """
+SELECT raw_label, CAST(n AS BIGINT) AS n, round(n / sum(n) OVER () * 100, 6) + 0.0 AS pct,
+       CAST(row_number() OVER (ORDER BY n DESC, raw_label) AS BIGINT) AS rank
+FROM (SELECT lower(trim(CAST(toxic AS VARCHAR))) AS raw_label, count(*) AS n FROM labels GROUP BY 1)""")
+def q_raw_labels(spark, sf):
+    lab = tables.table(spark, sf, "labels").select(F.col("toxic").alias("raw_label"))
+    d = PR.raw_label_distribution(lab)
+    from nbsieve.operators.vocab import sorted_positions  # noqa: F401
+    from pyspark.sql import Window
+    # The distribution has one row per distinct raw label (bounded).
+    w = Window.orderBy(F.desc("n"), F.asc("raw_label"))
+    return d.select("raw_label", "n", r6("pct").alias("pct"),
+                    F.row_number().over(w).cast("bigint").alias("rank"))
+
+
+@register("A19_mapped_label_distribution", """
+WITH m AS (SELECT CASE WHEN r IN ('spam','promotion','promotional','phishing') THEN 'spam'
+    WHEN r IN ('ham','update','updates','primary','personal','social','notification') THEN 'ham'
+    WHEN r = '1' THEN 'spam' WHEN r = '0' THEN 'ham' ELSE 'skipped' END AS mapped
+  FROM (SELECT lower(trim(CAST(toxic AS VARCHAR))) AS r FROM labels)),
+c AS (SELECT * FROM (VALUES ('spam'), ('ham'), ('skipped')) t(mapped)),
+g AS (SELECT c.mapped, CAST(count(m.mapped) AS BIGINT) AS n FROM c LEFT JOIN m ON c.mapped = m.mapped GROUP BY c.mapped)
+SELECT mapped, n, round(n / sum(n) OVER () * 100, 6) + 0.0 AS pct FROM g""")
+def q_mapped_labels(spark, sf):
+    lab = tables.table(spark, sf, "labels").select(F.col("toxic").alias("raw_label"))
+    d = PR.mapped_label_distribution(lab)
+    return d.select("mapped", "n", r6("pct").alias("pct"))
+
+
+@register("A20_U1_composition", "WITH " + O.MSG + """
+, g AS (SELECT source, count(*) AS total, count(*) FILTER (WHERE label = 'spam') AS spam,
+              count(*) FILTER (WHERE label = 'ham') AS ham FROM msg GROUP BY ROLLUP (source))
+SELECT source, total, spam, ham, round(CASE WHEN total > 0 THEN spam / total * 100 ELSE 0 END, 6) + 0.0 AS spam_pct,
+       (SELECT count(*) FROM g WHERE source IS NOT NULL) AS n_sources FROM g""")
+def q_composition(spark, sf):
+    c = PR.composition(tables.messages(spark, sf))
+    return c.select("source", "total", "spam", "ham", r6("spam_pct").alias("spam_pct"), "n_sources")
+
+
+@register("A22_token_mass", O.with_model() + """
+SELECT ntok_spam AS tokens_spam, ntok_ham AS tokens_ham, V AS vocabulary_size FROM cls, vsz""")
+def q_token_mass(spark, sf):
+    p = _prepared(spark, sf)
+    return p.model.stats.select(F.col("ntok_spam").alias("tokens_spam"),
+                                F.col("ntok_ham").alias("tokens_ham"),
+                                F.col("V").alias("vocabulary_size"))
+
+
+@register("A23_category_counts", "WITH " + O.MSG + ",\n" + O.split_cte() + """
+SELECT split, lang, CAST(count(*) AS BIGINT) AS n, min(doc_id) AS first_seen_id,
+       CAST(row_number() OVER (PARTITION BY split ORDER BY count(*) DESC, lang) AS INTEGER) AS rank
+FROM spl GROUP BY split, lang""")
+def q_categories(spark, sf):
+    s = with_split(tables.messages(spark, sf))
+    return PR.category_counts(s, "split", "lang", "doc_id")
+
+
+@register("W8_sample_rows", """
+SELECT source, CAST(rk AS INTEGER) AS sample_rank, doc_id, substr(text, 1, 120) AS preview FROM (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rk FROM documents) WHERE rk <= 3""")
+def q_samples(spark, sf):
+    from nbsieve.operators.vocab import top_k_per_group
+    d = tables.table(spark, sf, "documents").select("source", "doc_id", "text")
+    t = top_k_per_group(d.select("source", "doc_id"), "source", [F.asc("doc_id")], 3, "sample_rank")
+    return t.join(d.select("doc_id", F.substring("text", 1, 120).alias("preview")), "doc_id") \
+            .select("source", F.col("sample_rank").cast("int").alias("sample_rank"), "doc_id", "preview")
