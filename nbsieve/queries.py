@@ -924,3 +924,181 @@ def q_samples(spark, sf):
     t = top_k_per_group(d.select("source", "doc_id"), "source", [F.asc("doc_id")], 3, "sample_rank")
     return t.join(d.select("doc_id", F.substring("text", 1, 120).alias("preview")), "doc_id") \
             .select("source", F.col("sample_rank").cast("int").alias("sample_rank"), "doc_id", "preview")
+
+
+# ---------------------------------------------------------------------------
+# Leaderboard and reports
+# ---------------------------------------------------------------------------
+
+from nbsieve.sources import sinks as SK  # noqa: E402
+
+
+@register("W9_leaderboard", _TEST + """
+SELECT r.model, round(r.f1, 6) + 0.0 AS f1, round(r.accuracy, 6) + 0.0 AS accuracy,
+       CAST(rank() OVER (ORDER BY r.f1 DESC) AS INTEGER) AS rank FROM rep r""")
+def q_leaderboard(spark, sf):
+    from pyspark.sql import Window
+    ev = M.evaluate(_test_scores(spark, sf)).select("model", r6("f1").alias("f1"),
+                                                   r6("accuracy").alias("accuracy"))
+    # One row per model (bounded): a global rank over it is a tiny window.
+    return ev.withColumn("rank", F.rank().over(Window.orderBy(F.desc("f1"))))
+
+
+@register("W10_champion_deltas", _TEST + """
+SELECT 'multinomial' AS champion, 'bernoulli' AS baseline,
+  round(max(precision) FILTER (WHERE model = 'multinomial') - max(precision) FILTER (WHERE model = 'bernoulli'), 6) + 0.0 AS d_precision,
+  round(max(recall) FILTER (WHERE model = 'multinomial') - max(recall) FILTER (WHERE model = 'bernoulli'), 6) + 0.0 AS d_recall,
+  round(max(f1) FILTER (WHERE model = 'multinomial') - max(f1) FILTER (WHERE model = 'bernoulli'), 6) + 0.0 AS d_f1,
+  round((max(accuracy) FILTER (WHERE model = 'multinomial') - max(accuracy) FILTER (WHERE model = 'bernoulli')) * 100, 6) + 0.0 AS d_accuracy_pct
+FROM rep""")
+def q_deltas(spark, sf):
+    ev = M.evaluate(_test_scores(spark, sf))
+    def pick(c, m):
+        # The report's metrics are published rounded to 6 places.
+        return F.max(F.when(F.col("model") == m, r6(c)))
+    return ev.agg(
+        r6(pick("precision", "multinomial") - pick("precision", "bernoulli")).alias("d_precision"),
+        r6(pick("recall", "multinomial") - pick("recall", "bernoulli")).alias("d_recall"),
+        r6(pick("f1", "multinomial") - pick("f1", "bernoulli")).alias("d_f1"),
+        r6((pick("accuracy", "multinomial") - pick("accuracy", "bernoulli")) * 100).alias("d_accuracy_pct"),
+    ).select(F.lit("multinomial").alias("champion"), F.lit("bernoulli").alias("baseline"), "*")
+
+
+@register("L6_K5_metrics_long", _TEST + """
+SELECT model, metric, round(value, 6) + 0.0 AS value FROM (
+  UNPIVOT (SELECT model, accuracy, precision, recall, f1 FROM rep)
+  ON accuracy, precision, recall, f1 INTO NAME metric VALUE value)""")
+def q_metrics_long(spark, sf):
+    ev = M.evaluate(_test_scores(spark, sf))
+    lg = SK.metrics_long(ev.select("model", "accuracy", "precision", "recall", "f1"),
+                         ["accuracy", "precision", "recall", "f1"])
+    return lg.select("model", "metric", r6("value").alias("value"))
+
+
+@register("K1_summary", None)
+def q_summary(spark, sf):
+    """K1: test metrics (alpha 1) joined with the CV summary, also written
+    as a one-file CSV under the scratch folder."""
+    from nbsieve.session import scratch_dir
+    ev = M.evaluate(_test_scores(spark, sf))
+    cv = tuning.cv_summary(_cv(spark, sf))
+    s = SK.summary(ev, cv)
+    SK.write_summary_csv(s, scratch_dir(spark, "summary"))
+    return s.select(*[r6(c).alias(c) if c != "model" else F.col(c) for c in s.columns])
+
+
+# ---------------------------------------------------------------------------
+# Sources (S1-S3, S5, S6, P1-P4, W6, U1, K4) and model bundle
+# ---------------------------------------------------------------------------
+
+from nbsieve.sources import loaders as L  # noqa: E402
+from nbsieve.sources import model_io as MIO  # noqa: E402
+from nbsieve.session import scratch_dir  # noqa: E402
+
+
+@register("S1_P2_P3_sms_tsv", "WITH " + O.MSG + f"""
+SELECT 'sms' AS source, label,
+  regexp_replace(regexp_replace(text, '[\\r\\n]+', ' ', 'g'), '^[{C.PY_WHITESPACE}]+|[{C.PY_WHITESPACE}]+$', '', 'g') AS text
+FROM msg
+WHERE length(regexp_replace(regexp_replace(text, '[\\r\\n]+', ' ', 'g'), '^[{C.PY_WHITESPACE}]+|[{C.PY_WHITESPACE}]+$', '', 'g')) > 0""")
+def q_sms(spark, sf):
+    """Labelled messages written as a TSV corpus (one message per line) and
+    read back with the TSV loader."""
+    path = scratch_dir(spark, "sms")
+    m = tables.messages(spark, sf)
+    m.select(F.concat(F.col("label"), F.lit("\t"),
+                      F.regexp_replace("text", "[\\r\\n]+", " ")).alias("value")) \
+     .write.mode("overwrite").text(path)
+    return L.load_sms_tsv(spark, path)
+
+
+@register("S2_S6_P1_P4_csv_directory", "WITH " + O.MSG + f"""
+, t AS (SELECT CASE WHEN label = 'spam' THEN 'spam' ELSE 'ham' END AS label,
+  regexp_replace(text, '^[{C.PY_WHITESPACE}]+|[{C.PY_WHITESPACE}]+$', '', 'g') AS text FROM msg)
+SELECT label, substr(text, 1, 1500) AS text FROM t WHERE length(text) > 0""")
+def q_csv_dir(spark, sf):
+    """Labelled messages written as CSV files (one per source, header
+    ``Message,Category`` with raw 0/1 labels, multi-line quoted text) and
+    loaded with the directory loader (S6 finds the columns, P1 maps 1/0)."""
+    path = scratch_dir(spark, "csv")
+    lab = tables.table(spark, sf, "labels").select("doc_id", "toxic")
+    docs = tables.table(spark, sf, "documents").select("doc_id", "source", "text")
+    d = docs.join(lab, "doc_id").select(F.col("text").alias("Message"),
+                                        F.col("toxic").cast("string").alias("Category"), "source")
+    d.repartition("source").drop("source").write.mode("overwrite").option("header", True) \
+     .option("escape", '"').csv(path)
+    x = L.load_csv_directory(spark, path)
+    return x.select("label", "text")
+
+
+@register("S5a_marketing_table", f"""
+SELECT 'marketing' AS source, 'spam' AS label,
+  regexp_replace(text, '^[{C.PY_WHITESPACE}]+|[{C.PY_WHITESPACE}]+$', '', 'g') AS text
+FROM benchmark WHERE length(regexp_replace(text, '^[{C.PY_WHITESPACE}]+|[{C.PY_WHITESPACE}]+$', '', 'g')) > 0""")
+def q_marketing(spark, sf):
+    b = tables.table(spark, sf, "benchmark").select(F.col("text").alias("0"))
+    return L.normalise_marketing(b)
+
+
+@register("S5c_binary_table", f"""
+SELECT 'binary' AS source, CASE WHEN l.toxic = 1 THEN 'spam' ELSE 'ham' END AS label,
+  regexp_replace(d.text, '^[{C.PY_WHITESPACE}]+|[{C.PY_WHITESPACE}]+$', '', 'g') AS text
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+WHERE length(regexp_replace(d.text, '^[{C.PY_WHITESPACE}]+|[{C.PY_WHITESPACE}]+$', '', 'g')) > 0""")
+def q_binary(spark, sf):
+    lab = tables.table(spark, sf, "labels").select("doc_id", F.col("toxic").alias("label"))
+    d = tables.table(spark, sf, "documents").select("doc_id", "text").join(lab, "doc_id")
+    return L.normalise_binary(d.select("text", "label"))
+
+
+@register("K2_S9_model_roundtrip", O.with_model() + """
+SELECT token, n_spam, n_ham, df_spam, df_ham FROM voc""")
+def q_model_roundtrip(spark, sf):
+    """Train, save the bundle as Parquet tables, load it back: the loaded
+    vocabulary counts."""
+    p = _prepared(spark, sf)
+    path = scratch_dir(spark, "model")
+    MIO.save_model(p.model, path)
+    m, _ = MIO.load_model(spark, path)
+    return m.counts
+
+
+@register("K3_pruned_bundle_meta", None)
+def q_pruned_bundle(spark, sf):
+    """T7 + K3: prune to the fixed cap, save, report the stored meta row."""
+    p = _prepared(spark, sf)
+    kept = X.prune_vocabulary(p.model)
+    pruned = nb.NBModel(counts=X.pruned_counts(p.model, kept), all_counts=p.model.all_counts,
+                        stats=p.model.stats, vocab_size=p.model.vocab_size)
+    path = scratch_dir(spark, "pruned")
+    MIO.save_model(pruned, path, pruned_size=C.MAX_VOCAB_PRUNED, true_vocab_size=kept.count())
+    return MIO.load_model(spark, path)[1]
+
+
+# ---------------------------------------------------------------------------
+# Streaming inbox
+# ---------------------------------------------------------------------------
+
+from nbsieve.streaming import inbox as IB  # noqa: E402
+
+
+@register("X1_X4_stream_scoring", None)
+def q_stream(spark, sf):
+    """Unlabelled documents arrive as inbox rows (subject = first line,
+    snippet = the rest; every row is delivered twice across files to
+    exercise the seen-once de-duplication); the stream scores each message
+    once. Returns the scored rows."""
+    p = _prepared(spark, sf)
+    base = scratch_dir(spark, "inbox")
+    u = tables.unlabelled(spark, sf)
+    rows = u.select(
+        F.col("doc_id").alias("msg_id"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("doc_id")).alias("ts"),
+        F.lit(None).cast("string").alias("session_id"),
+        F.substring_index("text", "\n", 1).alias("subject"),
+        F.expr("substring(text, length(substring_index(text, '\\n', 1)) + 2)").alias("snippet"))
+    rows.write.mode("overwrite").parquet(f"{base}/src/part=1")
+    rows.write.mode("overwrite").parquet(f"{base}/src/part=2")
+    q = IB.start_scoring(spark, p.model, f"{base}/src", f"{base}/out", f"{base}/ckpt")
+    q.awaitTermination()
+    return IB.read_scored(spark, f"{base}/out").drop("batch_id")
