@@ -189,11 +189,22 @@ def gaussian_features(tok: Column, raw_text: Column | None = None) -> list[Colum
         text = raw_text
         sentences = F.greatest(F.lit(1), F.size(F.split(text, r"[.!?]+", -1)) - 1)
     text_len = F.greatest(F.lit(1), F.length(text))
-    punct = _count_chars(text, "[" + "".join("\\" + c for c in C.PUNCTUATION_CHARS) + "]")
-    letters = _count_chars(text, r"\p{L}")
-    upper = _count_chars(text, r"\p{Lu}")
-    digits = _count_chars(text, r"\p{Nd}")
-    special = _count_chars(text, r"[^\p{L}\p{N}" + C.PY_WHITESPACE + "]")
+    if raw_text is None:
+        # Token text is ASCII (a-z, '_', space): count characters with
+        # translate (no regex pass); exact for that alphabet.
+        letters_up = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+        alnum_sp = "abcdefghijklmnopqrstuvwxyz" + letters_up + "0123456789 "
+        punct = F.length(text) - F.length(F.translate(text, C.PUNCTUATION_CHARS, ""))
+        letters = F.length(text) - F.length(F.translate(text, alnum_sp[:52], ""))
+        upper = F.length(text) - F.length(F.translate(text, letters_up, ""))
+        digits = F.length(text) - F.length(F.translate(text, "0123456789", ""))
+        special = F.length(F.translate(text, alnum_sp, ""))
+    else:
+        punct = _count_chars(text, "[" + "".join("\\" + c for c in C.PUNCTUATION_CHARS) + "]")
+        letters = _count_chars(text, r"\p{L}")
+        upper = _count_chars(text, r"\p{Lu}")
+        digits = _count_chars(text, r"\p{Nd}")
+        special = _count_chars(text, r"[^\p{L}\p{N}" + C.PY_WHITESPACE + "]")
     feats = [
         length.cast("double"),
         unique.cast("double"),

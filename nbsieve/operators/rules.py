@@ -8,6 +8,8 @@ at '\\n' and ``\\b``/``\\w`` are Unicode-aware, as in Python.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +31,15 @@ def rules_from_table(rules: DataFrame) -> list[tuple[str, float]]:
 def sender_boost(text: Column, rules=C.SENDER_RULES) -> Column:
     """The maximum boost of the matching rules, 0 when none."""
     low = F.lower(text)
-    parts = [F.when(low.rlike("(?dU)" + p), F.lit(float(b))) for p, b in rules]
+    parts = []
+    for p, b in rules:
+        m = re.match(r"\\b([a-z0-9]+)", p)
+        hit = low.rlike("(?dU)" + p)
+        if m:
+            # A match starts with this literal, so containing it is
+            # necessary: a cheap substring test skips most rows.
+            hit = low.contains(m.group(1)) & hit
+        parts.append(F.when(hit, F.lit(float(b))))
     return F.greatest(F.lit(0.0), *parts) if len(parts) > 1 else \
         F.coalesce(parts[0], F.lit(0.0)) if parts else F.lit(0.0)
 
@@ -125,3 +135,12 @@ def badges(prediction: Column, confidence: Column) -> list[Column]:
         .otherwise(F.lit(POPUP_UNCERTAIN)).alias("popup_verdict"),
         F.format_string("%.1f%%", conf).alias("popup_confidence"),
     ]
+
+
+REQUEST_SCHEMA = "message string, decision_threshold double, use_sender_boost boolean"
+
+
+def parse_requests(body: Column) -> Column:
+    """A JSON request body -> struct with the S7 schema (missing fields
+    NULL; ``score_requests`` applies the defaults)."""
+    return F.from_json(body, REQUEST_SCHEMA)

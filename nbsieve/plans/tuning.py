@@ -146,8 +146,11 @@ def cross_validate(msgs: DataFrame, k: int = C.K_FOLDS, alphas=None,
     """L3: per (model, fold): n, tp, tn, fp, fn, accuracy. ``alphas`` maps
     model -> alpha (default 1.0 each). Predictions at threshold 0.5."""
     alphas = {m: 1.0 for m in models} | dict(alphas or {})
-    tok = cut_lineage(nb.tokenize(
-        with_folds(msgs, k=k, seed=seed).select("doc_id", "label", "fold", "text")))
+    if "tokens" in msgs.columns:  # already tokenised (e.g. the prepared set)
+        tok = cut_lineage(with_folds(msgs.select("doc_id", "label", "tokens"), k=k, seed=seed))
+    else:
+        tok = cut_lineage(nb.tokenize(
+            with_folds(msgs, k=k, seed=seed).select("doc_id", "label", "fold", "text")))
     vocab, stats = fold_models(tok, k, min_df, max_df)
     gstats = fold_gaussian(tok, k, alphas.get("gaussian", 1.0))
     a_m, a_b = float(alphas.get("multinomial", 1.0)), float(alphas.get("bernoulli", 1.0))

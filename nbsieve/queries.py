@@ -367,8 +367,10 @@ from nbsieve.operators import stats as S  # noqa: E402
 
 
 def _cv(spark, sf):
-    s = with_split(tables.messages(spark, sf)).where(F.col("split").isin("train", "val"))
-    return tuning.cross_validate(s.select("doc_id", "label", "text"))
+    # Train + val recombined; tokens come from the prepared set.
+    p = _prepared(spark, sf)
+    s = p.tok.where(F.col("split").isin("train", "val"))
+    return tuning.cross_validate(s.select("doc_id", "label", "tokens"))
 
 
 @register("L3_cross_validation", O.cv_sql() + """
@@ -1102,3 +1104,44 @@ def q_stream(spark, sf):
     q = IB.start_scoring(spark, p.model, f"{base}/src", f"{base}/out", f"{base}/ckpt")
     q.awaitTermination()
     return IB.read_scored(spark, f"{base}/out").drop("batch_id")
+
+
+@register("S3_K4_exclusive_csv", "WITH " + O.MSG + f"""
+, t AS (SELECT label, regexp_replace(text, '^[{C.PY_WHITESPACE}]+|[{C.PY_WHITESPACE}]+$', '', 'g') AS text FROM msg)
+SELECT label, substr(text, 1, 1500) AS text FROM t WHERE length(text) > 0""")
+def q_exclusive(spark, sf):
+    """K4 writes the normalised (label, text) corpus as one CSV file; S3
+    reads exactly that file (textual labels, no 1/0 fallback, no limit)."""
+    import os
+    from nbsieve.sources import sinks as SK2
+    path = scratch_dir(spark, "normalised")
+    SK2.write_messages_csv(tables.messages(spark, sf).coalesce(1), path)
+    f = [x for x in L.list_csv_files(spark, path)][0]
+    return L.load_exclusive_csv(spark, f.replace("file:", "") if f.startswith("file:") else f) \
+        .select("label", "text")
+
+
+@register("S10_load_or_train", O.with_model() + """
+SELECT token, n_spam, n_ham, df_spam, df_ham FROM voc""")
+def q_load_or_train(spark, sf):
+    """No bundle at the path: trains (alpha 1) from the training split and
+    saves; a second call loads the saved bundle."""
+    from nbsieve.sources import model_io as MIO2
+    p = _prepared(spark, sf)
+    path = scratch_dir(spark, "bundle")
+    MIO2.load_or_train(spark, path, p.part("train"))
+    return MIO2.load_or_train(spark, path, p.part("train")).counts
+
+
+@register("M10_request_json", """
+SELECT doc_id AS request_id, text AS message, CAST(0.65 AS DOUBLE) AS decision_threshold, false AS use_sender_boost
+FROM documents""")
+def q_request_json(spark, sf):
+    """Request bodies built as JSON from the documents (no threshold or flag
+    given), parsed with from_json and defaulted as the service does."""
+    d = tables.table(spark, sf, "documents").select(
+        "doc_id", F.to_json(F.struct(F.col("text").alias("message"))).alias("body"))
+    r = d.select("doc_id", R.parse_requests(F.col("body")).alias("r"))
+    return r.select(F.col("doc_id").alias("request_id"), F.col("r.message").alias("message"),
+                    F.coalesce("r.decision_threshold", F.lit(C.REQUEST_THRESHOLD)).alias("decision_threshold"),
+                    F.coalesce("r.use_sender_boost", F.lit(False)).alias("use_sender_boost"))
