@@ -237,18 +237,34 @@ def scored_frame(model: NBModel, tok: DataFrame, alphas, keep=("doc_id", "label"
             aggs.append(F.coalesce(F.sum(F.col("d") * F.col(f"wb_{c}_{i}")), F.lit(0.0))
                         .alias(f"b_{c}_{i}"))
     if with_features:
-        tlen = F.coalesce(F.length("token"), F.lit(0))
-        under = tlen - F.coalesce(F.length(F.regexp_replace("token", "_", "")), F.lit(0))
-        aggs += [
-            F.sum(F.col("d")).alias("__unique"),
-            F.sum(o * tlen).alias("__chars"),
-            F.sum(F.when(F.col("token") == C.URL_TOKEN, o).otherwise(0)).alias("__url"),
-            F.sum(F.when(F.col("token") == C.EMAIL_TOKEN, o).otherwise(0)).alias("__email"),
-            F.sum(o * under).alias("__under"),
-        ]
+        aggs += feature_aggregates()
     g = j.groupBy(*keep, "n_tokens").agg(*aggs)
     if not with_features:
         return g
+    rest = [c for c in g.columns if not c.startswith("__")]
+    return g.select(*rest, *features_from_aggregates())
+
+
+def feature_aggregates() -> list[Column]:
+    """Per-document sums over the flagged token rows from which the
+    token-mode Gaussian features follow exactly (see
+    ``features_from_aggregates``)."""
+    o = F.col("o")
+    tlen = F.coalesce(F.length("token"), F.lit(0))
+    under = tlen - F.coalesce(F.length(F.translate("token", "_", "")), F.lit(0))
+    return [
+        F.sum(F.col("d")).alias("__unique"),
+        F.sum(o * tlen).alias("__chars"),
+        F.sum(F.when(F.col("token") == C.URL_TOKEN, o).otherwise(0)).alias("__url"),
+        F.sum(F.when(F.col("token") == C.EMAIL_TOKEN, o).otherwise(0)).alias("__email"),
+        F.sum(o * under).alias("__under"),
+    ]
+
+
+def features_from_aggregates() -> list[Column]:
+    """The ten features from ``n_tokens`` and ``feature_aggregates``: the
+    joined text has only a-z, '_' and spaces, so punctuation, upper-case
+    and digit ratios are 0 and the special characters are the '_'."""
     n = F.col("n_tokens")
     text_len = F.greatest(F.lit(1), F.col("__chars") + n - 1)
     feats = [
@@ -261,8 +277,7 @@ def scored_frame(model: NBModel, tok: DataFrame, alphas, keep=("doc_id", "label"
         (F.col("__under") / text_len).cast("double"),
         F.greatest(F.lit(1), F.floor(n / 10)).cast("double"),
     ]
-    rest = [c for c in g.columns if not c.startswith("__")]
-    return g.select(*rest, *[f.alias(nm) for f, nm in zip(feats, C.GAUSSIAN_FEATURES)])
+    return [f.alias(nm) for f, nm in zip(feats, C.GAUSSIAN_FEATURES)]
 
 
 def _posterior(lp_spam: Column, lp_ham: Column, n_tokens: Column, prefix: str) -> list[Column]:

@@ -123,13 +123,13 @@ def fold_models(tok: DataFrame, k: int, min_df: int = C.MIN_DF, max_df: float =
     return vocab, stats
 
 
-def fold_gaussian(tok: DataFrame, k: int, alpha: float = C.ALPHA) -> DataFrame:
-    """A9 per fold over the training folds: each document row is copied to
-    the k-1 folds it trains (bounded by k, per document, not per token)."""
-    feats = T.gaussian_features(F.col("tokens"))
-    x = tok.select("fold", "label", *feats)
-    folds = tok.sparkSession.range(1, k + 1).select(F.col("id").alias("f"))
-    x = x.crossJoin(F.broadcast(folds)).where(F.col("f") != F.col("fold"))
+def fold_gaussian(docs: DataFrame, k: int, alpha: float = C.ALPHA) -> DataFrame:
+    """A9 per fold over the training folds, from one row per document with
+    its features: each row is copied to the k-1 folds it trains (bounded by
+    k per document, not per token)."""
+    folds = docs.sparkSession.range(1, k + 1).select(F.col("id").alias("f"))
+    x = docs.select("fold", "label", *C.GAUSSIAN_FEATURES) \
+            .crossJoin(F.broadcast(folds)).where(F.col("f") != F.col("fold"))
     aggs = []
     for c in nb.CLASSES:
         for f in C.GAUSSIAN_FEATURES:
@@ -152,7 +152,6 @@ def cross_validate(msgs: DataFrame, k: int = C.K_FOLDS, alphas=None,
         tok = cut_lineage(nb.tokenize(
             with_folds(msgs, k=k, seed=seed).select("doc_id", "label", "fold", "text")))
     vocab, stats = fold_models(tok, k, min_df, max_df)
-    gstats = fold_gaussian(tok, k, alphas.get("gaussian", 1.0))
     a_m, a_b = float(alphas.get("multinomial", 1.0)), float(alphas.get("bernoulli", 1.0))
     w = vocab.join(F.broadcast(stats.select("fold", "n_docs_spam", "n_docs_ham")), "fold")
     wcols = []
@@ -168,12 +167,16 @@ def cross_validate(msgs: DataFrame, k: int = C.K_FOLDS, alphas=None,
     wj = F.broadcast(wj) if small else wj.hint("merge")
     x = nb._flagged_tokens(tok, ["doc_id", "label", "fold"], sentinel=False)
     j = x.join(wj, ["fold", "token"], "left")
+    # One pass per document: model sums and the Gaussian features (exact
+    # aggregates); a small table (one row per document), checkpointed
+    # because it feeds both the per-fold moments and the scoring.
     sums = j.groupBy("doc_id", "label", "fold", "n_tokens").agg(*[
         F.coalesce(F.sum(F.col(fl) * F.col(f"{p}_{c}")), F.lit(0.0)).alias(f"{p}_{c}")
-        for p, fl in (("wm", "o"), ("wb", "d")) for c in nb.CLASSES])
-    feats = tok.select("doc_id", *T.gaussian_features(F.col("tokens")))
-    fr = sums.join(feats, "doc_id") \
-        .join(F.broadcast(stats), "fold").join(F.broadcast(base), "fold", "left") \
+        for p, fl in (("wm", "o"), ("wb", "d")) for c in nb.CLASSES], *nb.feature_aggregates())
+    sums = cut_lineage(sums.select(*[c for c in sums.columns if not c.startswith("__")],
+                                   *nb.features_from_aggregates()))
+    gstats = fold_gaussian(sums, k, alphas.get("gaussian", 1.0))
+    fr = sums.join(F.broadcast(stats), "fold").join(F.broadcast(base), "fold", "left") \
         .join(F.broadcast(gstats), "fold")
     prior = {c: F.log(F.col(f"n_docs_{c}") / F.col("n_docs")) for c in nb.CLASSES}
     lp = {}

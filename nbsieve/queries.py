@@ -550,7 +550,8 @@ FROM fin""")
 def q_ensemble(spark, sf):
     p = _prepared(spark, sf)
     test = nb.score(p.model, p.part("test"))
-    weights = M.evaluate(test).select("model", r6("f1").alias("weight"))
+    # Weights need only F1 (confusion counts), not the curve metrics.
+    weights = M.confusion(test).select("model", r6(M.report_columns()[3]).alias("weight"))
     docs = nb.tokenize(tables.all_documents(spark, sf).select("doc_id", "label", "text"))
     s = nb.score(p.model, docs, decision_threshold=0.65)
     boosts = tables.table(spark, sf, "documents").select(
