@@ -6,8 +6,8 @@ class is spam; any non-positive value is negative.
 
 Curves and AUCs are computed on per-(model, score) aggregates (distinct
 scores, rounded to 12 places so ties do not depend on summation order),
-with running totals from ``running_totals`` (bins from quantiles, prefix
-offsets, window per bin) -- never one task for a whole model.
+with running totals from ``running_totals`` (bounded bins floor(p * 2^20),
+prefix offsets, window per bin) -- never one task for a whole model.
 """
 
 from __future__ import annotations
@@ -72,7 +72,7 @@ def score_groups(scores: DataFrame, by=("model",), truth: str = "label",
     by = list(by)
     t = (F.col(truth) == POS).cast("long")
     g = scores.groupBy(*by, F.round(F.col(score), 12).alias("s")).agg(
-        F.sum(t).alias("pos"), F.sum(1 - t).alias("neg"))
+        F.sum(t).alias("pos"), F.sum(1 - t).alias("neg")).persist()  # read 3x below
     rt = running_totals(g, by, "s", ["pos", "neg"])
     tot = g.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return rt.join(F.broadcast(tot), by) if by else rt.crossJoin(F.broadcast(tot))

@@ -315,10 +315,19 @@ def log_posteriors(frame: DataFrame, model: NBModel, alphas, models=MODELS,
     return out
 
 
+def model_constants(model: NBModel, alphas) -> DataFrame:
+    """One row: the stats and the per-alpha Bernoulli baselines; computed
+    once per model and alpha set and checkpointed (a one-row table)."""
+    key = tuple(float(a) for a in alphas)
+    cache = model.__dict__.setdefault("_constants", {})
+    if key not in cache:
+        cache[key] = cut_lineage(model.stats.crossJoin(bernoulli_baselines_wide(model, alphas)))
+    return cache[key]
+
+
 def with_model_constants(frame: DataFrame, model: NBModel, alphas) -> DataFrame:
     """Attach the one-row stats and per-alpha Bernoulli baselines."""
-    base = bernoulli_baselines_wide(model, alphas)
-    return frame.crossJoin(F.broadcast(model.stats)).crossJoin(F.broadcast(base))
+    return frame.crossJoin(F.broadcast(model_constants(model, alphas)))
 
 
 def bernoulli_baselines_wide(model: NBModel, alphas) -> DataFrame:

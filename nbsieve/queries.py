@@ -264,8 +264,10 @@ _METRIC_COLS = ["accuracy", "precision", "recall", "f1", "macro_precision", "mac
 
 
 def _test_scores(spark, sf):
+    # Metrics read the scores several times (confusion, per-score groups,
+    # running totals): keep them (one row per document and model).
     p = _prepared(spark, sf)
-    return nb.score(p.model, p.part("test"))
+    return nb.score(p.model, p.part("test")).persist()
 
 
 @register("A10_A14_L4_test_metrics", _TEST + """
