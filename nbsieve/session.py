@@ -47,7 +47,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    path = tempfile.mkdtemp(prefix="nbsieve-ckpt-")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder: lineage cuts and "
+                           "scratch outputs must survive the loss of an executor")
+    path = tempfile.mkdtemp(prefix="nbsieve-ckpt-")  # local mode only (tests, bench)
     sc.setCheckpointDir(path)
     return path
 
