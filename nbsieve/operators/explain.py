@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from nbsieve import config as C
 from nbsieve.functions import text as T
 from nbsieve.operators import nb
-from nbsieve.operators.vocab import log_ratio, top_k_per_group
+from nbsieve.operators.vocab import log_ratio, top_k_global, top_k_per_group
 
 
 def doc_evidence(model: nb.NBModel, tok: DataFrame, alpha: float = C.ALPHA,
@@ -61,10 +61,10 @@ def corpus_top_words(model: nb.NBModel, k: int = 10, alpha: float = C.ALPHA) ->
 def prune_vocabulary(model: nb.NBModel, k: int = C.MAX_VOCAB_PRUNED,
                      alpha: float = C.ALPHA) -> DataFrame:
     """The k tokens with the largest |log-ratio|, ties in vocabulary
-    (alphabetical) order. Global top-k via TakeOrdered."""
+    (alphabetical) order (distributed global top-k)."""
     lr = log_ratio(model, alpha)
-    return lr.orderBy(F.desc(F.abs("score")), F.asc("token")).limit(k) \
-             .select("token", F.abs("score").alias("abs_score"))
+    top = top_k_global(lr, [F.desc(F.abs("score")), F.asc("token")], k)
+    return top.select("token", F.abs("score").alias("abs_score"))
 
 
 def pruned_counts(model: nb.NBModel, kept: DataFrame) -> DataFrame:

@@ -64,3 +64,15 @@ def log_ratio(model: nb.NBModel, alpha: float = C.ALPHA) -> DataFrame:
           for c in ("spam", "ham")}
     return x.select("token", lp["spam"].alias("log_p_spam"), lp["ham"].alias("log_p_ham"),
                     (lp["spam"] - lp["ham"]).alias("score"))
+
+
+def top_k_global(df: DataFrame, order, k: int, small_k: int = 1000) -> DataFrame:
+    """Global top-k. Small k: ``orderBy().limit()`` (each partition keeps k
+    rows, one task merges them). Large k: a range-partitioned sort, then
+    the first k rows by scan order via per-partition prefix offsets, so no
+    task ever holds k rows from every partition."""
+    if k <= small_k:
+        return df.orderBy(*order).limit(k)
+    from nbsieve.sources.loaders import first_n_in_order
+    s = df.orderBy(*order).withColumn("__row", F.monotonically_increasing_id())
+    return first_n_in_order(s, "__row", k).drop("__row")
