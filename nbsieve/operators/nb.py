@@ -306,22 +306,42 @@ def log_posteriors(frame: DataFrame, model: NBModel, alphas, models=MODELS,
             elif mdl == "bernoulli":
                 ll = F.col(f"base_{c}_{i}") + F.col(f"b_{c}_{i}")
             else:
-                ll = F.lit(0.0)
-                for f in C.GAUSSIAN_FEATURES:
-                    var = F.col(f"g_var_{c}_{f}")
-                    ll = ll + (-0.5 * F.log(2 * math.pi * var)
-                               - F.pow(F.col(f) - F.col(f"g_mu_{c}_{f}"), 2) / (2 * var))
+                ll = gaussian_log_likelihood(c)
             out.append((prior[c] + ll).alias(f"{mdl}_lp_{c}"))
     return out
 
 
+def gaussian_constant_columns(keep) -> list[Column]:
+    """M1 constants per class: ``g_const_<c> = sum_f -0.5 ln(2 pi v)`` and
+    ``g_k_<c>_<f> = 1 / (2 v)``, so a row only needs ``C - sum k (x-mu)^2``."""
+    out = [F.col(k) for k in keep]
+    for c in CLASSES:
+        const = F.lit(0.0)
+        for f in C.GAUSSIAN_FEATURES:
+            const = const - 0.5 * F.log(2 * math.pi * F.col(f"g_var_{c}_{f}"))
+            out.append((1 / (2 * F.col(f"g_var_{c}_{f}"))).alias(f"g_k_{c}_{f}"))
+        out.append(const.alias(f"g_const_{c}"))
+    return out
+
+
+def gaussian_log_likelihood(c: str) -> Column:
+    """M1 from the per-class constants (see gaussian_constant_columns)."""
+    ll = F.col(f"g_const_{c}")
+    for f in C.GAUSSIAN_FEATURES:
+        d = F.col(f) - F.col(f"g_mu_{c}_{f}")
+        ll = ll - F.col(f"g_k_{c}_{f}") * d * d
+    return ll
+
+
 def model_constants(model: NBModel, alphas) -> DataFrame:
-    """One row: the stats and the per-alpha Bernoulli baselines; computed
-    once per model and alpha set and checkpointed (a one-row table)."""
+    """One row: the stats, the Gaussian constants and the per-alpha
+    Bernoulli baselines; computed once per model and alpha set and
+    checkpointed (a one-row table)."""
     key = tuple(float(a) for a in alphas)
     cache = model.__dict__.setdefault("_constants", {})
     if key not in cache:
-        cache[key] = cut_lineage(model.stats.crossJoin(bernoulli_baselines_wide(model, alphas)))
+        st = model.stats.select(*gaussian_constant_columns(model.stats.columns))
+        cache[key] = cut_lineage(st.crossJoin(bernoulli_baselines_wide(model, alphas)))
     return cache[key]
 
 

@@ -176,6 +176,7 @@ def cross_validate(msgs: DataFrame, k: int = C.K_FOLDS, alphas=None,
     sums = cut_lineage(sums.select(*[c for c in sums.columns if not c.startswith("__")],
                                    *nb.features_from_aggregates()))
     gstats = fold_gaussian(sums, k, alphas.get("gaussian", 1.0))
+    gstats = gstats.select(*nb.gaussian_constant_columns(gstats.columns))
     fr = sums.join(F.broadcast(stats), "fold").join(F.broadcast(base), "fold", "left") \
         .join(F.broadcast(gstats), "fold")
     prior = {c: F.log(F.col(f"n_docs_{c}") / F.col("n_docs")) for c in nb.CLASSES}
@@ -184,12 +185,7 @@ def cross_validate(msgs: DataFrame, k: int = C.K_FOLDS, alphas=None,
         lp[("multinomial", c)] = prior[c] + F.col(f"wm_{c}") + F.col("n_tokens") * (
             math.log(a_m) - F.log(F.col(f"ntok_{c}") + a_m * F.col("V")))
         lp[("bernoulli", c)] = prior[c] + F.coalesce(F.col(f"base_{c}"), F.lit(0.0)) + F.col(f"wb_{c}")
-        g = F.lit(0.0)
-        for f in C.GAUSSIAN_FEATURES:
-            var = F.col(f"g_var_{c}_{f}")
-            g = g + (-0.5 * F.log(2 * math.pi * var)
-                     - F.pow(F.col(f) - F.col(f"g_mu_{c}_{f}"), 2) / (2 * var))
-        lp[("gaussian", c)] = prior[c] + g
+        lp[("gaussian", c)] = prior[c] + nb.gaussian_log_likelihood(c)
     structs = [F.struct(F.lit(m).alias("model"),
                         *nb.posterior_struct(lp[(m, "spam")], lp[(m, "ham")], F.col("n_tokens")))
                for m in models]
