@@ -90,26 +90,43 @@ def fold_counts(tok: DataFrame) -> DataFrame:
 
 
 def fold_models(tok: DataFrame, k: int, min_df: int = C.MIN_DF, max_df: float = C.MAX_DF):
-    """Training counts per fold = totals - fold counts. Returns
-    ``(vocab_f(fold, token, n_*, df_*), stats_f(fold, n_docs_*, ntok_*, V))``."""
-    fc = cut_lineage(fold_counts(tok))
+    """Training counts per fold = totals - fold counts, from ONE
+    aggregation by token: conditional sums per (fold, class) give a bounded
+    set of 4k columns; a generator then emits, per token, the k training
+    rows (no token x fold join). The '' sentinel carries the document
+    counts. Returns ``(vocab_f(fold, token, n_*, df_*), stats_f(fold,
+    n_docs_*, ntok_*, n_docs, V))``."""
+    x = nb._flagged_tokens(tok, ["fold", "label"], sentinel=True)
     cnt = ["n_spam", "n_ham", "df_spam", "df_ham"]
-    tot = fc.groupBy("token").agg(*[F.sum(c).alias(f"t_{c}") for c in cnt])
-    folds = tok.sparkSession.range(1, k + 1).select(F.col("id").alias("fold"))
-    # Tokens whose total document frequency is below min_df can never enter
-    # a fold vocabulary; the sentinel row carries the document counts.
-    cand = tot.where((F.col("t_df_spam") + F.col("t_df_ham") >= min_df) | (F.col("token") == ""))
-    x = cand.crossJoin(F.broadcast(folds)).join(fc, ["fold", "token"], "left")
-    train = x.select("fold", "token", *[
-        (F.col(f"t_{c}") - F.coalesce(F.col(c), F.lit(0))).alias(c) for c in cnt])
+    aggs = []
+    for f in range(1, k + 1):
+        for c in nb.CLASSES:
+            sel = (F.col("fold") == f) & (F.col("label") == c)
+            aggs.append(F.sum(F.when(sel, F.col("o")).otherwise(0)).alias(f"n_{c}_{f}"))
+            aggs.append(F.sum(F.when(sel, F.col("d")).otherwise(0)).alias(f"df_{c}_{f}"))
+    wide = x.groupBy("token").agg(*aggs)
+    tot = {c: sum((F.col(f"{c.split('_')[0]}_{c.split('_')[1]}_{f}") for f in range(1, k + 1)),
+                  F.lit(0)) for c in cnt}
+    total_df = tot["df_spam"] + tot["df_ham"]
+    # A token below min_df overall can never enter a fold vocabulary.
+    wide = wide.where((total_df >= min_df) | (F.col("token") == ""))
+    per_fold = F.array(*[
+        F.struct(F.lit(f).cast("long").alias("fold"),
+                 *[(tot[c] - F.col(f"{c.split('_')[0]}_{c.split('_')[1]}_{f}")).cast("long").alias(c)
+                   for c in cnt])
+        for f in range(1, k + 1)])
+    train = cut_lineage(wide.select("token", F.explode(per_fold).alias("r"))
+                        .select(F.col("r.fold").alias("fold"), "token",
+                                *[F.col(f"r.{c}").alias(c) for c in cnt]))
     docs = train.where(F.col("token") == "").select(
         "fold", F.col("df_spam").alias("n_docs_spam"), F.col("df_ham").alias("n_docs_ham"))
-    ntok = fc.groupBy("fold").agg(F.sum("n_spam").alias("f_ntok_spam"),
-                                  F.sum("n_ham").alias("f_ntok_ham")) \
-        .crossJoin(fc.agg(F.sum("n_spam").alias("all_ntok_spam"),
-                          F.sum("n_ham").alias("all_ntok_ham"))) \
-        .select("fold", (F.col("all_ntok_spam") - F.col("f_ntok_spam")).alias("ntok_spam"),
-                (F.col("all_ntok_ham") - F.col("f_ntok_ham")).alias("ntok_ham"))
+    # Class token totals of the training folds (every token, pruned ones too).
+    ntok = tok.select("fold", "label", F.size("tokens").alias("n")).groupBy("fold").agg(
+        *[F.sum(F.when(F.col("label") == c, F.col("n")).otherwise(0)).alias(f"f_{c}")
+          for c in nb.CLASSES])
+    allt = ntok.agg(*[F.sum(f"f_{c}").alias(f"a_{c}") for c in nb.CLASSES])
+    ntok = ntok.crossJoin(allt).select(
+        "fold", *[(F.col(f"a_{c}") - F.col(f"f_{c}")).alias(f"ntok_{c}") for c in nb.CLASSES])
     docs = docs.join(ntok, "fold").withColumn("n_docs", F.col("n_docs_spam") + F.col("n_docs_ham"))
     d = F.col("df_spam") + F.col("df_ham")
     vocab = train.join(F.broadcast(docs.select("fold", "n_docs")), "fold") \
