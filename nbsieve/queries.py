@@ -416,7 +416,19 @@ def q_ttest(spark, sf):
                     r6("t_statistic").alias("t_statistic"), "df")
 
 
-@register("M6_t_p_value", None)
+@register("M6_t_p_value", O.cv_sql() + """, acc AS (SELECT model, fold, (tp + tn) / n AS a FROM cv),
+d AS (SELECT x.fold, x.a - y.a AS diff FROM acc x JOIN acc y ON x.fold = y.fold
+      WHERE x.model = 'multinomial' AND y.model = 'bernoulli'),
+st AS (SELECT avg(diff) AS dm, count(*) AS n,
+       CASE WHEN var_samp(diff) > 0 THEN sqrt(var_samp(diff)) ELSE 1e-10 END AS sd FROM d),
+tt AS (SELECT dm, n, dm / (sd / sqrt(n)) AS t FROM st),
+pv AS (SELECT *, 1 - sin(atan(abs(t) / 2)) * (1 + 0.5 * pow(cos(atan(abs(t) / 2)), 2)) AS p FROM tt)
+SELECT 'multinomial' AS model_a, 'bernoulli' AS model_b, round(t, 6) + 0.0 AS t_statistic,
+       CAST(n - 1 AS BIGINT) AS df, round(p, 6) + 0.0 AS p_value, p < 0.05 AS reject_null,
+       CASE WHEN p < 0.05 AND dm > 0 THEN 'multinomial is SIGNIFICANTLY BETTER than bernoulli'
+            WHEN p < 0.05 THEN 'bernoulli is SIGNIFICANTLY BETTER than multinomial'
+            ELSE 'No significant difference between the two models' END AS conclusion
+FROM pv""")
 def q_tp(spark, sf):
     """Two-sided p-value of the paired t statistic (closed-form Student-t
     CDF for integer degrees of freedom) with the verdict."""
@@ -1068,7 +1080,11 @@ def q_model_roundtrip(spark, sf):
     return m.counts
 
 
-@register("K3_pruned_bundle_meta", None)
+@register("K3_pruned_bundle_meta", O.with_model() + f"""
+SELECT CAST({C.MAX_VOCAB_PRUNED} AS BIGINT) AS vocabulary_size,
+       CAST(least(vsz.V, {C.MAX_VOCAB_PRUNED}) AS BIGINT) AS true_vocabulary_size,
+       cls.n_docs AS total_messages_trained, CAST(1.0 AS DOUBLE) AS alpha, {C.MIN_DF} AS min_df,
+       CAST({C.MAX_DF} AS DOUBLE) AS max_df FROM cls, vsz""")
 def q_pruned_bundle(spark, sf):
     """T7 + K3: prune to the fixed cap, save, report the stored meta row."""
     p = _prepared(spark, sf)
