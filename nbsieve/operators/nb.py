@@ -196,7 +196,7 @@ def bernoulli_p(df_col: Column, n_docs_c: Column, alpha) -> Column:
 # Scoring
 # ---------------------------------------------------------------------------
 
-def token_weights(model: NBModel, alphas) -> DataFrame:
+def token_weights(model: NBModel, alphas, parts=("m", "b")) -> DataFrame:
     """Per vocabulary token and per alpha (index i): multinomial weights
     ``wm_<c>_<i> = ln(n(t,c)+a) - ln a`` and Bernoulli weights
     ``wb_<c>_<i> = ln p - ln(1-p)``. Computed on the small side, once."""
@@ -206,13 +206,15 @@ def token_weights(model: NBModel, alphas) -> DataFrame:
         a = float(a)
         for c in CLASSES:
             p = bernoulli_p(F.col(f"df_{c}"), F.col(f"n_docs_{c}"), F.lit(a))
-            cols.append((F.log(F.col(f"n_{c}") + a) - math.log(a)).alias(f"wm_{c}_{i}"))
-            cols.append((F.log(p) - F.log(1 - p)).alias(f"wb_{c}_{i}"))
+            if "m" in parts:
+                cols.append((F.log(F.col(f"n_{c}") + a) - math.log(a)).alias(f"wm_{c}_{i}"))
+            if "b" in parts:
+                cols.append((F.log(p) - F.log(1 - p)).alias(f"wb_{c}_{i}"))
     return x.select("token", *cols)
 
 
 def scored_frame(model: NBModel, tok: DataFrame, alphas, keep=("doc_id", "label"),
-                 with_features: bool = True) -> DataFrame:
+                 with_features: bool = True, parts=("m", "b")) -> DataFrame:
     """One row per document with, per alpha i, ``m_<c>_<i>`` (sum of the
     multinomial weight over in-vocabulary occurrences) and ``b_<c>_<i>``
     (sum of the Bernoulli weight over distinct in-vocabulary tokens), the
@@ -226,16 +228,19 @@ def scored_frame(model: NBModel, tok: DataFrame, alphas, keep=("doc_id", "label"
     joined text has only a-z, '_' and spaces)."""
     keep = [c for c in keep if c in tok.columns]
     x = _flagged_tokens(tok, keep, sentinel=False)
-    w = token_weights(model, alphas)
+    w = token_weights(model, alphas, parts)
     w = F.broadcast(w) if model.broadcastable() else w.hint("merge")
     j = x.join(w, "token", "left")
     o = F.col("o")
     aggs = []
     for i in range(len(alphas)):
         for c in CLASSES:
-            aggs.append(F.coalesce(F.sum(o * F.col(f"wm_{c}_{i}")), F.lit(0.0)).alias(f"m_{c}_{i}"))
-            aggs.append(F.coalesce(F.sum(F.col("d") * F.col(f"wb_{c}_{i}")), F.lit(0.0))
-                        .alias(f"b_{c}_{i}"))
+            if "m" in parts:
+                aggs.append(F.coalesce(F.sum(o * F.col(f"wm_{c}_{i}")), F.lit(0.0))
+                            .alias(f"m_{c}_{i}"))
+            if "b" in parts:
+                aggs.append(F.coalesce(F.sum(F.col("d") * F.col(f"wb_{c}_{i}")), F.lit(0.0))
+                            .alias(f"b_{c}_{i}"))
     if with_features:
         aggs += feature_aggregates()
     g = j.groupBy(*keep, "n_tokens").agg(*aggs)
