@@ -992,7 +992,12 @@ def q_metrics_long(spark, sf):
     return lg.select("model", "metric", r6("value").alias("value"))
 
 
-@register("K1_summary", None)
+@register("K1_summary", "SELECT t.model, t.accuracy, t.precision, t.recall, t.f1, t.macro_f1, t.weighted_f1, "
+          "t.roc_auc, t.pr_auc, c.cv_mean_acc, c.cv_std_acc FROM (" + _TEST + """
+SELECT r.*, cu.roc_auc, cu.pr_auc FROM rep r LEFT JOIN cur cu ON r.model = cu.model) t LEFT JOIN (""" + O.cv_sql() + """
+, acc AS (SELECT model, fold, (tp + tn) / n AS a FROM cv)
+SELECT model, round(avg(a), 6) + 0.0 AS cv_mean_acc, round(stddev_samp(a), 6) + 0.0 AS cv_std_acc
+FROM acc GROUP BY model) c ON t.model = c.model""")
 def q_summary(spark, sf):
     """K1: test metrics (alpha 1) joined with the CV summary, also written
     as a one-file CSV under the scratch folder."""
