@@ -113,7 +113,7 @@ def add_tokens(df: DataFrame, text_col: str = "text", out: str = "tokens",
 
 
 def with_lemma_map(df: DataFrame, lemmas: DataFrame | None,
-                   max_entries: int = 2_000_000) -> tuple[DataFrame, Column | None]:
+                   max_entries: int = 500_000) -> tuple[DataFrame, Column | None]:
     """Attach a lemma dictionary ``lemmas(token, lemma)`` as a MAP column.
 
     The dictionary is a bounded reference table (not data): it is folded into

@@ -52,3 +52,11 @@ def test_term_frequencies_and_features(spark):
     assert abs(f[0]["special_char_density"] - 1 / 9) < 1e-12
     assert f[0]["sentence_count"] == 1 and f[1]["sentence_count"] == 1
     assert f[1]["avg_word_len"] == 0.0
+
+
+def test_lemma_table(spark):
+    df = spark.createDataFrame([(1, "Hey, are you coming to the classes? Coming!")], "doc_id long, text string")
+    lemmas = spark.createDataFrame([("coming", "come"), ("classes", "class")], "token string, lemma string")
+    toks = nb.tokenize(df, lemmas=lemmas).first()["tokens"]
+    # stopwords and length are tested before lemmatising; bigrams use lemmas
+    assert list(toks) == ["hey", "come", "class", "come", "hey_come", "come_class", "class_come"]
