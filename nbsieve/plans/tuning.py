@@ -115,9 +115,9 @@ def fold_models(tok: DataFrame, k: int, min_df: int = C.MIN_DF, max_df: float =
                  *[(tot[c] - F.col(f"{c.split('_')[0]}_{c.split('_')[1]}_{f}")).cast("long").alias(c)
                    for c in cnt])
         for f in range(1, k + 1)])
-    train = cut_lineage(wide.select("token", F.explode(per_fold).alias("r"))
-                        .select(F.col("r.fold").alias("fold"), "token",
-                                *[F.col(f"r.{c}").alias(c) for c in cnt]))
+    train = wide.select("token", F.explode(per_fold).alias("r")) \
+                .select(F.col("r.fold").alias("fold"), "token",
+                        *[F.col(f"r.{c}").alias(c) for c in cnt]).persist()
     docs = train.where(F.col("token") == "").select(
         "fold", F.col("df_spam").alias("n_docs_spam"), F.col("df_ham").alias("n_docs_ham"))
     # Class token totals of the training folds (every token, pruned ones too).
@@ -164,7 +164,9 @@ def cross_validate(msgs: DataFrame, k: int = C.K_FOLDS, alphas=None,
     model -> alpha (default 1.0 each). Predictions at threshold 0.5."""
     alphas = {m: 1.0 for m in models} | dict(alphas or {})
     if "tokens" in msgs.columns:  # already tokenised (e.g. the prepared set)
-        tok = cut_lineage(with_folds(msgs.select("doc_id", "label", "tokens"), k=k, seed=seed))
+        # Short lineage over checkpointed tokens: keep it in memory/disk
+        # (recomputable) instead of writing it again.
+        tok = with_folds(msgs.select("doc_id", "label", "tokens"), k=k, seed=seed).persist()
     else:
         tok = cut_lineage(nb.tokenize(
             with_folds(msgs, k=k, seed=seed).select("doc_id", "label", "fold", "text")))
