@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from nbsieve import config as C
 from nbsieve.functions import text as T
 from nbsieve.operators import nb
-from nbsieve.operators.vocab import log_ratio, top_k_global, top_k_per_group
+from nbsieve.operators.vocab import log_ratio, top_k_global
 
 
 def doc_evidence(model: nb.NBModel, tok: DataFrame, alpha: float = C.ALPHA,

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nbsieve import config as C
-from nbsieve.functions import text as T
 from nbsieve.operators import nb
 
 MAX_RULES = 10_000

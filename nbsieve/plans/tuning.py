@@ -19,15 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nbsieve import config as C
-from nbsieve.functions import text as T
 from nbsieve.operators import metrics as M
 from nbsieve.operators import nb
 from nbsieve.operators.split import with_folds
 from nbsieve.session import cut_lineage
 
-SHORT = {"multinomial": "multinomial", "bernoulli": "bernoulli"}
-
-
 # ---------------------------------------------------------------------------
 # Alpha sweep
 # ---------------------------------------------------------------------------

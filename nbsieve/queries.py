@@ -1136,7 +1136,6 @@ SELECT label, substr(text, 1, 1500) AS text FROM t WHERE length(text) > 0""")
 def q_exclusive(spark, sf):
     """K4 writes the normalised (label, text) corpus as one CSV file; S3
     reads exactly that file (textual labels, no 1/0 fallback, no limit)."""
-    import os
     from nbsieve.sources import sinks as SK2
     path = scratch_dir(spark, "normalised")
     SK2.write_messages_csv(tables.messages(spark, sf).coalesce(1), path)
