@@ -29,3 +29,16 @@ def test_running_totals_equal_single_window(spark):
     j = got.join(ref, ["m", "s"])
     assert j.count() == df.count()
     assert j.where((F.col("cum_pos") != F.col("rp")) | (F.col("cum_n") != F.col("rn"))).count() == 0
+
+
+def test_exact_percentiles_match_numpy(spark):
+    import numpy as np
+
+    from nbsieve.operators.profile import exact_percentiles
+    vals = {"a": [5, 1, 1, 9, 3, 3, 3, 120, 7], "b": [2], "c": [4, 8]}
+    df = spark.createDataFrame([(k, v) for k, vs in vals.items() for v in vs], "g string, v long")
+    qs = (0.25, 0.5, 0.75, 0.9, 0.95)
+    got = {r["g"]: r for r in exact_percentiles(df, "g", "v", qs).collect()}
+    for g, vs in vals.items():
+        for q in qs:
+            assert abs(got[g][f"p{int(round(q * 100))}"] - float(np.percentile(vs, q * 100))) < 1e-9
