@@ -36,8 +36,14 @@ def inbox_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: in
 
 def start_scoring(spark: SparkSession, model: nb.NBModel, source_dir: str, out_dir: str,
                   checkpoint_dir: str, settings: DataFrame | None = None,
-                  watermark: str = "1 day", rules=C.SENDER_RULES):
-    """Start the streaming query (trigger availableNow: drain and stop)."""
+                  watermark: str = "1 day", rules=C.SENDER_RULES,
+                  state_partitions: int | None = None):
+    """Start the streaming query (trigger availableNow: drain and stop).
+
+    The de-duplication state and each micro-batch's shuffles use
+    ``state_partitions`` (default: the cluster's parallelism). The stream
+    runs on a clone of the session taken at start, so the caller's session
+    keeps its own setting."""
     settings = settings if settings is not None else default_settings(spark)
     s = inbox_stream(spark, source_dir)
     s = s.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["msg_id"])
@@ -61,9 +67,15 @@ def start_scoring(spark: SparkSession, model: nb.NBModel, source_dir: str, out_d
         bad.unionByName(failed).withColumn("batch_id", F.lit(batch_id)) \
            .write.mode("overwrite").parquet(f"{out_dir}/dead_letter/batch_id={batch_id}")
 
-    return (s.writeStream.foreachBatch(score_batch)
-            .option("checkpointLocation", checkpoint_dir)
-            .trigger(availableNow=True).start())
+    key = "spark.sql.shuffle.partitions"
+    prev = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
+    try:
+        return (s.writeStream.foreachBatch(score_batch)
+                .option("checkpointLocation", checkpoint_dir)
+                .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(key, prev)
 
 
 def read_scored(spark: SparkSession, out_dir: str) -> DataFrame:
