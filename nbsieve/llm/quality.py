@@ -21,14 +21,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nbsieve.llm.common import LOWER, SPACES, UPPER, words_of
+from nbsieve.llm.common import words_of
 
-SYMBOLS = "#*$%&|<>"
+SYMBOL_CLASS = "[#*$%&|<>]+"
+NOT_SPACE = "[^\\x20\\x09-\\x0D]"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_SYMBOL_PERCENT = 8      # of the characters in words
 MAX_DUP_LINE_PERCENT = 50   # of the lines with a word
-MAX_UPPER_PERCENT = 60      # of the ASCII letters
+MAX_UPPER_PERCENT = 30      # A-Z, of the characters in words
 MAX_MEAN_WORD = 20          # characters
 SAMPLE_ROWS = 1024          # rows on which the order of the rules is estimated
 
@@ -46,8 +47,10 @@ def _text() -> Column:
     return F.coalesce(F.col("text"), F.lit(""))
 
 
-def _chars_without(drop: str) -> Column:
-    return F.char_length(F.translate(_text(), drop, "")).cast("long")
+def _bytes_of(pattern: str) -> Column:
+    """Bytes of the text that match a pattern of ASCII characters."""
+    return (F.octet_length(_text())
+            - F.octet_length(F.regexp_replace(_text(), pattern, ""))).cast("long")
 
 
 def add_words(df: DataFrame, on: Column) -> DataFrame:
@@ -58,17 +61,17 @@ def add_words(df: DataFrame, on: Column) -> DataFrame:
 
 
 def add_word_chars(df: DataFrame, on: Column) -> DataFrame:
-    return df.withColumn("word_chars", F.when(on, _chars_without(SPACES)))
+    chars = F.char_length(F.array_join("words", "")).cast("long")
+    return df.withColumn("word_chars", F.when(on, chars))
 
 
 def add_symbols(df: DataFrame, on: Column) -> DataFrame:
-    n = F.char_length(_text()).cast("long") - _chars_without(SYMBOLS)
-    return df.withColumn("n_symbols", F.when(on, n))
+    return df.withColumn("n_symbols", F.when(on, _bytes_of(SYMBOL_CLASS)))
 
 
 def add_dup_lines(df: DataFrame, on: Column) -> DataFrame:
     """``n_lines`` with a word, and those of them equal to an earlier one."""
-    lines = F.filter(F.split(_text(), "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
+    lines = F.filter(F.split(_text(), "\n"), lambda x: F.rlike(x, F.lit(NOT_SPACE)))
     df = df.withColumn("__lines", F.when(on, lines))
     return df.withColumn("n_lines", F.size("__lines").cast("long")).withColumn(
         "n_dup_lines",
@@ -79,34 +82,48 @@ def add_dup_lines(df: DataFrame, on: Column) -> DataFrame:
 def add_repeat_words(df: DataFrame, on: Column) -> DataFrame:
     """Words in 3-word windows found twice or more in the text.
 
-    Equal windows have equal 64-bit hashes. Sorting (hash, start) pairs puts
-    them side by side, whatever the text's length in n log n steps; texts
-    whose windows all differ skip the sort."""
+    Windows are compared by 64-bit hashes. The hash's low bits, followed by
+    the window's start in as many bits as the text needs, make one long each;
+    sorted, equal windows lie side by side (n log n for any length), and
+    neighbours are compared by their whole hashes. Texts whose windows all
+    differ skip this."""
     if "words" not in df.columns:
         df = df.withColumn("words", words_of(F.col("text")))
-    w = F.col("words")
-    grams = F.transform(F.slice(w, 1, F.greatest(F.size(w) - 2, F.lit(0))),
-                        lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))
-    df = df.withColumn("__grams", F.when(on, grams))
-    g = F.col("__grams")
-    pairs = F.array_sort(F.transform(g, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    df = df.withColumn("__pairs", F.when(F.size(F.array_distinct(g)) < F.size(g), pairs))
-    p = F.col("__pairs")
-    twice = F.filter(p, lambda x, i: F.equal_null(F.get(p, i + 1)["h"], x["h"])
-                     | ((i > 0) & F.equal_null(F.get(p, i - 1)["h"], x["h"])))
-    df = df.withColumn("__hit", F.array_sort(F.transform(twice, lambda x: x["i"])))
+    h = F.transform("words", lambda x: F.xxhash64(x))
+    df = df.withColumn("__h", F.when(on & (F.size("words") > 3), h))
+    n = F.size("__h")
+    pair = F.zip_with("__h", F.slice("__h", 2, n), lambda a, b: F.xxhash64(a, b))
+    triple = F.slice(F.zip_with(pair, F.slice("__h", 3, n), lambda a, b: F.xxhash64(a, b)),
+                     F.lit(1), n - 2)
+    df = df.withColumn("__g", triple)
+    g, bits = F.col("__g"), F.length(F.bin(F.size("__g")))
+    df = df.withColumn("__bits", F.when(F.size(F.array_distinct(g)) < F.size(g), bits))
+    bits = F.col("__bits")
+    packed = F.transform(g, lambda x, i: F.call_function("shiftleft", x, bits).bitwiseOR(
+        i.cast("long")))
+    df = df.withColumn("__p", F.when(bits.isNotNull(), F.sort_array(packed)))
+    p = F.col("__p")
+    same = F.zip_with(p, F.slice(p, 2, F.size(p)), lambda a, b: F.call_function(
+        "shiftrightunsigned", a.bitwiseXOR(b), bits) == 0)
+    df = df.withColumn("__same", same)
+    same = F.col("__same")
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
+    at = lambda x: x.bitwiseAND(mask).cast("int")
+    equal = lambda x, y: F.get(g, at(x)) == F.get(g, at(y))
+    twice = F.filter(p, lambda x, i:
+                     (F.get(same, i) & equal(x, F.get(p, i + 1)))
+                     | ((i > 0) & F.get(same, i - 1) & equal(x, F.get(p, i - 1))))
+    df = df.withColumn("__hit", F.sort_array(F.transform(twice, at)))
     hit = F.col("__hit")
-    gaps = F.transform(hit, lambda x, i: F.least(
-        F.lit(3), F.coalesce(F.get(hit, i + 1) - x, F.lit(3))))
+    gaps = F.zip_with(hit, F.slice(hit, 2, F.size(hit)),
+                      lambda x, y: F.least(F.lit(3), F.coalesce(y - x, F.lit(3))))
     total = F.aggregate(gaps, F.lit(0).cast("long"), lambda s, x: s + x)
     return df.withColumn("n_repeat_words", F.when(on, F.coalesce(total, F.lit(0).cast("long")))) \
-             .drop("__grams", "__pairs", "__hit")
+             .drop("__h", "__g", "__bits", "__p", "__same", "__hit")
 
 
 def add_upper(df: DataFrame, on: Column) -> DataFrame:
-    size = F.char_length(_text())
-    return df.withColumn("n_upper", F.when(on, size - _chars_without(UPPER))) \
-             .withColumn("n_lower", F.when(on, size - _chars_without(LOWER)))
+    return df.withColumn("n_upper", F.when(on, _bytes_of("[A-Z]+")))
 
 
 def _nothing(df: DataFrame, on: Column) -> DataFrame:
@@ -124,15 +141,14 @@ def _all(*adders) -> Callable[[DataFrame, Column], DataFrame]:
 SHORT = Rule("short", add_words, lambda: F.col("n_words") < MIN_WORDS)
 REPEAT = Rule("repeat", _all(add_words, add_repeat_words),
               lambda: 100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-SYMBOL = Rule("symbol", _all(add_word_chars, add_symbols),
+SYMBOL = Rule("symbol", _all(add_words, add_word_chars, add_symbols),
               lambda: 100 * F.col("n_symbols") > MAX_SYMBOL_PERCENT * F.col("word_chars"))
 DUP_LINE = Rule("dup_line", add_dup_lines,
                 lambda: 100 * F.col("n_dup_lines") > MAX_DUP_LINE_PERCENT * F.col("n_lines"))
 LONG_WORD = Rule("long_word", _all(add_words, add_word_chars),
                  lambda: F.col("word_chars") > MAX_MEAN_WORD * F.col("n_words"))
-SHOUT = Rule("shout", add_upper,
-             lambda: 100 * F.col("n_upper")
-             > MAX_UPPER_PERCENT * (F.col("n_upper") + F.col("n_lower")))
+SHOUT = Rule("shout", _all(add_words, add_word_chars, add_upper),
+             lambda: 100 * F.col("n_upper") > MAX_UPPER_PERCENT * F.col("word_chars"))
 
 RULES = (SHORT, REPEAT, SYMBOL, DUP_LINE, LONG_WORD, SHOUT)
 
@@ -178,8 +194,8 @@ def op5_quality_rules(docs: DataFrame) -> DataFrame:
     df = df.drop("words").withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                                      | (100 * F.col("n_repeat_words")
                                         > MAX_REPEAT_PERCENT * F.col("n_words")))
-    have = {"symbol", "dup_line", "long_word"}  # read the columns added above
-    rules = [Rule(r.name, _nothing if r.name in have else r.metrics, r.reject) for r in order]
+    have = {"symbol": _nothing, "dup_line": _nothing, "long_word": _nothing, "shout": add_upper}
+    rules = [Rule(r.name, have[r.name], r.reject) for r in order]  # the rest is added above
     out = cascade(df, rules, ~F.col("base_failed"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                       "n_repeat_words", "base_failed", "kept")
@@ -211,11 +227,10 @@ m AS (
     (length(text) - length(translate(text, '#*$%&|<>', '')))::BIGINT AS n_symbols,
     (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines) AS n_lines,
     coalesce(n, 0)::BIGINT AS n_repeat_words,
-    length(regexp_replace(text, '[^A-Z]', '', 'g')) AS upper,
-    length(regexp_replace(text, '[^a-z]', '', 'g')) AS lower
+    length(regexp_replace(text, '[^A-Z]', '', 'g')) AS upper
   FROM w LEFT JOIN covered USING (r)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT (base_failed OR 100 * n_symbols > 8 * word_chars OR 100 * n_dup_lines > 50 * n_lines
-       OR word_chars > 20 * n_words OR 100 * upper > 60 * (upper + lower)) AS kept
+       OR word_chars > 20 * n_words OR 100 * upper > 30 * word_chars) AS kept
 FROM b"""
