@@ -163,8 +163,7 @@ def shingle_hashes(words: np.ndarray, bounds: np.ndarray, k: int = SHINGLE) -> l
     """Per document the sorted distinct hashes of its k-word shingles (fewer
     words: the whole sequence as one; no words: none)."""
     total = len(words)
-    mult = [_U(int(x) | 1) for x in
-            np.random.default_rng(5).integers(1, 2 ** 63, size=k, dtype=np.int64)]
+    mult = np.random.default_rng(5).integers(1, 2 ** 63, size=k, dtype=np.int64).astype(_U) | _U(1)
     full = np.zeros(max(total - k + 1, 0), dtype=_U)
     for j in range(k):
         full += words[j: j + len(full)] * mult[j]
@@ -175,10 +174,8 @@ def shingle_hashes(words: np.ndarray, bounds: np.ndarray, k: int = SHINGLE) -> l
         if n >= k:
             out.append(np.unique(full[lo: hi - k + 1]))
         elif n:
-            h = np.array([n], dtype=_U) * _U(0xA0761D6478BD642F)
-            for j in range(n):
-                h = h + words[lo + j] * mult[j]
-            out.append(mix(h))
+            h = (words[lo:hi] * mult[:n]).sum(keepdims=True)
+            out.append(mix(h + np.array([n], dtype=_U) * _U(0xA0761D6478BD642F)))
         else:
             out.append(full[:0])
     return out

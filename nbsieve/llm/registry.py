@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from nbsieve.llm import chat, quality, sharding
+from nbsieve.llm import (chat, decontaminate, langid, near_dedup, packing, ppm, quality, sharding,
+                         suffix_dedup, toxicity)
 from nbsieve.llm.common import table
 
 
@@ -11,12 +12,23 @@ def _docs(fn):
 
 
 QUERIES = {
+    "op1_near_dedup": _docs(near_dedup.op1_near_dedup),
+    "op2_suffix_dedup": _docs(suffix_dedup.op2_suffix_dedup),
+    "op3_toxicity": lambda spark, sf: toxicity.op3_toxicity(
+        table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op4_chat_format": lambda spark, sf: chat.op4_chat_format(table(spark, sf, "conversations")),
     "op5_quality_rules": _docs(quality.op5_quality_rules),
+    "op6_language_id": _docs(langid.op6_language_id),
+    "op7_ppm": _docs(ppm.op7_ppm),
+    "op8_packing": _docs(packing.op8_packing),
     "op9_byte_shards": _docs(sharding.op9_byte_shards),
+    "op10_decontamination": lambda spark, sf: decontaminate.op10_decontamination(
+        table(spark, sf, "documents"), table(spark, sf, "benchmark")),
 }
 
 ORACLE = {
+    "op1_near_dedup": near_dedup.ORACLE,
     "op4_chat_format": chat.ORACLE,
     "op5_quality_rules": quality.ORACLE,
+    "op10_decontamination": decontaminate.ORACLE,
 }
