@@ -285,22 +285,45 @@ def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def cut_repeats(docs: DataFrame, hot_texts: int = HOT_TEXTS) -> DataFrame:
-    """``docs`` with n_bytes, n_removed, n_spans and kept (the remaining
-    bytes); rows without a repeat never enter Python again."""
-    base = stored(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
-    body = base.select("row", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    """(doc, n_bytes, n_removed, n_spans, kept): the row as it came, as a
+    struct, the counts, and the remaining bytes. Rows without a repeat never
+    enter Python again."""
+    base = stored(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id()
+                              .alias("row")), "rows")
+    text = F.coalesce(F.col("doc.text").cast("string"), F.lit(""))
+    body = base.select("row", text.alias("text"))
     spans = repeated_spans(body, hot_texts)
     cut = body.join(spans, "row").mapInArrow(
         _cut_batches, "row bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    none = F.lit(0).cast("bigint")
     untouched = base.join(spans.select("row"), "row", "left_anti").select(
-        *docs.columns, F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes"),
-        F.lit(0).cast("bigint").alias("n_removed"), F.lit(0).cast("bigint").alias("n_spans"),
-        F.coalesce("text", F.lit("")).cast("binary").alias("kept"))
-    touched = base.join(cut, "row").select(*docs.columns, "n_bytes", "n_removed", "n_spans", "kept")
+        "doc", F.octet_length(text).cast("bigint").alias("n_bytes"), none.alias("n_removed"),
+        none.alias("n_spans"), text.cast("binary").alias("kept"))
+    touched = base.join(cut, "row").select("doc", "n_bytes", "n_removed", "n_spans", "kept")
     return untouched.unionByName(touched)
 
 
 def op2_suffix_dedup(docs: DataFrame) -> DataFrame:
     out = cut_repeats(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans",
+    return out.select("doc.doc_id", "n_bytes", "n_removed", "n_spans",
                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _whole_characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        text = [b.decode("utf-8", "ignore") for b in batch.column("kept").to_pylist()]
+        yield batch.drop_columns(["kept"]).append_column("kept", pa.array(text, pa.string()))
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with the repeated bytes cut out of ``text`` (characters cut in
+    two are dropped) and ``n_chars`` counted anew; other columns as they were."""
+    out = cut_repeats(docs).select("doc", "n_removed", "kept")
+    same = out.filter("n_removed = 0").select("doc.*")
+    changed = out.filter("n_removed > 0").select("doc", "kept")
+    doc_type = changed.schema["doc"].dataType.simpleString()
+    changed = changed.mapInArrow(_whole_characters, f"doc {doc_type}, kept string")
+    new = {"text": F.col("kept"), "n_chars": F.char_length("kept").cast("bigint")}
+    changed = changed.select(*[(new[c] if c in new else F.col(f"doc.`{c}`")).alias(c)
+                               for c in docs.columns])
+    return same.unionByName(changed)
