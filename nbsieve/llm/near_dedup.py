@@ -13,16 +13,18 @@ short documents alike.
    0.75 is missed with probability 2e-5.
 3. Each bucket proposes (its smallest member, member) pairs. The share of
    equal registers, corrected for chance collisions of compressed registers
-   of sets of these sizes, estimates the similarity; pairs estimated 0.2 (over
-   five standard errors) below the threshold are set aside, all others are
+   of sets of these sizes, estimates the similarity; pairs estimated 0.15 (five
+   standard errors) below the threshold are set aside, all others are
    confirmed on the full sets.
 4. In buckets whose members are still in different components, every member
-   outside the bucket's largest component is compared with the members of
-   other components, in blocks of bounded size; survivors are confirmed too.
-   Pairs already in one component need no test: the result is the components.
+   outside the bucket's largest component meets the members of other
+   components, in cells of bounded size: best estimates first, confirmed on
+   the full sets right there, and no longer tested against a component once a
+   link into it is found. Only links leave a cell.
 
-No bucket is capped or skipped, no pair list of a group is emitted, and links
-and labels stay in tables.
+Pairs already in one component need no test: the result is the components. No
+bucket is capped or skipped, no pair list of a group is emitted, and links and
+labels stay in tables.
 
 Defined cases: null or empty texts, and texts without words, have an empty
 set and link with nothing; fewer than five words: the whole sequence is the
@@ -34,21 +36,23 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nbsieve.llm.common import document_shingles, mix, stored, text_slices
+from nbsieve.llm.common import document_shingles, mix, scale_parts, stored, text_slices
 from nbsieve.llm.components import components
 
 PERCENT = 75
 BANDS, ROWS = 40, 5
 REGISTERS = BANDS * ROWS
 MANTISSA = 10
-MARGIN = 0.2
-BLOCK = 1024                 # members of one bucket in one block
+MARGIN = 0.15                # five standard errors of the estimate
+BLOCK = 1024                 # rows of one bucket on either side of a cell
+PART_ROWS = 2_000            # rows of cells handed to Python together
 BROADCAST_IDS = 2_000_000    # ids broadcast to a scan; beyond it the scan is joined
 
 _U = np.uint64
@@ -129,6 +133,7 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "shingles"])
 
 
+@cache
 def _collision_table() -> np.ndarray:
     """Chance that registers of disjoint sets of 2**(i/2) and 2**(j/2)
     shingles agree: sum over cells of both sets' probability of the cell."""
@@ -169,32 +174,65 @@ def _estimate_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
-def _block_pairs(key: tuple, rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One block of a bucket: its members against the bucket's rows outside
-    the largest component, pairs of different components only."""
-    t = pa.Table.from_batches(list(rows))
+def _cell_links(regs, rep, label, n, sets, members, outside, table) -> list[tuple[int, int]]:
+    """Links of one cell: each row outside the largest component against the
+    members of other components."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    out = []
+    for i in outside.tolist():
+        likely = _worth_it((regs[members] == regs[i]).sum(axis=1), n[members], n[i], table)
+        order = members[likely & (label[members] != label[i])]
+        order = order[np.argsort(-(regs[order] == regs[i]).sum(axis=1), kind="stable")]
+        for j in order.tolist():
+            mine, theirs = find(label[i]), find(label[j])
+            if mine == theirs:
+                continue
+            shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if 100 * shared >= PERCENT * (len(sets[i]) + len(sets[j]) - shared):
+                out.append((min(rep[i], rep[j]), max(rep[i], rep[j])))
+                root[max(mine, theirs)] = min(mine, theirs)
+    return out
+
+
+def _part_links(key: tuple, rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    t = pa.Table.from_batches(list(rows)).combine_chunks()
+    if not len(t):
+        return
     regs = np.frombuffer(b"".join(t["sketch"].to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
-    rep, label, n = (t[c].to_numpy() for c in ("rep", "label", "n"))
-    member, left = t["member"].to_numpy(), t["outside"].to_numpy()
-    table = _collision_table()
-    ms, ls = np.flatnonzero(member), np.flatnonzero(left)
-    rm, lm, nm, bm = regs[ms], label[ms], n[ms], rep[ms]
-    for i in ls:
-        keep = (lm != label[i]) & _worth_it((rm == regs[i]).sum(axis=1), nm, n[i], table)
-        hit = bm[keep]
-        if len(hit):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(hit, rep[i])), pa.array(np.maximum(hit, rep[i]))],
-                names=["a", "b"])
+    rep, label, n, bucket, cell = (t[c].to_numpy() for c in ("rep", "label", "n", "key", "cell"))
+    as_member, as_outside = (t[c].to_numpy() for c in ("member", "outside"))
+    lists = t["shingles"].chunk(0)
+    flat, cuts = lists.flatten().to_numpy(), np.concatenate(
+        [[0], np.cumsum(lists.value_lengths().to_numpy())])
+    sets = [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    order = np.lexsort((rep, cell, bucket))
+    new = np.flatnonzero((np.diff(bucket[order]) != 0) | (np.diff(cell[order]) != 0)) + 1
+    table, found = _collision_table(), set()
+    for rows_of_cell in np.split(order, new):
+        found.update(_cell_links(regs, rep, label, n, sets, rows_of_cell[as_member[rows_of_cell]],
+                                 rows_of_cell[as_outside[rows_of_cell]], table))
+    links = np.array(sorted(found), dtype=np.int64).reshape(-1, 2)
+    yield pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])],
+                                     names=["a", "b"])
+
+
+def _full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, shingles) of the documents in the stored table ``ids``."""
+    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return stored(docs.join(side, "doc_id", "left_semi")
+                  .mapInArrow(_set_batches, "doc_id bigint, shingles array<bigint>"), "full-sets")
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Pairs (a, b) whose full sets reach the threshold."""
     ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
-    n_ids = ids.count()
-    side = F.broadcast(ids) if n_ids <= BROADCAST_IDS else ids
-    sets = stored(docs.join(side, "doc_id", "left_semi")
-                  .mapInArrow(_set_batches, "doc_id bigint, shingles array<bigint>"), "pair-sets")
+    sets = _full_sets(docs, ids)
     a = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(a, "a").join(b, "b").select(
@@ -203,6 +241,26 @@ def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return both.filter(F.expr(f"100 * shared >= {PERCENT} * (total - shared)")).select("a", "b")
 
 
+def _cells(rows: DataFrame) -> DataFrame:
+    """Rows of the grid that compares a bucket's ``n_outside`` rows outside
+    its main component with all its ``size`` members: blocks of members by
+    blocks of outside rows. A bucket of up to ``BLOCK`` rows is one cell."""
+    outside = F.col("label") != F.col("main")
+    m_blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    o_blocks = F.ceil(F.col("n_outside") / BLOCK).cast("int")
+    mine = F.pmod(F.xxhash64("rep"), m_blocks).cast("int")
+    theirs = F.pmod(F.xxhash64("rep", F.lit(1)), o_blocks).cast("int")
+    as_member = F.transform(F.sequence(F.lit(0), o_blocks - 1), lambda o: mine * o_blocks + o)
+    as_outside = F.when(outside, F.transform(
+        F.sequence(F.lit(0), m_blocks - 1), lambda m: m * o_blocks + theirs)).otherwise(
+        F.array().cast("array<int>"))
+    return rows.select(
+        "key", "rep", "label", as_member.alias("m"), as_outside.alias("o"),
+        F.explode(F.array_union(as_member, as_outside)).alias("cell")).select(
+        "key", "rep", "label", "cell", F.array_contains("m", F.col("cell")).alias("member"),
+        F.array_contains("o", F.col("cell")).alias("outside"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs``."""
     body = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -239,23 +297,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     groups = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     main = groups.groupBy("key").agg(
         F.max_by("label", F.struct("n", "label")).alias("main"),
-        F.count(F.lit(1)).alias("labels")).filter("labels > 1")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    open_rows = placed.join(main, "key").select(
-        "key", "rep", "label", (F.col("label") != F.col("main")).alias("outside"),
-        blocks.alias("blocks"))
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    spread = open_rows.withColumn("own", own).select(
-        "key", "rep", "label", "outside", "own",
-        F.explode(F.when(F.col("outside"), F.sequence(F.lit(0), F.col("blocks") - 1))
-                  .otherwise(F.array("own"))).alias("block"))
-    spread = spread.select("key", "rep", "label", "outside", "block",
-                           (F.col("own") == F.col("block")).alias("member"))
-    more = spread.join(sketch, "rep").groupBy("key", "block") \
-        .applyInArrow(_block_pairs, "a bigint, b bigint").distinct()
-    more = stored(more.join(tested, ["a", "b"], "left_anti"), "block-pairs")
-    if not more.isEmpty():
-        links = links.unionByName(_confirm(more, body))
+        (F.sum("n") - F.max("n")).alias("n_outside")).filter("n_outside > 0")
+    cells = stored(_cells(placed.join(main, "key")), "open-cells")
+    n_rows = cells.count()
+    if n_rows:
+        ids = stored(cells.select(F.col("rep").alias("doc_id")).distinct(), "open-ids")
+        sets = _full_sets(body, ids).withColumnRenamed("doc_id", "rep").dropDuplicates(["rep"])
+        parts = max(1, -(-n_rows // PART_ROWS))
+        part = F.pmod(F.xxhash64("key", "cell"), F.lit(parts)).alias("part")
+        more = cells.join(sketch, "rep").join(sets, "rep").select("*", part) \
+            .repartition(min(parts, 4 * scale_parts(body)), "part").groupBy("part") \
+            .applyInArrow(_part_links, "a bigint, b bigint")
+        links = links.unionByName(stored(more, "cell-links"))
         labels = components(links)
 
     found = owner.join(labels, F.col("rep") == F.col("node"), "left").select(
