@@ -118,6 +118,23 @@ GAUSSIAN_FEATURES = (
 ALPHA_GRID_F1 = (0.1, 0.5, 1.0, 2.0, 5.0, 10.0)
 ALPHA_GRID_ACCURACY = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 1.0, 1.5, 2.0)
 
+# --------------------------------------------------------------------------
+# FIXED VALUES: texts of verdicts, requests and comparisons.
+# --------------------------------------------------------------------------
+CONFIDENT_TEXT = "Confident %s (P=%.4f >= threshold={})"
+UNCERTAIN_TEXT = ("UNCERTAIN - P(spam)=%.4f, P(ham)=%.4f. Neither class exceeds "
+                  "threshold={}. This message is ambiguous — different people might "
+                  "classify it differently.")
+BLANK_TEXT = "Message cannot be empty"
+NO_WORDS_TEXT = "No meaningful words remaining after preprocessing."
+BOOSTED_TEXT = "Sender-boosted SPAM (P=%.4f)"
+POPUP_SPAM = "🔴 Spam Detected"
+POPUP_HAM = "🟢 Legitimate"
+POPUP_UNCERTAIN = "⚠️ Uncertain"
+BETTER = "{} is SIGNIFICANTLY BETTER"
+BETTER_THAN = "{} is SIGNIFICANTLY BETTER than {}"
+NO_DIFFERENCE = "No significant difference between the two models"
+
 # Defaults (tunable).
 SEED = 42
 MIN_DF = 2

@@ -16,6 +16,19 @@ from pyspark.sql import functions as F
 from nbsieve import config as C
 
 
+_WS = f"[{C.PY_WHITESPACE}]"
+
+
+def py_strip(c: Column) -> Column:
+    """Unicode whitespace off both ends (Spark's ``trim`` takes spaces only)."""
+    return F.regexp_replace(c, f"^{_WS}+|{_WS}+$", "")
+
+
+def is_blank(c: Column) -> Column:
+    """Nothing but Unicode whitespace (NULL: NULL)."""
+    return ~c.rlike(f"[^{C.PY_WHITESPACE}]")
+
+
 # Only the stopwords a token (a-z, length > 1) could equal; more than ten
 # literals, so the optimizer turns the IN into a hash-set lookup.
 STOP_TOKENS = [w for w in C.STOPWORDS_EN if w.isalpha() and len(w) > 1]
@@ -69,15 +82,6 @@ def content_words(text: Column) -> Column:
     return _content_filter(raw_words(text))
 
 
-def lemmatise(words: Column, lemma_map: Column | None = None) -> Column:
-    """lemma lookup. ``lemma_map`` is a MAP<STRING,STRING> column (a
-    bounded dictionary broadcast as one row, see ``with_lemma_map``);
-    identity when absent or when a word has no entry."""
-    if lemma_map is None:
-        return words
-    return F.transform(words, lambda t: F.coalesce(F.element_at(lemma_map, t), t))
-
-
 def bigrams(words: Column) -> Column:
     """Adjacent pairs joined by '_'. ``words`` must be a column reference
     (lambdas re-evaluate any outer expression once per element)."""
@@ -89,12 +93,8 @@ def bigrams(words: Column) -> Column:
     )
 
 
-def unigrams(text: Column, lemma_map: Column | None = None) -> Column:
-    return lemmatise(content_words(text), lemma_map)
-
-
 def add_tokens(df: DataFrame, text_col: str = "text", out: str = "tokens",
-               lemma_map: Column | None = None, keep=None) -> DataFrame:
+               lemmas: DataFrame | None = None, keep=None) -> DataFrame:
     """F9 as a transformation: unigrams followed by bigrams.
 
     Each string step is its own projected column: a value used by a guard
@@ -102,33 +102,28 @@ def add_tokens(df: DataFrame, text_col: str = "text", out: str = "tokens",
     whose non-trivial output is read more than once), and lambdas only
     read attributes."""
     keep = list(keep) if keep is not None else [c for c in df.columns if c != text_col]
-    extra = ["__lemma_map"] if lemma_map is not None else []
-    x = df.select(*keep, *extra, F.lower(F.col(text_col)).alias("__s0"))
-    x = x.select(*keep, *extra, _url_step(F.col("__s0")).alias("__s1"))
-    x = x.select(*keep, *extra, _email_step(F.col("__s1")).alias("__s2"))
-    x = x.select(*keep, *extra,
-                 lemmatise(_content_filter(_split_words(_words_step(F.col("__s2")))),
-                           lemma_map).alias("__u"))
+    x = df.select(*keep, F.lower(F.col(text_col)).alias("__s0"))
+    x = x.select(*keep, _url_step(F.col("__s0")).alias("__s1"))
+    x = x.select(*keep, _email_step(F.col("__s1")).alias("__s2"))
+    x = x.select(*keep, _content_filter(_split_words(_words_step(F.col("__s2")))).alias("__u"))
+    if lemmas is not None:
+        x = lemmatise_by_join(x, "__u", lemmas)
     return x.select(*keep, F.concat(F.col("__u"), bigrams(F.col("__u"))).alias(out))
 
 
-def with_lemma_map(df: DataFrame, lemmas: DataFrame | None,
-                   max_entries: int = 500_000) -> tuple[DataFrame, Column | None]:
-    """Attach a lemma dictionary ``lemmas(token, lemma)`` as a MAP column.
-
-    The dictionary is a bounded reference table (not data): it is folded into
-    one row on the executors and joined as a one-row broadcast, never
-    collected to the driver. Its size is checked first.
-    """
-    if lemmas is None:
-        return df, None
-    n = lemmas.count()
-    if n > max_entries:
-        raise ValueError(f"lemma dictionary has {n} entries (> {max_entries})")
-    m = lemmas.agg(
-        F.map_from_entries(F.collect_list(F.struct("token", "lemma"))).alias("__lemma_map")
-    )
-    return df.crossJoin(F.broadcast(m)), F.col("__lemma_map")
+def lemmatise_by_join(df: DataFrame, words_col: str, lemmas: DataFrame) -> DataFrame:
+    """every word of the array ``words_col`` replaced by its lemma in
+    ``lemmas(token, lemma)``, order kept; words without one stay. A join on
+    the word, so the dictionary may be of any size; the optimizer broadcasts
+    it when its real size allows."""
+    row = "__row"
+    x = df.withColumn(row, F.monotonically_increasing_id())
+    one = lemmas.groupBy("token").agg(F.min("lemma").alias("lemma"))
+    words = x.select(row, F.posexplode(words_col).alias("pos", "token")).join(one, "token", "left")
+    back = words.groupBy(row).agg(F.sort_array(F.collect_list(
+        F.struct("pos", F.coalesce("lemma", "token").alias("w")))).alias("__l"))
+    out = F.coalesce(F.transform("__l", lambda s: s["w"]), F.array().cast("array<string>"))
+    return x.join(back, row, "left").withColumn(words_col, out).drop("__l", row)
 
 
 # ---------------------------------------------------------------------------

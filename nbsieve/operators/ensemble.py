@@ -71,3 +71,12 @@ def noise_examples(noise: DataFrame, tokens: DataFrame, by=("model",), k: int =
     top = top_k_per_group(x, "__g", [F.asc("doc_id")], k, rank_col="example_rank").drop("__g")
     prev = tokens.select("doc_id", F.array_join(F.slice("tokens", 1, 10), " ").alias("tokens_preview"))
     return top.join(prev, "doc_id")
+
+
+def smoke_errors(scores: DataFrame, truth: str = "label", by=("model",)) -> DataFrame:
+    """Messages and wrong verdicts per model, an uncertain verdict
+    resolved by the larger probability (ties go to ham)."""
+    verdict = F.when(F.col("prediction") != "uncertain", F.col("prediction")) \
+        .when(F.col("p_spam") > F.col("p_ham"), "spam").otherwise("ham")
+    return scores.groupBy(*by).agg(F.count(F.lit(1)).alias("n"),
+                                   F.count(F.when(verdict != F.col(truth), 1)).alias("errors"))

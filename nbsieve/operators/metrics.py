@@ -4,10 +4,11 @@ Input: a scores table with ``model``, ``label`` (truth) and a decided
 ``raw_prediction`` (spam/ham) plus ``p_spam`` for the curves. Positive
 class is spam; any non-positive value is negative.
 
-Curves and AUCs are computed on per-(model, score) aggregates (distinct
-scores, rounded to 12 places so ties do not depend on summation order),
-with running totals from ``running_totals`` (bounded bins floor(p * 2^20),
-prefix offsets, window per bin) -- never one task for a whole model.
+Curves and AUCs are computed on per-(model, score) aggregates with running
+totals from ``running_totals`` -- never one task for a whole model. ``score``
+is any column that orders the documents; scores of the models are ranked by
+their log-odds (``nb.score(..., log_odds=True)``), which unlike probabilities
+do not run together near 0 and 1. Scores count as they are, unrounded.
 """
 
 from __future__ import annotations
@@ -71,11 +72,11 @@ def score_groups(scores: DataFrame, by=("model",), truth: str = "label",
     ascending) plus group totals ``P``/``N``."""
     by = list(by)
     t = (F.col(truth) == POS).cast("long")
-    g = scores.groupBy(*by, F.round(F.col(score), 12).alias("s")).agg(
-        F.sum(t).alias("pos"), F.sum(1 - t).alias("neg")).persist()  # read 3x below
+    g = scores.groupBy(*by, F.col(score).alias("s")).agg(
+        F.sum(t).alias("pos"), F.sum(1 - t).alias("neg"))
     rt = running_totals(g, by, "s", ["pos", "neg"])
-    tot = g.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return rt.join(F.broadcast(tot), by) if by else rt.crossJoin(F.broadcast(tot))
+    tot = rt.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    return rt.join(tot, by) if by else rt.crossJoin(F.broadcast(tot))
 
 
 def curve_metrics(scores: DataFrame, by=("model",), truth: str = "label",
@@ -101,9 +102,15 @@ def evaluate(scores: DataFrame, by=("model",), truth: str = "label",
              pred: str = "raw_prediction", score: str = "p_spam") -> DataFrame:
     """L4: confusion + report + curve metrics, one row per group."""
     by = list(by)
-    cm = confusion(scores, by, truth, pred)
-    rep = cm.select(*by, "tp", "tn", "fp", "fn", *report_columns())
-    return rep.join(curve_metrics(scores, by, truth, score), by, "left")
+    return report(scores, by, truth, pred).join(
+        curve_metrics(scores, by, truth, score), by, "left")
+
+
+def report(scores: DataFrame, by=("model",), truth: str = "label",
+           pred: str = "raw_prediction") -> DataFrame:
+    """Confusion counts and the report, without the curves."""
+    by = list(by)
+    return confusion(scores, by, truth, pred).select(*by, "tp", "tn", "fp", "fn", *report_columns())
 
 
 def roc_points(scores: DataFrame, by=("model",), truth: str = "label",
@@ -139,15 +146,16 @@ def pr_points(scores: DataFrame, by=("model",), truth: str = "label",
 
 def tuned_threshold(scores: DataFrame, by=("model",), truth: str = "label",
                     score: str = "p_spam", min_precision: float = C.THRESHOLD_MIN_PRECISION,
-                    min_recall: float = C.THRESHOLD_MIN_RECALL) -> DataFrame:
-    """Lowest threshold meeting both targets, else 0.5."""
+                    min_recall: float = C.THRESHOLD_MIN_RECALL,
+                    default: float = 0.5) -> DataFrame:
+    """Lowest threshold meeting both targets, else ``default``."""
     by = list(by)
     p = pr_points(scores, by, truth, score).where(F.col("threshold").isNotNull())
     ok = (F.col("precision") >= min_precision) & (F.col("recall") >= min_recall)
     groups = scores.select(*by).distinct()
     best = p.where(ok).groupBy(*by).agg(F.min("threshold").alias("__t"))
     return groups.join(best, by, "left").select(
-        *by, F.coalesce(F.col("__t"), F.lit(0.5)).alias("threshold"))
+        *by, F.coalesce(F.col("__t"), F.lit(float(default))).alias("threshold"))
 
 
 def error_breakdown(scores: DataFrame, by=("model",), truth: str = "label",

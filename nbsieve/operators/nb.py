@@ -45,9 +45,7 @@ CLASSES = ("ham", "spam")
 def tokenize(df: DataFrame, text_col: str = "text", lemmas: DataFrame | None = None,
              keep=None) -> DataFrame:
     """Adds ``tokens`` (F9). ``keep`` = columns to keep (default all but text)."""
-    df2, lm = T.with_lemma_map(df, lemmas)
-    keep = keep if keep is not None else [c for c in df.columns if c != text_col]
-    return T.add_tokens(df2, text_col, "tokens", lm, keep=keep)
+    return T.add_tokens(df, text_col, "tokens", lemmas, keep=keep)
 
 
 # ---------------------------------------------------------------------------
@@ -131,9 +129,6 @@ class NBModel:
     def broadcastable(self, bytes_per_row: int = 96) -> bool:
         return self.vocab_size * bytes_per_row <= C.BROADCAST_MAX_BYTES
 
-    def counts_for_join(self) -> DataFrame:
-        return F.broadcast(self.counts) if self.broadcastable() else self.counts.hint("merge")
-
 
 def class_stats(all_counts: DataFrame) -> DataFrame:
     """A1 + class token totals, one row: n_docs_spam, n_docs_ham, n_docs,
@@ -285,9 +280,13 @@ def features_from_aggregates() -> list[Column]:
     return [f.alias(nm) for f, nm in zip(feats, C.GAUSSIAN_FEATURES)]
 
 
+def _temperature(n_tokens: Column) -> Column:
+    return F.greatest(F.lit(1.0), F.greatest(F.lit(1), n_tokens) / 10.0)
+
+
 def _posterior(lp_spam: Column, lp_ham: Column, n_tokens: Column, prefix: str) -> list[Column]:
     """M4 + M5: temperature and log-sum-exp normalisation."""
-    t = F.greatest(F.lit(1.0), F.greatest(F.lit(1), n_tokens) / 10.0)
+    t = _temperature(n_tokens)
     s_spam = lp_spam / t
     s_ham = lp_ham / t
     m = F.greatest(s_spam, s_ham)
@@ -388,9 +387,13 @@ def posterior_struct(lp_spam: Column, lp_ham: Column, n_tokens: Column) -> list[
 def score(model: NBModel, tok: DataFrame, alpha: float = C.ALPHA, models=MODELS,
           decision_threshold: float = C.DECISION_THRESHOLD,
           confidence_threshold: float = C.CONFIDENCE_THRESHOLD,
-          keep=("doc_id", "label")) -> DataFrame:
+          keep=("doc_id", "label"), log_odds: bool = False) -> DataFrame:
     """Long table ``(doc_id, [label], model, n_tokens, p_spam, p_ham,
-    raw_prediction, prediction, confidence, is_confident)``."""
+    raw_prediction, prediction, confidence, is_confident)``. With
+    ``log_odds`` also ln(p_spam / p_ham), computed from the tempered log
+    posteriors (it keeps its precision where the probabilities have become 0
+    or 1) and rounded to 9 places, so that equal documents tie whatever the
+    order their terms were added in."""
     alphas = [alpha]
     keep = [c for c in keep if c in tok.columns]
     frame = with_model_constants(
@@ -399,10 +402,13 @@ def score(model: NBModel, tok: DataFrame, alpha: float = C.ALPHA, models=MODELS,
     lp = frame.select(*keep, "n_tokens", *log_posteriors(frame, model, alphas, models))
     per_model = F.array(*[
         F.struct(F.lit(m).alias("model"),
-                 *_posterior(F.col(f"{m}_lp_spam"), F.col(f"{m}_lp_ham"), F.col("n_tokens"), ""))
+                 *_posterior(F.col(f"{m}_lp_spam"), F.col(f"{m}_lp_ham"), F.col("n_tokens"), ""),
+                 F.round((F.col(f"{m}_lp_spam") - F.col(f"{m}_lp_ham"))
+                         / _temperature(F.col("n_tokens")), 9).alias("log_odds"))
         for m in models])
     x = lp.select(*keep, "n_tokens", F.explode(per_model).alias("s")) \
-          .select(*keep, "n_tokens", "s.model", "s.p_spam", "s.p_ham")
+          .select(*keep, "n_tokens", "s.model", "s.p_spam", "s.p_ham",
+                  *(["s.log_odds"] if log_odds else []))
     return x.select("*", *decide(F.col("p_spam"), F.col("p_ham"),
                                  F.lit(decision_threshold), F.lit(confidence_threshold)))
 
@@ -413,12 +419,8 @@ def explanation(prediction: Column, confidence: Column, p_spam: Column, p_ham: C
     thr = _py_float(confidence_threshold)
     return F.when(
         is_confident,
-        F.format_string(f"Confident %s (P=%.4f >= threshold={thr})",
-                        F.upper(prediction), confidence),
-    ).otherwise(F.format_string(
-        "UNCERTAIN - P(spam)=%.4f, P(ham)=%.4f. Neither class exceeds "
-        f"threshold={thr}. This message is ambiguous — different people might "
-        "classify it differently.", p_spam, p_ham))
+        F.format_string(C.CONFIDENT_TEXT.format(thr), F.upper(prediction), confidence),
+    ).otherwise(F.format_string(C.UNCERTAIN_TEXT.format(thr), p_spam, p_ham))
 
 
 def _py_float(x: float) -> str:

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from nbsieve.session import cut_lineage
+
 
 def _cols(xs) -> list[str]:
     return [xs] if isinstance(xs, str) else list(xs)
@@ -44,20 +46,19 @@ def rank_by_hash(df: DataFrame, part_cols, hash_col: str, tie_col: str,
             .drop(b, "__off")
 
 
-def running_totals(df: DataFrame, part_cols, order_col: str, value_cols,
-                   bin_bits: int = 20) -> DataFrame:
+def running_totals(df: DataFrame, part_cols, order_col: str, value_cols) -> DataFrame:
     """Inclusive ascending running sums ``cum_<v>`` of ``value_cols`` over
-    ``order_col`` within ``part_cols``.
+    ``order_col`` within ``part_cols``, for any values of ``order_col`` that
+    are unique per group.
 
-    For keys in [0, 1] (probabilities) already rounded to 12 decimals and
-    unique per (part_cols, order_col): bins are ``floor(key * 2**bin_bits)``,
-    monotone in the key. Both sides are bounded whatever the data size: at
-    most 2**bin_bits bins per group (the prefix window runs on that small
-    table) and at most 1e-12 resolution -> ~1e6 distinct keys per bin (the
-    window inside a bin)."""
+    The rows are range-partitioned by (group, key) and stored, so that every
+    partition holds a stretch of the order whatever the values' distribution;
+    totals per (group, partition) -- a table of one row per partition and
+    group -- give the offsets, and the window sees one stretch."""
     part = _cols(part_cols)
     vals = _cols(value_cols)
-    x = df.withColumn("__bin", F.floor(F.col(order_col) * float(2 ** bin_bits)).cast("long"))
+    x = cut_lineage(df.repartitionByRange(*part, order_col)
+                    .withColumn("__bin", F.spark_partition_id()))
     per_bin = x.groupBy(*part, "__bin").agg(*[F.sum(v).alias(v) for v in vals])
     w_prev = Window.partitionBy(*part).orderBy("__bin") \
                    .rowsBetween(Window.unboundedPreceding, -1)
@@ -71,6 +72,20 @@ def running_totals(df: DataFrame, part_cols, order_col: str, value_cols,
     return x.drop("__bin", *[f"__off_{v}" for v in vals])
 
 
+def positions(df: DataFrame, order, out: str = "position") -> DataFrame:
+    """1-based position of every row in the global ``order`` (a list of
+    columns, maybe descending, that leaves no ties): range-partitioned and
+    stored, then numbered per partition with offsets from the partitions'
+    counts. The distribution of the keys does not matter."""
+    x = cut_lineage(df.repartitionByRange(*order).withColumn("__bin", F.spark_partition_id()))
+    n = x.groupBy("__bin").agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
+    offs = n.select("__bin", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__off"))
+    x = x.join(F.broadcast(offs), "__bin")  # one row per partition
+    rank = F.row_number().over(Window.partitionBy("__bin").orderBy(*order))
+    return x.withColumn(out, (F.col("__off") + rank).cast("bigint")).drop("__bin", "__off")
+
+
 def seeded_hash(seed, key: Column | str) -> Column:
     """Deterministic order key: md5('<seed>-<key>'); same value in DuckDB."""
     k = F.col(key) if isinstance(key, str) else key

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nbsieve import config as C
+from nbsieve.functions.text import py_strip
 
 
 def char_length(text: Column) -> Column:
@@ -83,7 +84,7 @@ def longer_class(msgs: DataFrame) -> DataFrame:
 
 def raw_label_distribution(raw: DataFrame, col: str = "raw_label") -> DataFrame:
     """Count and % of total per trimmed, lower-cased raw label."""
-    x = raw.select(F.lower(F.trim(F.col(col).cast("string"))).alias("raw_label"))
+    x = raw.select(F.lower(py_strip(F.col(col).cast("string"))).alias("raw_label"))
     g = x.groupBy("raw_label").agg(F.count(F.lit(1)).alias("n"))
     tot = g.agg(F.sum("n").alias("__t"))
     return g.crossJoin(F.broadcast(tot)).select("raw_label", "n",
@@ -93,7 +94,7 @@ def raw_label_distribution(raw: DataFrame, col: str = "raw_label") -> DataFrame:
 def mapped_label_distribution(raw: DataFrame, col: str = "raw_label") -> DataFrame:
     """The profiler's smaller label sets, then '1'/'0', else skipped;
     all three outcomes reported, with % of total."""
-    r = F.lower(F.trim(F.col(col).cast("string")))
+    r = F.lower(py_strip(F.col(col).cast("string")))
     m = F.when(r.isin(*C.PROFILE_SPAM_LABELS), "spam").when(r.isin(*C.PROFILE_HAM_LABELS), "ham") \
          .when(r == "1", "spam").when(r == "0", "ham").otherwise("skipped")
     g = raw.select(m.alias("mapped")).groupBy("mapped").agg(F.count(F.lit(1)).alias("n"))
@@ -119,10 +120,11 @@ def composition(msgs: DataFrame) -> DataFrame:
         "n_sources")
 
 
-def category_counts(df: DataFrame, split: str, category: str, row_id: str) -> DataFrame:
+def category_counts(df: DataFrame, split: str, category: str, category_id: str,
+                    row_id: str) -> DataFrame:
     """Category counts per split with rank (desc, ties by category)
-    and the first-seen id of each category."""
+    and the category id of each category's first row (smallest row id)."""
     g = df.groupBy(split, category).agg(F.count(F.lit(1)).alias("n"),
-                                        F.min(row_id).alias("first_seen_id"))
+                                        F.min_by(category_id, row_id).alias("first_seen_id"))
     w = Window.partitionBy(split).orderBy(F.desc("n"), F.asc(category))
     return g.withColumn("rank", F.row_number().over(w))

@@ -14,17 +14,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nbsieve import config as C
+from nbsieve.functions.text import is_blank
 from nbsieve.operators import nb
 
-MAX_RULES = 10_000
 
-
-def rules_from_table(rules: DataFrame) -> list[tuple[str, float]]:
-    """A rules table ``(pattern, boost)`` -> list, after a size check."""
-    n = rules.count()
-    if n > MAX_RULES:
-        raise ValueError(f"{n} rules > {MAX_RULES}: too many to fold into one expression")
-    return [(r["pattern"], float(r["boost"])) for r in rules.select("pattern", "boost").collect()]
+def boosts_by_table(docs: DataFrame, rules: DataFrame, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """A29 for a rules *table* ``(pattern, boost)`` of any size: ``(id,
+    boost)`` of every document, 0 where no rule matches.
+
+    A pattern that opens with ``\\b`` and a literal can match only where a
+    word-character run of the lower-cased text starts with that literal, so
+    the literal's first four characters are an equi-join key against the
+    distinct run prefixes of each document, and the regex runs on those
+    candidates alone. Patterns without such a literal are tried on every
+    document (a nested loop with that part of the table only)."""
+    r = rules.select("pattern", F.col("boost").cast("double").alias("boost")).withColumn(
+        "literal", F.when(F.contains("pattern", F.lit("|")), "").otherwise(
+            F.regexp_extract("pattern", r"^\\b([a-z0-9]{4,})(?![?*{])", 1)))
+    low = F.lower(F.coalesce(F.col(text_col), F.lit("")))
+    d = docs.select(F.col(id_col), low.alias("__low"))
+    runs = F.array_distinct(F.transform(
+        F.regexp_extract_all("__low", F.lit(r"(?U)\w{4,}"), F.lit(0)),
+        lambda x: F.substring(x, 1, 4)))
+    keyed = d.select(id_col, "__low", F.explode(runs).alias("__key"))
+    hit = F.expr("rlike(__low, concat('(?dU)', pattern))")
+    found = keyed.join(r.filter("literal <> ''").withColumn("__key", F.substring("literal", 1, 4)),
+                       "__key").where(hit).select(id_col, "boost")
+    rest = d.join(r.filter("literal = ''"), hit).select(id_col, "boost")
+    best = found.unionByName(rest).groupBy(id_col).agg(F.max("boost").alias("boost"))
+    return docs.select(id_col).join(best, id_col, "left").select(
+        id_col, F.greatest(F.coalesce("boost", F.lit(0.0)), F.lit(0.0)).alias("boost"))
 
 
 def sender_boost(text: Column, rules=C.SENDER_RULES) -> Column:
@@ -32,7 +52,7 @@ def sender_boost(text: Column, rules=C.SENDER_RULES) -> Column:
     low = F.lower(text)
     parts = []
     for p, b in rules:
-        m = re.match(r"\\b([a-z0-9]+)", p)
+        m = None if "|" in p else re.match(r"\\b([a-z0-9]+)(?![?*{])", p)
         hit = low.rlike("(?dU)" + p)
         if m:
             # A match starts with this literal, so containing it is
@@ -68,7 +88,7 @@ def score_requests(model: nb.NBModel, requests: DataFrame, rules=C.SENDER_RULES,
         F.coalesce(F.col("decision_threshold"), F.lit(C.REQUEST_THRESHOLD)).alias("thr"),
         F.coalesce(F.col("use_sender_boost"), F.lit(False)).alias("use_boost"),
         sender_boost(msg, rules).alias("boost"),
-        (F.length(F.trim(msg)) == 0).alias("blank"))
+        is_blank(msg).alias("blank"))
     keep = ["thr", "use_boost", "boost", "blank"]
     tok = nb.tokenize(req.withColumnRenamed("request_id", "doc_id"), keep=["doc_id", *keep])
     frame = nb.with_model_constants(
@@ -97,9 +117,9 @@ def score_requests(model: nb.NBModel, requests: DataFrame, rules=C.SENDER_RULES,
         .otherwise(F.col("confidence")).alias("confidence"),
         F.when(blank, None).when(empty, False).when(flips, True)
         .otherwise(F.col("is_confident")).alias("is_confident"),
-        F.when(blank, "Message cannot be empty")
-        .when(empty, "No meaningful words remaining after preprocessing.")
-        .when(flips, F.format_string("Sender-boosted SPAM (P=%.4f)", F.col("boosted")))
+        F.when(blank, C.BLANK_TEXT)
+        .when(empty, C.NO_WORDS_TEXT)
+        .when(flips, F.format_string(C.BOOSTED_TEXT, F.col("boosted")))
         .otherwise(F.col("explanation")).alias("explanation"),
         F.when(blank, None).when(empty, 0.5).when(changed, F.col("boosted"))
         .otherwise(F.col("p_spam")).alias("p_spam"),
@@ -113,13 +133,7 @@ def inbox_text(subject: Column, snippet: Column) -> Column:
     """P10: subject + ' ' + (snippet or ''); NULL when the subject is
     missing (the row is skipped) or the result is blank."""
     t = F.concat(subject, F.lit(" "), F.coalesce(snippet, F.lit("")))
-    return F.when(subject.isNull() | (F.length(F.trim(t)) == 0), None).otherwise(t)
-
-
-# FIXED VALUES: popup verdict texts.
-POPUP_SPAM = "🔴 Spam Detected"
-POPUP_HAM = "🟢 Legitimate"
-POPUP_UNCERTAIN = "⚠️ Uncertain"
+    return F.when(subject.isNull() | is_blank(t), None).otherwise(t)
 
 
 def badges(prediction: Column, confidence: Column) -> list[Column]:
@@ -130,8 +144,8 @@ def badges(prediction: Column, confidence: Column) -> list[Column]:
     return [
         F.when(prediction == "spam", F.format_string("[SPAM %.0f%%]", conf))
         .otherwise(F.lit("[HAM]")).alias("badge"),
-        F.when(prediction == "spam", F.lit(POPUP_SPAM)).when(prediction == "ham", F.lit(POPUP_HAM))
-        .otherwise(F.lit(POPUP_UNCERTAIN)).alias("popup_verdict"),
+        F.when(prediction == "spam", F.lit(C.POPUP_SPAM)).when(prediction == "ham", F.lit(C.POPUP_HAM))
+        .otherwise(F.lit(C.POPUP_UNCERTAIN)).alias("popup_verdict"),
         F.format_string("%.1f%%", conf).alias("popup_confidence"),
     ]
 

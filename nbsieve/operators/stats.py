@@ -1,93 +1,87 @@
 """Statistical comparison.
 
-* Student-t CDF for integer degrees of freedom in closed form (finite
-  trigonometric series, Abramowitz & Stegun 26.7.3-4) as column
-  expressions; quantiles by bisection of the same series (one scalar).
-* chi-square(1) upper tail ``erfc(sqrt(x/2))``: Spark has no erfc, so a
-  vectorised pandas UDF runs on the one-row-per-pair aggregate.
+* Student-t CDF for any integer degrees of freedom: the finite trigonometric
+  series (Abramowitz & Stegun 26.7.3-4) as one fold over its terms;
+  quantiles by bisection of the same series, also as a fold.
+* chi-square(1) upper tail ``erfc(sqrt(x/2))``: Spark has no erfc, so the
+  Maclaurin series below z = 2.5 and the continued fraction above it, again as
+  folds. All of it runs on one-row-per-comparison aggregates.
+
+A statistic that is not defined (fewer than two folds) gives a NULL p-value,
+and a NULL p-value gives a NULL verdict.
 """
 
 from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
-MAX_DF = 60
+from nbsieve import config as C
 
+BISECTIONS = 120
 
-def _t_abs_cdf_terms(theta: Column, nu: int) -> Column:
-    """A(t|nu) = P(|T| <= t) for t >= 0."""
+
+def t_abs_cdf(t: Column, nu: Column) -> Column:
+    """A(t|nu) = P(|T| <= t) for t >= 0 and integer nu >= 1 (else NULL)."""
+    nu = F.when(nu >= 1, nu.cast("double"))
+    theta = F.atan(t / F.sqrt(nu))
     s, c = F.sin(theta), F.cos(theta)
-    if nu == 1:
-        return 2 * theta / math.pi
-    if nu % 2 == 1:
-        acc, coef, total = F.lit(0.0), 1.0, None
-        total = c
-        for j in range(1, (nu - 3) // 2 + 1):
-            coef *= (2 * j) / (2 * j + 1)
-            total = total + coef * F.pow(c, 2 * j + 1)
-        return (2 / math.pi) * (theta + s * total)
-    total, coef = F.lit(1.0), 1.0
-    for j in range(1, (nu - 2) // 2 + 1):
-        coef *= (2 * j - 1) / (2 * j)
-        total = total + coef * F.pow(c, 2 * j)
-    return s * total
+    odd = (nu % 2) == 1
+    terms = F.when(odd, (nu - 1) / 2).otherwise(nu / 2).cast("int")  # in the sum
+    zero = F.struct(F.lit(1.0).alias("term"), F.lit(0.0).alias("total"))
+
+    def step(acc: Column, j: Column) -> Column:
+        ratio = F.when(odd, 2 * j / (2 * j + 1)).otherwise((2 * j - 1) / (2 * j))
+        return F.struct((acc["term"] * ratio * c * c).alias("term"),
+                        (acc["total"] + acc["term"]).alias("total"))
+
+    total = F.when(terms > 0, F.aggregate(F.sequence(F.lit(1), F.greatest(terms, F.lit(1))),
+                                          zero, step)["total"]).otherwise(F.lit(0.0))
+    value = F.when(odd, (2 / math.pi) * (theta + s * c * total)).otherwise(s * total)
+    return value
 
 
 def t_two_sided_p(t: Column, df: Column) -> Column:
-    """Two-sided p-value 1 - A(|t| | df) for integer df in 1..MAX_DF."""
-    theta = F.atan(F.abs(t) / F.sqrt(df.cast("double")))
-    expr = None
-    for nu in range(1, MAX_DF + 1):
-        v = 1 - _t_abs_cdf_terms(theta, nu)
-        expr = F.when(df == nu, v) if expr is None else expr.when(df == nu, v)
-    return expr
-
-
-def _t_abs_cdf_py(t: float, nu: int) -> float:
-    theta = math.atan(abs(t) / math.sqrt(nu))
-    s, c = math.sin(theta), math.cos(theta)
-    if nu == 1:
-        return 2 * theta / math.pi
-    if nu % 2 == 1:
-        total, coef = c, 1.0
-        for j in range(1, (nu - 3) // 2 + 1):
-            coef *= (2 * j) / (2 * j + 1)
-            total += coef * c ** (2 * j + 1)
-        return (2 / math.pi) * (theta + s * total)
-    total, coef = 1.0, 1.0
-    for j in range(1, (nu - 2) // 2 + 1):
-        coef *= (2 * j - 1) / (2 * j)
-        total += coef * c ** (2 * j)
-    return s * total
-
-
-def t_quantile(q: float, nu: int) -> float:
-    """Upper quantile of Student t (q in (0.5, 1)) by bisection."""
-    target = 2 * q - 1
-    lo, hi = 0.0, 1.0
-    while _t_abs_cdf_py(hi, nu) < target:
-        hi *= 2
-    for _ in range(200):
-        mid = (lo + hi) / 2
-        if _t_abs_cdf_py(mid, nu) < target:
-            lo = mid
-        else:
-            hi = mid
-    return (lo + hi) / 2
+    """Two-sided p-value 1 - A(|t| | df)."""
+    return 1 - t_abs_cdf(F.abs(t), df)
 
 
 def t_critical(n: Column, q: float = 0.975) -> Column:
-    """t quantile for df = n - 1 (n in 2..MAX_DF+1) as a CASE of constants."""
-    expr = None
-    for nu in range(1, MAX_DF + 1):
-        v = F.lit(t_quantile(q, nu))
-        expr = F.when(n - 1 == nu, v) if expr is None else expr.when(n - 1 == nu, v)
-    return expr
+    """Upper t quantile for df = n - 1 (n >= 2, else NULL): bisection on a
+    logarithmic scale (the quantile of one degree of freedom bounds it)."""
+    target = 2 * q - 1
+    top = math.log(2 / (math.pi * (1 - q))) + 1.0
+    zero = F.struct(F.lit(-top).alias("lo"), F.lit(top).alias("hi"))
+
+    def halve(acc: Column, _: Column) -> Column:
+        mid = (acc["lo"] + acc["hi"]) / 2
+        low = t_abs_cdf(F.exp(mid), n - 1) < target
+        return F.struct(F.when(low, mid).otherwise(acc["lo"]).alias("lo"),
+                        F.when(low, acc["hi"]).otherwise(mid).alias("hi"))
+
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(BISECTIONS)), zero, halve)
+    return F.when(n >= 2, F.exp((found["lo"] + found["hi"]) / 2))
+
+
+def erfc(z: Column) -> Column:
+    """Complementary error function for z >= 0."""
+    series = F.aggregate(
+        F.sequence(F.lit(1), F.lit(80)),
+        F.struct(z.alias("term"), z.alias("total")),
+        lambda a, j: F.struct((a["term"] * 2 * z * z / (2 * j + 1)).alias("term"),
+                              (a["total"] + a["term"] * 2 * z * z / (2 * j + 1)).alias("total")))
+    far = F.greatest(z, F.lit(2.5))
+    fraction = F.aggregate(F.sequence(F.lit(120), F.lit(1), F.lit(-1)), far,
+                           lambda a, j: far + (j / 2.0) / a)
+    scale = F.exp(-z * z) / math.sqrt(math.pi)
+    return F.when(z < 2.5, 1 - 2 * scale * series["total"]).otherwise(scale / fraction)
+
+
+def chi2_1_upper_tail(x: Column) -> Column:
+    """P(chi2_1 > x)."""
+    return erfc(F.sqrt(x / 2.0))
 
 
 def confidence_interval(df: DataFrame, value: str, by=()) -> DataFrame:
@@ -117,15 +111,9 @@ def paired_t_test(cv: DataFrame, model_a: str, model_b: str, value: str = "accur
     rej = F.col("p_value") < alpha
     return x.withColumn("reject_null", rej).withColumn(
         "conclusion",
-        F.when(rej & (F.col("mean_diff") > 0), f"{model_a} is SIGNIFICANTLY BETTER than {model_b}")
-        .when(rej, f"{model_b} is SIGNIFICANTLY BETTER than {model_a}")
-        .otherwise("No significant difference between the two models"))
-
-
-@F.pandas_udf(DoubleType())
-def chi2_1_upper_tail(x: pd.Series) -> pd.Series:
-    """P(chi2_1 > x) = erfc(sqrt(x / 2)); runs on one row per model pair."""
-    return x.map(lambda v: math.erfc(math.sqrt(v / 2.0)) if v is not None else None)
+        F.when(rej & (F.col("mean_diff") > 0), C.BETTER_THAN.format(model_a, model_b))
+        .when(rej, C.BETTER_THAN.format(model_b, model_a))
+        .when(~rej, C.NO_DIFFERENCE))
 
 
 def mcnemar(scores: DataFrame, model_a: str, others=None, truth: str = "label",
@@ -146,10 +134,11 @@ def mcnemar(scores: DataFrame, model_a: str, others=None, truth: str = "label",
     chi2 = F.when(bc == 0, F.lit(0.0)).otherwise(
         F.pow(F.abs(F.col("b") - F.col("c")) - 1, 2) / bc)
     x = g.select(F.lit(model_a).alias("model_a"), "model_b", "b", "c", chi2.alias("chi2"))
-    x = x.withColumn("p_value", F.when(bc == 0, F.lit(1.0)).otherwise(chi2_1_upper_tail("chi2")))
+    x = x.withColumn("p_value", F.when(bc == 0, F.lit(1.0))
+                     .otherwise(chi2_1_upper_tail(F.col("chi2"))))
     rej = F.col("p_value") < alpha
     return x.withColumn("reject_null", rej).withColumn(
         "conclusion",
-        F.when(rej & (F.col("b") > F.col("c")), F.lit(f"{model_a} is SIGNIFICANTLY BETTER"))
-        .when(rej, F.concat(F.col("model_b"), F.lit(" is SIGNIFICANTLY BETTER")))
-        .otherwise("No significant difference between the two models"))
+        F.when(rej & (F.col("b") > F.col("c")), C.BETTER.format(model_a))
+        .when(rej, F.concat(F.col("model_b"), F.lit(C.BETTER.format(""))))
+        .when(~rej, C.NO_DIFFERENCE))

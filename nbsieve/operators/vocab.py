@@ -7,23 +7,12 @@ from pyspark.sql import functions as F
 
 from nbsieve import config as C
 from nbsieve.operators import nb
+from nbsieve.operators.ordered import positions
 
 
-def sorted_positions(v: DataFrame, key: str = "token", out: str = "position",
-                     prefix_chars: int = 2) -> DataFrame:
-    """1-based position in code-point (binary) order without a
-    single-task window: bins = the key's first characters (monotone in
-    binary order), per-bin counts -> prefix offsets (small) -> row_number
-    within the bin. A hot prefix only holds distinct keys, so its size is
-    bounded by the vocabulary, not by the corpus."""
-    b = F.substring(F.col(key), 1, prefix_chars)
-    x = v.withColumn("__b", b)
-    counts = x.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select("__b", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
-    x = x.join(F.broadcast(offs), "__b")
-    wi = Window.partitionBy("__b").orderBy(F.col(key))
-    return x.select(*v.columns, (F.col("__off") + F.row_number().over(wi)).cast("bigint").alias(out))
+def sorted_positions(v: DataFrame, key: str = "token", out: str = "position") -> DataFrame:
+    """1-based position in code-point (binary) order."""
+    return positions(v, [F.col(key).asc()], out)
 
 
 def top_words_per_class(all_counts: DataFrame, n: int = 20) -> DataFrame:
@@ -68,11 +57,8 @@ def log_ratio(model: nb.NBModel, alpha: float = C.ALPHA) -> DataFrame:
 
 def top_k_global(df: DataFrame, order, k: int, small_k: int = 1000) -> DataFrame:
     """Global top-k. Small k: ``orderBy().limit()`` (each partition keeps k
-    rows, one task merges them). Large k: a range-partitioned sort, then
-    the first k rows by scan order via per-partition prefix offsets, so no
-    task ever holds k rows from every partition."""
+    rows, one task merges them). Large k: the distributed position of every
+    row, so no task ever holds k rows from every partition."""
     if k <= small_k:
         return df.orderBy(*order).limit(k)
-    from nbsieve.sources.loaders import first_n_in_order
-    s = df.orderBy(*order).withColumn("__row", F.monotonically_increasing_id())
-    return first_n_in_order(s, "__row", k).drop("__row")
+    return positions(df, order, "__position").where(F.col("__position") <= k).drop("__position")

@@ -188,7 +188,10 @@ def long_scores(name: str = "sco", keep: str = "label", models=("multinomial", "
     parts = []
     for m in models:
         ps, ph = posterior_sql(f"{short[m]}_lp_spam", f"{short[m]}_lp_ham", "n_tokens")
-        parts.append(f"SELECT doc_id, {keep}, '{m}' AS model, n_tokens, {ps} AS p_spam, {ph} AS p_ham FROM {name}")
+        lo = (f"round(({short[m]}_lp_spam - {short[m]}_lp_ham) "
+              "/ greatest(1.0, greatest(1, n_tokens) / 10.0), 9)")
+        parts.append(f"SELECT doc_id, {keep}, '{m}' AS model, n_tokens, {ps} AS p_spam, {ph} AS p_ham, "
+                     f"{lo} AS log_odds FROM {name}")
     u = "\n    UNION ALL ".join(parts)
     return f"""{out}_p AS ({u}),
 {out} AS (
@@ -239,9 +242,9 @@ def metrics_sql(src: str = "lsc", by: str = "model") -> str:
 ),
 rep AS (SELECT {by}, tp, tn, fp, fn, {sel} FROM cm),
 sg AS (
-  SELECT {by}, round(p_spam, 12) AS s, sum(CASE WHEN label = 'spam' THEN 1 ELSE 0 END) AS pos,
+  SELECT {by}, log_odds AS s, sum(CASE WHEN label = 'spam' THEN 1 ELSE 0 END) AS pos,
          sum(CASE WHEN label = 'spam' THEN 0 ELSE 1 END) AS neg
-  FROM {src} GROUP BY {by}, round(p_spam, 12)
+  FROM {src} GROUP BY {by}, log_odds
 ),
 rt AS (
   SELECT *, sum(pos) OVER (PARTITION BY {by} ORDER BY s) AS cum_pos,

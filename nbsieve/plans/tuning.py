@@ -73,18 +73,6 @@ def best_alpha(sweep: DataFrame, metric: str = "f1", default: float | None = Non
 # Cross-validation
 # ---------------------------------------------------------------------------
 
-def fold_counts(tok: DataFrame) -> DataFrame:
-    """(fold, token, n_spam, n_ham, df_spam, df_ham) incl. the '' sentinel."""
-    sp = F.col("label") == "spam"
-    x = nb._flagged_tokens(tok, ["fold", "label"], sentinel=True)
-    return x.groupBy("fold", "token").agg(
-        F.sum(F.when(sp, F.col("o")).otherwise(0)).cast("bigint").alias("n_spam"),
-        F.sum(F.when(~sp, F.col("o")).otherwise(0)).cast("bigint").alias("n_ham"),
-        F.sum(F.when(sp, F.col("d")).otherwise(0)).cast("bigint").alias("df_spam"),
-        F.sum(F.when(~sp, F.col("d")).otherwise(0)).cast("bigint").alias("df_ham"),
-    )
-
-
 def fold_models(tok: DataFrame, k: int, min_df: int = C.MIN_DF, max_df: float = C.MAX_DF):
     """Training counts per fold = totals - fold counts, from ONE
     aggregation by token: conditional sums per (fold, class) give a bounded
@@ -113,7 +101,8 @@ def fold_models(tok: DataFrame, k: int, min_df: int = C.MIN_DF, max_df: float =
         for f in range(1, k + 1)])
     train = wide.select("token", F.explode(per_fold).alias("r")) \
                 .select(F.col("r.fold").alias("fold"), "token",
-                        *[F.col(f"r.{c}").alias(c) for c in cnt]).persist()
+                        *[F.col(f"r.{c}").alias(c) for c in cnt])
+    train = cut_lineage(train)
     docs = train.where(F.col("token") == "").select(
         "fold", F.col("df_spam").alias("n_docs_spam"), F.col("df_ham").alias("n_docs_ham"))
     # Class token totals of the training folds (every token, pruned ones too).
@@ -136,33 +125,53 @@ def fold_models(tok: DataFrame, k: int, min_df: int = C.MIN_DF, max_df: float =
     return vocab, stats
 
 
+def _deviation(f: str):
+    """Adds a part's n (mean - whole mean)^2 of feature ``f``."""
+    return lambda s, p: s + p["n"] * F.pow(p[f"mu_{f}"] - F.col(f"mean_{f}"), 2)
+
+
 def fold_gaussian(docs: DataFrame, k: int, alpha: float = C.ALPHA) -> DataFrame:
-    """A9 per fold over the training folds, from one row per document with
-    its features: each row is copied to the k-1 folds it trains (bounded by
-    k per document, not per token)."""
+    """A9 per fold over the training folds, from one row per document with its
+    features: count, mean and squared deviations per (fold, class), then the
+    other folds' moments merged pairwise-exactly (k rows, no copy of a
+    document). A training fold set without a class has NULL moments."""
+    feats = list(C.GAUSSIAN_FEATURES)
+    per = docs.groupBy("fold", "label").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.avg(f).alias(f"mu_{f}") for f in feats],
+        *[(F.var_pop(f) * F.count(f)).alias(f"m2_{f}") for f in feats])
     folds = docs.sparkSession.range(1, k + 1).select(F.col("id").alias("f"))
-    x = docs.select("fold", "label", *C.GAUSSIAN_FEATURES) \
-            .crossJoin(F.broadcast(folds)).where(F.col("f") != F.col("fold"))
+    x = per.join(F.broadcast(folds), F.col("f") != F.col("fold"))   # at most k * k * 2 rows
+    merged = x.groupBy("f", "label").agg(
+        F.sum("n").alias("N"),
+        *[(F.sum(F.col("n") * F.col(f"mu_{f}")) / F.sum("n")).alias(f"mean_{f}") for f in feats],
+        *[F.sum(f"m2_{f}").alias(f"within_{f}") for f in feats],
+        F.collect_list(F.struct("n", *[f"mu_{f}" for f in feats])).alias("parts"))
+    out = [F.col("f").alias("fold"), "label"]
+    for f in feats:
+        between = F.aggregate("parts", F.lit(0.0), _deviation(f))
+        out += [F.col(f"mean_{f}").alias(f"mu_{f}"),
+                ((F.col(f"within_{f}") + between) / F.col("N")).alias(f"v_{f}")]
+    m = merged.select(*out)
     aggs = []
     for c in nb.CLASSES:
-        for f in C.GAUSSIAN_FEATURES:
-            v = F.when(F.col("label") == c, F.col(f))
-            aggs += [F.avg(v).alias(f"g_mu_{c}_{f}"),
-                     (F.var_pop(v) + alpha * C.GAUSSIAN_VAR_EPS).alias(f"g_var_{c}_{f}")]
-    return x.groupBy(F.col("f").alias("fold")).agg(*aggs)
+        for f in feats:
+            pick = lambda col, c=c: F.max(F.when(F.col("label") == c, F.col(col)))
+            aggs += [pick(f"mu_{f}").alias(f"g_mu_{c}_{f}"),
+                     (pick(f"v_{f}") + alpha * C.GAUSSIAN_VAR_EPS).alias(f"g_var_{c}_{f}")]
+    return m.groupBy("fold").agg(*aggs)
 
 
 def cross_validate(msgs: DataFrame, k: int = C.K_FOLDS, alphas=None,
                    models=("multinomial", "bernoulli", "gaussian"),
-                   seed=C.SEED, min_df: int = C.MIN_DF, max_df: float = C.MAX_DF,
-                   broadcast_rows: int = 2_000_000) -> DataFrame:
+                   seed=C.SEED, min_df: int = C.MIN_DF, max_df: float = C.MAX_DF) -> DataFrame:
     """L3: per (model, fold): n, tp, tn, fp, fn, accuracy. ``alphas`` maps
     model -> alpha (default 1.0 each). Predictions at threshold 0.5."""
     alphas = {m: 1.0 for m in models} | dict(alphas or {})
     if "tokens" in msgs.columns:  # already tokenised (e.g. the prepared set)
-        # Short lineage over checkpointed tokens: keep it in memory/disk
-        # (recomputable) instead of writing it again.
-        tok = with_folds(msgs.select("doc_id", "label", "tokens"), k=k, seed=seed).persist()
+        # Folds are ranked on (doc_id, label) alone and joined to the tokens.
+        fold = with_folds(msgs.select("doc_id", "label"), k=k, seed=seed).select("doc_id", "fold")
+        tok = cut_lineage(msgs.select("doc_id", "label", "tokens").join(fold, "doc_id"))
     else:
         tok = cut_lineage(nb.tokenize(
             with_folds(msgs, k=k, seed=seed).select("doc_id", "label", "fold", "text")))
@@ -177,9 +186,7 @@ def cross_validate(msgs: DataFrame, k: int = C.K_FOLDS, alphas=None,
                   F.log(1 - p).alias(f"l1mp_{c}")]
     w = w.select("fold", "token", *wcols)
     base = w.groupBy("fold").agg(*[F.sum(f"l1mp_{c}").alias(f"base_{c}") for c in nb.CLASSES])
-    small = vocab.count() <= broadcast_rows
-    wj = w.drop("l1mp_spam", "l1mp_ham")
-    wj = F.broadcast(wj) if small else wj.hint("merge")
+    wj = w.drop("l1mp_spam", "l1mp_ham")     # broadcast or not: by its real size
     x = nb._flagged_tokens(tok, ["doc_id", "label", "fold"], sentinel=False)
     j = x.join(wj, ["fold", "token"], "left")
     # One pass per document: model sums and the Gaussian features (exact

@@ -74,6 +74,50 @@ def q_unigrams(spark, sf):
                       (F.size("tokens") - uni).cast("bigint").alias("n_bigrams"))
 
 
+# A small dictionary for F7, the same on both sides.
+_LEMMAS = (("thing", "thin"), ("ention", "ent"), ("blean", "ble"), ("ending", "end"), ("reed", "read"),
+           ("heed", "he"), ("stand", "stan"), ("ingly", "ing"), ("oned", "one"), ("erbe", "erb"))
+
+
+@register("F7_lemmatised_tokens", "WITH " + O.tokens_cte("tok", "documents", "doc_id") + """,
+u AS (SELECT doc_id, list_transform(list_filter(tokens, lambda t: NOT contains(t, '_')),
+        lambda t: CASE t """ + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in _LEMMAS) + """ ELSE t END) AS u FROM tok)
+SELECT doc_id, array_to_string(u, ' ') AS unigrams, array_to_string(list_transform(
+  range(1, greatest(len(u), 1)), lambda i: u[i] || '_' || u[i + 1]), ' ') AS bigrams FROM u""")
+def q_lemmas(spark, sf):
+    """words replaced by their lemma (dictionary joined by word) before
+    the bigrams are formed."""
+    lemmas = spark.createDataFrame(list(_LEMMAS), "token string, lemma string")
+    docs = tables.table(spark, sf, "documents").select("doc_id", "text")
+    tok = nb.tokenize(docs, lemmas=lemmas)
+    pairs = F.filter("tokens", lambda t: t.contains("_"))
+    return tok.select("doc_id", F.array_join(T.unigram_only(F.col("tokens")), " ").alias("unigrams"),
+                      F.array_join(pairs, " ").alias("bigrams"))
+
+
+_RAW = {
+    "punctuation_ratio": "length(regexp_replace(text, '[^" + "".join("\\" + c for c in C.PUNCTUATION_CHARS)
+                         + "]', '', 'g')) / greatest(1, length(text))",
+    "uppercase_ratio": "length(regexp_replace(text, '[^\\p{Lu}]', '', 'g')) "
+                       "/ greatest(1, length(regexp_replace(text, '[^\\p{L}]', '', 'g')))",
+    "digit_ratio": "length(regexp_replace(text, '[^\\p{Nd}]', '', 'g')) / greatest(1, length(text))",
+    "special_char_density": "length(regexp_replace(text, '[\\p{L}\\p{N}" + C.PY_WHITESPACE
+                            + "]', '', 'g')) / greatest(1, length(text))",
+    "sentence_count": "CAST(greatest(1, len(regexp_split_to_array(text, '[.!?]+')) - 1) AS DOUBLE)",
+}
+
+
+@register("F11_F12_raw_features", "SELECT doc_id, " + ", ".join(
+    f"round({v}, 6) + 0.0 AS {k}" for k, v in _RAW.items()) + " FROM documents")
+def q_raw_features(spark, sf):
+    """F11, F12 in raw mode: punctuation, capitals, digits, special
+    characters and sentences of the text itself."""
+    docs = tables.table(spark, sf, "documents").select("doc_id", "text")
+    tok = nb.tokenize(docs, keep=["doc_id", "text"])
+    feats = T.gaussian_features(F.col("tokens"), F.col("text"))
+    return tok.select("doc_id", *feats).select("doc_id", *[r6(k).alias(k) for k in _RAW])
+
+
 @register("F2_F3_page_urls", "SELECT page_id, " + O.words_sql("url") + " AS cleaned FROM pages")
 def q_page_urls(spark, sf):
     pages = tables.table(spark, sf, "pages").select("page_id", "url")
@@ -263,38 +307,40 @@ _METRIC_COLS = ["accuracy", "precision", "recall", "f1", "macro_precision", "mac
                 "roc_auc", "pr_auc"]
 
 
+def _probability(log_odds: str) -> Column:
+    return 1 / (1 + F.exp(-F.col(log_odds)))
+
+
 def _test_scores(spark, sf):
-    # Metrics read the scores several times (confusion, per-score groups,
-    # running totals): keep them (one row per document and model).
     p = _prepared(spark, sf)
-    return nb.score(p.model, p.part("test")).persist()
+    return p.once("test scores", lambda: nb.score(p.model, p.part("test"), log_odds=True))
 
 
 @register("A10_A14_L4_test_metrics", _TEST + """
 SELECT r.*, c.roc_auc, c.pr_auc FROM rep r LEFT JOIN cur c ON r.model = c.model""")
 def q_test_metrics(spark, sf):
-    ev = M.evaluate(_test_scores(spark, sf))
+    ev = M.evaluate(_test_scores(spark, sf), score="log_odds")
     return ev.select("model", "tp", "tn", "fp", "fn", *[r6(c).alias(c) for c in _METRIC_COLS])
 
 
 @register("W1_roc_points", _TEST + """
-SELECT model, round(s, 6) + 0.0 AS threshold, round((N - cum_neg + neg) / N, 6) + 0.0 AS fpr,
+SELECT model, round(1 / (1 + exp(-s)), 6) + 0.0 AS threshold, round((N - cum_neg + neg) / N, 6) + 0.0 AS fpr,
        round((P - cum_pos + pos) / P, 6) + 0.0 AS tpr FROM rt
 UNION ALL SELECT DISTINCT model, NULL, 0.0, 0.0 FROM rt""")
 def q_roc(spark, sf):
-    r = M.roc_points(_test_scores(spark, sf))
-    return r.select("model", r6("threshold").alias("threshold"), r6("fpr").alias("fpr"),
+    r = M.roc_points(_test_scores(spark, sf), score="log_odds")
+    return r.select("model", r6(_probability("threshold")).alias("threshold"), r6("fpr").alias("fpr"),
                     r6("tpr").alias("tpr"))
 
 
 @register("W2_pr_points", _TEST + """
-SELECT model, round(s, 6) + 0.0 AS threshold,
+SELECT model, round(1 / (1 + exp(-s)), 6) + 0.0 AS threshold,
        round((P - cum_pos + pos) / ((P - cum_pos + pos) + (N - cum_neg + neg)), 6) + 0.0 AS precision,
        round(CASE WHEN P = 0 THEN 1.0 ELSE (P - cum_pos + pos) / P END, 6) + 0.0 AS recall FROM rt
 UNION ALL SELECT DISTINCT model, NULL, 1.0, 0.0 FROM rt""")
 def q_pr(spark, sf):
-    r = M.pr_points(_test_scores(spark, sf))
-    return r.select("model", r6("threshold").alias("threshold"), r6("precision").alias("precision"),
+    r = M.pr_points(_test_scores(spark, sf), score="log_odds")
+    return r.select("model", r6(_probability("threshold")).alias("threshold"), r6("precision").alias("precision"),
                     r6("recall").alias("recall"))
 
 
@@ -311,15 +357,15 @@ _VAL = O.with_model("val AS (SELECT * FROM tok WHERE split = 'val')", O.scores_c
 
 
 @register("T9_threshold_tuning", _VAL + """
-SELECT 'multinomial' AS model, round(coalesce(min(s) FILTER (WHERE
+SELECT 'multinomial' AS model, round(coalesce(min(1 / (1 + exp(-s))) FILTER (WHERE
     (P - cum_pos + pos) / ((P - cum_pos + pos) + (N - cum_neg + neg)) >= 0.95
     AND (P - cum_pos + pos) / P >= 0.9), 0.5), 6) + 0.0 AS threshold
 FROM rt WHERE model = 'multinomial'""")
 def q_threshold(spark, sf):
     p = _prepared(spark, sf)
-    s = nb.score(p.model, p.part("val"), models=("multinomial",))
-    t = M.tuned_threshold(s)
-    return t.select("model", r6("threshold").alias("threshold"))
+    s = nb.score(p.model, p.part("val"), models=("multinomial",), log_odds=True)
+    t = M.tuned_threshold(s, score="log_odds", default=0.0)
+    return t.select("model", r6(_probability("threshold")).alias("threshold"))
 
 
 # ---------------------------------------------------------------------------
@@ -372,7 +418,7 @@ def _cv(spark, sf):
     # Train + val recombined; tokens come from the prepared set.
     p = _prepared(spark, sf)
     s = p.tok.where(F.col("split").isin("train", "val"))
-    return tuning.cross_validate(s.select("doc_id", "label", "tokens"))
+    return p.once("cv", lambda: tuning.cross_validate(s.select("doc_id", "label", "tokens")))
 
 
 @register("L3_cross_validation", O.cv_sql() + """
@@ -425,9 +471,9 @@ tt AS (SELECT dm, n, dm / (sd / sqrt(n)) AS t FROM st),
 pv AS (SELECT *, 1 - sin(atan(abs(t) / 2)) * (1 + 0.5 * pow(cos(atan(abs(t) / 2)), 2)) AS p FROM tt)
 SELECT 'multinomial' AS model_a, 'bernoulli' AS model_b, round(t, 6) + 0.0 AS t_statistic,
        CAST(n - 1 AS BIGINT) AS df, round(p, 6) + 0.0 AS p_value, p < 0.05 AS reject_null,
-       CASE WHEN p < 0.05 AND dm > 0 THEN 'multinomial is SIGNIFICANTLY BETTER than bernoulli'
-            WHEN p < 0.05 THEN 'bernoulli is SIGNIFICANTLY BETTER than multinomial'
-            ELSE 'No significant difference between the two models' END AS conclusion
+       CASE WHEN p < 0.05 AND dm > 0 THEN '""" + C.BETTER_THAN.format("multinomial", "bernoulli") + """'
+            WHEN p < 0.05 THEN '""" + C.BETTER_THAN.format("bernoulli", "multinomial") + """'
+            ELSE '""" + C.NO_DIFFERENCE + """' END AS conclusion
 FROM pv""")
 def q_tp(spark, sf):
     """Two-sided p-value of the paired t statistic (closed-form Student-t
@@ -455,7 +501,19 @@ def q_mcnemar(spark, sf):
     return m.select("model_a", "model_b", "b", "c", r6("chi2").alias("chi2"))
 
 
-@register("M7_L5_mcnemar_p_value", None)
+_ERFC = """1 - 2 / sqrt(pi()) * exp(-z * z) * list_sum(list_transform(range(0, 90),
+  lambda k: CASE WHEN z = 0 THEN 0 ELSE exp((2 * k + 1) * ln(z) + 2 * k * ln(2) + lgamma(k + 1)
+    - lgamma(2 * k + 2)) END))"""
+
+
+@register("M7_L5_mcnemar_p_value", _MCN + f"""
+, ch AS (SELECT *, CASE WHEN b + c = 0 THEN 0.0 ELSE pow(abs(b - c) - 1, 2) / (b + c) END AS chi2 FROM bc),
+pv AS (SELECT *, CASE WHEN b + c = 0 THEN 1.0 ELSE {_ERFC} END AS p FROM (SELECT *, sqrt(chi2 / 2) AS z FROM ch))
+SELECT 'multinomial' AS model_a, model_b, CAST(b AS BIGINT) AS b, CAST(c AS BIGINT) AS c,
+  round(chi2, 6) + 0.0 AS chi2, round(p, 6) + 0.0 AS p_value, p < 0.05 AS reject_null,
+  CASE WHEN p < 0.05 AND b > c THEN '{C.BETTER.format('multinomial')}'
+       WHEN p < 0.05 THEN model_b || '{C.BETTER.format('')}' ELSE '{C.NO_DIFFERENCE}' END AS conclusion
+FROM pv""")
 def q_mcnemar_p(spark, sf):
     m = S.mcnemar(_test_scores(spark, sf), "multinomial")
     return m.select("model_a", "model_b", "b", "c", r6("chi2").alias("chi2"),
@@ -490,10 +548,9 @@ def _alld_sql():
         "doc_id, label")
 
 
-_CONF_EXPL = ("CASE WHEN is_confident THEN printf('Confident %s (P=%.4f >= threshold=0.7)', "
-              "upper(raw_prediction), confidence) ELSE printf('UNCERTAIN - P(spam)=%.4f, P(ham)=%.4f. "
-              "Neither class exceeds threshold=0.7. This message is ambiguous — different people might "
-              "classify it differently.', p_spam, p_ham) END")
+_CONF_EXPL = (f"CASE WHEN is_confident THEN printf('{C.CONFIDENT_TEXT.format(0.7)}', "
+              f"upper(raw_prediction), confidence) ELSE printf('{C.UNCERTAIN_TEXT.format(0.7)}', "
+              "p_spam, p_ham) END")
 
 
 @register("S7_I5_P8_M9_request_scoring", O.with_model(
@@ -501,7 +558,7 @@ _CONF_EXPL = ("CASE WHEN is_confident THEN printf('Confident %s (P=%.4f >= thres
 , rq AS (
   SELECT l.doc_id AS request_id, l.n_tokens, l.p_spam, l.p_ham, l.raw_prediction, l.prediction,
          l.confidence, l.is_confident, {_CONF_EXPL} AS explanation,
-         d.text, length(trim(d.text)) = 0 AS blank, {O.boost_sql('d.text', CUSTOM_RULES)} AS boost
+         d.text, NOT regexp_matches(d.text, '[^{C.PY_WHITESPACE}]') AS blank, {O.boost_sql('d.text', CUSTOM_RULES)} AS boost
   FROM lsc l JOIN documents d ON l.doc_id = d.doc_id
 ), rb AS (
   SELECT *, CASE WHEN boost > 0 THEN least(1.0, p_spam + boost) ELSE p_spam END AS boosted FROM rq
@@ -510,8 +567,8 @@ SELECT request_id, CASE WHEN blank THEN 'error' ELSE 'ok' END AS status,
   CASE WHEN blank THEN NULL WHEN n_tokens = 0 THEN 'uncertain' WHEN flips THEN 'spam' ELSE prediction END AS prediction,
   round(CASE WHEN blank THEN NULL WHEN n_tokens = 0 THEN 0.0 WHEN flips THEN boosted ELSE confidence END, 6) + 0.0 AS confidence,
   CASE WHEN blank THEN NULL WHEN n_tokens = 0 THEN false WHEN flips THEN true ELSE is_confident END AS is_confident,
-  CASE WHEN blank THEN 'Message cannot be empty' WHEN n_tokens = 0 THEN 'No meaningful words remaining after preprocessing.'
-       WHEN flips THEN printf('Sender-boosted SPAM (P=%.4f)', boosted) ELSE explanation END AS explanation,
+  CASE WHEN blank THEN '{C.BLANK_TEXT}' WHEN n_tokens = 0 THEN '{C.NO_WORDS_TEXT}'
+       WHEN flips THEN printf('{C.BOOSTED_TEXT}', boosted) ELSE explanation END AS explanation,
   round(CASE WHEN blank THEN NULL WHEN n_tokens = 0 THEN 0.5 WHEN changed THEN boosted ELSE p_spam END, 6) + 0.0 AS p_spam,
   round(CASE WHEN blank THEN NULL WHEN n_tokens = 0 THEN 0.5 WHEN changed THEN 1 - boosted ELSE p_ham END, 6) + 0.0 AS p_ham,
   (NOT blank AND n_tokens > 0 AND changed) AS boost_applied
@@ -531,8 +588,8 @@ def q_requests(spark, sf):
     _alld_sql(), O.scores_cte("alld"), O.long_scores(models=("multinomial",), thr=0.65)) + """
 SELECT doc_id, prediction,
   CASE WHEN prediction = 'spam' THEN printf('[SPAM %.0f%%]', confidence * 100) ELSE '[HAM]' END AS badge,
-  CASE WHEN prediction = 'spam' THEN '🔴 Spam Detected' WHEN prediction = 'ham' THEN '🟢 Legitimate'
-       ELSE '⚠️ Uncertain' END AS popup_verdict
+  CASE WHEN prediction = 'spam' THEN '""" + C.POPUP_SPAM + """' WHEN prediction = 'ham' THEN '""" + C.POPUP_HAM + """'
+       ELSE '""" + C.POPUP_UNCERTAIN + """' END AS popup_verdict
 FROM lsc""")
 def q_badges(spark, sf):
     p = _prepared(spark, sf)
@@ -542,6 +599,69 @@ def q_badges(spark, sf):
     return s.select("doc_id", "prediction", b[0], b[1])
 
 
+# Inbox rows: subject = first line, snippet = the rest; every 40th subject is
+# missing, and every 41st and 43rd row holds white space only.
+_INBOX_SQL = """SELECT doc_id, CASE WHEN doc_id % 40 = 0 THEN NULL WHEN doc_id % 41 = 0 THEN chr(9) || chr(10)
+    WHEN doc_id % 43 = 0 THEN chr(160) ELSE string_split(text, chr(10))[1] END AS subject,
+  CASE WHEN doc_id % 41 = 0 THEN ' ' || chr(8195) WHEN doc_id % 43 = 0 THEN NULL
+    ELSE substr(text, length(string_split(text, chr(10))[1]) + 2) END AS snippet FROM documents"""
+
+
+def _inbox(spark, sf):
+    d = tables.table(spark, sf, "documents").select("doc_id", "text")
+    first = F.substring_index("text", "\n", 1)
+    i = F.col("doc_id")
+    return d.select(
+        "doc_id",
+        F.when(i % 40 == 0, F.lit(None)).when(i % 41 == 0, "\t\n").when(i % 43 == 0, "\u00a0")
+        .otherwise(first).alias("subject"),
+        F.when(i % 41 == 0, " \u2003").when(i % 43 == 0, F.lit(None))
+        .otherwise(F.expr("substring(text, length(substring_index(text, '\\n', 1)) + 2)")).alias("snippet"))
+
+
+def _not_blank(text: str) -> str:
+    return f"regexp_matches({text}, '[^{C.PY_WHITESPACE}]')"
+
+
+@register("P10_inbox_text", "SELECT doc_id, CASE WHEN subject IS NOT NULL AND "
+          + _not_blank("subject || ' ' || coalesce(snippet, '')")
+          + " THEN subject || ' ' || coalesce(snippet, '') END AS message FROM (" + _INBOX_SQL + ")")
+def q_inbox_text(spark, sf):
+    """P10: the text of an inbox row; NULL (skipped) without a subject or
+    with nothing but white space."""
+    x = _inbox(spark, sf)
+    return x.select("doc_id", R.inbox_text(F.col("subject"), F.col("snippet")).alias("message"))
+
+
+@register("P8_blank_requests", "SELECT doc_id AS request_id, CASE WHEN "
+          + _not_blank("coalesce(subject, '') || coalesce(snippet, '')")
+          + " THEN 'ok' ELSE 'error' END AS status, CASE WHEN NOT "
+          + _not_blank("coalesce(subject, '') || coalesce(snippet, '')")
+          + f" THEN '{C.BLANK_TEXT}' END AS error FROM (" + _INBOX_SQL + ")")
+def q_blank_requests(spark, sf):
+    """Requests of white space of any kind are errors, others are not."""
+    p = _prepared(spark, sf)
+    req = _inbox(spark, sf).select(
+        F.col("doc_id").alias("request_id"),
+        F.concat(F.coalesce("subject", F.lit("")), F.coalesce("snippet", F.lit(""))).alias("message"),
+        F.lit(None).cast("double").alias("decision_threshold"),
+        F.lit(None).cast("boolean").alias("use_sender_boost"))
+    out = R.score_requests(p.model, req)
+    return out.select("request_id", "status",
+                      F.when(F.col("status") == "error", F.col("explanation")).alias("error"))
+
+
+@register("A32_smoke_errors", O.with_model(O.scores_cte("tok"), O.long_scores()) + """
+SELECT model, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE label <> CASE
+    WHEN prediction <> 'uncertain' THEN prediction WHEN p_spam > p_ham THEN 'spam' ELSE 'ham' END) AS BIGINT) AS errors
+FROM lsc GROUP BY model""")
+def q_smoke(spark, sf):
+    """A32 over all labelled messages: uncertain verdicts resolved by the
+    larger probability, mismatches with the label counted per model."""
+    p = _prepared(spark, sf)
+    return EN.smoke_errors(nb.score(p.model, p.tok))
+
+
 _ENS = O.with_model(
     "tst AS (SELECT * FROM tok WHERE split = 'test')", O.scores_cte("tst"), O.long_scores(),
     O.metrics_sql(), _alld_sql(), O.scores_cte("alld", name="sca"),
@@ -575,8 +695,7 @@ def q_ensemble(spark, sf):
                     "prediction", r6("confidence").alias("confidence"), "consensus")
 
 
-_NOISE = O.with_model("tst AS (SELECT * FROM tok WHERE split = 'test')", O.scores_cte("tst"),
-                      O.long_scores()) + """
+_NOISE = O.with_model(O.scores_cte("tok"), O.long_scores()) + """
 , nz AS (SELECT *, CASE WHEN NOT is_confident THEN 'uncertain'
     WHEN (CASE WHEN p_spam > p_ham THEN 'spam' ELSE 'ham' END) = label THEN 'confident_correct'
     ELSE 'confident_wrong' END AS category FROM lsc)
@@ -592,7 +711,7 @@ FROM tot t CROSS JOIN cats c LEFT JOIN (SELECT model, category, count(*) AS n FR
   ON n.model = t.model AND n.category = c.category""")
 def q_noise(spark, sf):
     p = _prepared(spark, sf)
-    nz = EN.label_noise(nb.score(p.model, p.part("test")))
+    nz = EN.label_noise(nb.score(p.model, p.tok))
     s = EN.noise_summary(nz)
     return s.select("model", "category", "n", "total", r6("pct").alias("pct"))
 
@@ -605,8 +724,8 @@ FROM (SELECT *, CASE WHEN p_spam > p_ham THEN 'spam' ELSE 'ham' END AS argmax,
       WHERE category <> 'confident_correct') nz JOIN tok t ON nz.doc_id = t.doc_id WHERE rk <= 5""")
 def q_noise_examples(spark, sf):
     p = _prepared(spark, sf)
-    nz = EN.label_noise(nb.score(p.model, p.part("test")))
-    ex = EN.noise_examples(nz, p.part("test"))
+    nz = EN.label_noise(nb.score(p.model, p.tok))
+    ex = EN.noise_examples(nz, p.tok)
     return ex.select("model", "category", "example_rank", "doc_id", "label", "argmax",
                      r6("confidence").alias("confidence"), "tokens_preview")
 
@@ -615,13 +734,17 @@ def q_noise_examples(spark, sf):
 # Explanations
 # ---------------------------------------------------------------------------
 
+def _all_tokens(spark, sf):
+    """Every document, labelled or not: explanations are for any message."""
+    return nb.tokenize(tables.all_documents(spark, sf).select("doc_id", "label", "text"))
+
+
 _LR = """lr AS (SELECT v.token, ln((v.n_spam + 1.0) / (cls.ntok_spam + 1.0 * vsz.V))
     - ln((v.n_ham + 1.0) / (cls.ntok_ham + 1.0 * vsz.V)) AS score FROM voc v, cls, vsz)"""
 
 
-@register("T4_message_evidence", O.with_model(
-    "tst AS (SELECT * FROM tok WHERE split = 'test')", _LR) + """
-, ev AS (SELECT d.doc_id, d.token, lr.score FROM (SELECT doc_id, unnest(list_distinct(tokens)) AS token FROM tst) d
+@register("T4_message_evidence", O.with_model(_alld_sql(), _LR) + """
+, ev AS (SELECT d.doc_id, d.token, lr.score FROM (SELECT doc_id, unnest(list_distinct(tokens)) AS token FROM alld) d
          JOIN lr ON d.token = lr.token),
 rk AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, token) AS r_top,
               row_number() OVER (PARTITION BY doc_id ORDER BY score, token DESC) AS r_bot FROM ev)
@@ -630,14 +753,13 @@ UNION ALL
 SELECT doc_id, 'ham', CAST(r_bot AS INTEGER), token, round(score, 6) + 0.0 FROM rk WHERE r_bot <= 10""")
 def q_evidence(spark, sf):
     p = _prepared(spark, sf)
-    t = X.top_evidence(X.doc_evidence(p.model, p.part("test")), 10)
+    t = X.top_evidence(X.doc_evidence(p.model, _all_tokens(spark, sf)), 10)
     return t.select("doc_id", "side", "rank", "token", r6("score").alias("score"))
 
 
-@register("T5_P9_unigram_evidence", O.with_model(
-    "tst AS (SELECT * FROM tok WHERE split = 'test')", _LR) + """
+@register("T5_P9_unigram_evidence", O.with_model(_alld_sql(), _LR) + """
 , ev AS (SELECT d.doc_id, d.token, lr.score FROM (SELECT doc_id, unnest(list_distinct(
-           list_filter(tokens, lambda t: NOT contains(t, '_')))) AS token FROM tst) d JOIN lr ON d.token = lr.token),
+           list_filter(tokens, lambda t: NOT contains(t, '_')))) AS token FROM alld) d JOIN lr ON d.token = lr.token),
 rk AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, token) AS r_top,
               row_number() OVER (PARTITION BY doc_id ORDER BY score, token DESC) AS r_bot FROM ev)
 SELECT doc_id, 'spam' AS side, CAST(r_top AS INTEGER) AS rank, token, round(score, 6) + 0.0 AS score,
@@ -647,7 +769,7 @@ SELECT doc_id, 'ham', CAST(r_bot AS INTEGER), token, round(score, 6) + 0.0, roun
 FROM rk WHERE r_bot <= 5""")
 def q_unigram_evidence(spark, sf):
     p = _prepared(spark, sf)
-    t = X.evidence_bars(X.doc_evidence(p.model, p.part("test"), unigrams_only=True), 5)
+    t = X.evidence_bars(X.doc_evidence(p.model, _all_tokens(spark, sf), unigrams_only=True), 5)
     return t.select("doc_id", "side", "rank", "token", r6("score").alias("score"), r6("bar").alias("bar"))
 
 
@@ -671,6 +793,30 @@ def q_pruned(spark, sf):
     return pc.join(kept, "token").select("token", "n_spam", "n_ham", r6("abs_score").alias("abs_score"))
 
 
+_SMALL_VOCABULARY = 2_000
+
+
+@register("T7_J7_pruned_scoring", O.with_model(_LR) + f"""
+, kept AS (SELECT token FROM lr ORDER BY abs(score) DESC, token LIMIT {_SMALL_VOCABULARY}),
+tst AS (SELECT * FROM tok WHERE split = 'test'),
+ms AS (SELECT o.doc_id, sum(ln(v.n_spam + 1.0)) AS s, sum(ln(v.n_ham + 1.0)) AS h
+       FROM (SELECT doc_id, unnest(tokens) AS token FROM tst) o
+       JOIN voc v ON o.token = v.token JOIN kept k ON k.token = v.token GROUP BY 1)
+SELECT d.doc_id, round((ln(cls.n_docs_spam / cls.n_docs) - ln(cls.n_docs_ham / cls.n_docs)
+   + coalesce(s - h, 0) - len(d.tokens) * (ln(cls.ntok_spam + vsz.V) - ln(cls.ntok_ham + vsz.V)))
+   / greatest(1.0, greatest(1, len(d.tokens)) / 10.0), 6) + 0.0 AS log_odds
+FROM tst d LEFT JOIN ms ON d.doc_id = ms.doc_id CROSS JOIN cls CROSS JOIN vsz""")
+def q_pruned_scoring(spark, sf):
+    """T7 + J7 where the cut prunes: test messages scored with the 2,000
+    strongest words; the others count as unseen, V stays."""
+    p = _prepared(spark, sf)
+    kept = X.prune_vocabulary(p.model, _SMALL_VOCABULARY)
+    pruned = nb.NBModel(counts=X.pruned_counts(p.model, kept), all_counts=p.model.all_counts,
+                        stats=p.model.stats, vocab_size=_SMALL_VOCABULARY)
+    s = nb.score(pruned, p.part("test"), models=("multinomial",), log_odds=True)
+    return s.select("doc_id", r6("log_odds").alias("log_odds"))
+
+
 @register("T2_T3_word_clouds", O.with_model() + """
 SELECT label, token, count, CAST(rank AS BIGINT) AS rank, round(count / max(count) OVER (PARTITION BY label), 6) + 0.0 AS weight
 FROM (SELECT label, token, count, row_number() OVER (PARTITION BY label ORDER BY count DESC, token) AS rank
@@ -726,8 +872,8 @@ def q_absent(spark, sf):
     return a.select("token", *[r6(c).alias(c) for c in ("p_absent_spam", "p_absent_ham", "ratio")])
 
 
-@register("I7_multinomial_trace", O.with_model("tst AS (SELECT * FROM tok WHERE split = 'test')") + """
-, tf AS (SELECT doc_id, token, count(*) AS tf FROM (SELECT doc_id, unnest(tokens) AS token FROM tst) GROUP BY ALL),
+@register("I7_multinomial_trace", O.with_model(_alld_sql()) + """
+, tf AS (SELECT doc_id, token, count(*) AS tf FROM (SELECT doc_id, unnest(tokens) AS token FROM alld) GROUP BY ALL),
 cl AS (SELECT * FROM (VALUES ('spam'), ('ham')) t(class)),
 pt AS (
   SELECT t.doc_id, cl.class, t.token, CAST(t.tf AS INTEGER) AS tf,
@@ -740,7 +886,7 @@ pt AS (
 tt AS (
   SELECT d.doc_id, cl.class, coalesce(sum(pt.tf * pt.ll), 0.0) AS contribution,
     ln(CASE WHEN cl.class = 'spam' THEN cls.n_docs_spam ELSE cls.n_docs_ham END / cls.n_docs) AS lprior
-  FROM tst d CROSS JOIN cl CROSS JOIN cls LEFT JOIN pt ON pt.doc_id = d.doc_id AND pt.class = cl.class
+  FROM alld d CROSS JOIN cl CROSS JOIN cls LEFT JOIN pt ON pt.doc_id = d.doc_id AND pt.class = cl.class
   GROUP BY d.doc_id, cl.class, cls.n_docs_spam, cls.n_docs_ham, cls.n_docs)
 SELECT doc_id, class, token, tf, round(ll, 6) + 0.0 AS log_lik, unseen, round(tf * ll, 6) + 0.0 AS contribution,
        round(lprior, 6) + 0.0 AS log_prior, CAST(NULL AS DOUBLE) AS log_posterior FROM pt
@@ -749,19 +895,19 @@ SELECT doc_id, class, NULL, NULL, NULL, NULL, round(contribution, 6) + 0.0, roun
        round(lprior + contribution, 6) + 0.0 FROM tt""")
 def q_mtrace(spark, sf):
     p = _prepared(spark, sf)
-    t = X.multinomial_trace(p.model, p.part("test"))
+    t = X.multinomial_trace(p.model, _all_tokens(spark, sf))
     return t.select("doc_id", "class", "token", "tf", r6("log_lik").alias("log_lik"), "unseen",
                     r6("contribution").alias("contribution"), r6("log_prior").alias("log_prior"),
                     r6("log_posterior").alias("log_posterior"))
 
 
-_BTRACE = O.with_model("tst AS (SELECT * FROM tok WHERE split = 'test')", "b AS (SELECT 1)") + """
+_BTRACE = O.with_model(_alld_sql(), "b AS (SELECT 1)") + """
 , cl AS (SELECT * FROM (VALUES ('spam'), ('ham')) t(class)),
 pt AS (
   SELECT d.doc_id, cl.class, d.token,
     (CASE WHEN cl.class = 'spam' THEN v.df_spam ELSE v.df_ham END + 1.0)
       / (CASE WHEN cl.class = 'spam' THEN cls.n_docs_spam ELSE cls.n_docs_ham END + 2.0) AS p
-  FROM (SELECT doc_id, unnest(list_distinct(tokens)) AS token FROM tst) d JOIN voc v ON d.token = v.token
+  FROM (SELECT doc_id, unnest(list_distinct(tokens)) AS token FROM alld) d JOIN voc v ON d.token = v.token
   CROSS JOIN cl CROSS JOIN cls),
 base AS (SELECT cl.class, sum(ln(1 - (CASE WHEN cl.class = 'spam' THEN v.df_spam ELSE v.df_ham END + 1.0)
     / (CASE WHEN cl.class = 'spam' THEN cls.n_docs_spam ELSE cls.n_docs_ham END + 2.0))) AS baseline
@@ -774,7 +920,7 @@ SELECT doc_id, class, token, round(ln(p), 6) + 0.0 AS log_p_present, round(ln(1
        round(ln(p) - ln(1 - p), 6) + 0.0 AS delta FROM pt""")
 def q_btrace_tokens(spark, sf):
     p = _prepared(spark, sf)
-    per_tok, _ = X.bernoulli_trace(p.model, p.part("test"))
+    per_tok, _ = X.bernoulli_trace(p.model, _all_tokens(spark, sf))
     return per_tok.select("doc_id", "class", "token", *[r6(c).alias(c) for c in
                                                         ("log_p_present", "log_p_absent", "delta")])
 
@@ -786,38 +932,38 @@ SELECT d.doc_id, cl.class, round(b.baseline, 6) + 0.0 AS baseline,
   round(b.baseline + coalesce(s.ds, 0.0), 6) + 0.0 AS log_likelihood,
   round(ln(CASE WHEN cl.class = 'spam' THEN cls.n_docs_spam ELSE cls.n_docs_ham END / cls.n_docs)
         + b.baseline + coalesce(s.ds, 0.0), 6) + 0.0 AS log_posterior
-FROM tst d CROSS JOIN cl CROSS JOIN cls JOIN base b ON b.class = cl.class
+FROM alld d CROSS JOIN cl CROSS JOIN cls JOIN base b ON b.class = cl.class
 LEFT JOIN (SELECT doc_id, class, sum(ln(p) - ln(1 - p)) AS ds FROM pt GROUP BY ALL) s
   ON s.doc_id = d.doc_id AND s.class = cl.class""")
 def q_btrace_totals(spark, sf):
     p = _prepared(spark, sf)
-    _, tot = X.bernoulli_trace(p.model, p.part("test"))
+    _, tot = X.bernoulli_trace(p.model, _all_tokens(spark, sf))
     return tot.select("doc_id", "class", *[r6(c).alias(c) for c in
                                            ("baseline", "delta_sum", "log_prior", "log_likelihood",
                                             "log_posterior")])
 
 
 @register("I12_message_report", O.with_model(
-    "tst AS (SELECT * FROM tok WHERE split = 'test')", O.scores_cte("tst"),
+    _alld_sql(), O.scores_cte("alld"),
     O.long_scores(models=("multinomial",)), _LR) + f"""
-, ev AS (SELECT d.doc_id, d.token, lr.score FROM (SELECT doc_id, unnest(list_distinct(tokens)) AS token FROM tst) d
+, ev AS (SELECT d.doc_id, d.token, lr.score FROM (SELECT doc_id, unnest(list_distinct(tokens)) AS token FROM alld) d
          JOIN lr ON d.token = lr.token),
 rk AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, token) AS r_top,
               row_number() OVER (PARTITION BY doc_id ORDER BY score, token DESC) AS r_bot FROM ev),
 tops AS (SELECT doc_id, string_agg(CASE WHEN r_top <= 10 THEN token END, ' ' ORDER BY r_top) AS top_spam_words,
                 string_agg(CASE WHEN r_bot <= 10 THEN token END, ' ' ORDER BY r_bot) AS top_ham_words FROM rk GROUP BY doc_id)
 SELECT l.doc_id, l.prediction, round(l.confidence, 6) + 0.0 AS confidence, round(l.p_spam, 6) + 0.0 AS p_spam,
-  round(l.p_ham, 6) + 0.0 AS p_ham, l.n_tokens, 1.0 AS alpha, {_CONF_EXPL.replace('threshold=0.7)', 'threshold=0.7)')} AS explanation,
+  round(l.p_ham, 6) + 0.0 AS p_ham, l.n_tokens, 1.0 AS alpha, {_CONF_EXPL} AS explanation,
   coalesce(t.top_spam_words, '') AS top_spam_words, coalesce(t.top_ham_words, '') AS top_ham_words
 FROM lsc l LEFT JOIN tops t ON l.doc_id = t.doc_id""")
 def q_report(spark, sf):
     p = _prepared(spark, sf)
-    test = p.part("test")
-    s = nb.score(p.model, test, models=("multinomial",))
+    docs = _all_tokens(spark, sf)
+    s = nb.score(p.model, docs, models=("multinomial",))
     s = s.withColumn("explanation", nb.explanation(F.col("raw_prediction"), F.col("confidence"),
                                                    F.col("p_spam"), F.col("p_ham"),
                                                    F.col("is_confident"), C.CONFIDENCE_THRESHOLD))
-    ev = X.top_evidence(X.doc_evidence(p.model, test), 10)
+    ev = X.top_evidence(X.doc_evidence(p.model, docs), 10)
     lists = ev.groupBy("doc_id").agg(*[
         F.array_join(F.transform(F.array_sort(F.collect_list(
             F.when(F.col("side") == side, F.struct("rank", "token")))), lambda s: s["token"]), " ")
@@ -875,26 +1021,26 @@ def q_longer(spark, sf):
                     r6("avg_spam_length").alias("avg_spam_length"), "longer")
 
 
-@register("A18_T10_raw_label_distribution", """
+_RAW_LABEL = f"lower(regexp_replace(CAST(toxic AS VARCHAR), '^[{C.PY_WHITESPACE}]+|[{C.PY_WHITESPACE}]+$', '', 'g'))"
+
+
+@register("A18_T10_raw_label_distribution", f"""
 SELECT raw_label, CAST(n AS BIGINT) AS n, round(n / sum(n) OVER () * 100, 6) + 0.0 AS pct,
        CAST(row_number() OVER (ORDER BY n DESC, raw_label) AS BIGINT) AS rank
-FROM (SELECT lower(trim(CAST(toxic AS VARCHAR))) AS raw_label, count(*) AS n FROM labels GROUP BY 1)""")
+FROM (SELECT {_RAW_LABEL} AS raw_label, count(*) AS n FROM labels GROUP BY 1)""")
 def q_raw_labels(spark, sf):
     lab = tables.table(spark, sf, "labels").select(F.col("toxic").alias("raw_label"))
-    d = PR.raw_label_distribution(lab)
-    from nbsieve.operators.vocab import sorted_positions  # noqa: F401
-    from pyspark.sql import Window
-    # The distribution has one row per distinct raw label (bounded).
-    w = Window.orderBy(F.desc("n"), F.asc("raw_label"))
-    return d.select("raw_label", "n", r6("pct").alias("pct"),
-                    F.row_number().over(w).cast("bigint").alias("rank"))
+    from nbsieve.operators.ordered import positions
+    # Raw labels are free text, so the rank is range-partitioned.
+    d = positions(PR.raw_label_distribution(lab), [F.desc("n"), F.asc("raw_label")], "rank")
+    return d.select("raw_label", "n", r6("pct").alias("pct"), "rank")
 
 
-@register("A19_mapped_label_distribution", """
+@register("A19_mapped_label_distribution", f"""
 WITH m AS (SELECT CASE WHEN r IN ('spam','promotion','promotional','phishing') THEN 'spam'
     WHEN r IN ('ham','update','updates','primary','personal','social','notification') THEN 'ham'
     WHEN r = '1' THEN 'spam' WHEN r = '0' THEN 'ham' ELSE 'skipped' END AS mapped
-  FROM (SELECT lower(trim(CAST(toxic AS VARCHAR))) AS r FROM labels)),
+  FROM (SELECT {_RAW_LABEL} AS r FROM labels)),
 c AS (SELECT * FROM (VALUES ('spam'), ('ham'), ('skipped')) t(mapped)),
 g AS (SELECT c.mapped, CAST(count(m.mapped) AS BIGINT) AS n FROM c LEFT JOIN m ON c.mapped = m.mapped GROUP BY c.mapped)
 SELECT mapped, n, round(n / sum(n) OVER () * 100, 6) + 0.0 AS pct FROM g""")
@@ -924,12 +1070,12 @@ def q_token_mass(spark, sf):
 
 
 @register("A23_category_counts", "WITH " + O.MSG + ",\n" + O.split_cte() + """
-SELECT split, lang, CAST(count(*) AS BIGINT) AS n, min(doc_id) AS first_seen_id,
+SELECT split, lang, CAST(count(*) AS BIGINT) AS n, arg_min(CAST(ascii(lang) AS INTEGER), doc_id) AS first_seen_id,
        CAST(row_number() OVER (PARTITION BY split ORDER BY count(*) DESC, lang) AS INTEGER) AS rank
 FROM spl GROUP BY split, lang""")
 def q_categories(spark, sf):
-    s = with_split(tables.messages(spark, sf))
-    return PR.category_counts(s, "split", "lang", "doc_id")
+    s = with_split(tables.messages(spark, sf)).withColumn("lang_id", F.ascii("lang"))
+    return PR.category_counts(s, "split", "lang", "lang_id", "doc_id")
 
 
 @register("W8_sample_rows", """
@@ -947,6 +1093,7 @@ def q_samples(spark, sf):
 # Leaderboard and reports
 # ---------------------------------------------------------------------------
 
+from nbsieve.session import scratch_dir  # noqa: E402
 from nbsieve.sources import sinks as SK  # noqa: E402
 
 
@@ -955,7 +1102,7 @@ SELECT r.model, round(r.f1, 6) + 0.0 AS f1, round(r.accuracy, 6) + 0.0 AS accura
        CAST(rank() OVER (ORDER BY r.f1 DESC) AS INTEGER) AS rank FROM rep r""")
 def q_leaderboard(spark, sf):
     from pyspark.sql import Window
-    ev = M.evaluate(_test_scores(spark, sf)).select("model", r6("f1").alias("f1"),
+    ev = M.report(_test_scores(spark, sf)).select("model", r6("f1").alias("f1"),
                                                    r6("accuracy").alias("accuracy"))
     # One row per model (bounded): a global rank over it is a tiny window.
     return ev.withColumn("rank", F.rank().over(Window.orderBy(F.desc("f1"))))
@@ -969,7 +1116,8 @@ SELECT 'multinomial' AS champion, 'bernoulli' AS baseline,
   round((max(accuracy) FILTER (WHERE model = 'multinomial') - max(accuracy) FILTER (WHERE model = 'bernoulli')) * 100, 6) + 0.0 AS d_accuracy_pct
 FROM rep""")
 def q_deltas(spark, sf):
-    ev = M.evaluate(_test_scores(spark, sf))
+    ev = M.report(_test_scores(spark, sf))
+
     def pick(c, m):
         # The report's metrics are published rounded to 6 places.
         return F.max(F.when(F.col("model") == m, r6(c)))
@@ -986,12 +1134,36 @@ SELECT model, metric, round(value, 6) + 0.0 AS value FROM (
   UNPIVOT (SELECT model, accuracy, precision, recall, f1 FROM rep)
   ON accuracy, precision, recall, f1 INTO NAME metric VALUE value)""")
 def q_metrics_long(spark, sf):
-    ev = M.evaluate(_test_scores(spark, sf))
+    ev = M.report(_test_scores(spark, sf))
     lg = SK.metrics_long(ev.select("model", "accuracy", "precision", "recall", "f1"),
                          ["accuracy", "precision", "recall", "f1"])
     return lg.select("model", "metric", r6("value").alias("value"))
 
 
+@register("K5_chart_series", _TEST + """
+, cf AS (SELECT model, unnest(['tp', 'tn', 'fp', 'fn']) AS name, unnest([tp, tn, fp, fn]) AS value FROM cm),
+wd AS (SELECT label, token, count, row_number() OVER (PARTITION BY label ORDER BY count DESC, token) AS rank
+       FROM (SELECT 'spam' AS label, token, n_spam AS count FROM cnt WHERE n_spam > 0
+             UNION ALL SELECT 'ham', token, n_ham FROM cnt WHERE n_ham > 0))
+SELECT 'roc' AS series, model, NULL AS name, round((N - cum_neg + neg) / N, 6) + 0.0 AS x,
+       round((P - cum_pos + pos) / P, 6) + 0.0 AS y FROM rt
+UNION ALL SELECT DISTINCT 'roc', model, NULL, 0.0, 0.0 FROM rt
+UNION ALL SELECT 'pr', model, NULL, round(CASE WHEN P = 0 THEN 1.0 ELSE (P - cum_pos + pos) / P END, 6) + 0.0,
+       round((P - cum_pos + pos) / ((P - cum_pos + pos) + (N - cum_neg + neg)), 6) + 0.0 FROM rt
+UNION ALL SELECT DISTINCT 'pr', model, NULL, 0.0, 1.0 FROM rt
+UNION ALL SELECT 'confusion', model, name, NULL, CAST(value AS DOUBLE) FROM cf
+UNION ALL SELECT 'top_words', label, token, CAST(rank AS DOUBLE), CAST(count AS DOUBLE) FROM wd WHERE rank <= 20""")
+def q_series(spark, sf):
+    """K5: chart series (ROC, PR, confusion, top words) in long form, written
+    and read back."""
+    p = _prepared(spark, sf)
+    path = scratch_dir(spark, "series")
+    SK.write_series(SK.chart_series(_test_scores(spark, sf), X.word_clouds(p.model.all_counts, 20),
+                                    score="log_odds"), path)
+    x = spark.read.parquet(path)
+    return x.select("series", "model", "name", r6("x").alias("x"), r6("y").alias("y"))
+
+
 @register("K1_summary", "SELECT t.model, t.accuracy, t.precision, t.recall, t.f1, t.macro_f1, t.weighted_f1, "
           "t.roc_auc, t.pr_auc, c.cv_mean_acc, c.cv_std_acc FROM (" + _TEST + """
 SELECT r.*, cu.roc_auc, cu.pr_auc FROM rep r LEFT JOIN cur cu ON r.model = cu.model) t LEFT JOIN (""" + O.cv_sql() + """
@@ -1002,7 +1174,7 @@ def q_summary(spark, sf):
     """K1: test metrics (alpha 1) joined with the CV summary, also written
     as a one-file CSV under the scratch folder."""
     from nbsieve.session import scratch_dir
-    ev = M.evaluate(_test_scores(spark, sf))
+    ev = M.evaluate(_test_scores(spark, sf), score="log_odds")
     cv = tuning.cv_summary(_cv(spark, sf))
     s = SK.summary(ev, cv)
     SK.write_summary_csv(s, scratch_dir(spark, "summary"))
@@ -1037,20 +1209,54 @@ def q_sms(spark, sf):
 @register("S2_S6_P1_P4_csv_directory", "WITH " + O.MSG + f"""
 , t AS (SELECT CASE WHEN label = 'spam' THEN 'spam' ELSE 'ham' END AS label,
   regexp_replace(text, '^[{C.PY_WHITESPACE}]+|[{C.PY_WHITESPACE}]+$', '', 'g') AS text FROM msg)
-SELECT label, substr(text, 1, 1500) AS text FROM t WHERE length(text) > 0""")
+SELECT label, text FROM t WHERE length(text) > 0""")
 def q_csv_dir(spark, sf):
-    """Labelled messages written as CSV files (one per source, header
-    ``Message,Category`` with raw 0/1 labels, multi-line quoted text) and
-    loaded with the directory loader (S6 finds the columns, P1 maps 1/0)."""
+    """Labelled messages written as CSV files (header ``Message,Category``
+    with raw 0/1 labels, multi-line quoted text) and loaded with the directory
+    loader (S6 finds the columns, P1 maps 1/0)."""
+    return L.load_csv_directory(spark, _csv_corpus(spark, sf)).select("label", "text")
+
+
+def _csv_corpus(spark, sf) -> str:
     path = scratch_dir(spark, "csv")
     lab = tables.table(spark, sf, "labels").select("doc_id", "toxic")
     docs = tables.table(spark, sf, "documents").select("doc_id", "source", "text")
     d = docs.join(lab, "doc_id").select(F.col("text").alias("Message"),
                                         F.col("toxic").cast("string").alias("Category"), "source")
-    d.repartition("source").drop("source").write.mode("overwrite").option("header", True) \
+    d.drop("source").write.mode("overwrite").option("header", True) \
+     .option("escape", '"').csv(path)
+    return path
+
+
+@register("P4_truncated_csv", "WITH " + O.MSG + f"""
+, t AS (SELECT label, regexp_replace(text, '^[{C.PY_WHITESPACE}]+|[{C.PY_WHITESPACE}]+$', '', 'g') AS text FROM msg)
+SELECT n AS length, label, substr(text, 1, n) AS text
+FROM t, (VALUES ({C.TRUNCATE_CSV}), ({C.TRUNCATE_MAIL}), ({C.TRUNCATE_PAGE})) v(n) WHERE length(text) > 0""")
+def q_truncated(spark, sf):
+    """The CSV corpus cut to each of the three published lengths."""
+    path = _csv_corpus(spark, sf)
+    out = None
+    for n in (C.TRUNCATE_CSV, C.TRUNCATE_MAIL, C.TRUNCATE_PAGE):
+        x = L.load_csv_directory(spark, path, truncate=n).select(F.lit(n).alias("length"), "label", "text")
+        out = x if out is None else out.unionByName(x)
+    return out
+
+
+@register("W6_limited_csv", "WITH " + O.MSG + """
+SELECT true AS limited, CAST(count(*) AS BIGINT) AS accepted FROM msg WHERE length(text) > 0""")
+def q_limited(spark, sf):
+    """Several files, at most seven accepted rows of each are loaded."""
+    path = scratch_dir(spark, "limited")
+    m = tables.messages(spark, sf).select(F.col("text").alias("Body"), F.col("label").alias("Type"),
+                                          (F.col("doc_id") % 8).alias("f"))
+    m.repartitionByRange(8, "f").write.mode("overwrite").option("header", True) \
      .option("escape", '"').csv(path)
-    x = L.load_csv_directory(spark, path)
-    return x.select("label", "text")
+    whole = L.load_csv_directory(spark, path).groupBy("source").agg(F.count(F.lit(1)).alias("accepted"))
+    kept = L.load_csv_directory(spark, path, limit_per_file=7).groupBy("source").agg(
+        F.count(F.lit(1)).alias("kept"))
+    return whole.join(kept, "source", "left").agg(
+        F.bool_and(F.coalesce("kept", F.lit(0)) == F.least(F.lit(7), "accepted")).alias("limited"),
+        F.sum("accepted").alias("accepted"))
 
 
 @register("S5a_marketing_table", f"""
@@ -1073,6 +1279,60 @@ def q_binary(spark, sf):
     return L.normalise_binary(d.select("text", "label"))
 
 
+_CATEGORIES = C.CATEGORY_SPAM + C.CATEGORY_HAM + ("other", " Promotions ")
+
+
+@register("S5b_category_table", "WITH c(i, name) AS (VALUES "
+          + ", ".join(f"({i}, '{c}')" for i, c in enumerate(_CATEGORIES)) + f"""),
+x AS (SELECT lower(trim(c.name)) AS category, regexp_replace(text, '^[{C.PY_WHITESPACE}]+|[{C.PY_WHITESPACE}]+$', '', 'g') AS text
+      FROM documents JOIN c ON doc_id % {len(_CATEGORIES)} = i)
+SELECT 'categories' AS source, CASE WHEN category IN {C.CATEGORY_SPAM} THEN 'spam' ELSE 'ham' END AS label, text
+FROM x WHERE length(text) > 0 AND category IN {C.CATEGORY_SPAM + C.CATEGORY_HAM}""")
+def q_category_table(spark, sf):
+    """Two splits with a category dealt from the id; unknown categories
+    are dropped, case and spaces do not matter."""
+    names = F.array(*[F.lit(c) for c in _CATEGORIES])
+    d = tables.table(spark, sf, "documents").select(
+        "doc_id", "text", F.get(names, (F.col("doc_id") % len(_CATEGORIES)).cast("int")).alias("category"))
+    return L.normalise_categories(d.where("doc_id % 3 = 0"), d.where("doc_id % 3 <> 0"))
+
+
+_RAW_LABELS = C.SPAM_LABELS + C.HAM_LABELS + ("1", "0", "2", "", " SPAM ", "Ham\u00a0", "unknown")
+
+
+@register("P1_canonical_labels", "WITH r(i, raw, label) AS (VALUES " + ", ".join(
+    f"({i}, '{r}', " + ("'spam'" if r.strip().lower() in C.SPAM_LABELS + ("1",) else
+                        "'ham'" if r.strip().lower() in C.HAM_LABELS + ("0",) else "NULL") + ")"
+    for i, r in enumerate(_RAW_LABELS)) + f""")
+SELECT doc_id, label FROM documents JOIN r ON doc_id % {len(_RAW_LABELS)} = i""")
+def q_canonical_labels(spark, sf):
+    """Every published label, in odd case and spacing too, dealt from the id."""
+    raw = F.array(*[F.lit(r) for r in _RAW_LABELS])
+    d = tables.table(spark, sf, "documents")
+    return d.select("doc_id", L.canonical_label(
+        F.get(raw, (F.col("doc_id") % len(_RAW_LABELS)).cast("int"))).alias("label"))
+
+
+@register("U1_union_sources", f"""
+WITH d AS (SELECT doc_id, toxic, regexp_replace(text, '^[{C.PY_WHITESPACE}]+|[{C.PY_WHITESPACE}]+$', '', 'g') AS text
+           FROM documents JOIN labels USING (doc_id)),
+b AS (SELECT regexp_replace(text, '^[{C.PY_WHITESPACE}]+|[{C.PY_WHITESPACE}]+$', '', 'g') AS text FROM benchmark)
+SELECT source, label, CAST(count(*) AS BIGINT) AS n, CAST(count(*) AS BIGINT) AS ids FROM (
+  SELECT 'marketing' AS source, 'spam' AS label, text FROM b WHERE length(text) > 0
+  UNION ALL SELECT 'binary', CASE WHEN toxic = 1 THEN 'spam' ELSE 'ham' END, text FROM d WHERE length(text) > 0
+  UNION ALL SELECT 'binary', CASE WHEN toxic = 1 THEN 'spam' ELSE 'ham' END, text FROM d WHERE length(text) > 0)
+GROUP BY source, label""")
+def q_union(spark, sf):
+    """Three sources (one of them twice: rows repeat) united with ids of
+    their own."""
+    lab = tables.table(spark, sf, "labels").select("doc_id", F.col("toxic").alias("label"))
+    d = tables.table(spark, sf, "documents").select("doc_id", "text").join(lab, "doc_id").select("text", "label")
+    b = tables.table(spark, sf, "benchmark").select(F.col("text").alias("0"))
+    u = L.union_sources(spark, [L.normalise_marketing(b), L.normalise_binary(d), L.normalise_binary(d)])
+    return u.groupBy("source", "label").agg(F.count(F.lit(1)).alias("n"),
+                                            F.count_distinct("doc_id").alias("ids"))
+
+
 @register("K2_S9_model_roundtrip", O.with_model() + """
 SELECT token, n_spam, n_ham, df_spam, df_ham FROM voc""")
 def q_model_roundtrip(spark, sf):
@@ -1108,7 +1368,15 @@ def q_pruned_bundle(spark, sf):
 from nbsieve.streaming import inbox as IB  # noqa: E402
 
 
-@register("X1_X4_stream_scoring", None)
+_X1 = O.with_model(_alld_sql(), O.scores_cte("alld"), O.long_scores(models=("multinomial",), thr=0.65))
+
+
+@register("X1_X4_stream_scoring", _X1 + """
+SELECT l.doc_id AS request_id, 'ok' AS status, CASE WHEN n_tokens = 0 THEN 'uncertain' ELSE prediction END AS prediction,
+  round(CASE WHEN n_tokens = 0 THEN 0.0 ELSE confidence END, 6) + 0.0 AS confidence,
+  round(CASE WHEN n_tokens = 0 THEN 0.5 ELSE p_spam END, 6) + 0.0 AS p_spam
+FROM lsc l JOIN documents d ON l.doc_id = d.doc_id
+WHERE l.label IS NULL AND """ + _not_blank("d.text"))
 def q_stream(spark, sf):
     """Unlabelled documents arrive as inbox rows (subject = first line,
     snippet = the rest; every row is delivered twice across files to
@@ -1127,21 +1395,19 @@ def q_stream(spark, sf):
     rows.write.mode("overwrite").parquet(f"{base}/src/part=2")
     q = IB.start_scoring(spark, p.model, f"{base}/src", f"{base}/out", f"{base}/ckpt")
     q.awaitTermination()
-    return IB.read_scored(spark, f"{base}/out").drop("batch_id")
+    return IB.read_scored(spark, f"{base}/out").select(
+        "request_id", "status", "prediction", r6("confidence").alias("confidence"), r6("p_spam").alias("p_spam"))
 
 
 @register("S3_K4_exclusive_csv", "WITH " + O.MSG + f"""
 , t AS (SELECT label, regexp_replace(text, '^[{C.PY_WHITESPACE}]+|[{C.PY_WHITESPACE}]+$', '', 'g') AS text FROM msg)
-SELECT label, substr(text, 1, 1500) AS text FROM t WHERE length(text) > 0""")
+SELECT label, text FROM t WHERE length(text) > 0""")
 def q_exclusive(spark, sf):
-    """K4 writes the normalised (label, text) corpus as one CSV file; S3
-    reads exactly that file (textual labels, no 1/0 fallback, no limit)."""
-    from nbsieve.sources import sinks as SK2
+    """K4 writes the normalised (label, text) corpus as CSV part files; S3
+    reads exactly that folder (textual labels, no 1/0 fallback, no limit)."""
     path = scratch_dir(spark, "normalised")
-    SK2.write_messages_csv(tables.messages(spark, sf).coalesce(1), path)
-    f = [x for x in L.list_csv_files(spark, path)][0]
-    return L.load_exclusive_csv(spark, f.replace("file:", "") if f.startswith("file:") else f) \
-        .select("label", "text")
+    SK.write_messages_csv(tables.messages(spark, sf), path)
+    return L.load_exclusive_csv(spark, path).select("label", "text")
 
 
 @register("S10_load_or_train", O.with_model() + """

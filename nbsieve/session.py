@@ -55,11 +55,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives the
-    loss of executors, unlike a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back: survives the loss of executors (unlike a local checkpoint), and later
+    plans read only the columns and, with ``partition_by``, the folders they
+    need."""
+    path = scratch_dir(df.sparkSession, "table")
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    return back.select(*[f"`{c}`" for c in df.columns])
+
+
+def fingerprint(spark: SparkSession, *paths: str) -> tuple:
+    """(path, length, modification time) of every file at ``paths``: metadata
+    only, to tell whether something kept for an input is still true of it."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        for s in p.getFileSystem(conf).listStatus(p):
+            out.append((str(s.getPath()), s.getLen(), s.getModificationTime()))
+    return tuple(sorted(out))
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

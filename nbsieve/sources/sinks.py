@@ -41,3 +41,23 @@ def metrics_long(metrics: DataFrame, cols) -> DataFrame:
 def write_series(df: DataFrame, path: str) -> None:
     """K5: chart series (ROC/PR points, confusion, CV, top words) as Parquet."""
     df.write.mode("overwrite").parquet(path)
+
+
+def chart_series(scores: DataFrame, words: DataFrame, score: str = "p_spam") -> DataFrame:
+    """K5: ``(series, model, name, x, y)``: ROC and PR points, confusion
+    counts, and the top words per class (x: rank, y: count)."""
+    from nbsieve.operators import metrics as M
+    none, num = F.lit(None).cast("string"), F.lit(None).cast("double")
+    roc = M.roc_points(scores, score=score).select(
+        F.lit("roc").alias("series"), "model", none.alias("name"), F.col("fpr").alias("x"),
+        F.col("tpr").alias("y"))
+    pr = M.pr_points(scores, score=score).select(
+        F.lit("pr").alias("series"), "model", none.alias("name"), F.col("recall").alias("x"),
+        F.col("precision").alias("y"))
+    cm = M.confusion(scores).unpivot("model", ["tp", "tn", "fp", "fn"], "name", "v").select(
+        F.lit("confusion").alias("series"), "model", "name", num.alias("x"),
+        F.col("v").cast("double").alias("y"))
+    top = words.select(F.lit("top_words").alias("series"), F.col("label").alias("model"),
+                       F.col("token").alias("name"), F.col("rank").cast("double").alias("x"),
+                       F.col("count").cast("double").alias("y"))
+    return roc.unionByName(pr).unionByName(cm).unionByName(top)

@@ -14,20 +14,22 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+SMALL_BYTES_PER_CORE = 32 << 20
 
 
-def ensure_parallelism(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores
-    (one big file with one row group) by hashing its key column. A scan of
-    many files already has enough partitions and is returned unchanged, so
-    at scale this adds no shuffle."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table. A table too small to give every core a split is dealt
+    out by its id (one small shuffle); a larger one is read as it is stored."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()) \
+        .getContentSummary(p).getLength()
+    if size >= cores * SMALL_BYTES_PER_CORE or size < 1 << 20:
         return df
-    key = key or next((c for c in df.columns if c.endswith("_id")), None)
-    return df.repartition(target, key) if key else df.repartition(target)
+    key = next((c for c in df.columns if c.endswith("_id")), None)
+    return df.repartition(cores, key) if key else df.repartition(cores)
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:

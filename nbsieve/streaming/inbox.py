@@ -1,13 +1,16 @@
 """Streaming inbox scoring.
 
 ``readStream`` of inbox rows ``(msg_id, ts, subject, snippet)`` ->
-P10 text -> seen-once de-duplication bounded by a watermark (X2) ->
 ``foreachBatch`` with the batch scorer (X1: scoring needs a per-message
 regroup, which a micro-batch does without streaming state) -> results
-written by batch id with overwrite (at-least-once delivery made
-idempotent). Rows that cannot be scored go to a dead-letter folder with a
-status (X4) and never stop the stream. Per-session defaults come from a
-static settings table joined to the stream (X3).
+written by batch id with overwrite (at-least-once delivery made idempotent).
+
+Seen once (X2): a message delivered again carries the same id and time stamp,
+so every batch is de-duplicated within itself and against the ids that earlier
+batches stored, of the days that occur in the batch. Nothing is dropped for
+being late: a message a year old is scored when it arrives. Rows that cannot
+be scored go to a dead-letter folder with a status (X4) and never stop the
+stream. Per-session defaults come from a static settings table (X3).
 """
 
 from __future__ import annotations
@@ -36,47 +39,67 @@ def inbox_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: in
 
 def start_scoring(spark: SparkSession, model: nb.NBModel, source_dir: str, out_dir: str,
                   checkpoint_dir: str, settings: DataFrame | None = None,
-                  watermark: str = "1 day", rules=C.SENDER_RULES,
+                  rules=C.SENDER_RULES,
                   state_partitions: int | None = None):
     """Start the streaming query (trigger availableNow: drain and stop).
 
-    The de-duplication state and each micro-batch's shuffles use
-    ``state_partitions`` (default: the cluster's parallelism). The stream
+    Each micro-batch's shuffles use ``state_partitions`` (default: the
+    cluster's parallelism). The stream
     runs on a clone of the session taken at start, so the caller's session
     keeps its own setting."""
     settings = settings if settings is not None else default_settings(spark)
-    s = inbox_stream(spark, source_dir)
-    s = s.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["msg_id"])
-    s = s.select("msg_id", "ts", F.coalesce("session_id", F.lit("default")).alias("session_id"),
-                 R.inbox_text(F.col("subject"), F.col("snippet")).alias("message"))
-    s = s.join(F.broadcast(settings), "session_id", "left")
+    stream = inbox_stream(spark, source_dir).withColumn("arrived", F.current_timestamp())
 
     def score_batch(batch: DataFrame, batch_id: int) -> None:
-        ok = batch.where(F.col("message").isNotNull())
-        bad = batch.where(F.col("message").isNull()).select(
-            "msg_id", "ts", F.lit("skipped: no subject or blank text").alias("status"))
-        req = ok.select(F.col("msg_id").alias("request_id"), "message", "decision_threshold",
-                        "use_sender_boost")
+        new = _unseen(batch, batch_id, f"{out_dir}/seen").select(
+            "msg_id", "ts", "arrived", "day",
+            F.coalesce("session_id", F.lit("default")).alias("session_id"),
+            R.inbox_text(F.col("subject"), F.col("snippet")).alias("message")).persist()
+        req = new.where(F.col("message").isNotNull()).join(settings, "session_id", "left").select(
+            F.col("msg_id").alias("request_id"), "message", "decision_threshold",
+            "use_sender_boost")
         out = R.score_requests(model, req, rules=rules)
-        out = out.select("*", *R.badges(F.col("prediction"), F.col("confidence")))
+        out = out.select("*", *R.badges(F.col("prediction"), F.col("confidence"))).persist()
+        bad = new.where(F.col("message").isNull()).select(
+            "msg_id", "ts", F.lit("skipped: no subject or blank text").alias("status"))
         failed = out.where(F.col("status") != "ok").select(
             F.col("request_id").alias("msg_id"), F.lit(None).cast("timestamp").alias("ts"),
             F.concat(F.lit("error: "), F.col("explanation")).alias("status"))
-        out.where(F.col("status") == "ok").withColumn("batch_id", F.lit(batch_id)) \
-           .write.mode("overwrite").parquet(f"{out_dir}/scored/batch_id={batch_id}")
-        bad.unionByName(failed).withColumn("batch_id", F.lit(batch_id)) \
-           .write.mode("overwrite").parquet(f"{out_dir}/dead_letter/batch_id={batch_id}")
+        for name, rows in (("scored", out.where(F.col("status") == "ok")),
+                           ("dead_letter", bad.unionByName(failed))):
+            rows.withColumn("batch_id", F.lit(batch_id)) \
+                .write.mode("overwrite").parquet(f"{out_dir}/{name}/batch_id={batch_id}")
+        # Last: a batch that failed before this line is scored again in full.
+        new.select("msg_id", "day").write.mode("overwrite").partitionBy("day") \
+           .parquet(f"{out_dir}/seen/batch_id={batch_id}")
+        out.unpersist()
+        new.unpersist()
 
     key = "spark.sql.shuffle.partitions"
     prev = spark.conf.get(key)
     spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
     try:
-        return (s.writeStream.foreachBatch(score_batch)
+        return (stream.writeStream.foreachBatch(score_batch)
                 .option("checkpointLocation", checkpoint_dir)
                 .trigger(availableNow=True).start())
     finally:
         spark.conf.set(key, prev)
 
 
+def _unseen(batch: DataFrame, batch_id: int, seen_dir: str) -> DataFrame:
+    """Rows of the batch, one per ``msg_id``, that no earlier batch stored.
+    Only the stored days that occur in the batch are read."""
+    spark = batch.sparkSession
+    once = batch.dropDuplicates(["msg_id"]).withColumn(
+        "day", F.coalesce(F.to_date("ts"), F.lit("1970-01-01").cast("date")))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(seen_dir)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return once
+    days = once.select("day").distinct()
+    seen = spark.read.schema("msg_id bigint, batch_id bigint, day date").parquet(seen_dir) \
+        .where(F.col("batch_id") < batch_id).join(F.broadcast(days), "day", "left_semi")
+    return once.join(seen.select("msg_id"), "msg_id", "left_anti")
+
+
 def read_scored(spark: SparkSession, out_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out_dir}/scored")

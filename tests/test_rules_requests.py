@@ -26,11 +26,12 @@ def test_request_branches(spark):
         "doc_id long, label string, text string")
     m = nb.fit(nb.tokenize(tr))
     req = spark.createDataFrame(
-        [(1, "   ", None, None), (2, "the and of", None, True), (3, "lunch meeting trash", 0.65, True),
+        [(1, "   ", None, None), (5, "\n\t \u00a0", None, None), (2, "the and of", None, True), (3, "lunch meeting trash", 0.65, True),
          (4, "lunch meeting today", 0.65, False)],
         "request_id long, message string, decision_threshold double, use_sender_boost boolean")
     out = {r["request_id"]: r for r in R.score_requests(m, req, rules=RULES).collect()}
-    assert out[1]["status"] == "error" and out[1]["prediction"] is None
+    for k in (1, 5):
+        assert out[k]["status"] == "error" and out[k]["prediction"] is None
     assert out[2]["prediction"] == "uncertain" and out[2]["confidence"] == 0.0 and out[2]["p_spam"] == 0.5
     r3 = out[3]
     assert r3["boost_applied"]
@@ -45,4 +46,16 @@ def test_badges(spark):
     df = spark.createDataFrame([("spam", 0.876), ("uncertain", 0.5), ("ham", 0.9)], "p string, c double")
     rows = df.select(*R.badges(F.col("p"), F.col("c"))).collect()
     assert rows[0]["badge"] == "[SPAM 88%]" and rows[1]["badge"] == "[HAM]"
-    assert rows[1]["popup_verdict"] == R.POPUP_UNCERTAIN and rows[2]["popup_confidence"] == "90.0%"
+    assert rows[1]["popup_verdict"] == C.POPUP_UNCERTAIN and rows[2]["popup_confidence"] == "90.0%"
+
+
+def test_rules_table_equals_rule_list(spark):
+    texts = ["some trash can here", "JIA\rrom x unstop", "trashy", "nothing", None, "", "a re dd it reddit!",
+             "mail noreply@reddit.com now", "worthless", "xworthless", "fooo", "foo"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rules = RULES + tuple(C.SENDER_RULES) + ((r"worthless", 0.2), (r"\bfooo?\b", 0.1), (r"\babcd|nothing", 0.7))
+    want = {r[0]: r[1] for r in docs.select(
+        "doc_id", R.sender_boost(F.coalesce("text", F.lit("")), rules)).collect()}
+    table = spark.createDataFrame(list(rules), "pattern string, boost double")
+    got = {r["doc_id"]: r["boost"] for r in R.boosts_by_table(docs, table).collect()}
+    assert got == want and got[0] == 0.5 and got[10] == 0.1 and got[3] == 0.7

@@ -36,8 +36,39 @@ def test_mail_tree(spark):
         os.makedirs(os.path.join(d, sub), exist_ok=True)
         with open(os.path.join(d, sub, name), "w") as f:
             f.write(body)
-    rows = [tuple(r) for r in L.load_mail_tree(spark, d).select("label", "text").collect()]
-    assert rows == [("spam", "Buy cheap watches now, limited offer today!")]
+    multi = ("Subject: m\r\nContent-Type: multipart/mixed;\r\n boundary=\"b.1\"\r\n\r\npreamble\r\n--b.1\r\n"
+             "Content-Type: text/html\r\n\r\n<b>no</b>\r\n--b.1\r\nContent-Type: text/plain\r\n"
+             "Content-Transfer-Encoding: base64\r\n\r\nVGhlIHBsYWluIHBhcnQg\r\nb2YgdGhlIG1lc3NhZ2Uh\r\n--b.1--\r\n")
+    with open(os.path.join(d, "easy_ham", "5"), "w", newline="") as f:
+        f.write(multi)
+    os.makedirs(os.path.join(d, "spam", "nested", "spam"))
+    with open(os.path.join(d, "spam", "nested", "spam", "9"), "w") as f:
+        f.write("Subject: x\n\nonly direct children of a directory count here")
+    rows = sorted(tuple(r) for r in L.load_mail_tree(spark, d).select("label", "text").collect())
+    assert rows == [("ham", "The plain part of the message!"), ("spam", "Buy cheap watches now, limited offer today!")]
+    cut = L.load_mail_tree(spark, d, truncate=9).where("label = 'spam'").first()["text"]
+    assert cut == "Buy cheap" and L.load_mail_tree(spark, os.path.join(d, "none")).count() == 0
+
+
+def test_csv_bad_bytes_limits_and_cuts(spark):
+    d = tempfile.mkdtemp()
+    for name, n in (("a.csv", 5), ("b.csv", 3)):
+        with open(os.path.join(d, name), "wb") as f:
+            f.write(b"Message,Label\n" + b"".join(b'"fr\xffee %d",spam\n' % k for k in range(n)))
+    rows = sorted(tuple(r) for r in L.load_csv_directory(spark, d).collect())
+    assert rows == [(s, "spam", f"free {k}") for s, n in (("a.csv", 5), ("b.csv", 3)) for k in range(n)]
+    two = sorted(tuple(r) for r in L.load_csv_directory(spark, d, limit_per_file=2, truncate=4).collect())
+    assert two == [("a.csv", "spam", "free")] * 2 + [("b.csv", "spam", "free")] * 2
+    ids = {r["doc_id"] for r in L.union_sources(spark, [L.load_csv_directory(spark, d)] * 2).collect()}
+    again = {r["doc_id"] for r in L.union_sources(spark, [L.load_csv_directory(spark, d)] * 2).collect()}
+    assert len(ids) == 16 and ids == again
+
+
+def test_first_n_per_file(spark):
+    df = spark.range(0, 1000, 1, 7).selectExpr("id", "id % 3 AS f", "monotonically_increasing_id() AS r")
+    got = L.first_n_per_file(df, "f", "r", 100, block_bits=4)
+    want = {i for f in range(3) for i in [x for x in range(1000) if x % 3 == f][:100]}
+    assert {r["id"] for r in got.collect()} == want
 
 
 def test_table_normalisers(spark):

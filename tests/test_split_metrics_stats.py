@@ -66,7 +66,27 @@ def test_auc_brute_force_and_one_class(spark):
 
 
 def test_stats_edge_cases(spark):
-    assert abs(S.t_quantile(0.975, 4) - 2.7764451051977987) < 1e-9
+    # published t quantiles and two-sided p-values, any degrees of freedom
+    q = spark.createDataFrame([(2,), (5,), (31,), (80,), (1001,), (1,)], "n long").select(
+        S.t_critical(F.col("n")).alias("t"), "n").collect()
+    want = [12.706204736432095, 2.7764451051977987, 2.0422724563012373, 1.990450208389443,
+            1.9623390808264078, None]
+    for r, t in zip(q, want, strict=True):
+        assert r["t"] is None if t is None else math.isclose(r["t"], t, rel_tol=1e-9)
+    pv = spark.createDataFrame([(2.0, 79), (2.0, 4), (0.5, 1), (2.0, 0), (2.0, 5000)], "t double, df long").select(
+        S.t_two_sided_p(F.col("t"), F.col("df")).alias("p")).collect()
+    for r, p in zip(pv, [0.04893, 0.116117, 0.704833, None, 0.045553], strict=True):
+        assert r["p"] is None if p is None else abs(r["p"] - p) < 5e-5
+    z = spark.createDataFrame([(x / 7,) for x in range(0, 60)], "z double").select("z", S.erfc(F.col("z")).alias("e"))
+    assert all(math.isclose(r["e"], math.erfc(r["z"]), rel_tol=1e-9, abs_tol=1e-14) for r in z.collect())
+    many = spark.createDataFrame([(m, f, 0.9 + (0.001 * (f % 3) if m == "a" else -0.1)) for f in range(80)
+                                  for m in "ab"], "model string, fold long, accuracy double")
+    far = S.paired_t_test(many, "a", "b").first()
+    assert far["df"] == 79 and far["reject_null"] and far["conclusion"] == "a is SIGNIFICANTLY BETTER than b"
+    none = S.paired_t_test(many.where("fold = 1"), "a", "b").first()
+    assert none["p_value"] is None and none["conclusion"] is None
+    ci = S.confidence_interval(many, "accuracy", ["model"]).collect()
+    assert all(r["margin_of_error"] is not None for r in ci)
     cv = spark.createDataFrame([("a", f, 0.9) for f in range(1, 6)] + [("b", f, 0.8) for f in range(1, 6)],
                                "model string, fold long, accuracy double")
     t = S.paired_t_test(cv, "a", "b").first()
@@ -77,3 +97,14 @@ def test_stats_edge_cases(spark):
                                "doc_id long, model string, label string, raw_prediction string")
     m = S.mcnemar(sc, "a").first()
     assert (m["b"], m["c"], m["chi2"], m["p_value"]) == (0, 0, 0.0, 1.0)
+
+
+def test_curves_keep_scores_that_differ_in_the_last_place(spark):
+    """Probabilities below 1e-12 are told apart."""
+    rows = [(i, "m", "spam" if i % 2 else "ham", "ham", 1e-13 * (i + 1)) for i in range(50)]
+    assert M.roc_points(_scores(spark, rows)).count() == 51
+    hot = rows + [(100 + i, "m", "ham", "ham", 0.5) for i in range(500)]
+    got = M.curve_metrics(_scores(spark, hot)).first()
+    pos, neg = [r[4] for r in hot if r[2] == "spam"], [r[4] for r in hot if r[2] != "spam"]
+    auc = sum((p > q) + 0.5 * (p == q) for p in pos for q in neg) / (len(pos) * len(neg))
+    assert math.isclose(got["roc_auc"], auc, rel_tol=1e-12)

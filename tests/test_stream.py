@@ -32,3 +32,19 @@ def test_stream_scores_each_message_once(spark):
     assert [r["msg_id"] for r in dead] == [12]
     r10 = [r for r in out.collect() if r["request_id"] == 10][0]
     assert r10["badge"].startswith("[SPAM") == (r10["prediction"] == "spam")
+
+
+def test_stream_keeps_late_messages(spark):
+    """Batches of day 10, 11, 11, then messages of day 1, then day 11 again."""
+    tr = spark.createDataFrame(
+        [(1, "spam", "win cash prize now"), (2, "spam", "cash prize claim"), (3, "ham", "lunch meeting today"),
+         (4, "ham", "meeting notes lunch")], "doc_id long, label string, text string")
+    model = nb.fit(nb.tokenize(tr))
+    base = tempfile.mkdtemp()
+    src, out, ckpt = (os.path.join(base, x) for x in ("src", "out", "ckpt"))
+    batches = [[(1, 10)], [(2, 11)], [(3, 11), (1, 10)], [(4, 11)], [(5, 1), (6, 1)], [(7, 11), (5, 1), (2, 11)]]
+    for k, ids in enumerate(batches):
+        rows = [(i, datetime.datetime(2026, 1, day), None, "win cash", "lunch") for i, day in ids]
+        spark.createDataFrame(rows, IB.INBOX_SCHEMA).coalesce(1).write.parquet(f"{src}/p={k}")
+        IB.start_scoring(spark, model, src, out, ckpt).awaitTermination()
+    assert sorted(r["request_id"] for r in IB.read_scored(spark, out).collect()) == [1, 2, 3, 4, 5, 6, 7]
