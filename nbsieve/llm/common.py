@@ -36,7 +36,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh scratch table in the shared checkpoint folder
     and read it back: cuts the lineage and survives the loss of executors."""
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -8,10 +8,12 @@ suffix array is sampled without losing a match:
 1. Each 200-byte window has an anchor: the 32-byte gram of least hash in it,
    leftmost on ties. Equal windows have equal anchors at equal places, so
    windows need comparing only with windows of the same anchor gram. Runs of
-   windows that share an anchor (about 85) are one row.
+   windows that share an anchor (about 85) are one row, with hashes of the
+   gram and of the run's whole text.
 2. Anchors whose gram occurs once in the corpus can hold no repeat and go.
-3. For the rest the run's text is read; equal texts of an anchor collapse to
-   one row with a count before they are gathered.
+   Anchors all of whose runs have the same text repeat in every window.
+3. Only anchors with several texts need looking at: their runs are read, equal
+   texts collapse to one row with a count before they are gathered.
 4. The suffixes from the anchors, and the reversed prefixes before them, are
    sorted by deep-shallow sorting (multikey quicksort, then blind tries; see
    ``suffix_sort``). In these two orders, strings that agree in their first d
@@ -37,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nbsieve.llm.common import mix, prefix_hash, span_hash, stored, text_buffer, text_slices
@@ -49,16 +51,19 @@ SEGMENT = 1 << 20          # window starts looked at together
 GROUP_TEXTS = 30_000       # distinct texts sorted together
 HOT_TEXTS = 20_000         # of one anchor
 SEEN = 200_000             # texts a task remembers to have sent
+BROADCAST_ROWS = 2_000_000 # row ids broadcast to a scan; beyond it, a shuffled join
 
 _U = np.uint64
 
-ANCHORS = "gram bigint, row bigint, at bigint, left int, n int"
-TEXTS = "gram bigint, row bigint, at bigint, left int, n int, hi bigint, lo bigint, body binary"
+# ``pos`` packs the first window's start, the bytes from there to the anchor,
+# and the number of windows (the last two below 256).
+ANCHORS = "gram bigint, body bigint, row bigint, pos bigint"
+TEXTS = "gram bigint, body bigint, row bigint, pos bigint, text binary"
 
 
 def anchors(buf: np.ndarray, offsets: np.ndarray):
-    """Runs of windows with one anchor: (gram hash, first window start, bytes
-    from there to the anchor, windows), as arrays over the whole buffer."""
+    """Runs of windows with one anchor: (gram hash, text hash, first window
+    start, bytes from there to the anchor, windows), over the whole buffer."""
     opens = np.zeros(len(buf) + 1, dtype=np.int64)   # windows stay in a document
     long_enough = np.diff(offsets) >= WINDOW
     np.add.at(opens, offsets[:-1][long_enough], 1)
@@ -72,7 +77,8 @@ def anchors(buf: np.ndarray, offsets: np.ndarray):
         if len(sub) < WINDOW:
             break
         starts = np.arange(len(sub) - GRAM + 1)
-        gram = span_hash(prefix_hash(sub), starts, starts + GRAM)
+        prefix = prefix_hash(sub)
+        gram = span_hash(prefix, starts, starts + GRAM)
         best = (gram & ~low) | starts.astype(_U)
         width = 1
         while 2 * width <= span:
@@ -87,55 +93,57 @@ def anchors(buf: np.ndarray, offsets: np.ndarray):
         last = valid.copy()
         last[:-1] &= ~valid[1:] | (anchor[1:] != anchor[:-1])
         lo, hi = np.flatnonzero(new), np.flatnonzero(last)
-        out.append((gram[anchor[lo]], lo + seg, anchor[lo] - lo, hi - lo + 1))
+        left = anchor[lo] - lo
+        body = mix(span_hash(prefix, lo, hi + WINDOW) + left.astype(_U))
+        out.append((gram[anchor[lo]], body, lo + seg, left, hi - lo + 1))
     if not out:
-        return tuple(np.zeros(0, t) for t in (_U, np.int64, np.int64, np.int64))
+        return tuple(np.zeros(0, t) for t in (_U, _U, np.int64, np.int64, np.int64))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 def _anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_slices(batches):
         buf, offsets = text_buffer(batch.column("text"))
-        gram, at, left, n = anchors(buf, offsets)
+        gram, body, at, left, n = anchors(buf, offsets)
         if not len(at):
             continue
         doc = np.searchsorted(offsets, at, side="right") - 1
         yield pa.RecordBatch.from_arrays([
-            pa.array(gram.view(np.int64)), pa.array(batch.column("row").to_numpy()[doc]),
-            pa.array(at - offsets[doc]), pa.array(left.astype(np.int32)),
-            pa.array(n.astype(np.int32))], names=["gram", "row", "at", "left", "n"])
+            pa.array(gram.view(np.int64)), pa.array(body.view(np.int64)),
+            pa.array(batch.column("row").to_numpy()[doc]),
+            pa.array(((at - offsets[doc]) << 16) | (left << 8) | n)],
+            names=["gram", "body", "row", "pos"])
+
+
+def _at(pos: Column) -> Column:
+    return F.shiftright(pos, 16)
 
 
 def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Text of each run, sent once per task for equal (text, anchor place)."""
-    seen: set[bytes] = set()
+    """Text of each run, sent once per task for equal (gram, text)."""
+    seen: set[tuple[int, int]] = set()
     for batch in text_slices(batches, max_bytes=1 << 20):
         buf, offsets = text_buffer(batch.column("text"))
         raw, runs = buf.tobytes(), batch.column("runs")
         runs = runs if runs.offset == 0 else pa.concat_arrays([runs])
         flat = runs.flatten()
-        gram, at, left, n = (flat.field(c).to_numpy() for c in ("gram", "at", "left", "n"))
+        gram, body, pos = (flat.field(c).to_numpy() for c in ("gram", "body", "pos"))
         doc = np.repeat(np.arange(len(runs)), runs.value_lengths().to_numpy())
-        begin = offsets[doc] + at
-        digests, bodies = [], []
-        for b, e, le in zip(begin.tolist(), (begin + n + WINDOW - 1).tolist(), left.tolist(),
-                            strict=True):
-            body = raw[b:e]
-            digest = hashlib.blake2b(body, digest_size=16, salt=le.to_bytes(2, "big")).digest()
-            digests.append(digest)
-            if digest in seen:
-                bodies.append(None)
-            else:
-                bodies.append(body)
-                if len(seen) >= SEEN:
-                    seen.clear()
-                seen.add(digest)
-        key = np.frombuffer(b"".join(digests), dtype=np.int64)
+        begin = offsets[doc] + (pos >> 16)
+        texts = []
+        for b, e, key in zip(begin.tolist(), (begin + (pos & 255) + WINDOW - 1).tolist(),
+                             zip(gram.tolist(), body.tolist(), strict=True), strict=True):
+            if key in seen:
+                texts.append(None)
+                continue
+            texts.append(raw[b:e])
+            if len(seen) >= SEEN:
+                seen.clear()
+            seen.add(key)
         yield pa.RecordBatch.from_arrays([
-            pa.array(gram), pa.array(batch.column("row").to_numpy()[doc]), pa.array(at),
-            pa.array(left), pa.array(n), pa.array(key[0::2]), pa.array(key[1::2]),
-            pa.array(bodies, pa.binary())],
-            names=["gram", "row", "at", "left", "n", "hi", "lo", "body"])
+            pa.array(gram), pa.array(body), pa.array(batch.column("row").to_numpy()[doc]),
+            pa.array(pos), pa.array(texts, pa.binary())],
+            names=["gram", "body", "row", "pos", "text"])
 
 
 def repeated_windows(bodies: list[bytes], gram: np.ndarray, left: np.ndarray, n: np.ndarray,
@@ -172,43 +180,45 @@ def _runs_of(hit: np.ndarray):
 
 def _sorted_group(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     t = pa.Table.from_batches(list(batches))
-    gram, left, n, copies, hi, lo = (t[c].to_numpy() for c in
-                                     ("gram", "left", "n", "copies", "hi", "lo"))
-    hit = repeated_windows(t["body"].to_pylist(), gram, left.astype(np.int64),
-                           n.astype(np.int64), copies)
+    gram, body, pos, copies = (t[c].to_numpy() for c in ("gram", "body", "pos", "copies"))
+    hit = repeated_windows(t["text"].to_pylist(), gram, (pos >> 8) & 255, pos & 255, copies)
     row, first, past = _runs_of(hit)
     yield pa.RecordBatch.from_arrays([
-        pa.array(hi[row]), pa.array(lo[row]), pa.array(first.astype(np.int32)),
-        pa.array((past + WINDOW - 1).astype(np.int32))], names=["hi", "lo", "b", "e"])
+        pa.array(gram[row]), pa.array(body[row]), pa.array(first.astype(np.int32)),
+        pa.array((past + WINDOW - 1).astype(np.int32))], names=["gram", "body", "b", "e"])
 
 
 def _hot_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = [[], [], [], [], [], []]
-        for i in range(batch.num_rows):
-            body, left, n = (batch.column(c)[i].as_py() for c in ("body", "left", "n"))
-            for k in range(n):
-                d = hashlib.blake2b(body[k: k + WINDOW], digest_size=16).digest()
-                for col, v in zip(out, (int.from_bytes(d[:8], "little", signed=True),
-                                        int.from_bytes(d[8:], "little", signed=True),
-                                        k, batch.column("copies")[i].as_py(),
-                                        batch.column("hi")[i].as_py(),
-                                        batch.column("lo")[i].as_py()), strict=True):
-                    col.append(v)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()),
-            pa.array(out[3], pa.int64()), pa.array(out[4], pa.int64()), pa.array(out[5], pa.int64())],
-            names=["w1", "w2", "k", "copies", "hi", "lo"])
+        rows = []
+        for gram, body, pos, copies, text in zip(*(batch.column(c).to_pylist() for c in (
+                "gram", "body", "pos", "copies", "text")), strict=True):
+            for k in range(pos & 255):
+                d = hashlib.blake2b(text[k: k + WINDOW], digest_size=16).digest()
+                rows.append((int.from_bytes(d[:8], "little", signed=True),
+                             int.from_bytes(d[8:], "little", signed=True), k, copies, gram, body))
+        columns = list(zip(*rows, strict=True)) or [()] * 6
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int64(),
+                                                      pa.int64(), pa.int64()), strict=True)],
+            names=["w1", "w2", "k", "copies", "gram", "body"])
 
 
 def _hot_spans(texts: DataFrame) -> DataFrame:
-    """(hi, lo, b, e) of the repeated windows of hot anchors, one by one."""
+    """(gram, body, b, e) of the repeated windows of hot anchors, one by one."""
     w = stored(texts.mapInArrow(
-        _hot_windows, "w1 bigint, w2 bigint, k int, copies bigint, hi bigint, lo bigint"),
+        _hot_windows, "w1 bigint, w2 bigint, k int, copies bigint, gram bigint, body bigint"),
         "hot-windows")
     often = w.groupBy("w1", "w2").agg(F.sum("copies").alias("c")).filter("c > 1")
     return w.join(often, ["w1", "w2"]).select(
-        "hi", "lo", F.col("k").alias("b"), (F.col("k") + WINDOW).alias("e"))
+        "gram", "body", F.col("k").alias("b"), (F.col("k") + WINDOW).alias("e"))
+
+
+def _rows_in(base: DataFrame, rows: DataFrame, how: str = "left_semi") -> DataFrame:
+    """``base`` restricted to the row ids of a stored table, before any
+    shuffle where they are few enough to broadcast."""
+    ids = rows.select("row")
+    return base.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "row", how)
 
 
 def repeated_spans(base: DataFrame, hot_texts: int = HOT_TEXTS) -> DataFrame:
@@ -217,37 +227,37 @@ def repeated_spans(base: DataFrame, hot_texts: int = HOT_TEXTS) -> DataFrame:
     overlapping."""
     runs = stored(base.mapInArrow(_anchor_batches, ANCHORS), "anchors")
     again = runs.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("gram")
-    by_row = runs.join(again, "gram", "left_semi").groupBy("row").agg(
-        F.collect_list(F.struct("gram", "at", "left", "n")).alias("runs"))
-    texts = stored(base.join(by_row, "row").mapInArrow(_text_batches, TEXTS), "anchor-texts")
-    unique = stored(texts.groupBy("gram", "hi", "lo").agg(
-        F.count(F.lit(1)).alias("copies"), F.first("left").alias("left"),
-        F.first("n").alias("n"), F.first("body", ignorenulls=True).alias("body")), "unique-texts")
-
-    per_gram = unique.groupBy("gram").agg(F.count(F.lit(1)).alias("c"),
-                                          F.sum("copies").alias("s"))
-    # One text, many times: every window repeats. Several texts: sort them.
-    alone = per_gram.filter("c = 1").select("gram")
-    hot = per_gram.filter(F.col("c") > hot_texts).select("gram")
-    single = unique.join(alone, "gram", "left_semi").select(
-        "hi", "lo", F.lit(0).alias("b"), (F.col("n") + WINDOW - 1).alias("e"))
-    several = per_gram.filter((F.col("c") > 1) & (F.col("c") <= hot_texts))
-    total = several.agg(F.sum("c")).first()[0] or 0
-    parts = max(1, -(-int(total) // GROUP_TEXTS))
+    twice = stored(runs.join(again, "gram", "left_semi"), "repeated-anchors")
+    grams = stored(twice.groupBy("gram").agg(F.min("body").alias("b0"), F.max("body").alias("b1"))
+                   .select("gram", (F.col("b0") != F.col("b1")).alias("several")), "grams")
+
+    # One text, many times: every window repeats, no text is needed.
+    length = F.col("pos").bitwiseAND(255) + (WINDOW - 1)
+    plain = twice.join(grams.filter("NOT several"), "gram", "left_semi").select(
+        "row", F.struct(_at(F.col("pos")).alias("b"), (_at(F.col("pos")) + length).alias("e"))
+        .alias("span"))
+
+    # Several texts: sort them.
+    by_row = stored(twice.join(grams.filter("several"), "gram", "left_semi").groupBy("row").agg(
+        F.collect_list(F.struct("gram", "body", "pos")).alias("runs")), "runs-by-row")
+    texts = stored(_rows_in(base, by_row).join(by_row, "row").mapInArrow(_text_batches, TEXTS),
+                   "anchor-texts")
+    unique = stored(texts.groupBy("gram", "body").agg(
+        F.count(F.lit(1)).alias("copies"), F.first("pos").alias("pos"),
+        F.first("text", ignorenulls=True).alias("text")), "unique-texts")
+    per_gram = unique.groupBy("gram").agg(F.count(F.lit(1)).alias("c"))
+    hot = stored(per_gram.filter(F.col("c") > hot_texts).select("gram"), "hot-grams")
+    parts = max(1, -(-unique.count() // GROUP_TEXTS))
     part = F.pmod(F.xxhash64("gram"), F.lit(parts)).alias("part")
-    sorted_spans = unique.join(several.select("gram"), "gram", "left_semi") \
-        .select("gram", "hi", "lo", "copies", "left", "n", "body", part).groupBy("part") \
-        .applyInArrow(_sorted_group, "hi bigint, lo bigint, b int, e int")
-    spans = single.unionByName(sorted_spans)
+    spans = unique.join(hot, "gram", "left_anti").select("*", part).groupBy("part") \
+        .applyInArrow(_sorted_group, "gram bigint, body bigint, b int, e int")
     if not hot.isEmpty():
-        spans = spans.unionByName(_hot_spans(unique.join(hot, "gram", "left_semi").select(
-            "hi", "lo", "copies", "left", "n", "body")))
-    spans = stored(spans, "text-spans")
-    where = texts.select("hi", "lo", "row", "at").join(spans, ["hi", "lo"]).select(
-        "row", F.struct((F.col("at") + F.col("b")).alias("b"),
-                        (F.col("at") + F.col("e")).alias("e")).alias("span"))
-    return stored(where.groupBy("row").agg(F.sort_array(F.collect_list("span")).alias("spans")),
-                  "row-spans")
+        spans = spans.unionByName(_hot_spans(unique.join(hot, "gram", "left_semi")))
+    found = texts.select("gram", "body", "row", "pos").join(spans, ["gram", "body"]).select(
+        "row", F.struct((_at(F.col("pos")) + F.col("b")).alias("b"),
+                        (_at(F.col("pos")) + F.col("e")).alias("e")).alias("span"))
+    return stored(plain.unionByName(found).groupBy("row").agg(
+        F.sort_array(F.collect_list("span")).alias("spans")), "row-spans")
 
 
 def merged(begin: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
@@ -267,10 +277,8 @@ def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for i in range(batch.num_rows):
             text = raw[offsets[i]: offsets[i + 1]]
-            found = []
-            if spans[i].is_valid:
-                s = spans[i].values
-                found = merged(s.field("b").to_numpy(), s.field("e").to_numpy())
+            s = spans[i].values
+            found = merged(s.field("b").to_numpy(), s.field("e").to_numpy())
             kept, at = [], 0
             for b, e in found:
                 kept.append(text[at:b])
@@ -278,35 +286,36 @@ def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept.append(text[at:])
             out.append((len(text), sum(e - b for b, e in found), len(found), b"".join(kept)))
         yield pa.RecordBatch.from_arrays([
-            batch.column("row"), pa.array([x[0] for x in out], pa.int64()),
+            batch.column("doc"), pa.array([x[0] for x in out], pa.int64()),
             pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.int64()),
             pa.array([x[3] for x in out], pa.binary())],
-            names=["row", "n_bytes", "n_removed", "n_spans", "kept"])
+            names=["doc", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
 def cut_repeats(docs: DataFrame, hot_texts: int = HOT_TEXTS) -> DataFrame:
-    """(doc, n_bytes, n_removed, n_spans, kept): the row as it came, as a
-    struct, the counts, and the remaining bytes. Rows without a repeat never
-    enter Python again."""
-    base = stored(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id()
-                              .alias("row")), "rows")
-    text = F.coalesce(F.col("doc.text").cast("string"), F.lit(""))
-    body = base.select("row", text.alias("text"))
-    spans = repeated_spans(body, hot_texts)
-    cut = body.join(spans, "row").mapInArrow(
-        _cut_batches, "row bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    """(doc, n_bytes, n_removed, n_spans, kept): the row's other columns as a
+    struct, the counts, and the remaining bytes (null where the text was null).
+    Rows without a repeat are not shuffled and never enter Python again."""
+    other = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    base = stored(docs.select(other.alias("doc"), F.col("text").cast("string").alias("text"),
+                              F.monotonically_increasing_id().alias("row")), "rows")
+    spans = repeated_spans(base.select("row", "text"), hot_texts)
+    doc_type = base.schema["doc"].dataType.simpleString()
+    cut = _rows_in(base, spans).join(spans, "row").select("doc", "text", "spans").mapInArrow(
+        _cut_batches, f"doc {doc_type}, n_bytes bigint, n_removed bigint, n_spans bigint, "
+                      "kept binary")
     none = F.lit(0).cast("bigint")
-    untouched = base.join(spans.select("row"), "row", "left_anti").select(
-        "doc", F.octet_length(text).cast("bigint").alias("n_bytes"), none.alias("n_removed"),
-        none.alias("n_spans"), text.cast("binary").alias("kept"))
-    touched = base.join(cut, "row").select("doc", "n_bytes", "n_removed", "n_spans", "kept")
-    return untouched.unionByName(touched)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")
+    untouched = _rows_in(base, spans, "left_anti").select(
+        "doc", size.alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"),
+        F.col("text").cast("binary").alias("kept"))
+    return untouched.unionByName(cut)
 
 
 def op2_suffix_dedup(docs: DataFrame) -> DataFrame:
     out = cut_repeats(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
-    return out.select("doc.doc_id", "n_bytes", "n_removed", "n_spans",
-                      F.sha2("kept", 256).alias("kept_sha256"))
+    return out.select("doc.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(
+        F.coalesce("kept", F.lit("").cast("binary")), 256).alias("kept_sha256"))
 
 
 def _whole_characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,11 +328,14 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated bytes cut out of ``text`` (characters cut in
     two are dropped) and ``n_chars`` counted anew; other columns as they were."""
     out = cut_repeats(docs).select("doc", "n_removed", "kept")
-    same = out.filter("n_removed = 0").select("doc.*")
-    changed = out.filter("n_removed > 0").select("doc", "kept")
-    doc_type = changed.schema["doc"].dataType.simpleString()
-    changed = changed.mapInArrow(_whole_characters, f"doc {doc_type}, kept string")
-    new = {"text": F.col("kept"), "n_chars": F.char_length("kept").cast("bigint")}
-    changed = changed.select(*[(new[c] if c in new else F.col(f"doc.`{c}`")).alias(c)
-                               for c in docs.columns])
-    return same.unionByName(changed)
+    doc_type = out.schema["doc"].dataType.simpleString()
+    changed = out.filter("n_removed > 0").select("doc", "kept").mapInArrow(
+        _whole_characters, f"doc {doc_type}, kept string")
+    same = out.filter("n_removed = 0").select("doc", F.col("kept").cast("string").alias("kept"))
+
+    def columns(df: DataFrame, new: dict) -> DataFrame:
+        return df.select(*[new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
+
+    text = {"text": F.col("kept")}
+    return columns(same, text).unionByName(
+        columns(changed, text | {"n_chars": F.char_length("kept").cast("bigint")}))
