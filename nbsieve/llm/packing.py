@@ -19,7 +19,9 @@ are packed each on its own; null ids are carried; an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nbsieve.llm.common import stored, text_buffer, text_slices
+from nbsieve.llm.common import stored, text_buffer, text_slices, word_spans
 
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 2048
@@ -35,57 +37,107 @@ END_ID = 0
 GROUP_PIECES = 50_000       # pieces in one packing partition
 OPEN_WASTE = 16             # unused tokens from which a bin is opened again
 ROUNDS = 3
-WORD_MEMORY = 200_000       # distinct words a worker remembers
+WORD_MEMORY = 500_000       # distinct words a worker remembers
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 PACKED = ("row bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, "
           "sequence_id bigint, offset bigint, open boolean, gap boolean")
 
 
+# A word of these letters before any of these marks is two pre-tokens whatever
+# stands around it, and its letters need no normalising but lower case.
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_MARKS = b"-.,;:!?*#$%&|\"()"
+_CORE = re.compile(f"[{_LATIN}]+")
+
+
+def _byte_alphabet() -> dict[int, str]:
+    """Printable stand-ins of byte-level vocabularies: bytes that print as
+    they are stand for themselves, the others for U+0100 and after."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = (b for b in range(256) if b not in own)
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+class _Codes(dict):
+    """Word to code; a word not known yet is encoded when it is looked up."""
+
+    def __init__(self, encode):
+        self.encode = encode
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self.new.append(self.encode(word))
+        code = self[word] = len(self) + 1                    # 0: the end id
+        return code
+
+
 class WordIds:
-    """Ids of texts, by way of their distinct words."""
+    """Ids of texts, by way of their distinct words. Plain words go straight
+    to the tokenizer's merges, all others through the whole tokenizer."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.merge = self.tokenizer.model.tokenize
+        self.alphabet = _byte_alphabet()
+        self.marks: dict[bytes, bytes] = {}
         self.clear()
 
     def clear(self) -> None:
-        self.codes: dict[bytes, int] = {}
+        self.codes = _Codes(self._ids)
+        self.cores: dict[bytes, bytes] = {}
         self.flat = np.array([END_ID], dtype=np.uint32)      # code 0: the end id
         self.starts = np.array([0], dtype=np.int64)
         self.sizes = np.array([1], dtype=np.int64)
 
-    def learn(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words],
-                                                 add_special_tokens=False)
-        ids = [e.ids for e in found]
-        sizes = np.array([len(x) for x in ids], dtype=np.int64)
-        new = np.array([i for x in ids for i in x], dtype=np.uint32)
-        base = len(self.sizes)
-        self.codes.update(zip(words, range(base, base + len(words)), strict=True))
+    def _whole(self, word: str) -> bytes:
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def _ids(self, word: bytes) -> bytes:
+        """Ids as bytes: the memory then holds no objects to trace."""
+        core = word.rstrip(_MARKS)
+        if core.isalpha():                                   # ASCII letters
+            core_ids = self.cores.get(key := core.lower())
+            stand_in = None if core_ids is not None else key.decode()
+        else:
+            text = core.decode("utf-8", "replace")
+            if _CORE.fullmatch(text) is None:
+                return self._whole(word.decode("utf-8", "replace"))
+            core_ids = self.cores.get(key := text.lower().encode())
+            stand_in = None if core_ids is not None else \
+                key.decode("latin-1").translate(self.alphabet)
+        if core_ids is None:
+            core_ids = self.cores[key] = array("I", [t.id for t in self.merge(stand_in)]).tobytes()
+        if len(core) == len(word):
+            return core_ids
+        marks = word[len(core):]
+        if marks not in self.marks:
+            self.marks[marks] = self._whole(marks.decode())
+        return core_ids + self.marks[marks]
+
+    def _settle(self) -> None:
+        """Append the ids of the words met since the last call."""
+        new, self.codes.new = self.codes.new, []
+        sizes = np.fromiter(map(len, new), dtype=np.int64, count=len(new)) // 4
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.flat = np.concatenate([self.flat, new])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(new), dtype=np.uint32)])
 
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, bounds): each text's ids, then the end id."""
         if len(self.codes) > WORD_MEMORY:
             self.clear()
-        split = [t.split() for t in texts]                   # ASCII white space
-        known = self.codes
-        missing = list({w for ws in split for w in ws if w not in known})
-        if missing:
-            self.learn(missing)
-        codes: list[int] = []
-        for ws in split:
-            codes.extend([known[w] for w in ws])
-            codes.append(0)
-        code = np.array(codes, dtype=np.int64)
+        bounds = word_spans(buf, offsets)[2]
+        glue = np.insert(buf, offsets[1:-1], 32)             # texts stay apart
+        words = glue.tobytes().split()                       # ASCII white space
+        code = np.fromiter(map(self.codes.__getitem__, words), dtype=np.int64, count=len(words))
+        self._settle()
+        code = np.insert(code, bounds[1:], 0)
         sizes = self.sizes[code]
         ends = np.cumsum(sizes)
         at = np.repeat(self.starts[code] - (ends - sizes), sizes) + np.arange(ends[-1])
-        text_ends = np.cumsum([len(ws) + 1 for ws in split]) - 1
+        text_ends = bounds[1:] + np.arange(len(bounds) - 1)
         return self.flat[at], np.concatenate([[0], ends[text_ends]])
 
 
@@ -106,9 +158,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str | None = None) -> DataFram
         encoder = _encoder(tokenizer_path)
         for batch in text_slices(batches):
             buf, offsets = text_buffer(batch.column("text"))
-            raw = buf.tobytes()
-            ids, bounds = encoder.encode([raw[a:b] for a, b in zip(
-                offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)])
+            ids, bounds = encoder.encode(buf, offsets)
             data = ids.astype("<u4").tobytes()
             doc, piece, start, length, crc = [], [], [], [], []
             for d, (lo, hi) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(),
