@@ -99,9 +99,12 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
         need = -(-c["least"] * PERCENT // 100)
         bound = F.when(n >= need, F.lit(top)).otherwise(bound)
     hashed = hashed.withColumn("bound", bound)
+    # explode_outer, and a filter after it: from an inner explode, or a filter
+    # on the arrays, the optimizer makes a filter below the projections, which
+    # evaluates the hashing once more.
     low = F.filter("shingle_hashes", lambda x: x <= F.col("bound"))
-    probe = hashed.filter("bound IS NOT NULL").select(
-        "doc_key", n.alias("n_doc"), F.explode(low).alias("h"))
+    probe = hashed.select("doc_key", n.alias("n_doc"), F.explode_outer(low).alias("h")) \
+        .filter("h IS NOT NULL")
     found = probe.join(_bounded(probes), "h") \
         .filter(100 * F.col("n_doc") >= PERCENT * F.col("n_item")) \
         .select("doc_key", "item_key").distinct()
@@ -110,9 +113,9 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     # Confirm: only documents with a candidate, only their candidate items.
     again = docs.join(_bounded(pairs.select("doc_key").distinct()), "doc_key", "left_semi")
     theirs = with_shingles(again.select("doc_key", "text").dropDuplicates(["doc_key"])) \
-        .select("doc_key", F.explode("shingles").alias("shingle"))
+        .select("doc_key", F.explode_outer("shingles").alias("shingle"))
     wanted = with_shingles(items).select(
-        "item_key", F.size("shingles").alias("n_item"), F.explode("shingles").alias("shingle"))
+        "item_key", F.size("shingles").alias("n_item"), F.explode_outer("shingles").alias("shingle"))
     wanted = stored(wanted, "item-shingles")
     shared = theirs.join(_bounded(wanted), "shingle").groupBy("doc_key", "item_key", "n_item") \
         .agg(F.count(F.lit(1)).alias("n_shared"))
