@@ -62,6 +62,8 @@ RANGES = ((0x00, 0), (0x41, 1), (0x5B, 0), (0x61, 1), (0x7B, 0), (0xAA, 1), (0xA
 _FIRST = np.array([a for a, _ in RANGES])
 _SCRIPT = np.array([s for _, s in RANGES], dtype=np.int8)
 
+STRETCH = 1 << 20            # bytes hashed together
+
 _U = np.uint64
 UND = "und"
 
@@ -84,44 +86,49 @@ class Words:
             else column
         self.buf, self.offsets = text_buffer(pc.utf8_lower(text))
         self.starts, self.ends, self.bounds = word_spans(self.buf, self.offsets)
-        self.hash = span_hash(prefix_hash(self.buf), self.starts, self.ends)
-        self.keys, first, self.code = np.unique(self.hash, return_index=True, return_inverse=True)
-        self.first = first
-        script = _SCRIPT[np.searchsorted(_FIRST, _code_points(self.buf), side="right") - 1]
-        if len(first):
-            edges = np.stack([self.starts, self.ends], axis=1).ravel()
-            if edges[-1] == len(script):
-                script = np.append(script, np.int8(0))
-            self.script = np.maximum.reduceat(script, edges)[::2][first]
-        else:
-            self.script = np.zeros(0, np.int8)
-        self.size = (self.ends - self.starts)[first]
-
-    def features(self) -> tuple[np.ndarray, np.ndarray]:
-        """(feature, distinct word) pairs of all distinct words: n-grams of
-        the word between two spaces, and the word."""
+        n = len(self.starts)
+        self.hash, script = np.zeros(n, dtype=_U), np.zeros(n, dtype=np.int8)
+        at = 0
+        while at < n:                                # stretches of bounded size
+            past = max(at + 1, int(np.searchsorted(self.ends, self.starts[at] + STRETCH)))
+            lo, hi = self.starts[at], self.ends[past - 1]
+            sub, begin, end = self.buf[lo:hi], self.starts[at:past] - lo, self.ends[at:past] - lo
+            self.hash[at:past] = span_hash(prefix_hash(sub), begin, end)
+            own = _SCRIPT[np.searchsorted(_FIRST, _code_points(sub), side="right") - 1]
+            edges = np.stack([begin, end], axis=1).ravel()
+            script[at:past] = np.maximum.reduceat(np.append(own, np.int8(0)), edges)[::2]
+            at = past
+        self.keys, self.first, self.code = np.unique(self.hash, return_index=True,
+                                                     return_inverse=True)
+        self.script = script[self.first]
+        self.size = (self.ends - self.starts)[self.first]
+
+    def features(self, grams: tuple[int, ...] = GRAM_SIZES, buckets: int = BUCKETS,
+                 word_buckets: int = WORD_BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+        """(feature, distinct word) pairs of all distinct words: hashed n-grams
+        of the word between two spaces, and the hashed word after them."""
         n = len(self.keys)
         sizes = self.size + 2
         ends = np.cumsum(sizes)
         begin = ends - sizes
         flat = np.full(int(ends[-1]) if n else 0, 32, dtype=np.uint8)
-        word = np.repeat(np.arange(n), sizes)
+        word = np.repeat(np.arange(n, dtype=np.int32), sizes)
         at = np.arange(len(flat)) - begin[word]
         inner = (at > 0) & (at < sizes[word] - 1)
         flat[inner] = self.buf[(self.starts[self.first][word] + at - 1)[inner]]
         out_f, out_w = [], []
         gram = np.zeros(len(flat), dtype=_U)
-        for size in range(1, max(GRAM_SIZES) + 1):
+        for size in range(1, max(grams) + 1):
             shifted = np.zeros(len(flat), dtype=_U)
             shifted[: len(flat) - size + 1] = flat[size - 1:]
             gram = gram * _U(256) + shifted
-            if size in GRAM_SIZES:
+            if size in grams:
                 ok = at + size <= sizes[word]
                 h = mix(gram[ok] + _U(size * 0x9E3779B97F4A7C15 % 2 ** 64))
-                out_f.append((h & _U(BUCKETS - 1)).astype(np.int64))
+                out_f.append((h & _U(buckets - 1)).astype(np.int32))
                 out_w.append(word[ok])
-        out_f.append((self.keys & _U(WORD_BUCKETS - 1)).astype(np.int64) + BUCKETS)
-        out_w.append(np.arange(n))
+        out_f.append((self.keys & _U(word_buckets - 1)).astype(np.int32) + np.int32(buckets))
+        out_w.append(np.arange(n, dtype=np.int32))
         return np.concatenate(out_f), np.concatenate(out_w)
 
 

@@ -28,14 +28,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nbsieve.llm.common import held_out, text_slices
-from nbsieve.llm.langid import BUCKETS, N_FEATURES, Words
+from nbsieve.llm.langid import Words
 
 FOLDS = 5
-MAX_POSITIVE, MAX_NEGATIVE = 1_500, 3_000
+MAX_POSITIVE, MAX_NEGATIVE = 1_200, 2_400
 MAX_BYTES = 32_768           # of a document in the sample
+GRAMS = (3, 4, 5)            # characters (bytes) of an n-gram
+BUCKETS, WORD_BUCKETS = 1 << 17, 1 << 17
+N_FEATURES = BUCKETS + WORD_BUCKETS
 LENGTH, STRIDE = 32, 16      # words in a window, and between window starts
 EMBED, HIDDEN = 8, 12        # each of word and characters; each direction
-EPOCHS, BATCH, RATE = 7, 256, 0.01
+EPOCHS, BATCH, RATE, EMBED_RATE = 4, 256, 0.01, 0.002
+OFTEN = 20                   # training documents, for a feature's embedding to be learned
 PAD_GATE = 30.0              # keeps the state where a short window is padded
 
 
@@ -63,7 +67,8 @@ class Network:
         def draw(*shape):
             return (rng.standard_normal(shape) / np.sqrt(shape[0])).astype(np.float32)
 
-        # Embeddings begin at zero: features never seen in training say nothing.
+        # Embeddings begin at zero (``train`` sets the first dimension): features
+        # never seen in training say nothing.
         self.p = {"emb": np.zeros((N_FEATURES, EMBED), np.float32),
                   "att": draw(2 * HIDDEN) * 0.1, "out": draw(2 * HIDDEN),
                   "bias": np.zeros(1, np.float32)}
@@ -78,9 +83,10 @@ class Network:
         is_word = features >= BUCKETS
         x = np.zeros((count, 2 * EMBED), np.float32)
         x[word[is_word], :EMBED] = self.p["emb"][features[is_word]]
-        chars, own = self.p["emb"][features[~is_word]], word[~is_word]
-        for k in range(EMBED):
-            x[:, EMBED + k] = np.bincount(own, weights=chars[:, k], minlength=count) / n
+        chars, own = features[~is_word], word[~is_word]
+        for k in range(EMBED):                           # a dimension at a time: less to hold
+            x[:, EMBED + k] = np.bincount(own, weights=self.p["emb"][chars, k],
+                                          minlength=count) / n
         return x
 
     def project(self, x: np.ndarray) -> list[np.ndarray]:
@@ -171,11 +177,15 @@ class _Prepared:
     def __init__(self, column: pa.Array):
         words = Words(column)
         self.count = len(words.keys)
-        self.features, self.word = words.features()
-        self.grams = np.bincount(self.word[self.features < BUCKETS],
-                                 minlength=self.count).astype(np.float32)
+        features, word = words.features(GRAMS, BUCKETS, WORD_BUCKETS)
+        order = np.argsort(word, kind="stable")          # the features of a word together
+        self.features, self.word = features[order], word[order]
+        self.cuts = np.searchsorted(self.word, np.arange(self.count + 1))
+        self.grams = np.maximum(1, np.bincount(self.word[self.features < BUCKETS],
+                                               minlength=self.count)).astype(np.float32)
         self.doc, self.first, self.size = windows(words.bounds)
         self.code, self.docs = words.code, len(words.bounds) - 1
+        self.words_in = np.diff(words.bounds)
 
     def ids(self, which: np.ndarray) -> np.ndarray:
         at = self.first[which][:, None] + np.arange(LENGTH)[None, :]
@@ -197,15 +207,33 @@ class _Prepared:
         return best
 
 
-def _rows_of(data: _Prepared):
-    """Features of each distinct word, as one array and bounds."""
-    order = np.argsort(data.word, kind="stable")
-    return data.features[order], np.searchsorted(data.word[order], np.arange(data.count + 1))
+def _associations(data: _Prepared, labels: np.ndarray, docs: np.ndarray):
+    """(start value, documents) of every feature from the training documents:
+    toxic documents with it beyond what chance would give (the expected count
+    and three standard errors), squashed to (0, 1)."""
+    features, cuts = data.features, data.cuts
+    counts = np.zeros((2, N_FEATURES), dtype=np.int64)
+    bounds = np.concatenate([[0], np.cumsum(data.words_in)])
+    for c in (0, 1):
+        mine = np.flatnonzero(docs & (labels == c))
+        for lo in range(0, len(mine), 32):           # a few documents at a time
+            seen = []
+            for d in mine[lo: lo + 32].tolist():
+                word = np.unique(data.code[bounds[d]: bounds[d + 1]])
+                sizes = cuts[word + 1] - cuts[word]
+                at = np.repeat(cuts[word] - np.cumsum(sizes) + sizes, sizes) \
+                    + np.arange(sizes.sum())
+                seen.append(np.unique(features[at]))
+            counts[c] += np.bincount(np.concatenate(seen), minlength=N_FEATURES)
+    b, a = counts
+    p, n = (labels[docs] == 1).sum(), (labels[docs] == 0).sum()
+    expected = (a + b) * p / (p + n)
+    return np.tanh(np.maximum(a - expected - 3 * np.sqrt(expected + 1), 0) / 4), a + b
 
 
 def _epoch(net: Network, data: _Prepared, picked: np.ndarray, target: np.ndarray, adam: dict,
-           rng, rate: float, rows) -> None:
-    features, cuts = rows
+           rng, rate: float) -> None:
+    features, cuts = data.features, data.cuts
     order = rng.permutation(len(picked))
     for lo in range(0, len(order), BATCH):
         which = order[lo: lo + BATCH]
@@ -231,7 +259,9 @@ def _epoch(net: Network, data: _Prepared, picked: np.ndarray, target: np.ndarray
         is_word = feat >= BUCKETS
         g_feat = np.where(is_word[:, None], g_in[word, :EMBED],
                           g_in[word, EMBED:] / grams[word][:, None])
-        touched, slot = np.unique(feat, return_inverse=True)
+        known = adam["often"][feat]
+        touched, slot = np.unique(feat[known], return_inverse=True)
+        g_feat = g_feat[known]
         g_emb = np.stack([np.bincount(slot, weights=g_feat[:, k]) for k in range(EMBED)], axis=1)
         adam["t"] += 1
         fix = rate * np.sqrt(1 - 0.999 ** adam["t"]) / (1 - 0.9 ** adam["t"])
@@ -243,7 +273,7 @@ def _epoch(net: Network, data: _Prepared, picked: np.ndarray, target: np.ndarray
         # Embeddings: adaptive steps for the rows of this batch only.
         acc = adam["emb"]
         acc[touched] += (g_emb * g_emb).mean(axis=1)
-        net.p["emb"][touched] -= (0.1 * g_emb / (np.sqrt(acc[touched])[:, None] + 1e-6)
+        net.p["emb"][touched] -= (EMBED_RATE * g_emb / (np.sqrt(acc[touched])[:, None] + 1e-6)
                                   ).astype(np.float32)
 
 
@@ -255,7 +285,6 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 1) -> Network | None
     rng = np.random.default_rng(seed)
     net = Network(seed)
     data = _Prepared(pa.array(texts, pa.large_string()))
-    rows = _rows_of(data)
     kept_out = np.zeros(len(labels), dtype=bool)
     for c in (0, 1):
         mine = rng.permutation(np.flatnonzero(labels == c))
@@ -263,7 +292,9 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 1) -> Network | None
     mine = np.flatnonzero(~kept_out[data.doc])
     doc, y = data.doc[mine], labels[data.doc[mine]]
     adam = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items() if k != "emb"}
-    adam |= {"emb": np.zeros(N_FEATURES), "t": 0}
+    start, documents = _associations(data, labels, ~kept_out)
+    net.p["emb"][:, 0] = start
+    adam |= {"emb": np.zeros(N_FEATURES), "t": 0, "often": documents >= OFTEN}
 
     def some(order: np.ndarray, each: int) -> np.ndarray:
         """The first ``each`` windows of every document, in this order."""
@@ -274,7 +305,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 1) -> Network | None
 
     for epoch in range(EPOCHS):
         shuffled = rng.permutation(len(mine))
-        if epoch < 2:
+        if epoch == 0:
             chosen = some(shuffled, 8)
         else:
             logits = data.logits(net)[mine]
@@ -286,7 +317,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 1) -> Network | None
         pos = np.resize(pos, max(len(pos), len(neg) // 2))       # repeat the rarer class
         chosen = np.concatenate([pos, neg])
         _epoch(net, data, mine[chosen], y[chosen].astype(np.float32), adam, rng,
-               RATE * (0.5 if epoch >= EPOCHS - 2 else 1.0), rows)
+               RATE * (0.5 if epoch >= EPOCHS - 2 else 1.0))
 
     best = data.highest(data.logits(net))
     look = kept_out & np.isfinite(best)
