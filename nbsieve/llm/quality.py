@@ -205,7 +205,10 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` that no rule rejects, with their own columns."""
     carried = docs.select(F.col("text"), F.struct("*").alias("__row"))
     out = cascade(carried, rule_order(docs))
-    return out.filter("kept").select("__row.*")
+    # A filter on ``kept`` would be pushed below the projections that compute
+    # it, with all of the cascade written out in it; a generator stops that.
+    row = F.explode_outer(F.when(F.col("kept"), F.array("__row"))).alias("__row")
+    return out.select(row).filter("__row IS NOT NULL").select("__row.*")
 
 
 ORACLE = """
