@@ -81,7 +81,7 @@ def _code_points(buf: np.ndarray) -> np.ndarray:
 class Words:
     """Words of a slice, its distinct words, and their scripts and features."""
 
-    def __init__(self, column: pa.Array):
+    def __init__(self, column: pa.Array, scripts: bool = True):
         text = column.cast(pa.large_string()) if not pa.types.is_large_string(column.type) \
             else column
         self.buf, self.offsets = text_buffer(pc.utf8_lower(text))
@@ -94,9 +94,10 @@ class Words:
             lo, hi = self.starts[at], self.ends[past - 1]
             sub, begin, end = self.buf[lo:hi], self.starts[at:past] - lo, self.ends[at:past] - lo
             self.hash[at:past] = span_hash(prefix_hash(sub), begin, end)
-            own = _SCRIPT[np.searchsorted(_FIRST, _code_points(sub), side="right") - 1]
-            edges = np.stack([begin, end], axis=1).ravel()
-            script[at:past] = np.maximum.reduceat(np.append(own, np.int8(0)), edges)[::2]
+            if scripts:
+                own = _SCRIPT[np.searchsorted(_FIRST, _code_points(sub), side="right") - 1]
+                edges = np.stack([begin, end], axis=1).ravel()
+                script[at:past] = np.maximum.reduceat(np.append(own, np.int8(0)), edges)[::2]
             at = past
         self.keys, self.first, self.code = np.unique(self.hash, return_index=True,
                                                      return_inverse=True)

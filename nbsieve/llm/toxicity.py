@@ -175,7 +175,7 @@ class _Prepared:
     """Words, features and windows of a slice of texts."""
 
     def __init__(self, column: pa.Array):
-        words = Words(column)
+        words = Words(column, scripts=False)
         self.count = len(words.keys)
         features, word = words.features(GRAMS, BUCKETS, WORD_BUCKETS)
         order = np.argsort(word, kind="stable")          # the features of a word together
