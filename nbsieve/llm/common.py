@@ -125,6 +125,16 @@ def word_spans(buf: np.ndarray, offsets: np.ndarray):
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def word_bounds(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The bounds of ``word_spans`` alone."""
+    word = _IS_WORD[buf]
+    start = word.copy()
+    start[1:] &= ~word[:-1]
+    cuts = offsets[offsets < len(buf)]
+    start[cuts] = word[cuts]
+    return np.searchsorted(np.flatnonzero(start), offsets)
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS.get("up", ())) < n:
         size = max(n, 1 << 16)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nbsieve.llm.common import stored, text_buffer, text_slices, word_spans
+from nbsieve.llm.common import stored, text_buffer, text_slices, word_bounds
 
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 2048
@@ -37,7 +37,7 @@ END_ID = 0
 GROUP_PIECES = 50_000       # pieces in one packing partition
 OPEN_WASTE = 16             # unused tokens from which a bin is opened again
 ROUNDS = 3
-WORD_MEMORY = 500_000       # distinct words a worker remembers
+WORD_MEMORY = 1_000_000       # distinct words a worker remembers
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 PACKED = ("row bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, "
@@ -82,11 +82,13 @@ class WordIds:
         self.merge = self.tokenizer.model.tokenize
         self.alphabet = _byte_alphabet()
         self.marks: dict[bytes, bytes] = {}
+        self.cores: dict[bytes, bytes] = {}
         self.clear()
 
     def clear(self) -> None:
         self.codes = _Codes(self._ids)
-        self.cores: dict[bytes, bytes] = {}
+        if len(self.cores) > WORD_MEMORY:
+            self.cores.clear()
         self.flat = np.array([END_ID], dtype=np.uint32)      # code 0: the end id
         self.starts = np.array([0], dtype=np.int64)
         self.sizes = np.array([1], dtype=np.int64)
@@ -128,7 +130,7 @@ class WordIds:
         """(ids of all texts, bounds): each text's ids, then the end id."""
         if len(self.codes) > WORD_MEMORY:
             self.clear()
-        bounds = word_spans(buf, offsets)[2]
+        bounds = word_bounds(buf, offsets)
         glue = np.insert(buf, offsets[1:-1], 32)             # texts stay apart
         words = glue.tobytes().split()                       # ASCII white space
         code = np.fromiter(map(self.codes.__getitem__, words), dtype=np.int64, count=len(words))
