@@ -24,7 +24,6 @@ from nbsieve.session import get_spark  # noqa: E402
 
 HEADLINE = [
     ("tokenize", "F9_tokens"),
-    ("train_counts", "A4_A5_token_counts"),
     ("score_all", "I2_score_all_documents"),
     ("test_metrics", "A10_A14_L4_test_metrics"),
     ("alpha_sweep", "L2_J11_alpha_sweep"),
@@ -55,6 +54,13 @@ def main() -> None:
     t1 = time.time()
     pipeline.prepare(spark, sf, reuse=True)
     times["train_model"] = round(time.time() - t1, 3)
+    # The counting itself, from the stored tokens (the query of that name only
+    # reads the trained table).
+    from nbsieve.operators import nb
+    t1 = time.time()
+    nb.token_class_counts(pipeline.prepare(spark, sf).part("train")) \
+        .write.format("noop").mode("overwrite").save()
+    times["train_counts"] = round(time.time() - t1, 3)
     for key, name in HEADLINE:
         times[key] = run(spark, name, sf)
     warm = {f"{k}_warm": run(spark, n, sf) for k, n in HEADLINE if k in ("score_all", "test_metrics")}
