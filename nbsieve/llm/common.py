@@ -66,7 +66,7 @@ def scale_parts(df: DataFrame) -> int:
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
-                max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+                max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that one slice holds about ``max_bytes`` of text
     (or one longer text): bounds what the numpy steps hold at a time."""
     for batch in batches:

@@ -139,7 +139,7 @@ N_FEATURES = BUCKETS + WORD_BUCKETS
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per slice and language: counts of features, and of words per script
     (numbered after the features)."""
-    for batch in text_slices(batches):
+    for batch in text_slices(batches, max_bytes=2 << 20):
         words = Words(batch.column("text"))
         langs = np.array(batch.column("lang").to_pylist(), dtype=object)
         doc = np.repeat(np.arange(len(langs)), np.diff(words.bounds))
@@ -259,7 +259,7 @@ def language_spans(docs: DataFrame, model: Model | None) -> DataFrame:
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array(model.langs, dtype=object)
         many = len(names)
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, max_bytes=2 << 20):
             words = Words(batch.column("text"))
             docs_n = batch.num_rows
             doc = np.repeat(np.arange(docs_n), np.diff(words.bounds))

@@ -360,7 +360,7 @@ def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray]:
 def toxicity_scores(docs: DataFrame, net: Network | None) -> DataFrame:
     """(doc_id, score, n_windows) of ``docs(doc_id, text)``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, max_bytes=2 << 20):
             data = _Prepared(batch.column("text"))
             score = np.zeros(batch.num_rows)
             if net is not None and len(data.doc):
