@@ -39,11 +39,11 @@ SYMBOLS = 257               # bytes and the end
 END, BITS = 256, 9
 FOLDS = 10
 CHUNK_BYTES = 24 << 20      # text of one chunk
-END_WORD = -1               # key of the end token among the words
-WORD, GRAM = 0, 1
+SLICE_BYTES = 1 << 20       # text whose keys are held at a time
+END_WORD = -1               # key of the end token; words have negative keys
 
 _U = np.uint64
-NEEDS = "kind int, key bigint, chunk int, n bigint"
+NEEDS = "key bigint, chunk int, n bigint"
 SCORES = ("doc_id bigint, train boolean, n_tokens bigint, n_known bigint, "
           "base_score double, score double")
 
@@ -55,11 +55,11 @@ def symbol_keys(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     n_docs = len(offsets) - 1
     sizes = np.diff(offsets)
     doc = np.repeat(np.arange(n_docs), sizes)
-    full = np.full(len(buf) + n_docs * (ORDER + 1), END, dtype=np.int64)
+    full = np.full(len(buf) + n_docs * (ORDER + 1), END, dtype=np.int16)
     full[np.arange(len(buf)) + doc * (ORDER + 1) + ORDER] = buf
-    keys = full.copy()
+    keys = full.astype(np.int64)
     for j in range(1, ORDER + 1):
-        keys[j:] |= full[:-j] << (BITS * j)
+        keys[j:] |= full[:-j].astype(np.int64) << (BITS * j)
     real = np.ones(len(full), dtype=bool)
     begins = offsets[:-1] + np.arange(n_docs) * (ORDER + 1)
     real[(begins[:, None] + np.arange(ORDER)[None, :]).ravel()] = False
@@ -69,8 +69,8 @@ def symbol_keys(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 def word_keys(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     folded = fold_bytes(buf)
     starts, ends, bounds = word_spans(folded, offsets)
-    keys = span_hash(prefix_hash(folded), starts, ends).view(np.int64)
-    return np.where(keys == END_WORD, 0, keys), bounds
+    keys = span_hash(prefix_hash(folded), starts, ends).view(np.int64) | np.int64(-2 ** 63)
+    return np.where(keys == END_WORD, END_WORD - 1, keys), bounds
 
 
 class _Counts:
@@ -86,7 +86,7 @@ class _Counts:
             found, n = np.unique(part, return_counts=True)
             self.parts.append((found, n * weight))
             self.waiting += len(found)
-        if self.waiting > 2_000_000:
+        if self.waiting > 500_000:
             self.merge()
 
     def merge(self) -> None:
@@ -102,7 +102,7 @@ class _Counts:
 
 def _chunk_needs(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words, grams, ends = _Counts(), _Counts(), 0
-    for batch in text_slices(batches):
+    for batch in text_slices(batches, max_bytes=SLICE_BYTES):
         train = batch.column("train").to_numpy(zero_copy_only=False)
         ends += int(train.sum())
         buf, offsets = text_buffer(batch.column("text"))
@@ -113,13 +113,12 @@ def _chunk_needs(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
         counts.merge()
     words.keys, words.n = np.append(words.keys, END_WORD), np.append(words.n, ends)
     chunk = key[0].as_py()
-    for kind, counts in ((WORD, words), (GRAM, grams)):
+    for counts in (words, grams):
         for lo in range(0, len(counts.keys), 100_000):
             k, n = counts.keys[lo: lo + 100_000], counts.n[lo: lo + 100_000]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(len(k), kind, np.int32)), pa.array(k),
-                pa.array(np.full(len(k), chunk, np.int32)), pa.array(n)],
-                names=["kind", "key", "chunk", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(k), pa.array(np.full(len(k), chunk, np.int32)), pa.array(n)],
+                names=["key", "chunk", "n"])
 
 
 def code_lengths(grams: DataFrame) -> DataFrame:
@@ -199,17 +198,17 @@ def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
-def _score_chunk(docs: pa.Table, values: pa.Table) -> pa.Table:
-    kind = values["kind"].to_numpy()
+def _score_chunk(docs: pa.Table, values: pa.Table, unseen: float) -> pa.Table:
+    """``unseen``: value of a word without training occurrences; one
+    occurrence adds over 1 to it."""
     key, value = values["key"].to_numpy(), values["value"].to_numpy()
-    known = values["known"].to_numpy(zero_copy_only=False)
-    is_word, is_end = kind == WORD, (kind == WORD) & (key == END_WORD)
+    known = value > unseen + 0.5
+    is_word, is_end = key < 0, key == END_WORD
     words = _Lookup(key[is_word], value[is_word], known[is_word])
-    grams = _Lookup(key[kind == GRAM], value[kind == GRAM])
-    end_value, end_known = (float(value[is_end][0]), int(known[is_end][0])) if is_end.any() \
-        else (0.0, 0)
+    grams = _Lookup(key[~is_word], value[~is_word])
+    end_value, end_known = float(value[is_end][0]), int(known[is_end][0])
     out = []
-    for batch in text_slices(docs.to_batches()):
+    for batch in text_slices(docs.to_batches(), max_bytes=SLICE_BYTES):
         buf, offsets = text_buffer(batch.column("text"))
         keys, bounds = word_keys(buf, offsets)
         at = words.at(keys)
@@ -233,19 +232,20 @@ def ppm_scores(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFra
     dealt = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks))
                             .cast("int"))
     needs = stored(dealt.groupBy("chunk").applyInArrow(_chunk_needs, NEEDS), "chunk-needs")
-    counts = stored(needs.groupBy("kind", "key").agg(F.sum("n").alias("n")), "key-counts")
-    words = counts.filter(F.col("kind") == WORD)
+    counts = stored(needs.groupBy("key").agg(F.sum("n").alias("n")), "key-counts")
+    words = counts.filter("key < 0")
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)),
                      F.coalesce(F.sum((F.col("n") > 0).cast("long")), F.lit(0))).first()
-    word_values = words.select(
-        "kind", "key", F.log10((F.col("n") + 0.1) / F.lit(n + 0.1 * (v + 1))).alias("value"),
-        (F.col("n") > 0).alias("known"))
-    lengths = code_lengths(counts.filter(F.col("kind") == GRAM).select("key", "n"))
-    values = word_values.unionByName(lengths.select(
-        F.lit(GRAM).alias("kind"), "key", "value", F.lit(True).alias("known")))
-    per_chunk = needs.select("kind", "key", "chunk").join(values, ["kind", "key"])
-    scored = dealt.groupBy("chunk").cogroup(per_chunk.groupBy("chunk")) \
-        .applyInArrow(_score_chunk, SCORES)
+    size = float(n + 0.1 * (v + 1))
+    values = words.select("key", F.log10((F.col("n") + 0.1) / F.lit(size)).alias("value")) \
+        .unionByName(code_lengths(counts.filter("key >= 0")))
+    per_chunk = needs.select("key", "chunk").join(values, "key")
+    unseen = float(np.log10(0.1 / size))
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _score_chunk(left, right, unseen)
+
+    scored = dealt.groupBy("chunk").cogroup(per_chunk.groupBy("chunk")).applyInArrow(score, SCORES)
     return scored, int(n)
 
 
