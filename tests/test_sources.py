@@ -79,3 +79,61 @@ def test_table_normalisers(spark):
     b = spark.createDataFrame([(1, "x"), (0, "y"), (2, "z"), (1, "")], "label int, text string")
     assert sorted(tuple(r) for r in L.normalise_binary(b).select("label", "text").collect()) == \
         [("ham", "y"), ("ham", "z"), ("spam", "x")]
+
+
+def test_mail_nested_and_quoted_printable(spark):
+    from email import message_from_string, policy
+
+    from pyspark.sql import Observation
+
+    d = tempfile.mkdtemp()
+    os.makedirs(os.path.join(d, "spam"))
+    plain = "Content-Type: text/plain; charset=iso-8859-1\nContent-Transfer-Encoding: quoted-printable\n\n" \
+        "Caf=E9 prices =3D low, 100% soft=\nbreak + more 1=2 =3d3D\n"
+    mails = {
+        "nested": "Subject: a\nContent-Type: multipart/mixed; boundary=out\n\npre\n--out\n"
+                  "Content-Type: multipart/alternative;\n\tboundary=\"in ner\"\n\n--in ner\n" + plain +
+                  "--in ner\nContent-Type: text/html\n\n<b>no</b>\n--in ner--\n--out\n"
+                  "Content-Type: text/plain\nContent-Disposition: attachment\n\nthe attachment is not it\n--out--\n",
+        "untyped": "Content-Type: multipart/mixed; boundary=\"=_x\"\n\n--=_x\n\n"
+                   "a part without any header at all\n--=_xy\nnot a delimiter\n--=_x--\nepilogue, not a part\n",
+        "epilogue": "Content-Type: multipart/mixed; boundary=o\n\n--o\nContent-Type: multipart/related; "
+                    "boundary=i\n\n--i\nContent-Type: text/html\n\n<i>x</i>\n--i--\n--o\n"
+                    "Content-Type: TEXT/PLAIN\n\nthe plain part follows the inner end\n--o--",
+        "forward": "Content-Type: multipart/mixed; boundary=f\n\n--f\nContent-Type: message/rfc822\n\n"
+                   "Subject: in\nContent-Type: multipart/mixed; boundary=g\n\n--g\n\n"
+                   "the text of an attached message\n--g--\n--f\nContent-Type: text/plain\n\n"
+                   "the text of the message itself\n--f--\n",
+        "only_forward": "Content-Type: multipart/mixed; boundary=f\n\n--f\nContent-Type: message/rfc822\n\n"
+                        "Subject: in\n\nthe only text is in an attached message\n--f--\n",
+        "quoting": "Subject: b\n\nSomebody wrote of boundary=zz here:\n--zz\nand all of this is one text\n",
+        "single_qp": "Content-Transfer-Encoding: quoted-printable\nContent-Type: text/plain; charset=utf-8\n\n"
+                     "na=C3=AFve and 5 =3D 5 in a plain message =\nof one part",
+        "cut_base64": "Content-Transfer-Encoding: base64\n\nVGhlIHBsYWluIHBhcnQg\nb2YgdGhlIG1lc3NhZ2Uh\n",
+        "no_delimiter": "Content-Type: multipart/mixed; boundary=none\n\nno delimiter line occurs in this one\n",
+    }
+
+    def reference(raw):
+        msg = message_from_string(raw, policy=policy.default)
+        body = msg.get_body(preferencelist=("plain",))
+        if body and len(body.get_content().strip()) > 10:
+            return body.get_content().strip()
+        for part in msg.walk():
+            if not part.is_multipart() and (part.get_content_type() == "text/plain" or not msg.is_multipart()):
+                return part.get_payload(decode=True).decode("utf-8", "ignore").strip()
+        return None
+
+    rows = spark.createDataFrame([(k, bytearray(v.encode())) for k, v in mails.items()], "k string, content binary")
+    got = {r["k"]: r["body"] for r in L.with_mail_body(rows).collect()}
+    assert got == {k: reference(v) for k, v in mails.items()}
+    assert got["nested"] == "Café prices = low, 100% softbreak + more 1=2 =3D"
+
+    mails |= {"html_only": "Content-Type: multipart/mixed; boundary=h\n\n--h\nContent-Type: text/html\n\n"
+                           "<p>no plain part in this message</p>\n--h--\n", "short": "Subject: s\n\nshort"}
+    for name, raw in mails.items():
+        with open(os.path.join(d, "spam", name), "w") as f:
+            f.write(raw)
+    seen = Observation("mails")
+    texts = L.load_mail_tree(spark, d, counts=seen).collect()
+    assert len(texts) == len(mails) - 2
+    assert seen.get == {"messages": len(mails), "no_body": 1, "short_body": 1}
