@@ -7,11 +7,14 @@ window. All windows of a text, half overlapping, are scored; the text's score
 is that of its highest window, calibrated.
 
 Training is plain numpy on a bounded sample of labelled documents
-(``MAX_POSITIVE``, ``MAX_NEGATIVE`` and ``MAX_BYTES`` per document). Labels
-belong to documents, not windows, so after a first round over random windows a
-toxic document trains with its highest windows, a clean one with its highest
-and some random ones. A fifth of the sample is kept from the network and sets
-the offset of the score, so that 0.5 separates the classes.
+(``MAX_POSITIVE``, ``MAX_NEGATIVE``, drawn from the rows found in the table).
+Longer texts than ``MAX_BYTES`` join it only where a class has too few shorter
+ones, with an excerpt of that size from a random place. Labels belong to
+documents, not windows, so after a first round over random windows a toxic
+document trains with its highest windows, a clean one with its highest and some
+random ones. A fifth of the sample is kept from the network and sets the offset
+of the score, so that 0.5 separates the classes; up to ``LONG_EACH`` long texts
+of either class, scored whole where they lie, take part in that.
 
 Defined cases: texts without words (null, empty) score 0; with no labelled
 rows of both classes all score 0; repeated rows are scored each on its own;
@@ -27,12 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nbsieve.llm.common import held_out, text_slices
+from nbsieve.llm.common import held_out, stored, text_slices
 from nbsieve.llm.langid import Words
 
 FOLDS = 5
 MAX_POSITIVE, MAX_NEGATIVE = 1_200, 2_400
 MAX_BYTES = 32_768           # of a document in the sample
+LONG_EACH = 200              # longer texts of a class that help to set the cut
 GRAMS = (3, 4, 5)            # characters (bytes) of an n-gram
 BUCKETS, WORD_BUCKETS = 1 << 17, 1 << 17
 N_FEATURES = BUCKETS + WORD_BUCKETS
@@ -77,6 +81,7 @@ class Network:
             self.p[f"wh{d}"] = draw(HIDDEN, 3 * HIDDEN)
             self.p[f"bh{d}"] = np.zeros(3 * HIDDEN, np.float32)
         self.shift, self.scale = 0.0, 1.0
+        self.seen = np.zeros(0), np.zeros(0, np.int64)   # logits and labels that set the cut
 
     def inputs(self, features: np.ndarray, word: np.ndarray, n: np.ndarray, count: int):
         """(count, 2 * EMBED): embedding of each word, mean of its n-grams."""
@@ -323,7 +328,8 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 1) -> Network | None
     look = kept_out & np.isfinite(best)
     if len(set(labels[look].tolist())) < 2:
         look = np.isfinite(best)
-    net.shift, net.scale = _offset(best[look], labels[look])
+    net.seen = best[look], labels[look]
+    net.shift, net.scale = _offset(*net.seen)
     return net
 
 
@@ -339,24 +345,71 @@ def _offset(logit: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     return float(middle[good[np.argmax(gaps[good])]]), 1.0
 
 
-def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Texts and labels of a bounded sample: at most ``MAX_POSITIVE`` and
-    about ``MAX_NEGATIVE`` ids of short enough documents, by a hash of the id."""
+def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, digest, toxic, long) of the distinct labelled rows of ``docs``
+    that may be learned from."""
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                           F.col("toxic").cast("int").alias("toxic")) \
         .filter("doc_id IS NOT NULL AND toxic IN (0, 1)") \
         .filter(~held_out(F.col("doc_id"), FOLDS))
+    rows = docs.filter("text IS NOT NULL").select(
+        "doc_id", F.xxhash64("text").alias("digest"),
+        (F.octet_length("text") > MAX_BYTES).alias("long"))
+    return stored(rows.join(known, "doc_id").distinct(), "labelled")
+
+
+def _drawn(rows: DataFrame, most: dict[int, int], *first: str) -> DataFrame:
+    """At most ``most[c]`` rows of class c: by ``first``, then a hash of the id."""
     rank = F.xxhash64("doc_id", F.lit("sample"))
-    ids = None
-    for c, most in ((1, MAX_POSITIVE), (0, MAX_NEGATIVE)):
-        some = known.filter(F.col("toxic") == c).distinct().orderBy(rank, "doc_id").limit(most)
-        ids = some if ids is None else ids.unionByName(some)
-    found = docs.filter(F.octet_length("text") <= MAX_BYTES).join(F.broadcast(ids), "doc_id") \
-        .select("doc_id", "text", "toxic").collect()      # bounded by the three parameters
+    some = [rows.filter(F.col("toxic") == c).orderBy(*first, rank, "doc_id", "digest").limit(n)
+            for c, n in most.items()]
+    return some[0].unionByName(some[1])
+
+
+def _rows_of(docs: DataFrame, drawn: DataFrame) -> DataFrame:
+    """The rows of ``docs`` named by ``drawn`` (few), repeated rows once."""
+    return docs.withColumn("digest", F.xxhash64("text")).join(
+        F.broadcast(drawn), ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest", "toxic"])
+
+
+def sample(docs: DataFrame, drawn: DataFrame) -> tuple[list[str], np.ndarray]:
+    """Texts and labels of the drawn rows; of a long text an excerpt."""
+    size = MAX_BYTES // 4                             # characters of at most four bytes
+    start = F.pmod(F.xxhash64("digest"), F.greatest(F.length("text") - size, F.lit(0)) + 1) + 1
+    text = F.when(F.col("long"), F.substring("text", start.cast("int"), F.lit(size))).otherwise(
+        F.col("text")).alias("text")
+    found = _rows_of(docs, drawn).select("doc_id", text, "toxic").collect()   # bounded as above
     found.sort(key=lambda r: (r["doc_id"], r["text"]))
     return [r["text"] for r in found], np.array([r["toxic"] for r in found])
 
 
+def set_cut(net: Network, docs: DataFrame, drawn: DataFrame) -> None:
+    """The cut once more, with the whole texts of the drawn long rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, max_bytes=2 << 20):
+            data = _Prepared(batch.column("text"))
+            best = data.highest(data.logits(net)) if len(data.doc) else np.full(data.docs, -np.inf)
+            yield pa.RecordBatch.from_arrays([pa.array(best), batch.column("toxic")],
+                                             names=["logit", "toxic"])
+
+    rows = _rows_of(docs, drawn).select("text", "toxic") \
+        .mapInArrow(run, "logit double, toxic int").filter("logit > double('-infinity')").collect()
+    best = np.concatenate([net.seen[0], [r["logit"] for r in rows]])
+    net.seen = best, np.concatenate([net.seen[1], [r["toxic"] for r in rows]]).astype(np.int64)
+    net.shift, net.scale = _offset(*net.seen)
+
+
+def fitted(docs: DataFrame, labels: DataFrame) -> Network | None:
+    rows = labelled_rows(docs, labels)
+    drawn = stored(_drawn(rows, {1: MAX_POSITIVE, 0: MAX_NEGATIVE}, "long"), "sample")
+    net = train(*sample(docs, drawn))
+    long = rows.filter("long").join(drawn, ["doc_id", "digest", "toxic"], "left_anti")
+    cutters = stored(_drawn(long, {1: LONG_EACH, 0: LONG_EACH}), "long-texts")
+    if net is not None and not cutters.isEmpty():
+        set_cut(net, docs, cutters)
+    return net
+
+
 def toxicity_scores(docs: DataFrame, net: Network | None) -> DataFrame:
     """(doc_id, score, n_windows) of ``docs(doc_id, text)``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -378,7 +431,6 @@ def toxicity_scores(docs: DataFrame, net: Network | None) -> DataFrame:
 def op3_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
-    texts, marks = sample(rows, labels)
-    out = toxicity_scores(rows, train(texts, marks))
+    out = toxicity_scores(rows, fitted(rows, labels))
     return out.select("doc_id", held_out(F.col("doc_id"), FOLDS).alias("held_out"), "score",
                       (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_windows")

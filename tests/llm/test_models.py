@@ -51,6 +51,34 @@ def test_toxicity_held_out(spark):
     assert toxicity.op3_toxicity(df.limit(0), labels.limit(0)).collect() == []
 
 
+def test_toxicity_long_and_missing_documents(spark, monkeypatch):
+    rng = random.Random(7)
+    corpus = toxic_corpus(rng, 400)
+    long = [(prose(rng, 400, "aeiouthnr", 7) + f" {t}", y) for t, y in corpus if y]
+    rows = [(t, y) for t, y in corpus if not y] + long             # every toxic text is long
+    clean = [prose(rng, 900, "aeiouthnr", 7) for _ in range(60)]
+    rows += [(t, 0) for t in clean]
+    monkeypatch.setattr(toxicity, "MAX_BYTES", 1_000)
+    monkeypatch.setattr(toxicity, "MAX_NEGATIVE", 200)
+    df = frame(spark, [t for t, _ in rows])
+    labels = spark.createDataFrame(
+        [(i, 1, y) for i, (_, y) in enumerate(rows)]
+        + [(10_000 + i, 1, 0) for i in range(20_000)],               # ids without a document
+        "doc_id bigint, quality int, toxic int")
+    body = df.select("doc_id", "text")
+    known = toxicity.labelled_rows(body, labels)
+    assert known.filter("doc_id >= 10000").isEmpty() and known.filter("long AND toxic = 1").count() > 50
+    drawn = toxicity._drawn(known, {1: 1_200, 0: 200}, "long")
+    texts, marks = toxicity.sample(body, drawn)
+    assert (marks == 0).sum() == 200 and max(len(t.encode()) for t in texts) <= 1_000
+    net = toxicity.fitted(body, labels)
+    assert net is not None and len(set(net.seen[1].tolist())) == 2
+    in_sample = sum(n // 5 for n in ((marks == 0).sum(), (marks == 1).sum()))
+    assert len(net.seen[0]) > in_sample                             # long clean texts set the cut too
+    out = toxicity.op3_toxicity(df, labels).agg({"score": "max"}).first()[0]
+    assert out > 0
+
+
 def test_gradients():
     rng = np.random.default_rng(2)
     net = toxicity.Network(3)
