@@ -7,7 +7,9 @@ has its own hash function rather than a share of one permutation, so a
 document of fifty words leaves no register empty and banding treats long and
 short documents alike.
 
-1. Documents with equal sets collapse to one representative (smallest id).
+1. Documents with equal sets collapse to one representative, numbered in the
+   order of their smallest ids. Nodes are these numbers, not ids: rows that
+   share an id but hold different sets are different nodes.
 2. Bands of compressed registers are hashed; representatives that share a
    band key are candidates. With 40 bands of 5 registers a pair of similarity
    0.75 is missed with probability 2e-5.
@@ -28,8 +30,10 @@ labels stay in tables.
 
 Defined cases: null or empty texts, and texts without words, have an empty
 set and link with nothing; fewer than five words: the whole sequence is the
-one shingle; repeated rows share a set and so a component; rows with a null id
-are returned with a null component and are kept; an empty table gives no rows.
+one shingle; repeated rows share a set and so a component; rows that share an
+id with different sets are compared each by its own text, and a component is
+named by its smallest id; rows with a null id are returned with a null component
+and are kept; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -61,8 +65,8 @@ _MULT = _rng.integers(1, 2 ** 63, size=REGISTERS, dtype=np.int64).astype(_U) * _
 _ADD = _rng.integers(0, 2 ** 63, size=REGISTERS, dtype=np.int64).astype(_U)
 _BAND = _rng.integers(1, 2 ** 63, size=ROWS, dtype=np.int64).astype(_U) * _U(2) + _U(1)
 
-SKETCH_SCHEMA = ("doc_id bigint, n_shingles bigint, hi bigint, lo bigint, sketch binary, "
-                 "bands array<bigint>")
+SKETCH_SCHEMA = ("doc_id bigint, text_hash bigint, n_shingles bigint, hi bigint, lo bigint, "
+                 "sketch binary, bands array<bigint>")
 
 
 def compress(minima: np.ndarray) -> np.ndarray:
@@ -106,21 +110,25 @@ def band_keys(registers: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def _digests(sets: list[np.ndarray]) -> tuple[pa.Array, pa.Array]:
+    digest = np.frombuffer(b"".join(
+        hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), dtype=np.int64)
+    return pa.array(digest[0::2]), pa.array(digest[1::2])
+
+
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_slices(batches):
         sets = document_shingles(batch.column("text"))
         registers = sketches(sets)
         keys = band_keys(registers)
-        digest = np.frombuffer(b"".join(
-            hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), dtype=np.int64)
         yield pa.RecordBatch.from_arrays([
-            batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-            pa.array(digest[0::2]), pa.array(digest[1::2]),
+            batch.column("doc_id"), batch.column("text_hash"),
+            pa.array([len(s) for s in sets], pa.int64()), *_digests(sets),
             pa.array([r.tobytes() for r in registers], pa.binary()),
             pa.ListArray.from_arrays(
                 pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32)),
                 pa.array(keys.ravel())),
-        ], names=["doc_id", "n_shingles", "hi", "lo", "sketch", "bands"])
+        ], names=["doc_id", "text_hash", "n_shingles", "hi", "lo", "sketch", "bands"])
 
 
 def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,8 +137,9 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
         flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat))],
-            names=["doc_id", "shingles"])
+            [batch.column("doc_id"), *_digests(sets),
+             pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat))],
+            names=["doc_id", "hi", "lo", "shingles"])
 
 
 @cache
@@ -222,19 +231,23 @@ def _part_links(key: tuple, rows: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
                                      names=["a", "b"])
 
 
-def _full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, shingles) of the documents in the stored table ``ids``."""
-    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return stored(docs.join(side, "doc_id", "left_semi")
-                  .mapInArrow(_set_batches, "doc_id bigint, shingles array<bigint>"), "full-sets")
+def _full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(rep, shingles) of the stored representatives ``nodes(rep, doc_id, hi, lo)``."""
+    n = nodes.count()
+    few = F.broadcast if n <= BROADCAST_IDS else lambda df: df
+    sets = docs.join(few(nodes.select("doc_id").distinct()), "doc_id", "left_semi") \
+        .mapInArrow(_set_batches, "doc_id bigint, hi bigint, lo bigint, shingles array<bigint>") \
+        .join(few(nodes), ["doc_id", "hi", "lo"]).select("rep", "shingles")
+    sets = stored(sets, "full-sets")
+    return sets.dropDuplicates(["rep"]) if sets.count() > n else sets    # rows repeated whole
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _confirm(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
     """Pairs (a, b) whose full sets reach the threshold."""
-    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
-    sets = _full_sets(docs, ids)
-    a = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    b = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    sets = _full_sets(docs, stored(reps.join(ids, "rep", "left_semi"), "pair-ids"))
+    a = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa"))
+    b = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(a, "a").join(b, "b").select(
         "a", "b", F.size(F.array_intersect("sa", "sb")).alias("shared"),
         (F.size("sa") + F.size("sb")).alias("total"))
@@ -261,19 +274,24 @@ def _cells(rows: DataFrame) -> DataFrame:
         F.array_contains("o", F.col("cell")).alias("outside"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``."""
+def _resolved(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component_id, part, kept) of every row of
+    ``docs``; ``part`` numbers the component, two of which may share an id."""
     body = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
-    sketched = stored(body.mapInArrow(_sketch_batches, SKETCH_SCHEMA), "sketches")
+    sketched = stored(body.withColumn("text_hash", F.xxhash64("text"))
+                      .mapInArrow(_sketch_batches, SKETCH_SCHEMA), "sketches")
     with_set = sketched.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    reps = with_set.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"))
-    owner = stored(with_set.select("doc_id", "n_shingles", "hi", "lo").join(reps, ["hi", "lo"])
-                   .select("doc_id", "n_shingles", "rep"), "representatives")
-    unique = stored(with_set.join(reps.withColumnRenamed("rep", "doc_id"), ["hi", "lo", "doc_id"])
-                    .dropDuplicates(["hi", "lo", "doc_id"])
-                    .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"),
-                            "sketch", "bands"), "unique-sets")
+    # Numbers in sorted order: the smallest number of a component is of its smallest id.
+    reps = stored(with_set.groupBy("hi", "lo").agg(F.min("doc_id").alias("doc_id"))
+                  .orderBy("doc_id", "hi", "lo")
+                  .withColumn("rep", F.monotonically_increasing_id()), "sets")
+    owner = stored(with_set.select("doc_id", "text_hash", "n_shingles", "hi", "lo").join(
+        reps.withColumnRenamed("doc_id", "first"), ["hi", "lo"])
+        .select("doc_id", "text_hash", "n_shingles", "rep", "first"), "representatives")
+    unique = stored(with_set.join(reps, ["hi", "lo", "doc_id"]).dropDuplicates(["rep"])
+                    .select("rep", F.col("n_shingles").alias("n"), "sketch", "bands"),
+                    "unique-sets")
 
     in_band = unique.select("rep", F.explode("bands").alias("key")).distinct()
     buckets = in_band.groupBy("key").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("size"))
@@ -288,7 +306,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                       .distinct()
     tested = stored(proposed.join(side("a"), "a").join(side("b"), "b")
                     .mapInArrow(_estimate_batches, "a bigint, b bigint"), "hub-pairs")
-    links = stored(_confirm(tested, body), "hub-links")
+    links = stored(_confirm(tested, body, reps), "hub-links")
     labels = components(links)
 
     # Buckets that still hold several components.
@@ -301,8 +319,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     cells = stored(_cells(placed.join(main, "key")), "open-cells")
     n_rows = cells.count()
     if n_rows:
-        ids = stored(cells.select(F.col("rep").alias("doc_id")).distinct(), "open-ids")
-        sets = _full_sets(body, ids).withColumnRenamed("doc_id", "rep").dropDuplicates(["rep"])
+        ids = cells.select("rep").distinct()
+        sets = _full_sets(body, stored(reps.join(ids, "rep", "left_semi"), "open-ids"))
         parts = max(1, -(-n_rows // PART_ROWS))
         part = F.pmod(F.xxhash64("key", "cell"), F.lit(parts)).alias("part")
         more = cells.join(sketch, "rep").join(sets, "rep").select("*", part) \
@@ -311,12 +329,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links = links.unionByName(stored(more, "cell-links"))
         labels = components(links)
 
-    found = owner.join(labels, F.col("rep") == F.col("node"), "left").select(
-        "doc_id", "n_shingles", F.coalesce("label", "rep").alias("component_id"))
+    roots = stored(reps.join(labels.select(F.col("label").alias("rep")).distinct(), "rep")
+                   .select(F.col("rep").alias("label"), F.col("doc_id").alias("root_id")), "roots")
+    side = F.broadcast(roots) if roots.count() <= BROADCAST_IDS else roots
+    part = F.coalesce("label", "rep")
+    found = owner.join(labels, F.col("rep") == F.col("node"), "left").join(side, "label", "left") \
+        .select("doc_id", "text_hash", "n_shingles",
+                F.coalesce("root_id", "first").alias("component_id"), part.alias("part"),
+                ((part == F.col("rep")) & (F.col("doc_id") == F.col("first"))).alias("kept"))
     alone = sketched.filter("n_shingles = 0 OR doc_id IS NULL").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return found.unionByName(alone).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        "doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id"),
+        F.lit(None).cast("bigint").alias("part"), F.lit(True).alias("kept"))
+    return found.unionByName(alone)
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``."""
+    return _resolved(docs).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op1_near_dedup(docs: DataFrame) -> DataFrame:
@@ -325,17 +354,22 @@ def op1_near_dedup(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """One row of each group of near-duplicates, with the columns of ``docs``:
-    the row whose id is the component's (of rows that repeat that id, one).
-    Rows with a null id stay."""
-    rows = near_duplicates(docs).filter("kept")
-    ids = stored(rows.select(F.col("doc_id").alias("__id")), "kept-ids")
-    once = ids.filter("__id IS NOT NULL").distinct()
-    n_rows, n_ids = ids.filter("__id IS NOT NULL").count(), once.count()
+    a row whose id and set are those the component is named by (of several such
+    rows, one), and of the rows of one id that have no words, one. Rows with a
+    null id stay."""
+    rows = _resolved(docs).filter("kept AND doc_id IS NOT NULL") \
+        .groupBy(F.col("doc_id").alias("__id"), "part") \
+        .agg(F.min("text_hash").alias("__hash"), F.count(F.lit(1)).alias("__n"))
+    ids = stored(rows.select("__id", "__hash", "__n"), "kept-ids")
+    n_ids, repeated = ids.agg(F.count(F.lit(1)), F.coalesce(F.max("__n"), F.lit(0)) > 1).first()
+    once = ids.select("__id", "__hash")
     side = F.broadcast(once) if n_ids <= BROADCAST_IDS else once
-    kept = docs.join(side, F.col("doc_id") == F.col("__id"), "left_semi")
-    if n_rows > n_ids:
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id IS NULL"))
+    hashed = docs.withColumn("__text", F.xxhash64(F.col("text").cast("string")))
+    kept = hashed.join(side, (F.col("doc_id") == F.col("__id")) & (F.col("__text") == F.col("__hash")),
+                       "left_semi")
+    if repeated:
+        kept = kept.dropDuplicates(["doc_id", "__text"])
+    return kept.drop("__text").unionByName(docs.filter("doc_id IS NULL"))
 
 
 ORACLE = """

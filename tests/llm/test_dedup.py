@@ -65,6 +65,22 @@ def test_near_duplicates_with_small_blocks_and_no_broadcast(spark, monkeypatch):
     assert [out[i] for i in range(len(texts))] == label
 
 
+def test_near_duplicates_of_texts_that_share_an_id(spark, monkeypatch):
+    rng = random.Random(3)
+    a, b, c, d = (prose(rng, 40) for _ in range(4))
+    rows = [(5, a), (5, b), (5, b), (1, c), (5, c + " more"), (2, a + " x"), (9, b + " y"), (9, d),
+            (9, None), (9, " ")]
+    df = frame(spark, [t for _, t in rows], [i for i, _ in rows])
+    want = sorted([(1, 40 - 4, 1, True), (2, 37, 2, True), (5, 36, 2, False), (5, 37, 1, False),
+                   (5, 36, 5, True), (5, 36, 5, True), (9, 37, 5, False), (9, 36, 9, True),
+                   (9, 0, 9, True), (9, 0, 9, True)])
+    for few in (2_000_000, 0):
+        monkeypatch.setattr(near_dedup, "BROADCAST_IDS", few)
+        assert sorted(map(tuple, near_dedup.op1_near_dedup(df).collect())) == want
+        kept = sorted((r["doc_id"], (r["text"] or "").strip()) for r in near_dedup.keep_first(df).collect())
+        assert kept == sorted([(1, c), (2, a + " x"), (5, b), (9, d), (9, "")])
+
+
 def test_near_duplicates_odd_ids(spark):
     t = "a b c d e f g h i j k"
     df = frame(spark, [t, t, t, t, None], [7, 7, None, 9, None])
