@@ -9,8 +9,8 @@ Seen once (X2): a message delivered again carries the same id and time stamp,
 so every batch is de-duplicated within itself and against the ids that earlier
 batches stored, of the days that occur in the batch. Nothing is dropped for
 being late: a message a year old is scored when it arrives. Rows that cannot
-be scored go to a dead-letter folder with a status (X4) and never stop the
-stream. Per-session defaults come from a static settings table (X3).
+be scored, and rows without an id, which cannot be told apart, go to a dead-letter
+folder with a status (X4) and never stop the stream. Per-session defaults come from a static settings table (X3).
 """
 
 from __future__ import annotations
@@ -51,7 +51,7 @@ def start_scoring(spark: SparkSession, model: nb.NBModel, source_dir: str, out_d
     stream = inbox_stream(spark, source_dir).withColumn("arrived", F.current_timestamp())
 
     def score_batch(batch: DataFrame, batch_id: int) -> None:
-        new = _unseen(batch, batch_id, f"{out_dir}/seen").select(
+        new = _unseen(batch.where(F.col("msg_id").isNotNull()), batch_id, f"{out_dir}/seen").select(
             "msg_id", "ts", "arrived", "day",
             F.coalesce("session_id", F.lit("default")).alias("session_id"),
             R.inbox_text(F.col("subject"), F.col("snippet")).alias("message")).persist()
@@ -65,8 +65,10 @@ def start_scoring(spark: SparkSession, model: nb.NBModel, source_dir: str, out_d
         failed = out.where(F.col("status") != "ok").select(
             F.col("request_id").alias("msg_id"), F.lit(None).cast("timestamp").alias("ts"),
             F.concat(F.lit("error: "), F.col("explanation")).alias("status"))
+        nameless = batch.where(F.col("msg_id").isNull()).select(
+            "msg_id", "ts", F.lit("skipped: no msg_id").alias("status"))
         for name, rows in (("scored", out.where(F.col("status") == "ok")),
-                           ("dead_letter", bad.unionByName(failed))):
+                           ("dead_letter", bad.unionByName(failed).unionByName(nameless))):
             rows.withColumn("batch_id", F.lit(batch_id)) \
                 .write.mode("overwrite").parquet(f"{out_dir}/{name}/batch_id={batch_id}")
         # Last: a batch that failed before this line is scored again in full.

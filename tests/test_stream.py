@@ -48,3 +48,19 @@ def test_stream_keeps_late_messages(spark):
         spark.createDataFrame(rows, IB.INBOX_SCHEMA).coalesce(1).write.parquet(f"{src}/p={k}")
         IB.start_scoring(spark, model, src, out, ckpt).awaitTermination()
     assert sorted(r["request_id"] for r in IB.read_scored(spark, out).collect()) == [1, 2, 3, 4, 5, 6, 7]
+
+
+def test_stream_keeps_every_message_without_an_id(spark):
+    tr = spark.createDataFrame([(1, "spam", "win cash prize now"), (2, "ham", "lunch meeting today")],
+                               "doc_id long, label string, text string")
+    base = tempfile.mkdtemp()
+    src, out, ckpt = (os.path.join(base, x) for x in ("src", "out", "ckpt"))
+    ts = datetime.datetime(2026, 1, 1)
+    for k in range(2):
+        rows = [(None, ts, None, "win cash", "prize"), (None, ts, None, "lunch", None),
+                (None, ts, None, None, None), (10 + k, ts, None, "win cash", "now")]
+        spark.createDataFrame(rows, IB.INBOX_SCHEMA).coalesce(1).write.parquet(f"{src}/p={k}")
+        IB.start_scoring(spark, nb.fit(nb.tokenize(tr)), src, out, ckpt).awaitTermination()
+    assert sorted(r["request_id"] for r in IB.read_scored(spark, out).collect()) == [10, 11]
+    dead = spark.read.parquet(f"{out}/dead_letter").collect()
+    assert [(r["msg_id"], r["status"]) for r in dead] == [(None, "skipped: no msg_id")] * 6
