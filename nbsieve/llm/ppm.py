@@ -11,8 +11,9 @@ what remains after an escape depends on the context left alone, and every
 upwards, each row taking its parent's result. A document's score is the sum
 over its bytes and one end symbol.
 
-No table goes to every task. Documents are dealt to chunks of bounded text;
-each chunk lists the distinct n-grams and words it holds, the counts are added
+No table goes to every task. Documents are dealt to chunks of bounded text, by
+a hash with their row number, so that equal rows spread too, and stored: both
+passes read the same deal. Each chunk lists the distinct n-grams and words it holds, the counts are added
 up by key over all chunks, and each chunk gets back the values of its own keys.
 
 The unigram word base of the contract uses the same exchange.
@@ -224,13 +225,17 @@ def _score_chunk(docs: pa.Table, values: pa.Table, unseen: float) -> pa.Table:
     return pa.Table.from_batches(out)
 
 
+def _dealt(docs: DataFrame, chunk_bytes: int) -> DataFrame:
+    size = docs.agg(F.sum(F.octet_length("text") + 8)).first()[0] or 0
+    chunks = max(1, -(-int(size) // chunk_bytes))
+    row = F.xxhash64("doc_id", "text", F.monotonically_increasing_id())
+    return stored(docs.withColumn("chunk", F.pmod(row, F.lit(chunks)).cast("int")), "dealt")
+
+
 def ppm_scores(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, int]:
     """(scores of every row of ``docs(doc_id, text, train)``, training tokens
     with ends)."""
-    size = docs.agg(F.sum(F.octet_length("text") + 8)).first()[0] or 0
-    chunks = max(1, -(-int(size) // chunk_bytes))
-    dealt = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks))
-                            .cast("int"))
+    dealt = _dealt(docs, chunk_bytes)
     needs = stored(dealt.groupBy("chunk").applyInArrow(_chunk_needs, NEEDS), "chunk-needs")
     counts = stored(needs.groupBy("key").agg(F.sum("n").alias("n")), "key-counts")
     words = counts.filter("key < 0")

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from nbsieve.llm import langid, packing, ppm, toxicity
 from nbsieve.llm.common import text_slices
@@ -319,3 +320,17 @@ def test_slices_hold_all_rows():
                                        names=["text", "i"])
     got = [s.column("i").to_pylist() for s in text_slices([batch.slice(1), batch.slice(0, 0)], max_bytes=50)]
     assert sum(got, []) == [1, 2, 3, 4] and len(got) > 1
+
+
+def test_ppm_deals_equal_rows_to_many_chunks(spark):
+    text = "the same row again and again"
+    df = frame(spark, [text] * 600, [None] * 300 + [7] * 300).select("doc_id", "text").withColumn(
+        "train", F.lit(True))
+    dealt = ppm._dealt(df, 600 * (len(text) + 8) // 6)
+    sizes = [r["count"] for r in dealt.groupBy("chunk").count().collect()]
+    assert len(sizes) == 6 and sum(sizes) == 600 and max(sizes) < 200
+    whole, n = ppm.ppm_scores(df, 1 << 30)
+    parts, m = ppm.ppm_scores(df, 600 * (len(text) + 8) // 6)
+    assert n == m and parts.count() == 600
+    a, b = (x.agg({"score": "min"}).first()[0] for x in (whole, parts))
+    assert abs(a - b) < 1e-9
