@@ -1242,15 +1242,19 @@ def q_truncated(spark, sf):
     return out
 
 
+def _limited_corpus(spark, messages) -> str:
+    """As many files as the scan has partitions: a multi-line file is one task."""
+    path = scratch_dir(spark, "limited")
+    messages.select(F.col("text").alias("Body"), F.col("label").alias("Type")) \
+        .write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    return path
+
+
 @register("W6_limited_csv", "WITH " + O.MSG + """
 SELECT true AS limited, CAST(count(*) AS BIGINT) AS accepted FROM msg WHERE length(text) > 0""")
 def q_limited(spark, sf):
     """Several files, at most seven accepted rows of each are loaded."""
-    path = scratch_dir(spark, "limited")
-    m = tables.messages(spark, sf).select(F.col("text").alias("Body"), F.col("label").alias("Type"),
-                                          (F.col("doc_id") % 8).alias("f"))
-    m.repartitionByRange(8, "f").write.mode("overwrite").option("header", True) \
-     .option("escape", '"').csv(path)
+    path = _limited_corpus(spark, tables.messages(spark, sf))
     whole = L.load_csv_directory(spark, path).groupBy("source").agg(F.count(F.lit(1)).alias("accepted"))
     kept = L.load_csv_directory(spark, path, limit_per_file=7).groupBy("source").agg(
         F.count(F.lit(1)).alias("kept"))

@@ -137,3 +137,17 @@ def test_mail_nested_and_quoted_printable(spark):
     texts = L.load_mail_tree(spark, d, counts=seen).collect()
     assert len(texts) == len(mails) - 2
     assert seen.get == {"messages": len(mails), "no_body": 1, "short_body": 1}
+
+
+def test_limited_corpus_files_follow_partitions(spark):
+    from pyspark.sql import functions as F
+
+    from nbsieve.queries import _limited_corpus
+
+    df = spark.range(0, 240, 1, 12).select("id", F.lit("spam").alias("label"), F.concat(
+        F.lit("line\nof "), F.format_string("%04d", "id")).alias("text"))
+    path = _limited_corpus(spark, df)
+    files = [f for f in os.listdir(path.removeprefix("file:")) if f.endswith(".csv")]
+    assert len(files) == 12
+    kept = sorted(int(r["text"][-4:]) for r in L.load_csv_directory(spark, path, limit_per_file=7).collect())
+    assert kept == [i for i in range(240) if i % 20 < 7]      # the first seven rows of every file
