@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from nbsieve.llm import (chat, decontaminate, langid, near_dedup, packing, ppm, quality, sharding,
-                         suffix_dedup, toxicity)
+from nbsieve.llm import (chat, decontaminate, exact_dedup, filter_audit, langid, near_dedup, packing,
+                         ppm, quality, sharding, suffix_dedup, toxicity, vector_codes)
 from nbsieve.llm.common import table
 
 
@@ -24,6 +24,11 @@ QUERIES = {
     "op9_byte_shards": _docs(sharding.op9_byte_shards),
     "op10_decontamination": lambda spark, sf: decontaminate.op10_decontamination(
         table(spark, sf, "documents"), table(spark, sf, "benchmark")),
+    "op11_filter_audit": lambda spark, sf: filter_audit.op11_filter_audit(
+        table(spark, sf, "documents"), table(spark, sf, "labels")),
+    "op12_vector_codes": lambda spark, sf: vector_codes.op12_vector_codes(
+        table(spark, sf, "embeddings")),
+    "op13_exact_dedup": _docs(exact_dedup.op13_exact_dedup),
 }
 
 ORACLE = {
@@ -31,4 +36,7 @@ ORACLE = {
     "op4_chat_format": chat.ORACLE,
     "op5_quality_rules": quality.ORACLE,
     "op10_decontamination": decontaminate.ORACLE,
+    "op11_filter_audit": filter_audit.ORACLE,
+    "op12_vector_codes": vector_codes.ORACLE,
+    "op13_exact_dedup": exact_dedup.ORACLE,
 }
