@@ -8,7 +8,10 @@ without a Python step per word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +35,59 @@ _BASE_INV = pow(_BASE, -1, 2 ** 64)
 _POWERS: dict[str, np.ndarray] = {}
 
 
+ARROW_BYTES = 8 << 20       # of one Arrow batch on its way to Python
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh scratch table in the shared checkpoint folder
-    and read it back: cuts the lineage and survives the loss of executors."""
-    path = scratch_dir(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    and read it back: cuts the lineage and survives the loss of executors.
+    While it is written, Arrow batches are bounded by their bytes, so that ten
+    thousand long texts do not come at once; a smaller bound set by the caller
+    stays."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    before = spark.conf.get(_BATCH_SETTING, None)
+    mine = before is None or int(before.rstrip("bB") or 0) > ARROW_BYTES
+    if mine:
+        spark.conf.set(_BATCH_SETTING, str(ARROW_BYTES))
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if mine:
+            spark.conf.unset(_BATCH_SETTING) if before is None else spark.conf.set(_BATCH_SETTING,
+                                                                                   before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def released(task: Callable) -> Callable:
+    """A generator function of a task, over batches or (key, batches), that
+    gives its memory back to the system when it ends: Python workers live on
+    and serve later stages."""
+    if task.__code__.co_argcount == 2:
+        @wraps(task)
+        def run(key: tuple, batches: Iterator[pa.RecordBatch]):
+            try:
+                yield from task(key, batches)
+            finally:
+                give_back()
+    else:
+        @wraps(task)
+        def run(batches: Iterator[pa.RecordBatch]):
+            try:
+                yield from task(batches)
+            finally:
+                give_back()
+    return run
+
+
+def give_back() -> None:
+    _POWERS.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)     # glibc
+    if trim is not None:
+        trim(0)
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:

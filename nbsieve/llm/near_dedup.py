@@ -32,8 +32,8 @@ Defined cases: null or empty texts, and texts without words, have an empty
 set and link with nothing; fewer than five words: the whole sequence is the
 one shingle; repeated rows share a set and so a component; rows that share an
 id with different sets are compared each by its own text, and a component is
-named by its smallest id; rows with a null id are returned with a null component
-and are kept; an empty table gives no rows.
+named by its smallest id; rows with a null id are returned with component and
+``kept`` null, and ``keep_first`` keeps them; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nbsieve.llm.common import document_shingles, mix, scale_parts, stored, text_slices
+from nbsieve.llm.common import document_shingles, mix, released, scale_parts, stored, text_slices
 from nbsieve.llm.components import components
 
 PERCENT = 75
@@ -56,7 +56,8 @@ REGISTERS = BANDS * ROWS
 MANTISSA = 10
 MARGIN = 0.15                # five standard errors of the estimate
 BLOCK = 1024                 # rows of one bucket on either side of a cell
-PART_ROWS = 2_000            # rows of cells handed to Python together
+BLOCK_BYTES = 8 << 20        # of their shingle sets and sketches
+PART_BYTES = 8 << 20         # of cells handed to Python together
 BROADCAST_IDS = 2_000_000    # ids broadcast to a scan; beyond it the scan is joined
 
 _U = np.uint64
@@ -116,6 +117,7 @@ def _digests(sets: list[np.ndarray]) -> tuple[pa.Array, pa.Array]:
     return pa.array(digest[0::2]), pa.array(digest[1::2])
 
 
+@released
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_slices(batches):
         sets = document_shingles(batch.column("text"))
@@ -131,6 +133,7 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         ], names=["doc_id", "text_hash", "n_shingles", "hi", "lo", "sketch", "bands"])
 
 
+@released
 def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_slices(batches):
         sets = document_shingles(batch.column("text"))
@@ -171,6 +174,7 @@ def _worth_it(equal, n, m, table) -> np.ndarray:
         estimated(equal, n, m, table) >= PERCENT / 100 - MARGIN)
 
 
+@released
 def _estimate_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table = _collision_table()
     for batch in batches:
@@ -209,6 +213,7 @@ def _cell_links(regs, rep, label, n, sets, members, outside, table) -> list[tupl
     return out
 
 
+@released
 def _part_links(key: tuple, rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     t = pa.Table.from_batches(list(rows)).combine_chunks()
     if not len(t):
@@ -257,10 +262,11 @@ def _confirm(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
 def _cells(rows: DataFrame) -> DataFrame:
     """Rows of the grid that compares a bucket's ``n_outside`` rows outside
     its main component with all its ``size`` members: blocks of members by
-    blocks of outside rows. A bucket of up to ``BLOCK`` rows is one cell."""
+    blocks of outside rows. A bucket of up to ``BLOCK`` rows and ``BLOCK_BYTES``
+    is one cell."""
     outside = F.col("label") != F.col("main")
-    m_blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    o_blocks = F.ceil(F.col("n_outside") / BLOCK).cast("int")
+    m_blocks, o_blocks = (F.greatest(F.ceil(F.col(n) / BLOCK), F.ceil(F.col(b) / BLOCK_BYTES)).cast("int")
+                          for n, b in (("size", "bytes"), ("n_outside", "bytes_outside")))
     mine = F.pmod(F.xxhash64("rep"), m_blocks).cast("int")
     theirs = F.pmod(F.xxhash64("rep", F.lit(1)), o_blocks).cast("int")
     as_member = F.transform(F.sequence(F.lit(0), o_blocks - 1), lambda o: mine * o_blocks + o)
@@ -268,9 +274,9 @@ def _cells(rows: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), m_blocks - 1), lambda m: m * o_blocks + theirs)).otherwise(
         F.array().cast("array<int>"))
     return rows.select(
-        "key", "rep", "label", as_member.alias("m"), as_outside.alias("o"),
+        "key", "rep", "label", "weight", as_member.alias("m"), as_outside.alias("o"),
         F.explode(F.array_union(as_member, as_outside)).alias("cell")).select(
-        "key", "rep", "label", "cell", F.array_contains("m", F.col("cell")).alias("member"),
+        "key", "rep", "label", "weight", "cell", F.array_contains("m", F.col("cell")).alias("member"),
         F.array_contains("o", F.col("cell")).alias("outside"))
 
 
@@ -293,7 +299,8 @@ def _resolved(docs: DataFrame) -> DataFrame:
                     .select("rep", F.col("n_shingles").alias("n"), "sketch", "bands"),
                     "unique-sets")
 
-    in_band = unique.select("rep", F.explode("bands").alias("key")).distinct()
+    weight = (8 * F.col("n") + 2 * REGISTERS + 100).alias("weight")   # bytes in a cell
+    in_band = unique.select("rep", weight, F.explode(F.array_distinct("bands")).alias("key"))
     buckets = in_band.groupBy("key").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("size"))
     members = stored(in_band.join(buckets.filter("size > 1"), "key"), "buckets")
     sketch = unique.select("rep", "n", "sketch")
@@ -311,17 +318,20 @@ def _resolved(docs: DataFrame) -> DataFrame:
 
     # Buckets that still hold several components.
     placed = members.filter("size > 2").join(labels, F.col("rep") == F.col("node"), "left") \
-        .select("key", "rep", "size", F.coalesce("label", "rep").alias("label"))
-    groups = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+        .select("key", "rep", "size", "weight", F.coalesce("label", "rep").alias("label"))
+    groups = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"),
+                                                F.sum("weight").alias("w"))
+    largest = F.struct("n", "label")
     main = groups.groupBy("key").agg(
-        F.max_by("label", F.struct("n", "label")).alias("main"),
+        F.max_by("label", largest).alias("main"), F.sum("w").alias("bytes"),
+        (F.sum("w") - F.max_by("w", largest)).alias("bytes_outside"),
         (F.sum("n") - F.max("n")).alias("n_outside")).filter("n_outside > 0")
     cells = stored(_cells(placed.join(main, "key")), "open-cells")
-    n_rows = cells.count()
-    if n_rows:
+    size = cells.agg(F.sum("weight")).first()[0]
+    if size:
         ids = cells.select("rep").distinct()
         sets = _full_sets(body, stored(reps.join(ids, "rep", "left_semi"), "open-ids"))
-        parts = max(1, -(-n_rows // PART_ROWS))
+        parts = max(1, -(-size // PART_BYTES))
         part = F.pmod(F.xxhash64("key", "cell"), F.lit(parts)).alias("part")
         more = cells.join(sketch, "rep").join(sets, "rep").select("*", part) \
             .repartition(min(parts, 4 * scale_parts(body)), "part").groupBy("part") \
@@ -344,8 +354,11 @@ def _resolved(docs: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``."""
-    return _resolved(docs).select("doc_id", "n_shingles", "component_id", "kept")
+    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``; kept:
+    the row's id names its component. Of rows that share an id several may be
+    kept so; ``keep_first`` keeps one."""
+    return _resolved(docs).select("doc_id", "n_shingles", "component_id",
+                                  (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
 def op1_near_dedup(docs: DataFrame) -> DataFrame:
