@@ -42,7 +42,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nbsieve.llm.common import mix, prefix_hash, span_hash, stored, text_buffer, text_slices
+from nbsieve.llm.common import (mix, prefix_hash, released, span_hash, stored, text_buffer,
+                                text_slices)
 from nbsieve.llm.suffix_sort import deep_shallow
 
 WINDOW = 200
@@ -101,6 +102,7 @@ def anchors(buf: np.ndarray, offsets: np.ndarray):
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
+@released
 def _anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_slices(batches):
         buf, offsets = text_buffer(batch.column("text"))
@@ -119,6 +121,7 @@ def _at(pos: Column) -> Column:
     return F.shiftright(pos, 16)
 
 
+@released
 def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Text of each run, sent once per task for equal (gram, text)."""
     seen: set[tuple[int, int]] = set()
@@ -178,6 +181,7 @@ def _runs_of(hit: np.ndarray):
     return row, first, np.nonzero(edge == -1)[1]
 
 
+@released
 def _sorted_group(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     t = pa.Table.from_batches(list(batches))
     gram, body, pos, copies = (t[c].to_numpy() for c in ("gram", "body", "pos", "copies"))
@@ -226,7 +230,9 @@ def repeated_spans(base: DataFrame, hot_texts: int = HOT_TEXTS) -> DataFrame:
     byte spans [b, e) covered by repeated windows, sorted by b, maybe
     overlapping."""
     runs = stored(base.mapInArrow(_anchor_batches, ANCHORS), "anchors")
-    again = runs.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("gram")
+    # Stored first: two stored sides are a join whose hot keys can be split.
+    again = stored(runs.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+                   .select("gram"), "anchors-again")
     twice = stored(runs.join(again, "gram", "left_semi"), "repeated-anchors")
     grams = stored(twice.groupBy("gram").agg(F.min("body").alias("b0"), F.max("body").alias("b1"))
                    .select("gram", (F.col("b0") != F.col("b1")).alias("several")), "grams")
@@ -270,6 +276,7 @@ def merged(begin: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(begin[new].tolist(), reach[past].tolist(), strict=True))
 
 
+@released
 def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_slices(batches):
         buf, offsets = text_buffer(batch.column("text"))
