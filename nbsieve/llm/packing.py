@@ -1,13 +1,16 @@
 """Best-fit packing with certified bin counts (operator 8).
 
 Documents become token pieces of at most 2048 ids (only longer documents are
-cut); pieces go to hash partitions of bounded size; each partition runs
-best-fit decreasing and computes lower bounds from dual feasible functions. A
-partition whose bin count equals its bound is certified optimal and stays.
-Partitions with a gap open their poorly filled bins and exchange those
-documents: the pooled pieces are dealt to new partitions, best-fit decreasing
-runs again, and the new packing is taken if it needs fewer bins. This repeats
-while it gains, a few rounds at most.
+cut); pieces go to hash partitions of bounded size, and each partition runs
+best-fit decreasing. Lower bounds from dual feasible functions certify bin
+counts: the packing is final when the bins are as many as the bound of all
+pieces together. Until then the partitions exchange documents: badly filled
+bins (a certified partition's last one too, which others may fill) are dealt,
+whole, to new partitions, fewer and fuller ones each round. A partition that its
+bound does not certify runs best-fit decreasing again and keeps its own gain:
+where that does not need fewer bins, the old bins stay. Rounds end at the
+certificate, when one partition holds all open bins, or when partitions of the
+largest size gain nothing more.
 
 Tokens: white space never lies inside a pre-token, so a text's ids are the
 ids of its ASCII-white-space-separated words one after the other; each worker
@@ -29,19 +32,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nbsieve.llm.common import stored, text_buffer, text_slices, word_bounds
+from nbsieve.llm.common import released, stored, text_buffer, text_slices, word_bounds
 
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 2048
 END_ID = 0
 GROUP_PIECES = 50_000       # pieces in one packing partition
 OPEN_WASTE = 16             # unused tokens from which a bin is opened again
-ROUNDS = 3
-WORD_MEMORY = 500_000       # distinct words a worker remembers
+LARGEST = 16                # times GROUP_PIECES that one partition may grow to
+EXCHANGE = True
+WORD_BYTES = 24 << 20       # of distinct words that a worker remembers while a task runs
+KEEP_BYTES = 12 << 20       # beyond this, forgotten when the task ends
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 PACKED = ("row bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, "
-          "sequence_id bigint, offset bigint, open boolean, gap boolean")
+          "sequence_id bigint, offset bigint, open boolean")
 
 
 # A word of these letters before any of these marks is two pre-tokens whatever
@@ -59,6 +64,9 @@ def _byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+WORD_OBJECTS = 200          # bytes of a word's entries in both memories, its own aside
+
+
 class _Codes(dict):
     """Word to code; a word not known yet is encoded when it is looked up."""
 
@@ -87,8 +95,8 @@ class WordIds:
 
     def clear(self) -> None:
         self.codes = _Codes(self._ids)
-        if len(self.cores) > WORD_MEMORY:
-            self.cores.clear()
+        self.cores.clear()
+        self.held = 0
         self.flat = np.array([END_ID], dtype=np.uint32)      # code 0: the end id
         self.starts = np.array([0], dtype=np.int64)
         self.sizes = np.array([1], dtype=np.int64)
@@ -111,6 +119,7 @@ class WordIds:
                 key.decode("latin-1").translate(self.alphabet)
         if core_ids is None:
             core_ids = self.cores[key] = array("I", [t.id for t in self.merge(stand_in)]).tobytes()
+            self.held += len(key) + len(core_ids)
         if len(core) == len(word):
             return core_ids
         marks = word[len(core):]
@@ -122,13 +131,14 @@ class WordIds:
         """Append the ids of the words met since the last call."""
         new, self.codes.new = self.codes.new, []
         sizes = np.fromiter(map(len, new), dtype=np.int64, count=len(new)) // 4
+        self.held += WORD_OBJECTS * len(new) + 8 * int(sizes.sum())
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
         self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(new), dtype=np.uint32)])
 
     def encode(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, bounds): each text's ids, then the end id."""
-        if len(self.codes) > WORD_MEMORY:
+        if self.held > WORD_BYTES:
             self.clear()
         bounds = word_bounds(buf, offsets)
         glue = np.insert(buf, offsets[1:-1], 32)             # texts stay apart
@@ -177,10 +187,12 @@ def token_pieces(docs: DataFrame, tokenizer_path: str | None = None) -> DataFram
                 pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                 pa.array(length, pa.int64()), pa.array(crc, pa.int64()),
             ], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        if encoder.held > KEEP_BYTES:
+            encoder.clear()
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(cut, PIECES)
+    return rows.mapInArrow(released(cut), PIECES)
 
 
 def best_fit_decreasing(lengths: np.ndarray, capacity: int = CAPACITY):
@@ -211,12 +223,16 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int = CAPACITY):
     return np.array(bins, dtype=np.int64), np.array(offsets, dtype=np.int64), n
 
 
-def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
+def lower_bound(lengths: np.ndarray | None, capacity: int = CAPACITY,
+                count: np.ndarray | None = None) -> int:
     """Largest bound of three families of dual feasible functions (each maps
-    sizes so that whatever fits a bin still sums to at most one bin)."""
-    if not len(lengths):
+    sizes so that whatever fits a bin still sums to at most one bin).
+    ``count``: pieces by length, in place of the lengths."""
+    if count is None:
+        count = np.bincount(lengths, minlength=capacity + 1)
+    count = count.astype(np.int64)
+    if not count.any():
         return 0
-    count = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
     x = np.arange(capacity + 1, dtype=np.int64)
     best = -(-int((count * x).sum()) // capacity)
     mass = np.concatenate([[0], np.cumsum(count * x)])       # of sizes below i
@@ -237,28 +253,45 @@ def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
     return best
 
 
-def _pack(pieces: DataFrame, round_no: int) -> DataFrame:
-    n = pieces.count()
-    groups = max(1, -(-n // GROUP_PIECES))
+def _packed(pieces: DataFrame, round_no: int, group_pieces: int, n: int) -> DataFrame:
+    """One round: ``pieces`` (n of them) dealt to partitions and packed. From
+    the second round on whole bins are dealt, and a partition that does not
+    need fewer of them leaves them as they are."""
+    groups = max(1, -(-n // group_pieces))
+    fields = ["row", "doc_id", "piece", "start", "length", "ids_crc32"]
 
     def pack(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(list(batches)).sort_by("row")
         lengths = t["length"].to_numpy()
-        bins, offsets, n_bins = best_fit_decreasing(lengths)
-        gap = n_bins > lower_bound(lengths)
+        names, bins, offsets = (), None, None
+        if round_no > 1:
+            names, bins = np.unique(t["sequence_id"].to_numpy(), return_inverse=True)
+            sequence, offsets, n_bins = names[bins], t["offset"].to_numpy(), len(names)
+        if not len(names) or lower_bound(lengths) < n_bins:      # else certified as it is
+            new, at, n = best_fit_decreasing(lengths)
+            if not len(names) or n < n_bins:
+                bins, offsets, n_bins = new, at, n
+                sequence = (round_no << 56 | int(key[0].as_py()) << 24) + bins
         fill = np.bincount(bins, weights=lengths, minlength=n_bins)
-        waste = CAPACITY - fill[bins]
-        base = (round_no << 56) | (int(key[0].as_py()) << 24)
-        t = t.drop_columns(["part"])
-        t = t.append_column("sequence_id", pa.array(base + bins))
+        is_open = CAPACITY - fill >= OPEN_WASTE
+        t = t.select(fields).append_column("sequence_id", pa.array(sequence))
         t = t.append_column("offset", pa.array(offsets))
-        t = t.append_column("open", pa.array(gap & (waste >= OPEN_WASTE)))
-        t = t.append_column("gap", pa.array(np.full(len(t), gap)))
-        yield from t.combine_chunks().to_batches()
+        yield from t.append_column("open", pa.array(is_open[bins])).combine_chunks().to_batches()
+
+    dealt = "row" if round_no == 1 else "sequence_id"
+    part = F.pmod(F.xxhash64(dealt, F.lit(round_no)), F.lit(groups)).alias("part")
+    more = [] if round_no == 1 else ["sequence_id", "offset"]
+    return stored(pieces.select(*fields, *more, part).groupBy("part")
+                  .applyInArrow(pack, PACKED), f"packed-{round_no}")
 
-    part = F.pmod(F.xxhash64("row", F.lit(round_no)), F.lit(groups)).alias("part")
-    return stored(pieces.select("row", "doc_id", "piece", "start", "length", "ids_crc32", part)
-                  .groupBy("part").applyInArrow(pack, PACKED), f"packed-{round_no}")
+
+def _bound(pieces: DataFrame) -> int:
+    """Certified number of bins of all pieces: lengths are at most 2048 values."""
+    lengths = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
+    count = np.zeros(CAPACITY + 1, dtype=np.int64)
+    for r in lengths:
+        count[r["length"]] = r["n"]
+    return lower_bound(None, count=count)
 
 
 def pack(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
@@ -266,17 +299,26 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
     piece of ``docs``."""
     pieces = stored(token_pieces(docs, tokenizer_path)
                     .withColumn("row", F.monotonically_increasing_id()), "pieces")
-    settled, current = [], _pack(pieces, 1)
-    for round_no in range(2, ROUNDS + 2):
-        open_rows = current.filter("open")
-        before = open_rows.select("sequence_id").distinct().count()
-        if before < 2:
-            break
-        again = _pack(open_rows, round_no)
-        if again.select("sequence_id").distinct().count() >= before:
+    # Every bin has one piece at offset 0.
+    bins = F.coalesce(F.sum((F.col("offset") == 0).cast("long")), F.lit(0))
+    current = _packed(pieces, 1, GROUP_PIECES, pieces.count())
+    settled, round_no, size, n_settled = [], 1, 1, 0
+    bound = _bound(pieces) if EXCHANGE else 0
+    while EXCHANGE:
+        waiting = current.filter("open")
+        n_open, open_bins = waiting.agg(F.count(F.lit(1)), bins).first()
+        total = n_settled + current.agg(bins).first()[0]
+        if total <= bound or open_bins < 2 or (round_no > 1 and last_groups == 1):
             break
+        size = min(2 * size, LARGEST)
+        last_groups = max(1, -(-n_open // (size * GROUP_PIECES)))
+        again = _packed(waiting, round_no + 1, size * GROUP_PIECES, n_open)
         settled.append(current.filter("NOT open"))
-        current = again
+        n_settled = total - open_bins
+        gained = open_bins - again.agg(bins).first()[0]
+        current, round_no = again, round_no + 1
+        if size == LARGEST and not gained:
+            break
     out = current
     for s in settled:
         out = out.unionByName(s)

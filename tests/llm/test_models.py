@@ -270,19 +270,27 @@ def test_packing_places_every_piece(spark):
     assert Counter((r["doc_id"], r["length"]) for r in twice) == {(4, 3): 2, (None, 1): 1}
 
 
-def test_packing_exchange_between_groups(spark, monkeypatch):
+@pytest.mark.parametrize("layout", [1, 2, 4, 8, 16])
+def test_packing_exchange_between_groups(spark, monkeypatch, layout):
     monkeypatch.setattr(packing, "GROUP_PIECES", 12)
     rng = random.Random(2)
-    df = frame(spark, [" ".join(["a"] * rng.randint(300, 1400)) for _ in range(120)])
+    sizes = [rng.randint(300, 1400) for _ in range(120)]
+    df = frame(spark, [" ".join(["a"] * n) for n in sizes]).repartition(layout)
     out = collected(packing.op8_packing(df))
     assert len(out) == 120 and len({r["doc_id"] for r in out}) == 120
-    fill = Counter()
+    per = defaultdict(list)
     for r in out:
-        fill[r["sequence_id"]] += r["length"]
-    assert max(fill.values()) <= 2048
-    monkeypatch.setattr(packing, "ROUNDS", 0)
+        per[r["sequence_id"]].append((r["offset"], r["length"]))
+    for placed in per.values():
+        at = 0
+        for offset, length in sorted(placed):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    monkeypatch.setattr(packing, "EXCHANGE", False)
     alone = {r["sequence_id"] for r in packing.op8_packing(df).collect()}
-    assert len(fill) < len(alone)
+    together = packing.best_fit_decreasing(np.array(sizes) + 1)[2]
+    assert len(per) < len(alone) and len(per) <= together + 2
 
 
 def test_best_fit_and_bounds():
