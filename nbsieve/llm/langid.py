@@ -194,11 +194,12 @@ def learn(rows: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Model | None:
         F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return None
-    limit = F.lit(0)
-    for lang, n in sizes.items():
-        limit = F.when(F.col("lang") == lang, F.lit(int(min(1.0, per_lang / n) * 1_000_000))) \
-            .otherwise(limit)
-    sample = rows.filter(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000)) < limit)
+    # Of 2**62 hash values as many as leave ``per_lang`` rows: some, for any count.
+    limits = rows.sparkSession.createDataFrame(
+        [(lang, min(1 << 62, (per_lang << 62) // n)) for lang, n in sizes.items()],
+        "lang string, below bigint")               # one row per language
+    drawn = F.call_function("shiftrightunsigned", F.xxhash64("doc_id", F.lit("sample")), F.lit(2))
+    sample = rows.join(F.broadcast(limits), "lang").filter(drawn < F.col("below"))
     found = sample.select("text", "lang").mapInArrow(
         _count_batches, "lang string, feature int, n bigint") \
         .groupBy("lang", "feature").agg(F.sum("n").alias("n")).toArrow()
