@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nbsieve import config as C
+from nbsieve.session import cut_lineage
 
 
 _WS = f"[{C.PY_WHITESPACE}]"
@@ -117,7 +118,8 @@ def lemmatise_by_join(df: DataFrame, words_col: str, lemmas: DataFrame) -> DataF
     the word, so the dictionary may be of any size; the optimizer broadcasts
     it when its real size allows."""
     row = "__row"
-    x = df.withColumn(row, F.monotonically_increasing_id())
+    # Numbered and stored before it is read twice: a row keeps its number.
+    x = cut_lineage(df.withColumn(row, F.monotonically_increasing_id()))
     one = lemmas.groupBy("token").agg(F.min("lemma").alias("lemma"))
     words = x.select(row, F.posexplode(words_col).alias("pos", "token")).join(one, "token", "left")
     back = words.groupBy(row).agg(F.sort_array(F.collect_list(

@@ -66,7 +66,7 @@ def report_columns() -> list[Column]:
 
 
 def score_groups(scores: DataFrame, by=("model",), truth: str = "label",
-                 score: str = "p_spam") -> DataFrame:
+                 score: str = "p_spam", previous: bool = False) -> DataFrame:
     """Distinct scores per group with positive/negative counts and the
     running totals needed by every curve: ``pos_le``/``neg_le`` (inclusive
     ascending) plus group totals ``P``/``N``."""
@@ -74,7 +74,7 @@ def score_groups(scores: DataFrame, by=("model",), truth: str = "label",
     t = (F.col(truth) == POS).cast("long")
     g = scores.groupBy(*by, F.col(score).alias("s")).agg(
         F.sum(t).alias("pos"), F.sum(1 - t).alias("neg"))
-    rt = running_totals(g, by, "s", ["pos", "neg"])
+    rt = running_totals(g, by, "s", ["pos", "neg"], previous)
     tot = rt.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return rt.join(tot, by) if by else rt.crossJoin(F.broadcast(tot))
 
@@ -114,11 +114,18 @@ def report(scores: DataFrame, by=("model",), truth: str = "label",
 
 
 def roc_points(scores: DataFrame, by=("model",), truth: str = "label",
-               score: str = "p_spam") -> DataFrame:
-    """(0,0) then one (fpr, tpr) per distinct threshold, descending
-    (all points kept). ``threshold`` is NULL for the start point."""
+               score: str = "p_spam", corners: bool = False) -> DataFrame:
+    """(0,0) then one (fpr, tpr) per distinct threshold, descending.
+    ``threshold`` is NULL for the start point. With ``corners`` a point goes if
+    the next lower threshold adds as many positives and as many negatives as it
+    did itself, for then it lies on a straight line between its neighbours; the
+    points of the highest and the lowest threshold stay."""
     by = list(by)
-    g = score_groups(scores, by, truth, score)
+    g = score_groups(scores, by, truth, score, previous=corners)
+    if corners:
+        first = (F.col("cum_pos") == F.col("P")) & (F.col("cum_neg") == F.col("N"))
+        bends = (F.col("prev_pos") != F.col("pos")) | (F.col("prev_neg") != F.col("neg"))
+        g = g.where(first | F.col("prev_pos").isNull() | bends)
     tp_ge = F.col("P") - (F.col("cum_pos") - F.col("pos"))
     fp_ge = F.col("N") - (F.col("cum_neg") - F.col("neg"))
     pts = g.select(*by, F.col("s").alias("threshold"),

@@ -46,10 +46,14 @@ def rank_by_hash(df: DataFrame, part_cols, hash_col: str, tie_col: str,
             .drop(b, "__off")
 
 
-def running_totals(df: DataFrame, part_cols, order_col: str, value_cols) -> DataFrame:
+def running_totals(df: DataFrame, part_cols, order_col: str, value_cols,
+                   previous: bool = False) -> DataFrame:
     """Inclusive ascending running sums ``cum_<v>`` of ``value_cols`` over
     ``order_col`` within ``part_cols``, for any values of ``order_col`` that
-    are unique per group.
+    are unique per group. With ``previous`` also ``prev_<v>``, the values of the
+    row before in that order (NULL for a group's first): within a partition a
+    lag, and the last row of every partition is carried to the next one that
+    holds the group.
 
     The rows are range-partitioned by (group, key) and stored, so that every
     partition holds a stretch of the order whatever the values' distribution;
@@ -59,17 +63,23 @@ def running_totals(df: DataFrame, part_cols, order_col: str, value_cols) -> Data
     vals = _cols(value_cols)
     x = cut_lineage(df.repartitionByRange(*part, order_col)
                     .withColumn("__bin", F.spark_partition_id()))
-    per_bin = x.groupBy(*part, "__bin").agg(*[F.sum(v).alias(v) for v in vals])
+    edge = [F.max_by(F.struct(*vals), order_col).alias("__edge")] if previous else []
+    per_bin = x.groupBy(*part, "__bin").agg(*[F.sum(v).alias(v) for v in vals], *edge)
     w_prev = Window.partitionBy(*part).orderBy("__bin") \
                    .rowsBetween(Window.unboundedPreceding, -1)
     offs = per_bin.select(*part, "__bin", *[
-        F.coalesce(F.sum(v).over(w_prev), F.lit(0)).alias(f"__off_{v}") for v in vals])
+        F.coalesce(F.sum(v).over(w_prev), F.lit(0)).alias(f"__off_{v}") for v in vals],
+        *([F.lag("__edge").over(Window.partitionBy(*part).orderBy("__bin")).alias("__carry")]
+          if previous else []))
     x = x.join(offs, part + ["__bin"])
     w_in = Window.partitionBy(*part, "__bin").orderBy(order_col) \
                  .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for v in vals:
         x = x.withColumn(f"cum_{v}", F.col(f"__off_{v}") + F.sum(v).over(w_in))
-    return x.drop("__bin", *[f"__off_{v}" for v in vals])
+        if previous:
+            here = Window.partitionBy(*part, "__bin").orderBy(order_col)
+            x = x.withColumn(f"prev_{v}", F.coalesce(F.lag(v).over(here), F.col(f"__carry.{v}")))
+    return x.drop("__bin", "__carry", *[f"__off_{v}" for v in vals])
 
 
 def positions(df: DataFrame, order, out: str = "position") -> DataFrame:

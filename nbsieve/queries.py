@@ -8,16 +8,19 @@ so the value hashes compare.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nbsieve import config as C
 from nbsieve import oracle as O
 from nbsieve.functions import text as T
+from nbsieve.operators import lemmas as LEM
 from nbsieve.operators import nb
 from nbsieve.plans import pipeline
+from nbsieve.session import cut_lineage
 from nbsieve.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +98,44 @@ def q_lemmas(spark, sf):
                       F.array_join(pairs, " ").alias("bigrams"))
 
 
+def _forms_sql(pos: str, word: str) -> str:
+    """All forms of a word with one ending detached, the word first."""
+    cases = [f"CASE WHEN ends_with({word}, '{a}') THEN substr({word}, 1, length({word}) - {len(a)}) || '{b}' END"
+             for a, b in LEM.ENDINGS[pos]]
+    return f"[{word}, {', '.join(cases)}]"
+
+
+def _lemma_sql(pos: str, src: str, out: str) -> str:
+    """The corpus is its own lexicon, so a known form is always at hand."""
+    return f"""c{pos} AS (SELECT word, unnest({_forms_sql(pos, 'word')}) AS form, unnest(range(0, {len(LEM.ENDINGS[pos]) + 1})) AS k
+  FROM (SELECT DISTINCT {src} AS word FROM {'voc' if pos == 'v' else 'verbs'})),
+{out} AS (SELECT word, arg_min(form, length(form) * 100 + k) AS lemma
+  FROM c{pos} WHERE form IN (SELECT token FROM voc) GROUP BY word)"""
+
+
+@register("F7_verb_noun_lemmas", "WITH " + O.tokens_cte("tok", "documents", "doc_id") + """,
+u AS (SELECT doc_id, list_filter(tokens, lambda t: NOT contains(t, '_')) AS u FROM tok),
+voc AS (SELECT DISTINCT token FROM (SELECT unnest(u) AS token FROM u)),
+""" + _lemma_sql("v", "token", "verbs") + ",\n" + _lemma_sql("n", "lemma", "nouns") + """,
+words AS (SELECT doc_id, unnest(u) AS token, unnest(range(0, len(u))) AS k FROM u),
+lem AS (SELECT doc_id, list(n.lemma ORDER BY k) AS u FROM words w JOIN verbs v ON w.token = v.word
+  JOIN nouns n ON v.lemma = n.word GROUP BY doc_id)
+SELECT u.doc_id, array_to_string(coalesce(lem.u, []), ' ') AS unigrams,
+  array_to_string(list_transform(range(1, greatest(len(coalesce(lem.u, [])), 1)),
+    lambda i: lem.u[i] || '_' || lem.u[i + 1]), ' ') AS bigrams
+FROM u LEFT JOIN lem USING (doc_id)""")
+def q_verb_noun(spark, sf):
+    """F7 as verb, then noun, over the distinct words of all documents, which
+    are the lexicon; documents are then lemmatised by that table."""
+    docs = tables.table(spark, sf, "documents").select("doc_id", "text")
+    words = nb.tokenize(docs).select("doc_id", T.unigram_only(F.col("tokens")).alias("u"))
+    table = cut_lineage(LEM.lemma_table(cut_lineage(LEM.corpus_words(words, "u"))))
+    tok = nb.tokenize(docs, lemmas=table)
+    pairs = F.filter("tokens", lambda t: t.contains("_"))
+    return tok.select("doc_id", F.array_join(T.unigram_only(F.col("tokens")), " ").alias("unigrams"),
+                      F.array_join(pairs, " ").alias("bigrams"))
+
+
 _RAW = {
     "punctuation_ratio": "length(regexp_replace(text, '[^" + "".join("\\" + c for c in C.PUNCTUATION_CHARS)
                          + "]', '', 'g')) / greatest(1, length(text))",
@@ -268,7 +309,7 @@ def q_score_all(spark, sf):
 # ---------------------------------------------------------------------------
 
 from nbsieve.operators import metrics as M  # noqa: E402
-from nbsieve.operators.split import with_folds, with_split  # noqa: E402
+from nbsieve.operators.split import with_allocated_split, with_folds, with_split  # noqa: E402
 from nbsieve.plans import tuning  # noqa: E402
 
 
@@ -278,6 +319,45 @@ def q_split(spark, sf):
     return with_split(tables.messages(spark, sf)).select("doc_id", "label", "split")
 
 
+def _allocated_sql(by: str, src: str) -> str:
+    """Largest-remainder sizes of a test and a validation part, per class of
+    ``by``, and the assignment in md5 order."""
+    ratios = (("t", "n", C.TEST_RATIO), ("v", "n - t", C.VAL_RATIO / (1 - C.TEST_RATIO)))
+    steps, last = [], "k0"
+    for name, left, ratio in ratios:
+        steps.append(f"""s{name} AS (SELECT *, total - ceil(total * {ratio!r}::DOUBLE)::BIGINT AS stay FROM
+  (SELECT *, CAST(sum({left}) OVER () AS BIGINT) AS total, {left} AS m FROM {last})),
+f{name} AS (SELECT *, (m * stay) // total AS low, (m * stay) % total AS rest FROM s{name}),
+k{name} AS (SELECT * EXCLUDE (total, stay, low, rest, m, missing, turn),
+    m - (low + (turn <= missing)::BIGINT) AS {name}
+  FROM (SELECT *, stay - sum(low) OVER () AS missing,
+          row_number() OVER (ORDER BY rest DESC, c) AS turn FROM f{name}))""")
+        last = f"k{name}"
+    return f"""(WITH x AS (SELECT doc_id, coalesce({by}, '') AS c FROM {src}),
+k0 AS (SELECT c, count(*)::BIGINT AS n FROM x GROUP BY c),
+{', '.join(steps)}
+SELECT doc_id, c AS class, CASE WHEN rk <= t THEN 'test' WHEN rk <= t + v THEN 'val' ELSE 'train' END AS split
+FROM (SELECT x.*, row_number() OVER (PARTITION BY c ORDER BY md5('{C.SEED}-' || CAST(doc_id AS VARCHAR)), doc_id) AS rk FROM x)
+JOIN kv USING (c))"""
+
+
+@register("W4_allocated_split", "WITH " + O.MSG + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS classes, doc_id, class, split FROM {_allocated_sql(by, src)}"
+    for name, by, src in (("label", "label", "msg"), ("source", "source", "documents"),
+                          ("lang and label", "lang || ' ' || label", "msg"))))
+def q_allocated(spark, sf):
+    """W4 with exact part sizes, over three sets of classes: labels, sources,
+    and languages with labels."""
+    msgs = tables.messages(spark, sf).select("doc_id", "label", F.concat_ws(" ", "lang", "label").alias("both"))
+    docs = tables.table(spark, sf, "documents").select("doc_id", "source")
+    out = None
+    for name, by, df in (("label", "label", msgs), ("source", "source", docs), ("lang and label", "both", msgs)):
+        x = with_allocated_split(df, by).select(F.lit(name).alias("classes"), "doc_id", F.coalesce(
+            F.col(by), F.lit("")).alias("class"), "split")
+        out = x if out is None else out.unionByName(x)
+    return out
+
+
 @register("A21_split_summary", "WITH " + O.MSG + ",\n" + O.split_cte() + """
 SELECT split, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE label = 'spam') AS BIGINT) AS n_spam,
        CAST(count(*) FILTER (WHERE label = 'ham') AS BIGINT) AS n_ham FROM spl GROUP BY split""")
@@ -333,6 +413,20 @@ def q_roc(spark, sf):
                     r6("tpr").alias("tpr"))
 
 
+@register("W1_roc_corners", _TEST + """,
+near AS (SELECT *, lag(pos) OVER w AS lower_pos, lag(neg) OVER w AS lower_neg, lead(s) OVER w AS higher
+         FROM rt WINDOW w AS (PARTITION BY model ORDER BY s))
+SELECT model, round(1 / (1 + exp(-s)), 6) + 0.0 AS threshold, round((N - cum_neg + neg) / N, 6) + 0.0 AS fpr,
+       round((P - cum_pos + pos) / P, 6) + 0.0 AS tpr FROM near
+WHERE lower_pos IS NULL OR higher IS NULL OR lower_pos <> pos OR lower_neg <> neg
+UNION ALL SELECT DISTINCT model, NULL, 0.0, 0.0 FROM rt""")
+def q_roc_corners(spark, sf):
+    """W1 without the points that lie on a straight line between others."""
+    r = M.roc_points(_test_scores(spark, sf), score="log_odds", corners=True)
+    return r.select("model", r6(_probability("threshold")).alias("threshold"), r6("fpr").alias("fpr"),
+                    r6("tpr").alias("tpr"))
+
+
 @register("W2_pr_points", _TEST + """
 SELECT model, round(1 / (1 + exp(-s)), 6) + 0.0 AS threshold,
        round((P - cum_pos + pos) / ((P - cum_pos + pos) + (N - cum_neg + neg)), 6) + 0.0 AS precision,
@@ -1263,6 +1357,29 @@ def q_limited(spark, sf):
         F.sum("accepted").alias("accepted"))
 
 
+@register("W6_kept_rows", f"""WITH f AS (SELECT ceil(sqrt(count(*)) / 8)::BIGINT AS files, count(*) AS n FROM documents),
+t AS (SELECT doc_id % files AS file, doc_id, n // (2 * files) AS most,
+  regexp_replace(text, '^[{C.PY_WHITESPACE}]+|[{C.PY_WHITESPACE}]+$', '', 'g') AS text FROM documents, f)
+SELECT file, nth, text FROM (
+  SELECT *, row_number() OVER (PARTITION BY file ORDER BY doc_id) AS nth FROM t WHERE length(text) > 0)
+WHERE nth <= most""")
+def q_kept_rows(spark, sf):
+    """The documents as files of quoted CSV, each in order of the id; of
+    every file the accepted rows up to half of its size, numbered."""
+    docs = tables.table(spark, sf, "documents").select("doc_id", "text")
+    n = docs.count()
+    files = max(1, math.ceil(math.sqrt(n) / 8))
+    path = scratch_dir(spark, "numbered")
+    docs.withColumn("file", F.col("doc_id") % files).repartition("file") \
+        .sortWithinPartitions("file", "doc_id") \
+        .select("file", F.col("text").alias("Message"), F.lit("ham").alias("Label")) \
+        .write.partitionBy("file").option("header", True).option("escape", '"').csv(path)
+    kept = L.load_csv_directory(spark, path, limit_per_file=n // (2 * files), numbered=True, nested=True)
+    nth = F.row_number().over(Window.partitionBy("path").orderBy("position"))  # at most the limit
+    return kept.select(F.regexp_extract("path", "/file=(\\d+)/[^/]*$", 1).cast("bigint").alias("file"),
+                       nth.cast("bigint").alias("nth"), "text")
+
+
 @register("S5a_marketing_table", f"""
 SELECT 'marketing' AS source, 'spam' AS label,
   regexp_replace(text, '^[{C.PY_WHITESPACE}]+|[{C.PY_WHITESPACE}]+$', '', 'g') AS text
