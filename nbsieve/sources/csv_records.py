@@ -40,7 +40,7 @@ from nbsieve.session import cut_lineage
 BLOCK_BYTES = 200           # of one block's row in the broadcast table
 BATCH_BYTES = 4 << 20
 WHOLE, TAIL, MIDDLE, HEAD = 0, 1, 2, 3
-_PIECES = "path string, block bigint, position bigint, kind int, record string"
+_PIECES = "path string, block bigint, position bigint, kind int, record binary"
 
 
 def _lines(spark: SparkSession, files: list[str]) -> DataFrame:
@@ -74,21 +74,21 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     block: tuple | None = None
     number, held, begun, inside = 0, [], True, 0    # held: lines of the record still open
 
-    def put(kind: int, record: str) -> None:
+    def put(kind: int, record: bytes) -> None:
         nonlocal number, size
-        record = record.removesuffix("\r") if kind in (WHOLE, HEAD) else record
+        record = record.removesuffix(b"\r") if kind in (WHOLE, HEAD) else record
         out.append((*block, block[1] + number, kind, record))
         number += 1
         size += 60 + len(record)
 
     def close() -> None:
         if block is not None and held:               # open at the end of the block
-            put(TAIL if begun else MIDDLE, "\n".join(held))
+            put(TAIL if begun else MIDDLE, b"\n".join(held))
 
     def flush() -> pa.RecordBatch:
         nonlocal size
         columns = list(zip(*out, strict=True))
-        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string())
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
         batch = pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
             names=["path", "block", "position", "kind", "record"])
@@ -96,7 +96,7 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = 0
         return batch
 
-    for batch in batches:
+    for batch in batches:                            # bytes: they need not be UTF-8
         if not batch.num_rows:
             continue
         paths, starts = batch.column("path"), batch.column("block").to_numpy()
@@ -114,7 +114,7 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             inside = int(state[-1])
             at = lo
             for end in (np.flatnonzero(state == 0) + lo + 1).tolist():
-                put(WHOLE if begun else HEAD, "\n".join([*held, *values[at:end]])
+                put(WHOLE if begun else HEAD, b"\n".join([*held, *values[at:end]])
                     if held or end - at > 1 else values[at])
                 held, begun, at = [], True, end
                 if size > BATCH_BYTES:
@@ -130,8 +130,9 @@ def records(spark: SparkSession, files: list[str], states: DataFrame) -> DataFra
     them; ``states`` holds their blocks."""
     known = states.select("path", "block", "inside")
     lines = _lines(spark, files).join(F.broadcast(known), ["path", "block"])
-    pieces = cut_lineage(lines.select("path", "block", "value", "odd", "inside")
+    pieces = cut_lineage(lines.select("path", "block", F.col("value").cast("binary").alias("value"), "odd", "inside")
                          .mapInArrow(_assemble, _PIECES), partition_by="kind")
+    pieces = pieces.withColumn("record", F.make_valid_utf8(F.col("record").cast("string")))
     whole = pieces.where(F.col("kind") == WHOLE).select("path", "position", "record")
     parts = pieces.where(F.col("kind") != WHOLE)
     # A record's pieces follow each other: its tail, blocks it fills, its head.
