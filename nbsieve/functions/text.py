@@ -142,7 +142,7 @@ def add_term_frequencies(df: DataFrame, tokens_col: str = "tokens", out: str = "
     in token order: sort once (n log n), mark run starts, take run lengths.
     Each stage is its own column so no lambda re-evaluates the sort."""
     keep = list(keep) if keep is not None else list(df.columns)
-    x = df.select(*keep, F.array_sort(F.col(tokens_col)).alias("__s"))
+    x = df.select(*keep, F.sort_array(F.col(tokens_col)).alias("__s"))
     s = F.col("__s")
     n = F.size(s)
     x = x.select(*keep, "__s", F.when(n == 0, F.array().cast("array<int>")).otherwise(

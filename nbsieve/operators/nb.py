@@ -64,35 +64,41 @@ def explode_tokens(tok: DataFrame, arr, keep) -> DataFrame:
               .where(F.col("token").isNotNull())
 
 
-def _flagged_tokens(tok: DataFrame, keep, sentinel: bool) -> DataFrame:
-    """One generator over ``tokens ++ array_distinct(tokens) [++ ['']]``:
-    ``o`` = 1 for an occurrence, ``d`` = 1 for a distinct token (or the
-    sentinel). The tokeniser runs once per row whatever uses the flags."""
-    parts = [F.col("tokens"), F.array_distinct("tokens")]
+def term_rows(tok: DataFrame, keep, sentinel: bool = False) -> DataFrame:
+    """One row per document and distinct token: ``tf``, the occurrences, and
+    ``d`` = 1. A document without tokens has one row with a NULL token and 0 in
+    both; with ``sentinel`` every document also has a row of the token '' (tf 0).
+
+    Frequencies are read where ``tok`` holds ``terms``, else formed in the row."""
+    if "terms" in tok.columns:
+        x = tok.select(*keep, F.aggregate("terms", F.lit(0), lambda n, t: n + t["tf"])
+                       .alias("n_tokens"), "terms")
+    else:
+        x = T.add_term_frequencies(tok.select(*keep, F.size("tokens").alias("n_tokens"), "tokens"),
+                                   keep=[*keep, "n_tokens"])
+    terms = F.col("terms")
     if sentinel:
-        parts.append(F.array(F.lit(_SENTINEL)))
-    x = tok.select(*keep, F.size("tokens").alias("n_tokens"),
-                   F.posexplode_outer(F.concat(*parts)).alias("pos", "token"))
-    occ = F.col("pos") < F.col("n_tokens")
-    return x.select(*keep, "n_tokens", "token",
-                    F.when(occ, 1).otherwise(0).alias("o"),
-                    F.when(F.col("token").isNotNull() & ~occ, 1).otherwise(0).alias("d"))
+        terms = F.concat(terms, F.array(F.struct(F.lit(_SENTINEL).alias("token"),
+                                                 F.lit(0).alias("tf"))).cast(T.TERMS_TYPE))
+    # ``explode_outer``: an inner one would push a size filter below the tokeniser.
+    x = x.select(*keep, "n_tokens", F.explode_outer(terms).alias("t"))
+    return x.select(*keep, "n_tokens", "t.token", F.coalesce("t.tf", F.lit(0)).alias("tf"),
+                    F.when(F.col("t").isNotNull(), 1).otherwise(0).alias("d"))
 
 
 def token_class_counts(tok: DataFrame) -> DataFrame:
     """A4+A5 in one aggregation: ``(token, n_spam, n_ham, df_spam, df_ham)``
     over all tokens of labelled documents.
 
-    One generator per row yields every occurrence (term counts), the
-    distinct tokens of the row (document frequencies; ``array_distinct`` is
-    per row, so no per-document shuffle) and one sentinel ``''`` (its
-    document frequency is the class document count). Map-side partial
-    aggregation collapses hot tokens before the only shuffle."""
+    One generator per row yields the distinct tokens of the row with their
+    frequencies (formed in the row, so no per-document shuffle) and one sentinel
+    ``''`` (its document frequency is the class document count). Map-side
+    partial aggregation collapses hot tokens before the only shuffle."""
     sp = F.col("label") == "spam"
-    x = _flagged_tokens(tok, ["label"], sentinel=True)
+    x = term_rows(tok, ["label"], sentinel=True)
     return x.groupBy("token").agg(
-        F.sum(F.when(sp, F.col("o")).otherwise(0)).cast("bigint").alias("n_spam"),
-        F.sum(F.when(~sp, F.col("o")).otherwise(0)).cast("bigint").alias("n_ham"),
+        F.sum(F.when(sp, F.col("tf")).otherwise(0)).cast("bigint").alias("n_spam"),
+        F.sum(F.when(~sp, F.col("tf")).otherwise(0)).cast("bigint").alias("n_ham"),
         F.sum(F.when(sp, F.col("d")).otherwise(0)).cast("bigint").alias("df_spam"),
         F.sum(F.when(~sp, F.col("d")).otherwise(0)).cast("bigint").alias("df_ham"),
     )
@@ -127,6 +133,7 @@ class NBModel:
     max_df: float = C.MAX_DF
 
     def broadcastable(self, bytes_per_row: int = 96) -> bool:
+        """Whether a row per word, of so many bytes, may be broadcast."""
         return self.vocab_size * bytes_per_row <= C.BROADCAST_MAX_BYTES
 
 
@@ -215,18 +222,19 @@ def scored_frame(model: NBModel, tok: DataFrame, alphas, keep=("doc_id", "label"
     (sum of the Bernoulli weight over distinct in-vocabulary tokens), the
     token count and the token-mode Gaussian features.
 
-    Single pass: one generator, a left join to the per-token weights
-    (broadcast when the size check allows, else a shuffle join that AQE
-    splits on hot tokens), one groupBy(doc_id) whose map-side partial
+    Single pass: one row per document and distinct token, a left join to the
+    per-token weights (broadcast when the table's real width allows, else a
+    shuffle join that AQE splits on hot tokens), one groupBy(doc_id) whose map-side partial
     aggregation leaves about one row per document per partition. The
     Gaussian features are exact aggregates over the occurrences (the
     joined text has only a-z, '_' and spaces)."""
     keep = [c for c in keep if c in tok.columns]
-    x = _flagged_tokens(tok, keep, sentinel=False)
+    x = term_rows(tok, keep)
     w = token_weights(model, alphas, parts)
-    w = F.broadcast(w) if model.broadcastable() else w.hint("merge")
+    row_bytes = 64 + 8 * (len(w.columns) - 1)
+    w = F.broadcast(w) if model.broadcastable(row_bytes) else w.hint("merge")
     j = x.join(w, "token", "left")
-    o = F.col("o")
+    o = F.col("tf")
     aggs = []
     for i in range(len(alphas)):
         for c in CLASSES:
@@ -246,10 +254,10 @@ def scored_frame(model: NBModel, tok: DataFrame, alphas, keep=("doc_id", "label"
 
 
 def feature_aggregates() -> list[Column]:
-    """Per-document sums over the flagged token rows from which the
+    """Per-document sums over ``term_rows`` from which the
     token-mode Gaussian features follow exactly (see
     ``features_from_aggregates``)."""
-    o = F.col("o")
+    o = F.col("tf")
     tlen = F.coalesce(F.length("token"), F.lit(0))
     under = tlen - F.coalesce(F.length(F.translate("token", "_", "")), F.lit(0))
     return [

@@ -11,15 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nbsieve import config as C
+from nbsieve.functions import text as T
 from nbsieve.operators import nb
-from nbsieve.operators.split import with_split
+from nbsieve.operators.split import with_folds, with_split
 from nbsieve.session import cut_lineage, fingerprint
 from nbsieve.sources import tables
 
 
 @dataclass
 class Prepared:
-    tok: DataFrame          # doc_id, source, lang, label, split, tokens
+    tok: DataFrame          # doc_id, source, lang, label, split, fold, tokens, terms
     model: nb.NBModel       # trained on split = 'train'
     kept: dict = field(default_factory=dict)
 
@@ -35,10 +36,16 @@ class Prepared:
 
 
 def split_tokens(spark: SparkSession, sf_dir: str, seed=C.SEED) -> DataFrame:
-    """Splits are ranked on (doc_id, label) alone; the text joins once."""
+    """Splits, and the folds of train and validation (W5), are ranked on
+    (doc_id, label) alone; the text joins once. Each document is kept as its
+    tokens and as distinct tokens with frequencies."""
     msgs = tables.messages(spark, sf_dir)
-    split = with_split(msgs.select("doc_id", "label"), seed=seed).select("doc_id", "split")
-    return nb.tokenize(msgs.join(split, "doc_id"))
+    split = cut_lineage(with_split(msgs.select("doc_id", "label"), seed=seed))
+    folds = with_folds(split.where(F.col("split") != "test"), seed=seed).select("doc_id", "fold")
+    parts = split.select("doc_id", "split").join(folds, "doc_id", "left")
+    tok = nb.tokenize(msgs.join(parts, "doc_id"))
+    plain = [c for c in tok.columns if c != "tokens"]
+    return T.add_term_frequencies(tok, keep=[*plain, "tokens"])
 
 
 _PREPARED: dict = {}

@@ -1,8 +1,8 @@
 """Smoothing search (L2, T8a, T8b, J11) and k-fold cross-validation (L3).
 
-* Alpha sweep: one scoring pass; every alpha of the grid is a set of
-  aggregate columns (the grid is a bounded parameter list), not a copy of
-  the data.
+* Alpha sweep: every alpha of the grid is a set of aggregate columns (the
+  grid is a bounded parameter list), not a copy of the data; a scoring pass
+  takes as many alphas as fit one compiled method.
 * Cross-validation without refits: counts per (fold, token) are computed
   once; the training counts of fold f are ``total - fold f``. The
   vocabulary of fold f is ``df_train >= min_df`` and ``df_train / N_train
@@ -28,12 +28,21 @@ from nbsieve.session import cut_lineage
 # Alpha sweep
 # ---------------------------------------------------------------------------
 
+ALPHAS_A_PASS = 9          # 36 sums; beyond, a stage may outgrow one compiled method
+
+
 def alpha_sweep(model: nb.NBModel, tok_eval: DataFrame, alphas,
                 models=("multinomial", "bernoulli"),
                 decision_threshold: float = C.DECISION_THRESHOLD) -> DataFrame:
     """Per (model, alpha): confusion counts, accuracy, precision, recall, F1
     on the evaluation documents (predictions at ``decision_threshold``)."""
     alphas = [float(a) for a in alphas]
+    if len(alphas) > ALPHAS_A_PASS:
+        out = None
+        for k in range(0, len(alphas), ALPHAS_A_PASS):
+            x = alpha_sweep(model, tok_eval, alphas[k:k + ALPHAS_A_PASS], models, decision_threshold)
+            out = x if out is None else out.unionByName(x)
+        return out
     frame = nb.with_model_constants(
         nb.scored_frame(model, tok_eval, alphas, keep=("doc_id", "label"), with_features=False),
         model, alphas)
@@ -43,9 +52,11 @@ def alpha_sweep(model: nb.NBModel, tok_eval: DataFrame, alphas,
         for k, m in enumerate(models):
             ls, lh = lps[2 * k + 1], lps[2 * k]  # order: ham, spam per model
             structs.append(F.struct(F.lit(m).alias("model"), F.lit(a).alias("alpha"),
-                                    *nb.posterior_struct(ls, lh, F.col("n_tokens"))))
-    x = frame.select("doc_id", "label", F.explode(F.array(*structs)).alias("s")) \
-             .select("doc_id", "label", "s.model", "s.alpha", "s.p_spam", "s.p_ham")
+                                    ls.alias("ls"), lh.alias("lh")))
+    # The posterior follows the generator: its terms are written out once.
+    x = frame.select("doc_id", "label", "n_tokens", F.explode(F.array(*structs)).alias("s")) \
+             .select("doc_id", "label", "s.model", "s.alpha",
+                     *nb.posterior_struct(F.col("s.ls"), F.col("s.lh"), F.col("n_tokens")))
     x = x.withColumn("raw_prediction",
                      F.when(F.col("p_ham") > decision_threshold, "ham").otherwise("spam"))
     cm = M.confusion(x, ["model", "alpha"])
@@ -80,13 +91,13 @@ def fold_models(tok: DataFrame, k: int, min_df: int = C.MIN_DF, max_df: float =
     rows (no token x fold join). The '' sentinel carries the document
     counts. Returns ``(vocab_f(fold, token, n_*, df_*), stats_f(fold,
     n_docs_*, ntok_*, n_docs, V))``."""
-    x = nb._flagged_tokens(tok, ["fold", "label"], sentinel=True)
+    x = nb.term_rows(tok, ["fold", "label"], sentinel=True)
     cnt = ["n_spam", "n_ham", "df_spam", "df_ham"]
     aggs = []
     for f in range(1, k + 1):
         for c in nb.CLASSES:
             sel = (F.col("fold") == f) & (F.col("label") == c)
-            aggs.append(F.sum(F.when(sel, F.col("o")).otherwise(0)).alias(f"n_{c}_{f}"))
+            aggs.append(F.sum(F.when(sel, F.col("tf")).otherwise(0)).alias(f"n_{c}_{f}"))
             aggs.append(F.sum(F.when(sel, F.col("d")).otherwise(0)).alias(f"df_{c}_{f}"))
     wide = x.groupBy("token").agg(*aggs)
     tot = {c: sum((F.col(f"{c.split('_')[0]}_{c.split('_')[1]}_{f}") for f in range(1, k + 1)),
@@ -168,7 +179,9 @@ def cross_validate(msgs: DataFrame, k: int = C.K_FOLDS, alphas=None,
     """L3: per (model, fold): n, tp, tn, fp, fn, accuracy. ``alphas`` maps
     model -> alpha (default 1.0 each). Predictions at threshold 0.5."""
     alphas = {m: 1.0 for m in models} | dict(alphas or {})
-    if "tokens" in msgs.columns:  # already tokenised (e.g. the prepared set)
+    if {"tokens", "fold"} <= set(msgs.columns):  # stored with folds (the prepared set)
+        tok = msgs
+    elif "tokens" in msgs.columns:
         # Folds are ranked on (doc_id, label) alone and joined to the tokens.
         fold = with_folds(msgs.select("doc_id", "label"), k=k, seed=seed).select("doc_id", "fold")
         tok = cut_lineage(msgs.select("doc_id", "label", "tokens").join(fold, "doc_id"))
@@ -187,14 +200,14 @@ def cross_validate(msgs: DataFrame, k: int = C.K_FOLDS, alphas=None,
     w = w.select("fold", "token", *wcols)
     base = w.groupBy("fold").agg(*[F.sum(f"l1mp_{c}").alias(f"base_{c}") for c in nb.CLASSES])
     wj = w.drop("l1mp_spam", "l1mp_ham")     # broadcast or not: by its real size
-    x = nb._flagged_tokens(tok, ["doc_id", "label", "fold"], sentinel=False)
+    x = nb.term_rows(tok, ["doc_id", "label", "fold"])
     j = x.join(wj, ["fold", "token"], "left")
     # One pass per document: model sums and the Gaussian features (exact
     # aggregates); a small table (one row per document), checkpointed
     # because it feeds both the per-fold moments and the scoring.
     sums = j.groupBy("doc_id", "label", "fold", "n_tokens").agg(*[
         F.coalesce(F.sum(F.col(fl) * F.col(f"{p}_{c}")), F.lit(0.0)).alias(f"{p}_{c}")
-        for p, fl in (("wm", "o"), ("wb", "d")) for c in nb.CLASSES], *nb.feature_aggregates())
+        for p, fl in (("wm", "tf"), ("wb", "d")) for c in nb.CLASSES], *nb.feature_aggregates())
     sums = cut_lineage(sums.select(*[c for c in sums.columns if not c.startswith("__")],
                                    *nb.features_from_aggregates()))
     gstats = fold_gaussian(sums, k, alphas.get("gaussian", 1.0))
@@ -208,11 +221,11 @@ def cross_validate(msgs: DataFrame, k: int = C.K_FOLDS, alphas=None,
             math.log(a_m) - F.log(F.col(f"ntok_{c}") + a_m * F.col("V")))
         lp[("bernoulli", c)] = prior[c] + F.coalesce(F.col(f"base_{c}"), F.lit(0.0)) + F.col(f"wb_{c}")
         lp[("gaussian", c)] = prior[c] + nb.gaussian_log_likelihood(c)
-    structs = [F.struct(F.lit(m).alias("model"),
-                        *nb.posterior_struct(lp[(m, "spam")], lp[(m, "ham")], F.col("n_tokens")))
-               for m in models]
-    s = fr.select("doc_id", "label", "fold", F.explode(F.array(*structs)).alias("s")) \
-          .select("doc_id", "label", "fold", "s.model", "s.p_spam", "s.p_ham")
+    structs = [F.struct(F.lit(m).alias("model"), lp[(m, "spam")].alias("ls"),
+                        lp[(m, "ham")].alias("lh")) for m in models]
+    s = fr.select("doc_id", "label", "fold", "n_tokens", F.explode(F.array(*structs)).alias("s")) \
+          .select("doc_id", "label", "fold", "s.model",
+                  *nb.posterior_struct(F.col("s.ls"), F.col("s.lh"), F.col("n_tokens")))
     s = s.withColumn("raw_prediction", F.when(F.col("p_ham") > 0.5, "ham").otherwise("spam"))
     cm = M.confusion(s, ["model", "fold"])
     n = F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")

@@ -468,7 +468,7 @@ def q_threshold(spark, sf):
 
 def _sweep(spark, sf, alphas):
     p = _prepared(spark, sf)
-    return tuning.alpha_sweep(p.model, p.part("val"), alphas)
+    return p.once(f"sweep {alphas}", lambda: tuning.alpha_sweep(p.model, p.part("val"), alphas))
 
 
 _SWEEP_F1 = O.with_model("val AS (SELECT * FROM tok WHERE split = 'val')",
@@ -512,7 +512,8 @@ def _cv(spark, sf):
     # Train + val recombined; tokens come from the prepared set.
     p = _prepared(spark, sf)
     s = p.tok.where(F.col("split").isin("train", "val"))
-    return p.once("cv", lambda: tuning.cross_validate(s.select("doc_id", "label", "tokens")))
+    return p.once("cv", lambda: tuning.cross_validate(s.select(
+        "doc_id", "label", "fold", "tokens", "terms")))
 
 
 @register("L3_cross_validation", O.cv_sql() + """
