@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from nbsieve import config as C
 from nbsieve.functions import text as T
 from nbsieve.operators import nb
-from nbsieve.operators.vocab import log_ratio, top_k_global
+from nbsieve.operators.vocab import log_ratio, strongest
+from nbsieve.session import cut_lineage
 
 
 def doc_evidence(model: nb.NBModel, tok: DataFrame, alpha: float = C.ALPHA,
@@ -61,10 +62,9 @@ def corpus_top_words(model: nb.NBModel, k: int = 10, alpha: float = C.ALPHA) ->
 def prune_vocabulary(model: nb.NBModel, k: int = C.MAX_VOCAB_PRUNED,
                      alpha: float = C.ALPHA) -> DataFrame:
     """The k tokens with the largest |log-ratio|, ties in vocabulary
-    (alphabetical) order (distributed global top-k)."""
-    lr = log_ratio(model, alpha)
-    top = top_k_global(lr, [F.desc(F.abs("score")), F.asc("token")], k)
-    return top.select("token", F.abs("score").alias("abs_score"))
+    (alphabetical) order; found by a histogram, not by a sort."""
+    lr = cut_lineage(log_ratio(model, alpha).select("token", F.abs("score").alias("abs_score")))
+    return strongest(lr, "abs_score", "token", k)
 
 
 def pruned_counts(model: nb.NBModel, kept: DataFrame) -> DataFrame:

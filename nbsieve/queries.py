@@ -1467,6 +1467,24 @@ def q_model_roundtrip(spark, sf):
     return m.counts
 
 
+@register("K3_pruned_bundle_counts", O.with_model(_LR) + f"""
+, kept AS (SELECT token FROM lr ORDER BY abs(score) DESC, token LIMIT {_SMALL_VOCABULARY})
+SELECT {_SMALL_VOCABULARY}::BIGINT AS vocabulary_size, token, n_spam, n_ham, df_spam, df_ham
+FROM voc WHERE token IN (SELECT token FROM kept)""")
+def q_pruned_counts(spark, sf):
+    """T7 + K3 with a size that prunes: the bundle of the strongest words,
+    saved, checked against its manifest and loaded."""
+    p = _prepared(spark, sf)
+    kept = X.prune_vocabulary(p.model, _SMALL_VOCABULARY)
+    pruned = nb.NBModel(counts=X.pruned_counts(p.model, kept), all_counts=p.model.all_counts,
+                        stats=p.model.stats, vocab_size=p.model.vocab_size)
+    path = scratch_dir(spark, "pruned")
+    MIO.save_model(pruned, path, pruned_size=_SMALL_VOCABULARY, true_vocab_size=kept.count())
+    model, meta = MIO.load_model(spark, path, verify=True)
+    return model.counts.crossJoin(F.broadcast(meta.select("vocabulary_size"))).select(
+        "vocabulary_size", "token", "n_spam", "n_ham", "df_spam", "df_ham")
+
+
 @register("K3_pruned_bundle_meta", O.with_model() + f"""
 SELECT CAST({C.MAX_VOCAB_PRUNED} AS BIGINT) AS vocabulary_size,
        CAST(least(vsz.V, {C.MAX_VOCAB_PRUNED}) AS BIGINT) AS true_vocabulary_size,
@@ -1535,13 +1553,15 @@ def q_exclusive(spark, sf):
 @register("S10_load_or_train", O.with_model() + """
 SELECT token, n_spam, n_ham, df_spam, df_ham FROM voc""")
 def q_load_or_train(spark, sf):
-    """No bundle at the path: trains (alpha 1) from the training split and
-    saves; a second call loads the saved bundle."""
+    """No bundle at the path: loads the training messages from CSV files,
+    trains (alpha 1) and saves; a second call loads the saved bundle."""
     from nbsieve.sources import model_io as MIO2
-    p = _prepared(spark, sf)
-    path = scratch_dir(spark, "bundle")
-    MIO2.load_or_train(spark, path, p.part("train"))
-    return MIO2.load_or_train(spark, path, p.part("train")).counts
+    path, corpus = scratch_dir(spark, "bundle"), scratch_dir(spark, "corpus")
+    train = with_split(tables.messages(spark, sf)).where("split = 'train'")
+    SK.write_messages_csv(train, corpus)
+    load = lambda: L.load_csv_directory(spark, corpus)
+    MIO2.load_or_train(spark, path, load)
+    return MIO2.load_or_train(spark, path, load).counts
 
 
 @register("M10_request_json", """

@@ -64,3 +64,74 @@ def test_stream_keeps_every_message_without_an_id(spark):
     assert sorted(r["request_id"] for r in IB.read_scored(spark, out).collect()) == [10, 11]
     dead = spark.read.parquet(f"{out}/dead_letter").collect()
     assert [(r["msg_id"], r["status"]) for r in dead] == [(None, "skipped: no msg_id")] * 6
+
+
+def _model(spark):
+    return nb.fit(nb.tokenize(spark.createDataFrame(
+        [(1, "spam", "win cash prize now"), (2, "ham", "lunch meeting today")],
+        "doc_id long, label string, text string")))
+
+
+def test_rows_that_make_scoring_fail_are_set_aside(spark):
+    from nbsieve.operators import rules as R
+    base = tempfile.mkdtemp()
+    src, out, ckpt = (os.path.join(base, x) for x in ("src", "out", "ckpt"))
+    ts = datetime.datetime(2026, 1, 1)
+    bad = {17, 500, 999}
+    rows = [(i, ts, None, "explode" if i in bad else "win cash", "now") for i in range(1000)]
+    spark.createDataFrame(rows, IB.INBOX_SCHEMA).coalesce(1).write.parquet(f"{src}/p=0")
+
+    def scorer(model, req, rules):
+        message = F.when(F.col("message").startswith("explode"), F.raise_error(F.lit("cannot read this")).cast(
+            "string")).otherwise(F.col("message"))
+        return R.score_requests(model, req.withColumn("message", message), rules=rules)
+
+    IB.start_scoring(spark, _model(spark), src, out, ckpt, scorer=scorer).awaitTermination()
+    assert {r["request_id"] for r in IB.read_scored(spark, out).collect()} == set(range(1000)) - bad
+    dead = spark.read.parquet(f"{out}/dead_letter").collect()
+    assert {r["msg_id"] for r in dead} == bad and all(r["status"].startswith("failed: ") for r in dead)
+
+
+def test_a_fault_that_is_not_the_rows_is_raised(spark):
+    import pytest
+    rows = spark.range(6).withColumnRenamed("id", "msg_id")
+
+    def attempt(part):
+        raise OSError("disk full")
+    with pytest.raises(OSError):
+        IB.failing_rows(rows, "msg_id", attempt)
+
+
+def test_unreadable_records(spark):
+    base = tempfile.mkdtemp()
+    src, out, ckpt = (os.path.join(base, x) for x in ("src", "out", "ckpt"))
+    os.makedirs(src)
+    with open(f"{src}/a.json", "w") as f:
+        f.write('{"msg_id": 1, "ts": "2026-01-01T00:00:00", "subject": "win cash"}\n{"msg_id": 2, "subj\n'
+                '{"msg_id": 3, "subject": "lunch"}\n')
+    IB.start_scoring(spark, _model(spark), src, out, ckpt, kind="json").awaitTermination()
+    assert sorted(r["request_id"] for r in IB.read_scored(spark, out).collect()) == [1, 3]
+    dead = [r["status"] for r in spark.read.parquet(f"{out}/dead_letter").collect()]
+    assert dead == ['unreadable: {"msg_id": 2, "subj']
+
+
+def test_seen_store_stays_small_and_survives_a_restart(spark, monkeypatch):
+    monkeypatch.setattr(IB.SeenStore, "FAN", 3)
+    path = os.path.join(tempfile.mkdtemp(), "seen")
+    store, accepted, most = IB.SeenStore(spark, path), [], 0
+    for batch in range(20):
+        ids = [batch, batch, 1000 + batch, max(0, batch - 15)]
+        rows = spark.createDataFrame([(i, datetime.datetime(2026, 1, 1 + i % 3)) for i in ids],
+                                     "msg_id bigint, ts timestamp").coalesce(1)
+        runs = []
+        for _ in range(2 if batch in (7, 9) else 1):     # run again after a restart
+            store.merge(batch)
+            new = store.unseen(rows, batch).coalesce(1)
+            runs.append(sorted(r["msg_id"] for r in new.select("msg_id").collect()))
+            store.add(new, batch)
+        assert runs[0] == runs[-1]
+        accepted += runs[0]
+        files = [f for _, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+        most = max(most, len(files))
+    assert len(accepted) == len(set(accepted)) == 40
+    assert most <= 3 * store.FAN and len(store.live(20)) <= 2 * store.FAN
