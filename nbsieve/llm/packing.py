@@ -41,8 +41,7 @@ GROUP_PIECES = 50_000       # pieces in one packing partition
 OPEN_WASTE = 16             # unused tokens from which a bin is opened again
 LARGEST = 16                # times GROUP_PIECES that one partition may grow to
 EXCHANGE = True
-WORD_BYTES = 24 << 20       # of distinct words that a worker remembers while a task runs
-KEEP_BYTES = 12 << 20       # beyond this, forgotten when the task ends
+WORD_BYTES = 96 << 20       # of distinct words that a worker remembers, between tasks too
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 PACKED = ("row bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, "
@@ -187,8 +186,6 @@ def token_pieces(docs: DataFrame, tokenizer_path: str | None = None) -> DataFram
                 pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                 pa.array(length, pa.int64()), pa.array(crc, pa.int64()),
             ], names=["doc_id", "piece", "start", "length", "ids_crc32"])
-        if encoder.held > KEEP_BYTES:
-            encoder.clear()
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
