@@ -202,8 +202,9 @@ def brute_ppm(train, texts):
     return out
 
 
-@pytest.mark.parametrize("chunk", [ppm.CHUNK_BYTES, 400])
-def test_ppm_equals_brute_force(spark, chunk):
+@pytest.mark.parametrize("chunk, ranges, group", [(ppm.CHUNK_BYTES, None, 64), (400, 6, 2), (30, 1030, 64)])
+def test_ppm_equals_brute_force(spark, monkeypatch, chunk, ranges, group):
+    monkeypatch.setattr(ppm, "GROUP", group)
     rng = random.Random(3)
     texts = AWKWARD + [prose(rng, rng.randint(0, 30), "abcé", 3) for _ in range(40)] + ["\U0001f600 zq!"]
     ids = list(range(len(texts)))
@@ -211,7 +212,7 @@ def test_ppm_equals_brute_force(spark, chunk):
     want = brute_ppm(train, [t or "" for t in texts])
     from pyspark.sql import functions as F
     rows = frame(spark, texts).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    scored, n = ppm.ppm_scores(rows.withColumn("train", ~ppm.held_out(F.col("doc_id"), 10)), chunk)
+    scored, n = ppm.ppm_scores(rows.withColumn("train", ~ppm.held_out(F.col("doc_id"), 10)), chunk, ranges)
     counts = Counter(w.translate(FOLD) for t in train for w in WORD.findall(t)) + Counter({None: len(train)})
     assert n == sum(counts.values())
     got = {r["doc_id"]: r for r in scored.collect()}
