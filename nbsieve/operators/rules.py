@@ -18,31 +18,91 @@ from nbsieve.functions.text import is_blank
 from nbsieve.operators import nb
 
 
+GRAM = 4                    # characters of an index key
+SMALL_RULES = 50_000        # rules that are sent to every task, with their keys
+FEW_PATTERNS = 64           # patterns without a literal that become one expression
+
+
+def required_literals(rules: DataFrame) -> DataFrame:
+    """``rules(pattern, boost)`` with ``literal``: a run of four or more of
+    a-z and 0-9 that every match must contain, and ``at_start``: whether the
+    match has it at the start of a word. Among several, one at a word's start
+    is taken, then the longest. Runs are what remains outside groups, classes,
+    escapes and quantified characters; a pattern with an alternative outside a
+    group, flags, code points, references or quotations has none ('')."""
+    p = F.regexp_replace("pattern", r"\\b", "^")
+    p = F.regexp_replace(p, r"\\.", " ")
+    p = F.regexp_replace(p, r"\[[^\]]*\]", " ")
+    for _ in range(3):                                   # nested groups, inner ones first
+        p = F.regexp_replace(p, r"\([^()]*\)", " ")
+    p = F.regexp_replace(p, r".([?*]|\{[^}]*\})", " ")
+    unsure = F.col("pattern").rlike(r"\(\?[^:]|\\[0-9acekpuxGNPQX]|\[[^\]]*[\[&]") \
+        | p.rlike(r"[|()\[\]]")
+    found = F.regexp_extract_all(p, F.lit(rf"(\^?[a-z0-9]{{{GRAM},}})"), F.lit(1))
+    best = F.array_max(F.transform(F.when(unsure, F.array().cast("array<string>")).otherwise(found),
+                                   lambda x: F.struct(x.startswith("^").alias("at_start"),
+                                                      F.length(x).alias("n"),
+                                                      F.ltrim(x, F.lit("^")).alias("literal"))))
+    return rules.select("pattern", F.col("boost").cast("double").alias("boost"), best.alias("best")) \
+        .select("pattern", "boost", F.coalesce("best.literal", F.lit("")).alias("literal"),
+                F.coalesce("best.at_start", F.lit(False)).alias("at_start"))
+
+
+def rule_keys(rules: DataFrame) -> DataFrame:
+    """One index key per rule with a literal: its first characters where it
+    stands at a word's start, else the gram of it that fewest rules share."""
+    number = F.sequence(F.lit(1), F.length("literal") - (GRAM - 1))
+    inner = rules.where("literal <> '' AND NOT at_start").withColumn(
+        "key", F.explode(F.array_distinct(F.transform(
+            number, lambda i: F.substring("literal", i, GRAM)))))
+    shared = inner.groupBy("key").agg(F.count(F.lit(1)).alias("shared"))
+    inner = inner.join(shared, "key").groupBy("pattern", "boost", "literal", "at_start").agg(
+        F.min_by("key", F.struct("shared", "key")).alias("key"))
+    start = rules.where("literal <> '' AND at_start").withColumn("key", F.substring("literal", 1, GRAM))
+    return start.unionByName(inner)
+
+
 def boosts_by_table(docs: DataFrame, rules: DataFrame, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """A29 for a rules *table* ``(pattern, boost)`` of any size: ``(id,
-    boost)`` of every document, 0 where no rule matches.
-
-    A pattern that opens with ``\\b`` and a literal can match only where a
-    word-character run of the lower-cased text starts with that literal, so
-    the literal's first four characters are an equi-join key against the
-    distinct run prefixes of each document, and the regex runs on those
-    candidates alone. Patterns without such a literal are tried on every
-    document (a nested loop with that part of the table only)."""
-    r = rules.select("pattern", F.col("boost").cast("double").alias("boost")).withColumn(
-        "literal", F.when(F.contains("pattern", F.lit("|")), "").otherwise(
-            F.regexp_extract("pattern", r"^\\b([a-z0-9]{4,})(?![?*{])", 1)))
-    low = F.lower(F.coalesce(F.col(text_col), F.lit("")))
-    d = docs.select(F.col(id_col), low.alias("__low"))
-    runs = F.array_distinct(F.transform(
-        F.regexp_extract_all("__low", F.lit(r"(?U)\w{4,}"), F.lit(0)),
-        lambda x: F.substring(x, 1, 4)))
-    keyed = d.select(id_col, "__low", F.explode(runs).alias("__key"))
-    hit = F.expr("rlike(__low, concat('(?dU)', pattern))")
-    found = keyed.join(r.filter("literal <> ''").withColumn("__key", F.substring("literal", 1, 4)),
-                       "__key").where(hit).select(id_col, "boost")
-    rest = d.join(r.filter("literal = ''"), hit).select(id_col, "boost")
-    best = found.unionByName(rest).groupBy(id_col).agg(F.max("boost").alias("boost"))
+    """A29 for a rules *table* ``(pattern, boost)``: ``(id, boost)`` of every
+    document, 0 where no rule matches.
+
+    Rules are an index by one key each (``rule_keys``); a document brings the
+    distinct starts of its words and, where rules have literals inside words,
+    its distinct grams. Key pairs are found by an equi join, and a regex runs
+    only where the document holds the whole literal. Up to ``SMALL_RULES``
+    rules are sent to every task; more are joined by key, and the candidates
+    joined back to the texts. Up to ``FEW_PATTERNS`` patterns without a literal
+    are one expression over the documents, more are tried pair by pair."""
+    r = required_literals(rules.where("pattern IS NOT NULL").distinct())
+    n, inside, loose = r.agg(F.count(F.lit(1)), F.count_if(F.expr("literal <> '' AND NOT at_start")),
+                             F.count_if(F.expr("literal = ''"))).first()
+    d = docs.select(id_col, F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("__low"))
+    runs = F.regexp_extract_all("__low", F.lit(rf"(?U)\w{{{GRAM},}}"), F.lit(0))
+    keys = F.transform(runs, lambda x: F.struct(F.lit(True).alias("at_start"),
+                                                F.substring(x, 1, GRAM).alias("key")))
+    if inside:
+        plain = F.regexp_extract_all("__low", F.lit(f"[a-z0-9]{{{GRAM},}}"), F.lit(0))
+        grams = F.flatten(F.transform(plain, lambda x: F.transform(
+            F.sequence(F.lit(1), F.length(x) - (GRAM - 1)),
+            lambda i: F.struct(F.lit(False).alias("at_start"), F.substring(x, i, GRAM).alias("key")))))
+        keys = F.concat(keys, grams)
+    index = rule_keys(r)
+    hit = F.expr("contains(__low, literal) AND rlike(__low, concat('(?dU)', pattern))")
+    if n <= SMALL_RULES:
+        found = d.withColumn("k", F.explode(F.array_distinct(keys))) \
+            .select(id_col, "__low", "k.at_start", "k.key") \
+            .join(F.broadcast(index), ["at_start", "key"]).where(hit).select(id_col, "boost")
+    else:
+        pairs = d.select(id_col, F.explode(F.array_distinct(keys)).alias("k")) \
+            .select(id_col, "k.at_start", "k.key").join(index, ["at_start", "key"])
+        found = pairs.join(d, id_col).where(hit).select(id_col, "boost")
+    if 0 < loose <= FEW_PATTERNS:
+        few = [(x["pattern"], x["boost"]) for x in r.where("literal = '' AND boost IS NOT NULL").collect()]
+        found = found.unionByName(d.select(id_col, sender_boost(F.col("__low"), few).alias("boost")))
+    elif loose:
+        found = found.unionByName(d.join(r.where("literal = ''"), hit).select(id_col, "boost"))
+    best = found.groupBy(id_col).agg(F.max("boost").alias("boost"))
     return docs.select(id_col).join(best, id_col, "left").select(
         id_col, F.greatest(F.coalesce("boost", F.lit(0.0)), F.lit(0.0)).alias("boost"))
 

@@ -636,6 +636,31 @@ def q_boost(spark, sf):
     return d.select("doc_id", R.sender_boost(F.col("text"), CUSTOM_RULES).alias("boost"))
 
 
+@register("J9_A29_rules_table", r"""
+WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z0-9]{4,}')) AS w FROM benchmark),
+rules AS (SELECT w, length(w) % 3 AS kind, least(length(w), 99) / 100.0 AS boost FROM w),
+runs AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]+')) AS r FROM documents),
+hits AS (
+  SELECT doc_id, boost FROM runs JOIN rules ON r = w WHERE kind = 0
+  UNION ALL SELECT doc_id, boost FROM documents JOIN rules ON kind = 1 AND contains(lower(text), w)
+  UNION ALL SELECT doc_id, boost FROM runs JOIN rules ON substr(r, 1, 4) = substr(w, 1, 4)
+    WHERE kind = 2 AND starts_with(r, w) AND regexp_full_match(substr(r, length(w) + 1), '[a-z]*'))
+SELECT d.doc_id, CAST(coalesce(max(h.boost), 0) AS DOUBLE) AS boost
+FROM documents d LEFT JOIN hits h ON d.doc_id = h.doc_id GROUP BY d.doc_id""")
+def q_rules_table(spark, sf):
+    """A rule for every distinct word of the benchmark's items: a whole word, a
+    fragment with optional endings, or a word's start."""
+    words = tables.table(spark, sf, "benchmark").select(F.explode(F.regexp_extract_all(
+        F.lower("text"), F.lit("[a-z0-9]{4,}"), F.lit(0))).alias("w")).distinct()
+    kind = F.length("w") % 3
+    pattern = F.when(kind == 0, F.concat(F.lit(r"\b"), "w", F.lit(r"\b"))) \
+        .when(kind == 1, F.concat("w", F.lit("(ing|ed)?s?"))) \
+        .otherwise(F.concat(F.lit(r"\b"), "w", F.lit(r"[a-z]*\b")))
+    rules = words.select(pattern.alias("pattern"), (F.least(F.length("w"), F.lit(99)) / 100.0).alias("boost"))
+    d = tables.table(spark, sf, "documents").select("doc_id", "text")
+    return R.boosts_by_table(d, rules)
+
+
 def _alld_sql():
     return O.tokens_cte(
         "alld", "(SELECT d.doc_id, d.text, CASE WHEN l.toxic IS NULL THEN NULL WHEN l.toxic = 1 "

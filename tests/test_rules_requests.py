@@ -59,3 +59,30 @@ def test_rules_table_equals_rule_list(spark):
     table = spark.createDataFrame(list(rules), "pattern string, boost double")
     got = {r["doc_id"]: r["boost"] for r in R.boosts_by_table(docs, table).collect()}
     assert got == want and got[0] == 0.5 and got[10] == 0.1 and got[3] == 0.7
+
+
+def test_required_literals(spark):
+    want = {r"\btrash can\b": ("trash", True), r"noreply@reddit\.com": ("noreply", False), r"(abcd)+efgh": ("efgh", False),
+            r"x{2}yabcd?": ("yabc", False), r"x{2}abcd?": ("", False), r"abcdefs?": ("abcdef", False), r"[a-z]{4,}abcd": ("abcd", False),
+            r"abcd|efgh": ("", False), r"(?i)abcd": ("", False), r"\x61bcde": ("", False), r"\bab\b.*bcdef+": ("bcdef", False),
+            r"\bab(cd(ef|gh))\bwxyz": ("wxyz", True), r"\Qabcd\E": ("", False), "ABCD": ("", False), r"lo\wdefgh": ("defgh", False)}
+    table = spark.createDataFrame([(p, 0.1) for p in want], "pattern string, boost double")
+    got = {r["pattern"]: (r["literal"], r["at_start"]) for r in R.required_literals(table).collect()}
+    assert got == want
+
+
+def test_rules_table_of_any_size(spark, monkeypatch):
+    texts = ["abcdefg hij", "xxabcdefgxx", "bcde", "BCDEF! ghij", "pq", "r st uv", None, "abcé abcd", "éabcd", "noreply@reddit.com"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rules = [(r"\babcd", 0.2), (r"abcdef", 0.3), (r"cde", 0.1), (r"\bbcde(f|g)?\b", 0.4), (r"(pq|st)", 0.5),
+             (r"reddit\.com$", 0.6), (r"ghij", 0.25)]
+    want = {r[0]: r[1] for r in docs.select("doc_id", R.sender_boost(F.coalesce("text", F.lit("")), rules)).collect()}
+    table = spark.createDataFrame(rules * 2 + [(None, 0.9)], "pattern string, boost double")
+    for small, few in ((50_000, 64), (0, 64), (0, 0)):
+        monkeypatch.setattr(R, "SMALL_RULES", small)
+        monkeypatch.setattr(R, "FEW_PATTERNS", few)
+        assert {r["doc_id"]: r["boost"] for r in R.boosts_by_table(docs, table).collect()} == want
+    monkeypatch.setattr(R, "FEW_PATTERNS", 64)
+    assert "NestedLoop" not in R.boosts_by_table(docs, table)._jdf.queryExecution().executedPlan().toString()
+    assert R.boosts_by_table(docs, table.limit(0)).where("boost > 0").count() == 0
+    assert R.boosts_by_table(docs.limit(0), table).count() == 0
