@@ -49,8 +49,8 @@ def required_literals(rules: DataFrame) -> DataFrame:
 
 
 def rule_keys(rules: DataFrame) -> DataFrame:
-    """One index key per rule with a literal: its first characters where it
-    stands at a word's start, else the gram of it that fewest rules share."""
+    """One index key per rule with a literal: '^' and its first characters where
+    it stands at a word's start, else the gram of it that fewest rules share."""
     number = F.sequence(F.lit(1), F.length("literal") - (GRAM - 1))
     inner = rules.where("literal <> '' AND NOT at_start").withColumn(
         "key", F.explode(F.array_distinct(F.transform(
@@ -58,7 +58,8 @@ def rule_keys(rules: DataFrame) -> DataFrame:
     shared = inner.groupBy("key").agg(F.count(F.lit(1)).alias("shared"))
     inner = inner.join(shared, "key").groupBy("pattern", "boost", "literal", "at_start").agg(
         F.min_by("key", F.struct("shared", "key")).alias("key"))
-    start = rules.where("literal <> '' AND at_start").withColumn("key", F.substring("literal", 1, GRAM))
+    start = rules.where("literal <> '' AND at_start").withColumn(
+        "key", F.concat(F.lit("^"), F.substring("literal", 1, GRAM)))
     return start.unionByName(inner)
 
 
@@ -69,42 +70,49 @@ def boosts_by_table(docs: DataFrame, rules: DataFrame, id_col: str = "doc_id",
 
     Rules are an index by one key each (``rule_keys``); a document brings the
     distinct starts of its words and, where rules have literals inside words,
-    its distinct grams. Key pairs are found by an equi join, and a regex runs
-    only where the document holds the whole literal. Up to ``SMALL_RULES``
-    rules are sent to every task; more are joined by key, and the candidates
-    joined back to the texts. Up to ``FEW_PATTERNS`` patterns without a literal
-    are one expression over the documents, more are tried pair by pair."""
+    its distinct grams. An equi join of keys gives each document its candidates
+    (up to ``SMALL_RULES`` rules are sent to every task), which meet the text
+    again by id. They are tried from the highest boost on, the literal before
+    the regex, and the first match ends the search. Up to ``FEW_PATTERNS``
+    patterns without a literal are one expression over the documents, more are
+    tried pair by pair."""
     r = required_literals(rules.where("pattern IS NOT NULL").distinct())
     n, inside, loose = r.agg(F.count(F.lit(1)), F.count_if(F.expr("literal <> '' AND NOT at_start")),
                              F.count_if(F.expr("literal = ''"))).first()
-    d = docs.select(id_col, F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("__low"))
+    d = docs.select(F.col(id_col).alias("__id"),
+                    F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("__low"))
     runs = F.regexp_extract_all("__low", F.lit(rf"(?U)\w{{{GRAM},}}"), F.lit(0))
-    keys = F.transform(runs, lambda x: F.struct(F.lit(True).alias("at_start"),
-                                                F.substring(x, 1, GRAM).alias("key")))
+    keys = F.transform(runs, lambda x: F.concat(F.lit("^"), F.substring(x, 1, GRAM)))
     if inside:
-        plain = F.regexp_extract_all("__low", F.lit(f"[a-z0-9]{{{GRAM},}}"), F.lit(0))
-        grams = F.flatten(F.transform(plain, lambda x: F.transform(
-            F.sequence(F.lit(1), F.length(x) - (GRAM - 1)),
-            lambda i: F.struct(F.lit(False).alias("at_start"), F.substring(x, i, GRAM).alias("key")))))
-        keys = F.concat(keys, grams)
+        plain = F.array_distinct(F.regexp_extract_all("__low", F.lit(f"[a-z0-9]{{{GRAM},}}"), F.lit(0)))
+        keys = F.concat(keys, F.flatten(F.transform(plain, lambda x: F.transform(
+            F.sequence(F.lit(1), F.length(x) - (GRAM - 1)), lambda i: F.substring(x, i, GRAM)))))
     index = rule_keys(r)
-    hit = F.expr("contains(__low, literal) AND rlike(__low, concat('(?dU)', pattern))")
-    if n <= SMALL_RULES:
-        found = d.withColumn("k", F.explode(F.array_distinct(keys))) \
-            .select(id_col, "__low", "k.at_start", "k.key") \
-            .join(F.broadcast(index), ["at_start", "key"]).where(hit).select(id_col, "boost")
-    else:
-        pairs = d.select(id_col, F.explode(F.array_distinct(keys)).alias("k")) \
-            .select(id_col, "k.at_start", "k.key").join(index, ["at_start", "key"])
-        found = pairs.join(d, id_col).where(hit).select(id_col, "boost")
+    tried = d.select("__id", F.explode(F.array_distinct(keys)).alias("key")) \
+        .join(F.broadcast(index) if n <= SMALL_RULES else index, "key") \
+        .groupBy("__id").agg(F.sort_array(F.collect_set(F.struct("boost", "pattern", "literal")),
+                                          asc=False).alias("tried"))
+    low = F.col("__low")
+
+    def matches(rule: Column) -> Column:
+        return F.contains(low, rule["literal"]) & F.rlike(low, F.concat(F.lit("(?dU)"), rule["pattern"]))
+
+    first = F.aggregate("tried", F.lit(None).cast("double"), lambda found, rule: F.coalesce(
+        found, F.when(matches(rule), rule["boost"])))
+    boosts = [F.coalesce(first, F.lit(0.0))]
     if 0 < loose <= FEW_PATTERNS:
         few = [(x["pattern"], x["boost"]) for x in r.where("literal = '' AND boost IS NOT NULL").collect()]
-        found = found.unionByName(d.select(id_col, sender_boost(F.col("__low"), few).alias("boost")))
-    elif loose:
-        found = found.unionByName(d.join(r.where("literal = ''"), hit).select(id_col, "boost"))
-    best = found.groupBy(id_col).agg(F.max("boost").alias("boost"))
-    return docs.select(id_col).join(best, id_col, "left").select(
-        id_col, F.greatest(F.coalesce("boost", F.lit(0.0)), F.lit(0.0)).alias("boost"))
+        boosts.append(sender_boost(low, few))
+    tried = tried.withColumnRenamed("__id", "__tried_id")
+    out = d.join(tried, F.col("__id").eqNullSafe(F.col("__tried_id")), "left").select(
+        F.col("__id").alias(id_col), F.greatest(F.lit(0.0), *boosts).alias("boost"))
+    if loose > FEW_PATTERNS:
+        hit = F.expr("rlike(__low, concat('(?dU)', pattern))")
+        more = d.join(r.where("literal = ''").select("pattern", "boost"), hit) \
+            .groupBy(F.col("__id").alias("__more_id")).agg(F.max("boost").alias("__more"))
+        out = out.join(more, F.col(id_col).eqNullSafe(F.col("__more_id")), "left") \
+            .withColumn("boost", F.greatest("boost", "__more"))
+    return out.select(id_col, "boost")
 
 
 def sender_boost(text: Column, rules=C.SENDER_RULES) -> Column:
