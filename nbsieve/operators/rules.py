@@ -70,9 +70,9 @@ def boosts_by_table(docs: DataFrame, rules: DataFrame, id_col: str = "doc_id",
 
     Rules are an index by one key each (``rule_keys``); a document brings the
     distinct starts of its words and, where rules have literals inside words,
-    its distinct grams. An equi join of keys gives each document its candidates
-    (up to ``SMALL_RULES`` rules are sent to every task), which meet the text
-    again by id. They are tried from the highest boost on, the literal before
+    its distinct grams. An equi join of keys gives each document its candidates,
+    which meet the text again by id. Up to ``SMALL_RULES`` rules are sent to every
+    task, and only those whose literal the text holds are kept as candidates. They are tried from the highest boost on, the literal before
     the regex, and the first match ends the search. Up to ``FEW_PATTERNS``
     patterns without a literal are one expression over the documents, more are
     tried pair by pair."""
@@ -88,9 +88,12 @@ def boosts_by_table(docs: DataFrame, rules: DataFrame, id_col: str = "doc_id",
         keys = F.concat(keys, F.flatten(F.transform(plain, lambda x: F.transform(
             F.sequence(F.lit(1), F.length(x) - (GRAM - 1)), lambda i: F.substring(x, i, GRAM)))))
     index = rule_keys(r)
-    tried = d.select("__id", F.explode(F.array_distinct(keys)).alias("key")) \
-        .join(F.broadcast(index) if n <= SMALL_RULES else index, "key") \
-        .groupBy("__id").agg(F.sort_array(F.collect_set(F.struct("boost", "pattern", "literal")),
+    keyed = d.withColumn("key", F.explode(F.array_distinct(keys)))
+    if n <= SMALL_RULES:
+        tried = keyed.join(F.broadcast(index), "key").where(F.contains("__low", "literal"))
+    else:
+        tried = keyed.select("__id", "key").join(index, "key")
+    tried = tried.groupBy("__id").agg(F.sort_array(F.collect_set(F.struct("boost", "pattern", "literal")),
                                           asc=False).alias("tried"))
     low = F.col("__low")
 
