@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from nbsieve import config as C
 from nbsieve.functions.text import is_blank
 from nbsieve.operators import nb
+from nbsieve.operators.ordered import positions
+from nbsieve.session import cut_lineage
 
 
 GRAM = 4                    # characters of an index key
@@ -63,55 +65,69 @@ def rule_keys(rules: DataFrame) -> DataFrame:
     return start.unionByName(inner)
 
 
+def _keyed_runs(low: Column, inside: bool) -> Column:
+    """Distinct (run, key) of a lower-cased text: every word with the key of its
+    start and, with ``inside``, every run of a-z and 0-9 with each of its grams."""
+    runs = F.array_distinct(F.regexp_extract_all(low, F.lit(rf"(?U)\w{{{GRAM},}}"), F.lit(0)))
+    out = F.transform(runs, lambda x: F.struct(
+        x.alias("run"), F.concat(F.lit("^"), F.substring(x, 1, GRAM)).alias("key")))
+    if inside:
+        plain = F.array_distinct(F.regexp_extract_all(low, F.lit(f"[a-z0-9]{{{GRAM},}}"), F.lit(0)))
+        out = F.concat(out, F.flatten(F.transform(plain, lambda x: F.transform(
+            F.sequence(F.lit(1), F.length(x) - (GRAM - 1)),
+            lambda i: F.struct(x.alias("run"), F.substring(x, i, GRAM).alias("key"))))))
+    return out
+
+
 def boosts_by_table(docs: DataFrame, rules: DataFrame, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """A29 for a rules *table* ``(pattern, boost)``: ``(id, boost)`` of every
     document, 0 where no rule matches.
 
-    Rules are an index by one key each (``rule_keys``); a document brings the
-    distinct starts of its words and, where rules have literals inside words,
-    its distinct grams. An equi join of keys gives each document its candidates,
-    which meet the text again by id. Up to ``SMALL_RULES`` rules are sent to every
-    task, and only those whose literal the text holds are kept as candidates. They are tried from the highest boost on, the literal before
-    the regex, and the first match ends the search. Up to ``FEW_PATTERNS``
-    patterns without a literal are one expression over the documents, more are
-    tried pair by pair."""
-    r = required_literals(rules.where("pattern IS NOT NULL").distinct())
+    Rules with a literal are ranked by boost and form an index by one key each
+    (``rule_keys``). A document brings its distinct words and runs with their
+    keys; a rule is its candidate where a run with the rule's key holds the
+    literal. First only the best candidate is kept, one small row per document,
+    and its pattern is tried on the text. Only documents on which it fails gather
+    their other candidates, which are tried from the highest boost on until one
+    matches. Up to ``SMALL_RULES`` rules are sent to every task, beyond that the
+    keys meet by a shuffle. Up to ``FEW_PATTERNS`` patterns without a literal are
+    one expression over the documents, more are tried pair by pair."""
+    r = required_literals(rules.where("pattern IS NOT NULL AND boost > 0").distinct())
+    r = cut_lineage(r)
     n, inside, loose = r.agg(F.count(F.lit(1)), F.count_if(F.expr("literal <> '' AND NOT at_start")),
                              F.count_if(F.expr("literal = ''"))).first()
-    d = docs.select(F.col(id_col).alias("__id"),
-                    F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("__low"))
-    runs = F.regexp_extract_all("__low", F.lit(rf"(?U)\w{{{GRAM},}}"), F.lit(0))
-    keys = F.transform(runs, lambda x: F.concat(F.lit("^"), F.substring(x, 1, GRAM)))
-    if inside:
-        plain = F.array_distinct(F.regexp_extract_all("__low", F.lit(f"[a-z0-9]{{{GRAM},}}"), F.lit(0)))
-        keys = F.concat(keys, F.flatten(F.transform(plain, lambda x: F.transform(
-            F.sequence(F.lit(1), F.length(x) - (GRAM - 1)), lambda i: F.substring(x, i, GRAM)))))
-    index = rule_keys(r)
-    keyed = d.withColumn("key", F.explode(F.array_distinct(keys)))
-    if n <= SMALL_RULES:
-        tried = keyed.join(F.broadcast(index), "key").where(F.contains("__low", "literal"))
-    else:
-        tried = keyed.select("__id", "key").join(index, "key")
-    tried = tried.groupBy("__id").agg(F.sort_array(F.collect_set(F.struct("boost", "pattern", "literal")),
-                                          asc=False).alias("tried"))
+    ranked = positions(r.where("literal <> ''"), [F.col("boost"), F.col("pattern")], "rank")
+    index = cut_lineage(rule_keys(r).join(ranked.select("pattern", "boost", "rank"), ["pattern", "boost"]))
+    small = F.broadcast if n <= SMALL_RULES else (lambda x: x)
     low = F.col("__low")
-
-    def matches(rule: Column) -> Column:
-        return F.contains(low, rule["literal"]) & F.rlike(low, F.concat(F.lit("(?dU)"), rule["pattern"]))
-
-    first = F.aggregate("tried", F.lit(None).cast("double"), lambda found, rule: F.coalesce(
-        found, F.when(matches(rule), rule["boost"])))
-    boosts = [F.coalesce(first, F.lit(0.0))]
+    d = docs.select(F.col(id_col).alias("__id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("__low"))
+
+    def candidates(rows: DataFrame, *carried: str) -> DataFrame:
+        keyed = rows.select("__id", *carried, F.inline(_keyed_runs(low, bool(inside))))
+        held = F.when(F.col("at_start"), F.startswith("run", "literal")).otherwise(F.contains("run", "literal"))
+        return keyed.join(small(index), "key").where(held)
+
+    best = candidates(d).groupBy(F.col("__id").alias("__best_id")).agg(F.max("rank").alias("rank"))
+    best = best.join(small(index.select("rank", "pattern", "boost")), "rank")
+    hit = F.rlike(low, F.concat(F.lit("(?dU)"), F.col("pattern")))
+    tried = d.join(best, F.col("__id").eqNullSafe(F.col("__best_id")), "left").select(
+        "__id", "__low", F.col("rank").alias("__rank"),
+        F.when(F.col("rank").isNull(), 0.0).when(hit, F.col("boost")).alias("__found"))
+    others = candidates(tried.where("__found IS NULL"), "__rank").where("rank < __rank") \
+        .groupBy(F.col("__id").alias("__other_id")).agg(F.sort_array(F.collect_set(
+            F.struct("rank", "boost", "pattern", "literal")), asc=False).alias("others"))
+    later = F.aggregate("others", F.lit(None).cast("double"), lambda found, rule: F.coalesce(
+        found, F.when(F.contains(low, rule["literal"])
+                      & F.rlike(low, F.concat(F.lit("(?dU)"), rule["pattern"])), rule["boost"])))
+    boosts = [F.coalesce("__found", later, F.lit(0.0))]
     if 0 < loose <= FEW_PATTERNS:
-        few = [(x["pattern"], x["boost"]) for x in r.where("literal = '' AND boost IS NOT NULL").collect()]
-        boosts.append(sender_boost(low, few))
-    tried = tried.withColumnRenamed("__id", "__tried_id")
-    out = d.join(tried, F.col("__id").eqNullSafe(F.col("__tried_id")), "left").select(
-        F.col("__id").alias(id_col), F.greatest(F.lit(0.0), *boosts).alias("boost"))
+        boosts.append(sender_boost(low, [(x["pattern"], x["boost"]) for x in r.where("literal = ''").collect()]))
+    out = tried.join(others, F.col("__found").isNull() & F.col("__id").eqNullSafe(F.col("__other_id")), "left") \
+        .select(F.col("__id").alias(id_col), F.greatest(F.lit(0.0), *boosts).alias("boost"))
     if loose > FEW_PATTERNS:
-        hit = F.expr("rlike(__low, concat('(?dU)', pattern))")
-        more = d.join(r.where("literal = ''").select("pattern", "boost"), hit) \
+        pair = F.expr("rlike(__low, concat('(?dU)', pattern))")
+        more = d.join(r.where("literal = ''").select("pattern", "boost"), pair) \
             .groupBy(F.col("__id").alias("__more_id")).agg(F.max("boost").alias("__more"))
         out = out.join(more, F.col(id_col).eqNullSafe(F.col("__more_id")), "left") \
             .withColumn("boost", F.greatest("boost", "__more"))
