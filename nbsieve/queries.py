@@ -937,6 +937,27 @@ def q_pruned_scoring(spark, sf):
     return s.select("doc_id", r6("log_odds").alias("log_odds"))
 
 
+@register("T7_J7_pruned_scoring_all", O.with_model(_LR, _alld_sql()) + f"""
+, kept AS (SELECT token FROM lr ORDER BY abs(score) DESC, token LIMIT {_SMALL_VOCABULARY}),
+ms AS (SELECT o.doc_id, sum(ln(v.n_spam + 1.0)) AS s, sum(ln(v.n_ham + 1.0)) AS h
+       FROM (SELECT doc_id, unnest(tokens) AS token FROM alld) o
+       JOIN voc v ON o.token = v.token JOIN kept k ON k.token = v.token GROUP BY 1)
+SELECT d.doc_id, round((ln(cls.n_docs_spam / cls.n_docs) - ln(cls.n_docs_ham / cls.n_docs)
+   + coalesce(s - h, 0) - len(d.tokens) * (ln(cls.ntok_spam + vsz.V) - ln(cls.ntok_ham + vsz.V)))
+   / greatest(1.0, greatest(1, len(d.tokens)) / 10.0), 6) + 0.0 AS log_odds
+FROM alld d LEFT JOIN ms ON d.doc_id = ms.doc_id CROSS JOIN cls CROSS JOIN vsz""")
+def q_pruned_scoring_all(spark, sf):
+    """T7 + J7 over every document, unlabelled ones included, with the 2,000
+    strongest words; the others count as unseen, V stays."""
+    p = _prepared(spark, sf)
+    kept = X.prune_vocabulary(p.model, _SMALL_VOCABULARY)
+    pruned = nb.NBModel(counts=X.pruned_counts(p.model, kept), all_counts=p.model.all_counts,
+                        stats=p.model.stats, vocab_size=_SMALL_VOCABULARY)
+    docs = nb.tokenize(tables.all_documents(spark, sf).select("doc_id", "label", "text"))
+    s = nb.score(pruned, docs, models=("multinomial",), log_odds=True)
+    return s.select("doc_id", r6("log_odds").alias("log_odds"))
+
+
 @register("T2_T3_word_clouds", O.with_model() + """
 SELECT label, token, count, CAST(rank AS BIGINT) AS rank, round(count / max(count) OVER (PARTITION BY label), 6) + 0.0 AS weight
 FROM (SELECT label, token, count, row_number() OVER (PARTITION BY label ORDER BY count DESC, token) AS rank
