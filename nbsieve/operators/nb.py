@@ -17,8 +17,9 @@ every alpha. Scoring uses two identities:
   ln(1-p))`` with the baseline computed once per alpha.
 
 The join is a broadcast hash join when the vocabulary is small enough
-(size checked), otherwise a shuffle join on the token where AQE splits the
-hot keys. The per-document regroup follows an explode of one row, so the
+(size checked). A larger one goes in two tiers: its most frequent words, as many
+as may be broadcast, and the others, to which only rows are shuffled that
+have no frequent word and pass a bit filter of the others. The per-document regroup follows an explode of one row, so the
 map-side partial aggregation collapses it before the shuffle.
 """
 
@@ -198,11 +199,159 @@ def bernoulli_p(df_col: Column, n_docs_c: Column, alpha) -> Column:
 # Scoring
 # ---------------------------------------------------------------------------
 
-def token_weights(model: NBModel, alphas, parts=("m", "b")) -> DataFrame:
-    """Per vocabulary token and per alpha (index i): multinomial weights
-    ``wm_<c>_<i> = ln(n(t,c)+a) - ln a`` and Bernoulli weights
+def use_level(counts: DataFrame) -> Column:
+    """Words ranked by document frequency, sixteen levels a doubling."""
+    df = F.col("df_spam") + F.col("df_ham")
+    return F.floor(16 * F.log2(F.greatest(df, F.lit(1)))).cast("int")
+
+
+def tiers(counts: DataFrame, n: int, row_bytes: int) -> tuple[DataFrame, DataFrame | None]:
+    """The ``n`` rows of ``counts`` as (frequent, other): the levels of highest
+    document frequency that may be broadcast at ``row_bytes`` a row, and the rest;
+    None where all may be. At most some thousand level counts are read."""
+    most = C.BROADCAST_MAX_BYTES // row_bytes
+    if n <= most:
+        return counts, None
+    level, held = use_level(counts), 0
+    floor = 1 << 30
+    for r in counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")) \
+            .orderBy(F.desc("level")).collect():
+        held += r["n"]
+        if held > most:
+            break
+        floor = r["level"]
+    return counts.where(level >= floor), counts.where(level < floor)
+
+
+def stored_terms(tok: DataFrame, keep) -> DataFrame:
+    """``tok`` with ``terms``, fit to be read twice: as it is where it holds them
+    (the prepared set is stored), else formed and stored."""
+    if "terms" in tok.columns:
+        return tok
+    return cut_lineage(T.add_term_frequencies(tok.select(*keep, "tokens"), keep=keep))
+
+
+FILTER_BITS = 1 << 29       # at most, 64 MB; 16 a word below
+_PAGE = 512 * 64            # bits of one page: 512 longs
+
+
+def _word_hash(by) -> Column:
+    return F.xxhash64(*[F.col(c).cast("string") for c in by])    # whatever integer a fold is
+
+
+def word_filter(words: DataFrame, n: int, by=("token",)) -> DataFrame:
+    """One row with ``filter``: pages of bits, set where the hash of one of the
+    ``n`` words falls. A word whose bit is not set is none of them, so its rows
+    need no shuffle; of other words about n / bits pass by chance."""
+    pages = 1
+    while pages * _PAGE < min(16 * n, FILTER_BITS):
+        pages *= 2
+    at = F.pmod(_word_hash(by), F.lit(pages * _PAGE))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))
+    longs = words.select(F.floor(at / 64).alias("at"), bit.alias("bits")).unionByName(
+        words.sparkSession.range(pages * 512).select(F.col("id").alias("at"), F.lit(0).cast("long").alias("bits")))
+    longs = longs.groupBy("at").agg(F.bit_or("bits").alias("bits"))
+
+    def listed(key: str, value: str) -> Column:
+        return F.transform(F.sort_array(F.collect_list(F.struct(key, value))), lambda s: s[value])
+
+    page = longs.groupBy(F.floor(F.col("at") / 512).alias("page")).agg(listed("at", "bits").alias("longs"))
+    return cut_lineage(page.agg(listed("page", "longs").alias("filter")))
+
+
+def maybe(by=("token",)) -> Column:
+    """Whether the row's word passes the joined ``filter``."""
+    pages = F.col("filter")
+    at = F.pmod(_word_hash(by), F.size(pages) * F.lit(_PAGE).cast("long"))
+    long = F.get(F.get(pages, F.floor(at / _PAGE).cast("int")), (F.floor(at / 64) % 512).cast("int"))
+    return F.bit_get(long, (at % 64).cast("int")) == 1
+
+
+@dataclass
+class Tiers:
+    """``hot``: counts of the frequent words, to be broadcast; ``cold``: of the
+    others (None: there are none), with their ``filter``; ``over``: the words too
+    frequent for the vocabulary, which would fill a partition of a shuffled join
+    and find nothing there. ``by`` is the key of a word."""
+
+    hot: DataFrame
+    cold: DataFrame | None = None
+    filter: DataFrame | None = None
+    over: DataFrame | None = None
+    by: tuple = ("token",)
+
+    def rest(self, rows: DataFrame) -> DataFrame:
+        """The rows that must be looked up among the other words."""
+        known = self.hot.select(*self.by).unionByName(self.over)
+        return rows.join(F.broadcast(self.filter), maybe(self.by), "left_semi") \
+            .join(F.broadcast(known), list(self.by), "left_anti")
+
+
+def make_tiers(counts: DataFrame, n: int, row_bytes: int, over, by=("token",)) -> Tiers:
+    """Tiers of ``n`` stored counts; ``over()`` gives the words too frequent."""
+    hot, cold = tiers(counts, n, row_bytes)
+    if cold is None:
+        return Tiers(hot, by=tuple(by))
+    return Tiers(hot, cold, word_filter(cold, n, by), over().select(*by), tuple(by))
+
+
+def model_tiers(model: NBModel, row_bytes: int) -> Tiers:
+    """The vocabulary's tiers, found once per model and width."""
+    kept = model.__dict__.setdefault("_tiers", {})
+
+    def over() -> DataFrame:
+        if "over" not in kept:
+            df = F.col("df_spam") + F.col("df_ham")
+            kept["over"] = cut_lineage(
+                model.all_counts.crossJoin(F.broadcast(model.stats.select("n_docs"))).where(
+                    (df >= model.min_df) & (df / F.col("n_docs") > model.max_df)).select("token"))
+        return kept["over"]
+
+    if row_bytes not in kept:
+        kept[row_bytes] = make_tiers(model.counts, model.vocab_size, row_bytes, over)
+    return kept[row_bytes]
+
+
+def join_words(rows: DataFrame, model: NBModel, weigh, how: str = "inner",
+               row_bytes: int = 96) -> DataFrame:
+    """``rows`` joined on ``token`` with ``weigh(counts)``, a row per word made
+    from the vocabulary counts: ``how`` inner or left. Beyond the size of a
+    broadcast in two tiers, for which ``rows`` is read more than once."""
+    t = model_tiers(model, row_bytes)
+    words = weigh(t.hot)
+    if t.cold is None:
+        return rows.join(F.broadcast(words), "token", how)
+    rest = t.rest(rows).join(weigh(t.cold).hint("merge"), "token", how)
+    if how == "inner":
+        return rows.join(F.broadcast(words), "token").unionByName(rest)
+    # Left: what is frequent, and what cannot be among the others.
+    words = words.unionByName(t.over, allowMissingColumns=True).withColumn("__known", F.lit(True))
+    first = rows.join(F.broadcast(words), "token", "left")
+    found = first.where("__known").unionByName(
+        first.where("__known IS NULL").join(F.broadcast(t.filter), maybe(), "left_anti"))
+    return found.drop("__known").unionByName(rest)
+
+
+def weighted_rows(x: DataFrame, keep, sums, weigh, t: Tiers) -> DataFrame:
+    """``term_rows`` with their weights ``sums``, to be added up per document: each
+    row once, with the weights of a frequent word; and, where there are others,
+    what finds its word there, without token, ``tf`` and ``d``."""
+    cols, by = [*keep, "n_tokens"], list(t.by)
+    j = x.join(F.broadcast(weigh(t.hot)), by, "left").select(*cols, "token", "tf", "d", *sums)
+    if t.cold is None:
+        return j
+    rest = t.rest(x.where(F.col("token").isNotNull())).join(weigh(t.cold).hint("merge"), by) \
+        .select(*cols, F.lit(None).cast("string").alias("token"), F.lit(0).alias("tf"),
+                F.lit(0).alias("d"), *sums)
+    return j.unionByName(rest)
+
+
+def token_weights(model: NBModel, alphas, parts=("m", "b"), counts: DataFrame | None = None) -> DataFrame:
+    """Per vocabulary token (of ``counts``, else all) and per alpha (index i):
+    multinomial weights ``wm_<c>_<i> = ln(n(t,c)+a) - ln a`` and Bernoulli weights
     ``wb_<c>_<i> = ln p - ln(1-p)``. Computed on the small side, once."""
-    x = model.counts.crossJoin(F.broadcast(model.stats.select("n_docs_spam", "n_docs_ham")))
+    counts = model.counts if counts is None else counts
+    x = counts.crossJoin(F.broadcast(model.stats.select("n_docs_spam", "n_docs_ham")))
     cols = []
     for i, a in enumerate(alphas):
         a = float(a)
@@ -222,28 +371,22 @@ def scored_frame(model: NBModel, tok: DataFrame, alphas, keep=("doc_id", "label"
     (sum of the Bernoulli weight over distinct in-vocabulary tokens), the
     token count and the token-mode Gaussian features.
 
-    Single pass: one row per document and distinct token, a left join to the
-    per-token weights (broadcast when the table's real width allows, else a
-    shuffle join that AQE splits on hot tokens), one groupBy(doc_id) whose map-side partial
-    aggregation leaves about one row per document per partition. The
-    Gaussian features are exact aggregates over the occurrences (the
-    joined text has only a-z, '_' and spaces)."""
+    One row per document and distinct token, a left join to the per-token weights
+    (broadcast), one groupBy(doc_id) whose map-side partial aggregation leaves about
+    one row per document per partition. Where the table's real width allows no
+    broadcast of all words, the frequent ones are; rows without one of these that pass a
+    bit filter of the other words are shuffled to these, and only what finds its word there goes on to the
+    same groupBy. The Gaussian features are exact aggregates over the occurrences
+    (the joined text has only a-z, '_' and spaces)."""
     keep = [c for c in keep if c in tok.columns]
-    x = term_rows(tok, keep)
-    w = token_weights(model, alphas, parts)
-    row_bytes = 64 + 8 * (len(w.columns) - 1)
-    w = F.broadcast(w) if model.broadcastable(row_bytes) else w.hint("merge")
-    j = x.join(w, "token", "left")
-    o = F.col("tf")
-    aggs = []
-    for i in range(len(alphas)):
-        for c in CLASSES:
-            if "m" in parts:
-                aggs.append(F.coalesce(F.sum(o * F.col(f"wm_{c}_{i}")), F.lit(0.0))
-                            .alias(f"m_{c}_{i}"))
-            if "b" in parts:
-                aggs.append(F.coalesce(F.sum(F.col("d") * F.col(f"wb_{c}_{i}")), F.lit(0.0))
-                            .alias(f"b_{c}_{i}"))
+    names = [f"{p}_{c}_{i}" for i in range(len(alphas)) for c in CLASSES for p in parts]
+    row_bytes = 64 + 8 * len(names)
+    t = model_tiers(model, row_bytes)
+    x = term_rows(tok if t.cold is None else stored_terms(tok, keep), keep)
+    # A word's weight counts each occurrence (m) or the document once (b).
+    sums = [(F.col({"m": "tf", "b": "d"}[n[0]]) * F.col(f"w{n}")).alias(n) for n in names]
+    j = weighted_rows(x, keep, sums, lambda counts: token_weights(model, alphas, parts, counts), t)
+    aggs = [F.coalesce(F.sum(n), F.lit(0.0)).alias(n) for n in names]
     if with_features:
         aggs += feature_aggregates()
     g = j.groupBy(*keep, "n_tokens").agg(*aggs)
