@@ -90,7 +90,8 @@ def fold_models(tok: DataFrame, k: int, min_df: int = C.MIN_DF, max_df: float =
     set of 4k columns; a generator then emits, per token, the k training
     rows (no token x fold join). The '' sentinel carries the document
     counts. Returns ``(vocab_f(fold, token, n_*, df_*), stats_f(fold,
-    n_docs_*, ntok_*, n_docs, V))``."""
+    n_docs_*, ntok_*, n_docs, V), over_f(fold, token))``, the last one the few
+    words too frequent for a fold's vocabulary."""
     x = nb.term_rows(tok, ["fold", "label"], sentinel=True)
     cnt = ["n_spam", "n_ham", "df_spam", "df_ham"]
     aggs = []
@@ -110,10 +111,9 @@ def fold_models(tok: DataFrame, k: int, min_df: int = C.MIN_DF, max_df: float =
                  *[(tot[c] - F.col(f"{c.split('_')[0]}_{c.split('_')[1]}_{f}")).cast("long").alias(c)
                    for c in cnt])
         for f in range(1, k + 1)])
-    train = wide.select("token", F.explode(per_fold).alias("r")) \
-                .select(F.col("r.fold").alias("fold"), "token",
-                        *[F.col(f"r.{c}").alias(c) for c in cnt])
-    train = cut_lineage(train)
+    # One row per token is stored; the k rows of it are made as they are read.
+    train = cut_lineage(wide).select("token", F.explode(per_fold).alias("r")) \
+        .select(F.col("r.fold").alias("fold"), "token", *[F.col(f"r.{c}").alias(c) for c in cnt])
     docs = train.where(F.col("token") == "").select(
         "fold", F.col("df_spam").alias("n_docs_spam"), F.col("df_ham").alias("n_docs_ham"))
     # Class token totals of the training folds (every token, pruned ones too).
@@ -125,15 +125,15 @@ def fold_models(tok: DataFrame, k: int, min_df: int = C.MIN_DF, max_df: float =
         "fold", *[(F.col(f"a_{c}") - F.col(f"f_{c}")).alias(f"ntok_{c}") for c in nb.CLASSES])
     docs = docs.join(ntok, "fold").withColumn("n_docs", F.col("n_docs_spam") + F.col("n_docs_ham"))
     d = F.col("df_spam") + F.col("df_ham")
-    vocab = train.join(F.broadcast(docs.select("fold", "n_docs")), "fold") \
-        .where((F.col("token") != "") & (d >= min_df) & (d / F.col("n_docs") <= max_df)) \
-        .select("fold", "token", *cnt)
-    vocab = cut_lineage(vocab)
+    known = train.join(F.broadcast(docs.select("fold", "n_docs")), "fold") \
+        .where((F.col("token") != "") & (d >= min_df))
+    over = d / F.col("n_docs") > max_df
+    vocab = cut_lineage(known.where(~over).select("fold", "token", *cnt))
     v = vocab.groupBy("fold").agg(F.count(F.lit(1)).alias("V"))
     stats = docs.join(v, "fold", "left").select(
         "*", F.coalesce(F.col("V"), F.lit(0)).alias("__v")).drop("V") \
         .withColumnRenamed("__v", "V")
-    return vocab, stats
+    return vocab, stats, known.where(over).select("fold", "token")
 
 
 def _deviation(f: str):
@@ -188,26 +188,32 @@ def cross_validate(msgs: DataFrame, k: int = C.K_FOLDS, alphas=None,
     else:
         tok = cut_lineage(nb.tokenize(
             with_folds(msgs, k=k, seed=seed).select("doc_id", "label", "fold", "text")))
-    vocab, stats = fold_models(tok, k, min_df, max_df)
+    vocab, stats, over = fold_models(tok, k, min_df, max_df)
     a_m, a_b = float(alphas.get("multinomial", 1.0)), float(alphas.get("bernoulli", 1.0))
-    w = vocab.join(F.broadcast(stats.select("fold", "n_docs_spam", "n_docs_ham")), "fold")
-    wcols = []
-    for c in nb.CLASSES:
-        p = nb.bernoulli_p(F.col(f"df_{c}"), F.col(f"n_docs_{c}"), F.lit(a_b))
-        wcols += [(F.log(F.col(f"n_{c}") + a_m) - math.log(a_m)).alias(f"wm_{c}"),
-                  (F.log(p) - F.log(1 - p)).alias(f"wb_{c}"),
-                  F.log(1 - p).alias(f"l1mp_{c}")]
-    w = w.select("fold", "token", *wcols)
-    base = w.groupBy("fold").agg(*[F.sum(f"l1mp_{c}").alias(f"base_{c}") for c in nb.CLASSES])
-    wj = w.drop("l1mp_spam", "l1mp_ham")     # broadcast or not: by its real size
+    n_docs = F.broadcast(stats.select("fold", "n_docs_spam", "n_docs_ham"))
+    p = {c: nb.bernoulli_p(F.col(f"df_{c}"), F.col(f"n_docs_{c}"), F.lit(a_b)) for c in nb.CLASSES}
+
+    def weights(v: DataFrame) -> DataFrame:
+        return v.join(n_docs, "fold").select("fold", "token", *[w for c in nb.CLASSES for w in (
+            (F.log(F.col(f"n_{c}") + a_m) - math.log(a_m)).alias(f"m_{c}"),
+            (F.log(p[c]) - F.log(1 - p[c])).alias(f"b_{c}"))])
+
+    base = vocab.join(n_docs, "fold").groupBy("fold").agg(
+        *[F.sum(F.log(1 - p[c])).alias(f"base_{c}") for c in nb.CLASSES])
+    # The frequent (fold, word) pairs are broadcast; the others are joined by a shuffle.
+    t = nb.make_tiers(vocab, vocab.count(), 112, lambda: cut_lineage(over), ("fold", "token"))
+    if t.cold is not None:
+        tok = nb.stored_terms(tok, ["doc_id", "label", "fold"])
     x = nb.term_rows(tok, ["doc_id", "label", "fold"])
-    j = x.join(wj, ["fold", "token"], "left")
+    names = [(w, c) for w in ("m", "b") for c in nb.CLASSES]
+    sums = [(F.col({"m": "tf", "b": "d"}[w]) * F.col(f"{w}_{c}")).alias(f"w{w}_{c}") for w, c in names]
+    j = nb.weighted_rows(x, ["doc_id", "label", "fold"], sums, weights, t)
     # One pass per document: model sums and the Gaussian features (exact
     # aggregates); a small table (one row per document), checkpointed
     # because it feeds both the per-fold moments and the scoring.
     sums = j.groupBy("doc_id", "label", "fold", "n_tokens").agg(*[
-        F.coalesce(F.sum(F.col(fl) * F.col(f"{p}_{c}")), F.lit(0.0)).alias(f"{p}_{c}")
-        for p, fl in (("wm", "tf"), ("wb", "d")) for c in nb.CLASSES], *nb.feature_aggregates())
+        F.coalesce(F.sum(f"w{w}_{c}"), F.lit(0.0)).alias(f"w{w}_{c}") for w, c in names],
+        *nb.feature_aggregates())
     sums = cut_lineage(sums.select(*[c for c in sums.columns if not c.startswith("__")],
                                    *nb.features_from_aggregates()))
     gstats = fold_gaussian(sums, k, alphas.get("gaussian", 1.0))
