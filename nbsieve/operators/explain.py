@@ -21,12 +21,25 @@ def doc_evidence(model: nb.NBModel, tok: DataFrame, alpha: float = C.ALPHA,
                  unigrams_only: bool = False) -> DataFrame:
     """J6 per document: distinct in-vocabulary tokens with their log-ratio
     log P(w|spam) - log P(w|ham)."""
-    arr = T.unigram_only(F.col("tokens")) if unigrams_only else F.col("tokens")
-    d = tok.select("doc_id", F.array_distinct(arr).alias("__d"))
-    e = nb.explode_tokens(d, "__d", ["doc_id"])
-    lr = log_ratio(model, alpha).select("token", "score")
-    lr = F.broadcast(lr) if model.broadcastable() else lr.hint("merge")
-    return e.join(lr, "token")
+    if not model.broadcastable():            # else one pass does, as it comes
+        tok = nb.stored_terms(tok, ["doc_id"])
+    rows = term_table(tok)
+    if unigrams_only:
+        rows = rows.where(~F.col("token").contains("_"))
+    return nb.join_words(rows.select("doc_id", "token"), model,
+                         lambda c: log_ratio(model, alpha, c).select("token", "score")) \
+        .select("token", "doc_id", "score")
+
+
+def term_table(tok: DataFrame) -> DataFrame:
+    """One row per document and distinct token ``(doc_id, token, tf)``; of stored
+    terms every pass over it reads them and none tokenises again."""
+    if "terms" not in tok.columns:
+        tok = T.add_term_frequencies(tok.select("doc_id", "tokens"), keep=["doc_id"])
+    # explode_outer + filter: an inner explode would let the optimizer push
+    # size(terms) > 0 below the run-length projections (see explode_tokens).
+    return tok.select("doc_id", F.explode_outer("terms").alias("t")) \
+        .where(F.col("t").isNotNull()).select("doc_id", "t.token", "t.tf")
 
 
 def top_evidence(ev: DataFrame, k: int) -> DataFrame:
@@ -79,40 +92,40 @@ def multinomial_trace(model: nb.NBModel, tok: DataFrame, alpha: float = C.ALPHA)
     vocabulary, flagged), and one total row per (document, class) with the
     log prior and log posterior (token NULL)."""
     a = float(alpha)
-    st = model.stats.select("n_docs_spam", "n_docs_ham", "n_docs", "ntok_spam", "ntok_ham", "V")
-    terms = T.add_term_frequencies(tok.select("doc_id", "tokens"), keep=["doc_id"])
-    # explode_outer + filter: an inner explode would let the optimizer push
-    # size(terms) > 0 below the run-length projections (see explode_tokens).
-    e = terms.select("doc_id", F.explode_outer("terms").alias("t")) \
-             .where(F.col("t").isNotNull()) \
-             .select("doc_id", F.col("t.token").alias("token"), F.col("t.tf").alias("tf"))
-    cnt = model.counts.select("token", "n_spam", "n_ham")
-    cnt = F.broadcast(cnt) if model.broadcastable() else cnt.hint("merge")
-    j = e.join(cnt, "token", "left").crossJoin(F.broadcast(st))
-    rows = []
-    for c in nb.CLASSES:
-        den = F.col(f"ntok_{c}") + a * F.col("V")
-        unseen = F.col(f"n_{c}").isNull()
-        lp = F.when(unseen, F.log(F.lit(a) / den)).otherwise(F.log((F.col(f"n_{c}") + a) / den))
-        rows.append(j.select("doc_id", F.lit(c).alias("class"), "token", "tf",
-                             lp.alias("log_lik"), unseen.alias("unseen"),
-                             (F.col("tf") * lp).alias("contribution"),
-                             F.log(F.col(f"n_docs_{c}") / F.col("n_docs")).alias("log_prior")))
-    per_tok = rows[0].unionByName(rows[1])
-    tot = per_tok.groupBy("doc_id", "class").agg(
-        F.sum("contribution").alias("contribution"), F.max("log_prior").alias("log_prior"))
+    st = model.stats.select(
+        *[F.log(F.lit(a) / (F.col(f"ntok_{c}") + a * F.col("V"))).alias(f"none_{c}") for c in nb.CLASSES],
+        *[(F.col(f"ntok_{c}") + a * F.col("V")).alias(f"den_{c}") for c in nb.CLASSES],
+        *[F.log(F.col(f"n_docs_{c}") / F.col("n_docs")).alias(f"prior_{c}") for c in nb.CLASSES])
+    tok = nb.stored_terms(tok, ["doc_id"])
+    rows = term_table(tok)
+
+    def likelihoods(counts: DataFrame) -> DataFrame:
+        return counts.crossJoin(F.broadcast(st)).select("token", *[
+            F.log((F.col(f"n_{c}") + a) / F.col(f"den_{c}")).alias(f"lp_{c}") for c in nb.CLASSES])
+
+    # One join for both classes; a row per class leaves it.
+    j = nb.join_words(rows, model, likelihoods, "left").crossJoin(F.broadcast(st))
+    per_tok = j.select("doc_id", "token", "tf", F.col("lp_spam").isNull().alias("unseen"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("class"), F.coalesce(f"lp_{c}", f"none_{c}").alias("lp"),
+                 F.col(f"prior_{c}").alias("prior")) for c in nb.CLASSES])).alias("c")) \
+        .select("doc_id", "c.class", "token", "tf", F.col("c.lp").alias("log_lik"), "unseen",
+                (F.col("tf") * F.col("c.lp")).alias("contribution"), F.col("c.prior").alias("log_prior"))
+    # Totals: the unseen value for every token, and what a vocabulary word adds to it.
+    zero = F.lit(0.0)
+    n = F.aggregate("terms", F.lit(0).cast("bigint"), lambda s, t: s + t["tf"])
+    more = nb.join_words(rows, model, likelihoods).crossJoin(F.broadcast(st)).select(
+        "doc_id", F.lit(0).cast("bigint").alias("n"), *[
+            (F.col("tf") * (F.col(f"lp_{c}") - F.col(f"none_{c}"))).alias(f"s_{c}") for c in nb.CLASSES])
+    tot = tok.select("doc_id", n.alias("n"), *[zero.alias(f"s_{c}") for c in nb.CLASSES]).unionByName(more) \
+        .groupBy("doc_id").agg(F.sum("n").alias("n"), *[F.sum(f"s_{c}").alias(f"s_{c}") for c in nb.CLASSES])
     # Documents without tokens still have a total row (likelihood 0).
-    docs = tok.select("doc_id").crossJoin(
-        F.broadcast(tok.sparkSession.createDataFrame([(c,) for c in nb.CLASSES], "class string")))
-    prior = st.select(*[F.log(F.col(f"n_docs_{c}") / F.col("n_docs")).alias(c) for c in nb.CLASSES])
-    docs = docs.crossJoin(F.broadcast(prior)).select(
-        "doc_id", "class", F.when(F.col("class") == "spam", F.col("spam")).otherwise(F.col("ham"))
-        .alias("__prior"))
-    tot = docs.join(tot, ["doc_id", "class"], "left").select(
-        "doc_id", "class", F.lit(None).cast("string").alias("token"), F.lit(None).cast("int").alias("tf"),
-        F.lit(None).cast("double").alias("log_lik"), F.lit(None).cast("boolean").alias("unseen"),
-        F.coalesce(F.col("contribution"), F.lit(0.0)).alias("contribution"),
-        F.col("__prior").alias("log_prior"))
+    tot = tok.select("doc_id").join(tot, "doc_id", "left").crossJoin(F.broadcast(st))
+    tot = tot.select("doc_id", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("class"), F.coalesce(F.col("n") * F.col(f"none_{c}") + F.col(f"s_{c}"), zero)
+                 .alias("contribution"), F.col(f"prior_{c}").alias("prior")) for c in nb.CLASSES])).alias("c")) \
+        .select("doc_id", "c.class", F.lit(None).cast("string").alias("token"),
+                F.lit(None).cast("int").alias("tf"), F.lit(None).cast("double").alias("log_lik"),
+                F.lit(None).cast("boolean").alias("unseen"), "c.contribution", F.col("c.prior").alias("log_prior"))
     out = per_tok.unionByName(tot)
     return out.withColumn("log_posterior", F.when(F.col("token").isNull(),
                                                    F.col("log_prior") + F.col("contribution")))
@@ -124,32 +137,30 @@ def bernoulli_trace(model: nb.NBModel, tok: DataFrame, alpha: float = C.ALPHA) -
     baseline, delta sum, log-likelihood, log prior, log posterior."""
     a = float(alpha)
     st = model.stats.select("n_docs_spam", "n_docs_ham", "n_docs")
-    base = nb.bernoulli_baselines_wide(model, [a])
-    d = tok.select("doc_id", F.array_distinct("tokens").alias("__d"))
-    e = nb.explode_tokens(d, "__d", ["doc_id"])
-    cnt = model.counts.select("token", "df_spam", "df_ham")
-    cnt = F.broadcast(cnt) if model.broadcastable() else cnt.hint("merge")
-    j = e.join(cnt, "token").crossJoin(F.broadcast(st))
-    rows = []
-    for c in nb.CLASSES:
-        p = nb.bernoulli_p(F.col(f"df_{c}"), F.col(f"n_docs_{c}"), F.lit(a))
-        rows.append(j.select("doc_id", F.lit(c).alias("class"), "token",
-                             F.log(p).alias("log_p_present"), F.log(1 - p).alias("log_p_absent"),
-                             (F.log(p) - F.log(1 - p)).alias("delta")))
-    per_tok = rows[0].unionByName(rows[1])
-    dsum = per_tok.groupBy("doc_id", "class").agg(F.sum("delta").alias("delta_sum"))
-    docs = tok.select("doc_id").crossJoin(
-        F.broadcast(tok.sparkSession.createDataFrame([(c,) for c in nb.CLASSES], "class string")))
-    consts = st.crossJoin(base)
-    docs = docs.crossJoin(F.broadcast(consts)).select(
-        "doc_id", "class",
-        F.when(F.col("class") == "spam", F.col("base_spam_0")).otherwise(F.col("base_ham_0"))
-        .alias("baseline"),
-        F.when(F.col("class") == "spam", F.log(F.col("n_docs_spam") / F.col("n_docs")))
-        .otherwise(F.log(F.col("n_docs_ham") / F.col("n_docs"))).alias("log_prior"))
-    tot = docs.join(dsum, ["doc_id", "class"], "left").select(
-        "doc_id", "class", "baseline", F.coalesce("delta_sum", F.lit(0.0)).alias("delta_sum"),
-        "log_prior")
+    tok = nb.stored_terms(tok, ["doc_id"])
+    rows = term_table(tok).select("doc_id", "token")
+
+    def logs(counts: DataFrame) -> DataFrame:
+        p = {c: nb.bernoulli_p(F.col(f"df_{c}"), F.col(f"n_docs_{c}"), F.lit(a)) for c in nb.CLASSES}
+        return counts.crossJoin(F.broadcast(st)).select("token", *[
+            x for c in nb.CLASSES for x in (F.log(p[c]).alias(f"in_{c}"), F.log(1 - p[c]).alias(f"out_{c}"))])
+
+    # One join for both classes; a row per class leaves it.
+    j = nb.join_words(rows, model, logs)
+    per_tok = j.select("doc_id", "token", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("class"), F.col(f"in_{c}").alias("i"), F.col(f"out_{c}").alias("o"))
+        for c in nb.CLASSES])).alias("c")).select(
+        "doc_id", "c.class", "token", F.col("c.i").alias("log_p_present"),
+        F.col("c.o").alias("log_p_absent"), (F.col("c.i") - F.col("c.o")).alias("delta"))
+    dsum = j.groupBy("doc_id").agg(*[
+        F.sum(F.col(f"in_{c}") - F.col(f"out_{c}")).alias(f"s_{c}") for c in nb.CLASSES])
+    consts = st.crossJoin(nb.bernoulli_baselines_wide(model, [a]))
+    tot = tok.select("doc_id").join(dsum, "doc_id", "left").crossJoin(F.broadcast(consts))
+    tot = tot.select("doc_id", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("class"), F.col(f"base_{c}_0").alias("baseline"),
+                 F.coalesce(f"s_{c}", F.lit(0.0)).alias("delta_sum"),
+                 F.log(F.col(f"n_docs_{c}") / F.col("n_docs")).alias("log_prior"))
+        for c in nb.CLASSES])).alias("c")).select("doc_id", "c.*")
     tot = tot.withColumn("log_likelihood", F.col("baseline") + F.col("delta_sum")) \
              .withColumn("log_posterior", F.col("log_prior") + F.col("log_likelihood"))
     return per_tok, tot

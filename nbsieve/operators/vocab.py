@@ -45,9 +45,10 @@ def top_k_per_group(df: DataFrame, group: str, order, k: int, rank_col: str = "r
                .where(F.col(rank_col) <= k)
 
 
-def log_ratio(model: nb.NBModel, alpha: float = C.ALPHA) -> DataFrame:
-    """Per vocabulary token, log P(w|spam) - log P(w|ham) (multinomial)."""
-    x = model.counts.crossJoin(F.broadcast(model.stats.select("ntok_spam", "ntok_ham", "V")))
+def log_ratio(model: nb.NBModel, alpha: float = C.ALPHA, counts: DataFrame | None = None) -> DataFrame:
+    """Per vocabulary token (of ``counts``, else all), log P(w|spam) - log
+    P(w|ham) (multinomial)."""
+    x = (model.counts if counts is None else counts).crossJoin(F.broadcast(model.stats.select("ntok_spam", "ntok_ham", "V")))
     a = float(alpha)
     lp = {c: F.log((F.col(f"n_{c}") + a) / (F.col(f"ntok_{c}") + a * F.col("V")))
           for c in ("spam", "ham")}
