@@ -771,6 +771,11 @@ def q_blank_requests(spark, sf):
                       F.when(F.col("status") == "error", F.col("explanation")).alias("error"))
 
 
+def _labelled_scores(p: pipeline.Prepared) -> DataFrame:
+    """Every labelled message's scores, stored: totals, counts and examples read them."""
+    return p.once("labelled scores", lambda: nb.score(p.model, p.tok))
+
+
 @register("A32_smoke_errors", O.with_model(O.scores_cte("tok"), O.long_scores()) + """
 SELECT model, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE label <> CASE
     WHEN prediction <> 'uncertain' THEN prediction WHEN p_spam > p_ham THEN 'spam' ELSE 'ham' END) AS BIGINT) AS errors
@@ -778,8 +783,7 @@ FROM lsc GROUP BY model""")
 def q_smoke(spark, sf):
     """A32 over all labelled messages: uncertain verdicts resolved by the
     larger probability, mismatches with the label counted per model."""
-    p = _prepared(spark, sf)
-    return EN.smoke_errors(nb.score(p.model, p.tok))
+    return EN.smoke_errors(_labelled_scores(_prepared(spark, sf)))
 
 
 _ENS = O.with_model(
@@ -831,7 +835,7 @@ FROM tot t CROSS JOIN cats c LEFT JOIN (SELECT model, category, count(*) AS n FR
   ON n.model = t.model AND n.category = c.category""")
 def q_noise(spark, sf):
     p = _prepared(spark, sf)
-    nz = EN.label_noise(nb.score(p.model, p.tok))
+    nz = EN.label_noise(_labelled_scores(p))
     s = EN.noise_summary(nz)
     return s.select("model", "category", "n", "total", r6("pct").alias("pct"))
 
@@ -844,7 +848,7 @@ FROM (SELECT *, CASE WHEN p_spam > p_ham THEN 'spam' ELSE 'ham' END AS argmax,
       WHERE category <> 'confident_correct') nz JOIN tok t ON nz.doc_id = t.doc_id WHERE rk <= 5""")
 def q_noise_examples(spark, sf):
     p = _prepared(spark, sf)
-    nz = EN.label_noise(nb.score(p.model, p.tok))
+    nz = EN.label_noise(_labelled_scores(p))
     ex = EN.noise_examples(nz, p.tok)
     return ex.select("model", "category", "example_rank", "doc_id", "label", "argmax",
                      r6("confidence").alias("confidence"), "tokens_preview")
