@@ -232,39 +232,34 @@ def stored_terms(tok: DataFrame, keep) -> DataFrame:
 
 
 FILTER_BITS = 1 << 29       # at most, 64 MB; 16 a word below
-_PAGE = 512 * 64            # bits of one page: 512 longs
+_PAGE = 1 << 15             # bits of one page: 512 longs
 
 
 def _word_hash(by) -> Column:
     return F.xxhash64(*[F.col(c).cast("string") for c in by])    # whatever integer a fold is
 
 
-def word_filter(words: DataFrame, n: int, by=("token",)) -> DataFrame:
-    """One row with ``filter``: pages of bits, set where the hash of one of the
-    ``n`` words falls. A word whose bit is not set is none of them, so its rows
-    need no shuffle; of other words about n / bits pass by chance."""
-    pages = 1
-    while pages * _PAGE < min(16 * n, FILTER_BITS):
-        pages *= 2
-    at = F.pmod(_word_hash(by), F.lit(pages * _PAGE))
+def word_filter(words: DataFrame, n: int, by=("token",)) -> tuple[DataFrame, int]:
+    """``(__page, __longs)``, pages of bits set where the hash of one of the ``n``
+    words falls, and the number of bits. A word whose bit is not set is none of
+    them, so its rows need no shuffle; of other words about n / bits pass by chance."""
+    bits = _PAGE
+    while bits < min(16 * n, FILTER_BITS):
+        bits *= 2
+    at = F.pmod(_word_hash(by), F.lit(bits))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))
-    longs = words.select(F.floor(at / 64).alias("at"), bit.alias("bits")).unionByName(
-        words.sparkSession.range(pages * 512).select(F.col("id").alias("at"), F.lit(0).cast("long").alias("bits")))
+    longs = words.select(F.shiftright(at, 6).alias("at"), bit.alias("bits")).unionByName(
+        words.sparkSession.range(bits // 64).select(F.col("id").alias("at"), F.lit(0).cast("long").alias("bits")))
     longs = longs.groupBy("at").agg(F.bit_or("bits").alias("bits"))
+    return cut_lineage(longs.groupBy(F.shiftright("at", 9).alias("__page")).agg(F.transform(
+        F.sort_array(F.collect_list(F.struct("at", "bits"))), lambda s: s["bits"]).alias("__longs"))), bits
 
-    def listed(key: str, value: str) -> Column:
-        return F.transform(F.sort_array(F.collect_list(F.struct(key, value))), lambda s: s[value])
 
-    page = longs.groupBy(F.floor(F.col("at") / 512).alias("page")).agg(listed("at", "bits").alias("longs"))
-    return cut_lineage(page.agg(listed("page", "longs").alias("filter")))
-
-
-def maybe(by=("token",)) -> Column:
-    """Whether the row's word passes the joined ``filter``."""
-    pages = F.col("filter")
-    at = F.pmod(_word_hash(by), F.size(pages) * F.lit(_PAGE).cast("long"))
-    long = F.get(F.get(pages, F.floor(at / _PAGE).cast("int")), (F.floor(at / 64) % 512).cast("int"))
-    return F.bit_get(long, (at % 64).cast("int")) == 1
+def may_be_in(bits: int, by=("token",)) -> Column:
+    """Join condition of rows and a filter: the bit of the row's word is set."""
+    at = F.pmod(_word_hash(by), F.lit(bits).cast("long"))
+    long = F.get("__longs", (F.shiftright(at, 6) % 512).cast("int"))
+    return (F.shiftright(at, 15) == F.col("__page")) & (F.bit_get(long, (at % 64).cast("int")) == 1)
 
 
 @dataclass
@@ -277,13 +272,14 @@ class Tiers:
     hot: DataFrame
     cold: DataFrame | None = None
     filter: DataFrame | None = None
+    bits: int = 0
     over: DataFrame | None = None
     by: tuple = ("token",)
 
     def rest(self, rows: DataFrame) -> DataFrame:
         """The rows that must be looked up among the other words."""
         known = self.hot.select(*self.by).unionByName(self.over)
-        return rows.join(F.broadcast(self.filter), maybe(self.by), "left_semi") \
+        return rows.join(F.broadcast(self.filter), may_be_in(self.bits, self.by), "left_semi") \
             .join(F.broadcast(known), list(self.by), "left_anti")
 
 
@@ -292,7 +288,7 @@ def make_tiers(counts: DataFrame, n: int, row_bytes: int, over, by=("token",)) -
     hot, cold = tiers(counts, n, row_bytes)
     if cold is None:
         return Tiers(hot, by=tuple(by))
-    return Tiers(hot, cold, word_filter(cold, n, by), over().select(*by), tuple(by))
+    return Tiers(hot, cold, *word_filter(cold, n, by), over().select(*by), tuple(by))
 
 
 def model_tiers(model: NBModel, row_bytes: int) -> Tiers:
@@ -328,7 +324,7 @@ def join_words(rows: DataFrame, model: NBModel, weigh, how: str = "inner",
     words = words.unionByName(t.over, allowMissingColumns=True).withColumn("__known", F.lit(True))
     first = rows.join(F.broadcast(words), "token", "left")
     found = first.where("__known").unionByName(
-        first.where("__known IS NULL").join(F.broadcast(t.filter), maybe(), "left_anti"))
+        first.where("__known IS NULL").join(F.broadcast(t.filter), may_be_in(t.bits), "left_anti"))
     return found.drop("__known").unionByName(rest)
 
 
