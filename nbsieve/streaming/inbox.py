@@ -129,6 +129,25 @@ class SeenStore:
         return once.join(seen.select("msg_id"), "msg_id", "left_anti")
 
 
+MOST_SETTINGS = 200_000     # rows of the settings table that may be broadcast
+HOT_SESSION = 10_000        # messages of a batch; a session with more is joined apart
+
+
+def with_settings(rows: DataFrame, settings: DataFrame, small: bool) -> DataFrame:
+    """``rows`` with the settings of their session (X3), which stay where they are:
+    most messages may be of one session, so a shuffle by it would put a whole batch
+    into one task. A table that is not ``small`` is broadcast for the batch's large
+    sessions alone (one in ``HOT_SESSION`` messages at most); only the messages of
+    the others are shuffled. ``rows`` is then read more than once."""
+    if small:
+        return rows.join(F.broadcast(settings), "session_id", "left")
+    hot = F.broadcast(rows.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"))
+                      .where(F.col("n") > HOT_SESSION).select("session_id"))
+    own = F.broadcast(settings.join(hot, "session_id", "left_semi"))
+    return rows.join(hot, "session_id", "left_semi").join(own, "session_id", "left").unionByName(
+        rows.join(hot, "session_id", "left_anti").join(settings, "session_id", "left"))
+
+
 MOST_BAD = 1_000            # rows set aside one by one; beyond it, the batch itself is at fault
 
 
@@ -184,21 +203,26 @@ def start_scoring(spark: SparkSession, model: nb.NBModel, source_dir: str, out_d
                   scorer=R.score_requests):
     """Start the streaming query (trigger availableNow: drain and stop).
 
-    Each micro-batch's shuffles use ``state_partitions`` (default: the
-    cluster's parallelism). The stream
+    Each micro-batch's shuffles use ``state_partitions`` (default: two for each
+    partition that the batch is read in, at least the cluster's parallelism, so a
+    task's share does not grow with the batch). The stream
     runs on a clone of the session taken at start, so the caller's session
     keeps its own setting."""
     settings = settings if settings is not None else default_settings(spark)
+    small = settings.limit(MOST_SETTINGS + 1).count() <= MOST_SETTINGS
+    least, key = spark.sparkContext.defaultParallelism, "spark.sql.shuffle.partitions"
     stream = inbox_stream(spark, source_dir, kind=kind).withColumn("arrived", F.current_timestamp())
 
     def scored(rows: DataFrame) -> DataFrame:
-        req = rows.join(settings, "session_id", "left").select(
+        req = with_settings(rows, settings, small).select(
             F.col("msg_id").alias("request_id"), "message", "decision_threshold",
             "use_sender_boost")
         out = scorer(model, req, rules=rules)
         return out.select("*", *R.badges(F.col("prediction"), F.col("confidence")))
 
     def score_batch(batch: DataFrame, batch_id: int) -> None:
+        if state_partitions is None:
+            batch.sparkSession.conf.set(key, str(max(least, 2 * batch.rdd.getNumPartitions())))
         store = SeenStore(batch.sparkSession, f"{out_dir}/seen")
         store.merge(batch_id)
         new = store.unseen(batch.where("msg_id IS NOT NULL AND unreadable IS NULL"), batch_id).select(
@@ -240,9 +264,8 @@ def start_scoring(spark: SparkSession, model: nb.NBModel, source_dir: str, out_d
         out.unpersist()
         new.unpersist()
 
-    key = "spark.sql.shuffle.partitions"
     prev = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
+    spark.conf.set(key, str(state_partitions or least))
     try:
         return (stream.writeStream.foreachBatch(score_batch)
                 .option("checkpointLocation", checkpoint_dir)

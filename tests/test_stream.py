@@ -135,3 +135,40 @@ def test_seen_store_stays_small_and_survives_a_restart(spark, monkeypatch):
         most = max(most, len(files))
     assert len(accepted) == len(set(accepted)) == 40
     assert most <= 3 * store.FAN and len(store.live(20)) <= 2 * store.FAN
+
+
+def test_messages_of_one_session_are_scored_by_many_tasks(spark):
+    from nbsieve.operators import rules as R
+    tr = spark.createDataFrame([(1, "spam", "win cash prize now"), (2, "ham", "lunch meeting today")],
+                               "doc_id long, label string, text string")
+    model = nb.fit(nb.tokenize(tr))
+    base = tempfile.mkdtemp()
+    src, out, ckpt = (os.path.join(base, x) for x in ("src", "out", "ckpt"))
+    spark.range(400).select(F.col("id").alias("msg_id"), F.current_timestamp().alias("ts"), F.lit(None).cast(
+        "string").alias("session_id"), F.lit("win").alias("subject"), F.lit("cash").alias("snippet")) \
+        .repartition(4).write.parquet(f"{src}/p=0")
+    tasks = []
+
+    def scorer(model, req, rules):
+        tasks.append(req.select(F.spark_partition_id()).distinct().count())
+        return R.score_requests(model, req, rules=rules)
+
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        IB.start_scoring(spark, model, src, out, ckpt, scorer=scorer).awaitTermination()
+    finally:
+        spark.conf.unset(key)
+    assert tasks and min(tasks) > 1                 # before: all rows in the session's one task
+    assert IB.read_scored(spark, out).count() == 400
+
+
+def test_settings_beyond_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(IB, "HOT_SESSION", 10)
+    rows = spark.range(60).select("id", F.when(F.col("id") < 40, "default").otherwise(
+        F.concat(F.lit("s"), (F.col("id") % 7).cast("string"))).alias("session_id"))
+    settings = spark.createDataFrame([("default", 0.6), ("s1", 0.7), ("s2", 0.8), ("s2", 0.9)],
+                                     "session_id string, decision_threshold double")
+    got, want = (sorted(map(tuple, IB.with_settings(rows, settings, small).collect()), key=repr)
+                 for small in (False, True))
+    assert got == want and len(got) > 60
