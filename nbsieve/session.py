@@ -55,14 +55,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+OPEN_FILES = 8              # of one task; rows of further folders are sorted
+ROW_GROUP = 32 << 20        # bytes that each open file holds in memory
+
+
 def cut_lineage(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: survives the loss of executors (unlike a local checkpoint), and later
     plans read only the columns and, with ``partition_by``, the folders they
-    need."""
+    need. The folders are few, and a task keeps a file open in each: without
+    that Spark would sort all rows of a task by the folder, in memory."""
     path = scratch_dir(df.sparkSession, "table")
     writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    if partition_by:
+        conf, key = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+        prev = conf.get(key)
+        conf.set(key, str(OPEN_FILES))
+        try:
+            writer.option("parquet.block.size", str(ROW_GROUP)).partitionBy(partition_by).parquet(path)
+        finally:
+            conf.set(key, prev)
+    else:
+        writer.parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     return back.select(*[f"`{c}`" for c in df.columns])
 

@@ -99,3 +99,16 @@ def test_cross_validation_in_two_tiers(spark, monkeypatch):
     monkeypatch.setattr(nb, "weighted_rows", lambda *a: calls.append(a[4].cold) or rows(*a))
     monkeypatch.setattr(C, "BROADCAST_MAX_BYTES", 25 * 112)
     assert _rows(tuning.cross_validate(msgs, k=3, max_df=0.6)) == whole and calls[0] is not None
+
+
+def test_a_cut_by_folder_needs_no_sort(spark, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from nbsieve.session import cut_lineage
+    key, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    before = spark.conf.get(key)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda w, *a, **k: seen.append(spark.conf.get(key)) or write(w, *a, **k))
+    df = spark.range(300).select("id", F.concat(F.lit("p"), (F.col("id") % 12).cast("string")).alias("part"))
+    back = cut_lineage(df, partition_by="part")         # more folders than open files
+    assert int(seen[0]) > 0 and spark.conf.get(key) == before
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
