@@ -54,12 +54,24 @@ def candidates(word: Column, pos: str) -> Column:
         F.lit(0).alias("depth"), w.alias("form"))), found["later"])
 
 
+def nearest(word: Column, pos: str) -> Column:
+    """The candidates of depth 0 alone, in the same places."""
+    return F.transform(F.array_union(F.array(word), detached(word, pos)), lambda w: F.struct(
+        F.lit(0).alias("depth"), w.alias("form")))
+
+
 def _reduced(words: DataFrame, form: str, pos: str, lexicon: DataFrame,
-             exceptions: DataFrame | None) -> DataFrame:
-    """``words`` with ``form`` replaced by its lemma as ``pos``."""
+             exceptions: DataFrame | None, closed: bool) -> DataFrame:
+    """``words`` with ``form`` replaced by its lemma as ``pos``. Deeper candidates
+    are formed only for words without a known one at depth 0; ``closed``: the
+    lexicon holds every word, so there are none."""
     forms = words.select(F.col(form).alias("__word")).distinct()
-    listed = forms.select("__word", F.posexplode(candidates(F.col("__word"), pos)).alias("at", "c")) \
-        .select("__word", "c.depth", "at", "c.form")
+
+    def listing(of: DataFrame, make) -> DataFrame:
+        return of.select("__word", F.posexplode(make(F.col("__word"), pos)).alias("at", "c")) \
+            .select("__word", "c.depth", "at", "c.form")
+
+    listed = listing(forms, nearest)
     if exceptions is not None:
         own = exceptions.where(F.col("pos") == pos).select(
             F.col("form").alias("__word"), F.col("lemma").alias("form")).distinct()
@@ -69,9 +81,18 @@ def _reduced(words: DataFrame, form: str, pos: str, lexicon: DataFrame,
             .unionByName(special.select("__word", F.lit(0).alias("depth"), F.lit(0).alias("at"),
                                         F.col("__word").alias("form")).distinct())
     known = lexicon.where(F.col("pos") == pos).select(F.col("lemma").alias("form")).distinct()
-    best = listed.join(known, "form", "left_semi").groupBy("__word").agg(F.min(
-        F.struct("depth", F.length("form").alias("n"), "at", "form")).alias("b"))
-    best = best.select("__word", F.col("b.form").alias("__lemma"))
+
+    def best_of(listed: DataFrame) -> DataFrame:
+        best = listed.join(known, "form", "left_semi").groupBy("__word").agg(F.min(
+            F.struct("depth", F.length("form").alias("n"), "at", "form")).alias("b"))
+        return best.select("__word", F.col("b.form").alias("__lemma"))
+
+    best = best_of(listed)
+    if not closed:
+        left = forms.join(best, "__word", "left_anti")
+        if exceptions is not None:
+            left = left.join(special, "__word", "left_anti")
+        best = best.unionByName(best_of(listing(left, candidates)))
     return words.join(best, F.col(form) == F.col("__word"), "left").withColumn(
         form, F.coalesce("__lemma", form)).drop("__word", "__lemma")
 
@@ -83,16 +104,16 @@ def lemma_table(words: DataFrame, lexicon: DataFrame | None = None,
     ``lexicon(pos, lemma)`` and ``exceptions(pos, form, lemma)`` are tables of any
     size, pos ``v`` or ``n``; without a lexicon every word is one in both."""
     words = words.select("token").distinct()
-    if lexicon is None:
+    closed = lexicon is None
+    if closed:
         lexicon = words.select(F.explode(F.array(*map(F.lit, ORDER))).alias("pos"),
                                F.col("token").alias("lemma"))
     out = words.withColumn("lemma", F.col("token"))
     for pos in ORDER:
-        out = _reduced(out, "lemma", pos, lexicon, exceptions)
+        out = _reduced(out, "lemma", pos, lexicon, exceptions, closed)
     return out
 
 
 def corpus_words(words_of_documents: DataFrame, column: str) -> DataFrame:
     """``(token)``: the distinct words of an array column."""
-    return words_of_documents.select(F.explode(F.array_distinct(F.col(column))).alias("token")) \
-        .distinct()
+    return words_of_documents.select(F.explode(F.col(column)).alias("token")).distinct()

@@ -132,3 +132,34 @@ def test_allocated_split_differs_from_rounding(spark):
     got = with_allocated_split(df).groupBy("split").count().collect()
     assert {r["split"]: r["count"] for r in got} == {"test": 12, "val": 12, "train": 56}   # rounding: 16, 16, 48
     assert with_allocated_split(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_only_places_that_change_are_gathered(spark, monkeypatch, limit):
+    """The dictionary is made from the stored words; every place of a row may change."""
+    if limit is not None:                               # the dictionary is shuffled to
+        monkeypatch.setattr(T.C, "BROADCAST_MAX_BYTES", limit)
+    rng = random.Random(5)
+    pool, to = ["ab", "cd", "ef", "gh", "kl"], {"ab": "xx", "ef": "ef", "gh": "yy", "qq": "zz"}
+    rows = [(i, [rng.choice(pool) for _ in range(rng.randint(1, 9))]) for i in range(200)]
+    rows += [(200, []), (201, ["cd", "kl"]), (202, ["ab"] * 4)]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows] + [(203, None)], "id long, text string")
+    seen = []
+
+    def make(words):
+        seen.append(sum(len(r["words"]) for r in words.where("words IS NOT NULL").collect()))
+        return spark.createDataFrame([*to.items(), ("ab", "xy"), ("cd", None)], "token string, lemma string")
+
+    out = {r["id"]: r["tokens"] for r in T.add_tokens(df, "text", "tokens", make).collect()}
+    assert seen == [sum(len(w) for _, w in rows)]
+    for i, w in [*rows, (203, [])]:
+        u = [to.get(x, x) for x in w]
+        assert out[i] == u + [f"{a}_{b}" for a, b in zip(u, u[1:])]
+
+
+def test_deeper_forms_only_where_the_nearest_are_unknown(spark, monkeypatch):
+    made, whole = [], LEM.candidates
+    monkeypatch.setattr(LEM, "candidates", lambda w, pos: made.append(pos) or whole(w, pos))
+    df = spark.createDataFrame([(w,) for w in WORDS], "token string")
+    own = {r["token"]: r["lemma"] for r in LEM.lemma_table(df).collect()}
+    assert own["running"] == "running" and own["runs"] == "run" and not made     # its own lexicon: none
