@@ -109,8 +109,8 @@ def gaussian_moments(tok: DataFrame, var_eps: float = C.GAUSSIAN_VAR_EPS,
                      alpha: float = C.ALPHA) -> DataFrame:
     """One row; per class and feature the mean and the population
     variance + alpha*eps. Columns ``g_mu_<cls>_<f>`` / ``g_var_<cls>_<f>``."""
-    feats = T.gaussian_features(F.col("tokens"))
-    x = tok.select("label", *feats)
+    x = tok.select("label", *T.gaussian_features(F.col("tokens"))) if "terms" not in tok.columns else \
+        tok.select("label", *term_aggregates()).select("label", *features_from_aggregates())
     aggs = []
     for cls in CLASSES:
         for f in C.GAUSSIAN_FEATURES:
@@ -408,6 +408,22 @@ def feature_aggregates() -> list[Column]:
     ]
 
 
+def term_aggregates() -> list[Column]:
+    """``n_tokens`` and what ``feature_aggregates`` gives, in the row, of ``terms``:
+    one step a distinct token, and the joined text is never formed."""
+    def total(of) -> Column:
+        return F.aggregate("terms", F.lit(0).cast("bigint"), lambda n, t: n + t["tf"] * of(t["token"]))
+
+    return [
+        F.aggregate("terms", F.lit(0), lambda n, t: n + t["tf"]).alias("n_tokens"),
+        F.size("terms").alias("__unique"),
+        total(F.length).alias("__chars"),
+        total(lambda t: (t == C.URL_TOKEN).cast("int")).alias("__url"),
+        total(lambda t: (t == C.EMAIL_TOKEN).cast("int")).alias("__email"),
+        total(lambda t: F.length(t) - F.length(F.replace(t, F.lit("_"), F.lit("")))).alias("__under"),
+    ]
+
+
 def features_from_aggregates() -> list[Column]:
     """The ten features from ``n_tokens`` and ``feature_aggregates``: the
     joined text has only a-z, '_' and spaces, so punctuation, upper-case

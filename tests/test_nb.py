@@ -66,3 +66,15 @@ def test_single_class_training_is_rejected(spark):
     except ValueError:
         return
     raise AssertionError("expected a ValueError")
+
+
+def test_moments_from_terms_equal_those_from_tokens(spark):
+    from nbsieve.functions import text as T
+    rows = [(i, "spam" if i % 3 else "ham", " ".join(
+        ["win", "http://x.y/z", "cash", "a@b.cd", "cash", f"w{chr(97 + i)}x"][: i % 7] * (1 + i % 4))) for i in range(24)]
+    tok = nb.tokenize(spark.createDataFrame(rows, "doc_id long, label string, text string"))
+    plain = nb.gaussian_moments(tok).first().asDict()
+    terms = T.add_term_frequencies(tok, keep=["label", "tokens"]).localCheckpoint()
+    got = nb.gaussian_moments(terms.drop("tokens")).first().asDict()             # before: read the tokens
+    assert got.keys() == plain.keys()
+    assert all(abs(got[k] - plain[k]) < 1e-9 for k in plain)
