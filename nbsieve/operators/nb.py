@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from nbsieve import config as C
 from nbsieve.functions import text as T
-from nbsieve.session import cut_lineage
+from nbsieve.session import cut_lineage, setting
 
 MODELS = ("multinomial", "bernoulli", "gaussian")
 CLASSES = ("ham", "spam")
@@ -53,6 +53,7 @@ def tokenize(df: DataFrame, text_col: str = "text", lemmas: DataFrame | None = N
 # Training
 # ---------------------------------------------------------------------------
 
+COUNT_SPLIT = 32 << 20      # bytes of stored tokens that one task counts
 _SENTINEL = ""  # never a real token (tokens have length > 1)
 
 
@@ -164,7 +165,9 @@ def fit(tok: DataFrame, min_df: int = C.MIN_DF, max_df: float = C.MAX_DF,
     driver (one number: it sizes the broadcast decision)."""
     all_counts = token_class_counts(tok)
     if persist:
-        all_counts = cut_lineage(all_counts)
+        # A task counts the words of its split in memory, so large input means more splits.
+        with setting(tok.sparkSession, "spark.sql.files.maxPartitionBytes", COUNT_SPLIT):
+            all_counts = cut_lineage(all_counts)
     cs = class_stats(all_counts)
     vocab = all_counts.crossJoin(F.broadcast(cs.select("n_docs"))) \
         .where(vocabulary_filter(all_counts, F.col("n_docs"), min_df, max_df)) \

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +56,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value):
+    """The session's setting ``key`` is ``value`` for the jobs run inside."""
+    prev = spark.conf.get(key)
+    spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, prev)
+
+
 OPEN_FILES = 8              # of one task; rows of further folders are sorted
 ROW_GROUP = 32 << 20        # bytes that each open file holds in memory
 
@@ -68,13 +80,8 @@ def cut_lineage(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     path = scratch_dir(df.sparkSession, "table")
     writer = df.write.option("compression", "zstd")
     if partition_by:
-        conf, key = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
-        prev = conf.get(key)
-        conf.set(key, str(OPEN_FILES))
-        try:
+        with setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", OPEN_FILES):
             writer.option("parquet.block.size", str(ROW_GROUP)).partitionBy(partition_by).parquet(path)
-        finally:
-            conf.set(key, prev)
     else:
         writer.parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)

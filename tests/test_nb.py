@@ -78,3 +78,17 @@ def test_moments_from_terms_equal_those_from_tokens(spark):
     got = nb.gaussian_moments(terms.drop("tokens")).first().asDict()             # before: read the tokens
     assert got.keys() == plain.keys()
     assert all(abs(got[k] - plain[k]) < 1e-9 for k in plain)
+
+
+def test_counting_reads_splits_of_bounded_size(spark, monkeypatch):
+    key, seen, cut = "spark.sql.files.maxPartitionBytes", [], nb.cut_lineage
+    before = spark.conf.get(key)
+    monkeypatch.setattr(nb, "COUNT_SPLIT", 4096)
+    tok = cut(nb.tokenize(spark.range(3000).select("id", F.when(F.col("id") % 2 == 0, "spam").otherwise("ham").alias(
+        "label"), F.concat_ws(" ", F.lit("win"), F.translate(F.md5(F.col("id").cast("string")), "0123456789",
+                                                             "ghijklmnop")).alias("text"))))
+    monkeypatch.setattr(nb, "cut_lineage", lambda df: seen.append(
+        (spark.conf.get(key), tok.select("label").rdd.getNumPartitions())) or cut(df))
+    model = nb.fit(tok)
+    assert seen[0][0] == "4096" and seen[0][1] > seen[-1][1]       # before: splits of any size
+    assert spark.conf.get(key) == before and model.all_counts.where("token = 'win'").first()["n_spam"] == 1500
