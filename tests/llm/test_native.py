@@ -155,4 +155,4 @@ def test_shards_are_contiguous_and_balanced(spark):
 
 def test_registry_names():
     assert set(ORACLE) <= set(QUERIES)
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in QUERIES}
