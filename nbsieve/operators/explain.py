@@ -7,7 +7,7 @@ document's own distinct tokens); corpus rankings use ``orderBy().limit()``
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nbsieve import config as C
@@ -21,7 +21,7 @@ def doc_evidence(model: nb.NBModel, tok: DataFrame, alpha: float = C.ALPHA,
                  unigrams_only: bool = False) -> DataFrame:
     """J6 per document: distinct in-vocabulary tokens with their log-ratio
     log P(w|spam) - log P(w|ham)."""
-    if not model.broadcastable():            # else one pass does, as it comes
+    if not model.broadcastable(nb.JOINED_BYTES):     # else one pass does, as it comes
         tok = nb.stored_terms(tok, ["doc_id"])
     rows = term_table(tok)
     if unigrams_only:
@@ -86,49 +86,79 @@ def pruned_counts(model: nb.NBModel, kept: DataFrame) -> DataFrame:
     return model.counts.join(kept.select("token"), "token", "left_semi")
 
 
-def multinomial_trace(model: nb.NBModel, tok: DataFrame, alpha: float = C.ALPHA) -> DataFrame:
+def rounded(c: Column, digits: int | None) -> Column:
+    """``c`` with so many decimals (None: as it is); no negative zero."""
+    return c if digits is None else F.round(c, digits) + F.lit(0.0)
+
+
+def per_class(df: DataFrame) -> DataFrame:
+    """Every row once a class, with the column ``class``; ``of_class`` reads the
+    values. The array is a constant: none is made for a row."""
+    return df.select("*", F.explode(F.array(*[F.lit(c) for c in nb.CLASSES])).alias("class"))
+
+
+def of_class(name: str) -> Column:
+    """``<name>_<class>`` of the row's class."""
+    spam, ham = F.col(f"{name}_spam"), F.col(f"{name}_ham")
+    return F.when(F.col("class") == "spam", spam).otherwise(ham)
+
+
+def multinomial_trace(model: nb.NBModel, tok: DataFrame, alpha: float = C.ALPHA,
+                      digits: int | None = None) -> DataFrame:
     """Per document, class and distinct token: occurrences, the
     per-occurrence log-likelihood (the unseen value when outside the
     vocabulary, flagged), and one total row per (document, class) with the
-    log prior and log posterior (token NULL)."""
+    log prior and log posterior (token NULL). With ``digits`` all values are
+    rounded, those of a token once a word where it occurs once."""
     a = float(alpha)
-    st = model.stats.select(
-        *[F.log(F.lit(a) / (F.col(f"ntok_{c}") + a * F.col("V"))).alias(f"none_{c}") for c in nb.CLASSES],
-        *[(F.col(f"ntok_{c}") + a * F.col("V")).alias(f"den_{c}") for c in nb.CLASSES],
-        *[F.log(F.col(f"n_docs_{c}") / F.col("n_docs")).alias(f"prior_{c}") for c in nb.CLASSES])
+    none = {c: F.log(F.lit(a) / (F.col(f"ntok_{c}") + a * F.col("V"))) for c in nb.CLASSES}
+    prior = {c: F.log(F.col(f"n_docs_{c}") / F.col("n_docs")) for c in nb.CLASSES}
+    st = model.stats.select(*[x for c in nb.CLASSES for x in (
+        none[c].alias(f"none_{c}"), rounded(none[c], digits).alias(f"shown_none_{c}"),
+        prior[c].alias(f"prior_{c}"), rounded(prior[c], digits).alias(f"shown_prior_{c}"))])
     tok = nb.stored_terms(tok, ["doc_id"])
     rows = term_table(tok)
 
     def likelihoods(counts: DataFrame) -> DataFrame:
-        return counts.crossJoin(F.broadcast(st)).select("token", *[
-            F.log((F.col(f"n_{c}") + a) / F.col(f"den_{c}")).alias(f"lp_{c}") for c in nb.CLASSES])
+        """Per class the value and what is shown of it, in one column: rows and totals
+        then read the same table of words, and it is broadcast once."""
+        lp = [F.log((F.col(f"n_{c}") + a) / (F.col(f"ntok_{c}") + a * F.col("V"))) for c in nb.CLASSES]
+        return counts.crossJoin(F.broadcast(model.stats.select("ntok_spam", "ntok_ham", "V"))) \
+            .select("token", F.array(*lp, *[rounded(x, digits) for x in lp]).alias("w"))
 
     # One join for both classes; a row per class leaves it.
     j = nb.join_words(rows, model, likelihoods, "left").crossJoin(F.broadcast(st))
-    per_tok = j.select("doc_id", "token", "tf", F.col("lp_spam").isNull().alias("unseen"), F.explode(F.array(*[
-        F.struct(F.lit(c).alias("class"), F.coalesce(f"lp_{c}", f"none_{c}").alias("lp"),
-                 F.col(f"prior_{c}").alias("prior")) for c in nb.CLASSES])).alias("c")) \
-        .select("doc_id", "c.class", "token", "tf", F.col("c.lp").alias("log_lik"), "unseen",
-                (F.col("tf") * F.col("c.lp")).alias("contribution"), F.col("c.prior").alias("log_prior"))
+    value = {c: F.coalesce(F.get("w", F.lit(i)), F.col(f"none_{c}")) for i, c in enumerate(nb.CLASSES)}
+    shown = {c: F.coalesce(F.get("w", F.lit(i + len(nb.CLASSES))), F.col(f"shown_none_{c}"))
+             for i, c in enumerate(nb.CLASSES)}
+    per_tok = per_class(j.select(
+        "doc_id", "token", "tf", F.col("w").isNull().alias("unseen"), *[x for c in nb.CLASSES for x in (
+            value[c].alias(f"lp_{c}"), shown[c].alias(f"shown_{c}"), F.col(f"shown_prior_{c}"))])).select(
+        "doc_id", "class", "token", "tf", of_class("shown").alias("log_lik"), "unseen",
+        F.when(F.col("tf") == 1, of_class("shown")).otherwise(
+            rounded(F.col("tf") * of_class("lp"), digits)).alias("contribution"),
+        of_class("shown_prior").alias("log_prior"), F.lit(None).cast("double").alias("log_posterior"))
     # Totals: the unseen value for every token, and what a vocabulary word adds to it.
-    zero = F.lit(0.0)
-    n = F.aggregate("terms", F.lit(0).cast("bigint"), lambda s, t: s + t["tf"])
-    more = nb.join_words(rows, model, likelihoods).crossJoin(F.broadcast(st)).select(
-        "doc_id", F.lit(0).cast("bigint").alias("n"), *[
-            (F.col("tf") * (F.col(f"lp_{c}") - F.col(f"none_{c}"))).alias(f"s_{c}") for c in nb.CLASSES])
-    tot = tok.select("doc_id", n.alias("n"), *[zero.alias(f"s_{c}") for c in nb.CLASSES]).unionByName(more) \
-        .groupBy("doc_id").agg(F.sum("n").alias("n"), *[F.sum(f"s_{c}").alias(f"s_{c}") for c in nb.CLASSES])
-    # Documents without tokens still have a total row (likelihood 0).
-    tot = tok.select("doc_id").join(tot, "doc_id", "left").crossJoin(F.broadcast(st))
-    tot = tot.select("doc_id", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("class"), F.coalesce(F.col("n") * F.col(f"none_{c}") + F.col(f"s_{c}"), zero)
-                 .alias("contribution"), F.col(f"prior_{c}").alias("prior")) for c in nb.CLASSES])).alias("c")) \
-        .select("doc_id", "c.class", F.lit(None).cast("string").alias("token"),
-                F.lit(None).cast("int").alias("tf"), F.lit(None).cast("double").alias("log_lik"),
-                F.lit(None).cast("boolean").alias("unseen"), "c.contribution", F.col("c.prior").alias("log_prior"))
-    out = per_tok.unionByName(tot)
-    return out.withColumn("log_posterior", F.when(F.col("token").isNull(),
-                                                   F.col("log_prior") + F.col("contribution")))
+    # Documents without tokens still have a total row (likelihood 0), copies one each. No
+    # join: its filter of NULL keys would keep the totals from reading the rows' shuffles.
+    adds = {c: F.coalesce(F.col("tf") * (F.get("w", F.lit(i)) - F.col(f"none_{c}")), F.lit(0.0))
+            for i, c in enumerate(nb.CLASSES)}
+    tot = j.select("doc_id", "tf", F.lit(0).alias("copies"), *[adds[c].alias(f"s_{c}") for c in nb.CLASSES]) \
+        .unionByName(tok.select("doc_id", F.lit(0).alias("tf"), F.lit(1).alias("copies"),
+                                *[F.lit(0.0).alias(f"s_{c}") for c in nb.CLASSES])) \
+        .groupBy("doc_id").agg(F.sum("tf").alias("n"), F.sum("copies").cast("int").alias("copies"),
+                               *[F.sum(f"s_{c}").alias(f"s_{c}") for c in nb.CLASSES])
+    tot = tot.crossJoin(F.broadcast(st)).select(
+        "doc_id", F.explode(F.array_repeat(F.lit(1), F.col("copies"))), *[x for c in nb.CLASSES for x in (
+            F.when(F.col("doc_id").isNull(), 0.0).otherwise(F.col("n") * F.col(f"none_{c}") + F.col(f"s_{c}"))
+            .alias(f"s_{c}"), F.col(f"prior_{c}"), F.col(f"shown_prior_{c}"))])
+    tot = per_class(tot)
+    tot = tot.select("doc_id", "class", F.lit(None).cast("string").alias("token"),
+                     F.lit(None).cast("int").alias("tf"), F.lit(None).cast("double").alias("log_lik"),
+                     F.lit(None).cast("boolean").alias("unseen"), rounded(of_class("s"), digits).alias("contribution"),
+                     of_class("shown_prior").alias("log_prior"),
+                     rounded(of_class("prior") + of_class("s"), digits).alias("log_posterior"))
+    return per_tok.unionByName(tot)
 
 
 def bernoulli_trace(model: nb.NBModel, tok: DataFrame, alpha: float = C.ALPHA) -> DataFrame:

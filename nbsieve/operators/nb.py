@@ -270,7 +270,8 @@ class Tiers:
     """``hot``: counts of the frequent words, to be broadcast; ``cold``: of the
     others (None: there are none), with their ``filter``; ``over``: the words too
     frequent for the vocabulary, which would fill a partition of a shuffled join
-    and find nothing there. ``by`` is the key of a word."""
+    and find nothing there; ``passing``: the words of ``hot`` and ``over`` that pass
+    the filter by chance, a few in a hundred. ``by`` is the key of a word."""
 
     hot: DataFrame
     cold: DataFrame | None = None
@@ -278,12 +279,12 @@ class Tiers:
     bits: int = 0
     over: DataFrame | None = None
     by: tuple = ("token",)
+    passing: DataFrame | None = None
 
     def rest(self, rows: DataFrame) -> DataFrame:
         """The rows that must be looked up among the other words."""
-        known = self.hot.select(*self.by).unionByName(self.over)
         return rows.join(F.broadcast(self.filter), may_be_in(self.bits, self.by), "left_semi") \
-            .join(F.broadcast(known), list(self.by), "left_anti")
+            .join(F.broadcast(self.passing), list(self.by), "left_anti")
 
 
 def make_tiers(counts: DataFrame, n: int, row_bytes: int, over, by=("token",)) -> Tiers:
@@ -291,7 +292,11 @@ def make_tiers(counts: DataFrame, n: int, row_bytes: int, over, by=("token",)) -
     hot, cold = tiers(counts, n, row_bytes)
     if cold is None:
         return Tiers(hot, by=tuple(by))
-    return Tiers(hot, cold, *word_filter(cold, n, by), over().select(*by), tuple(by))
+    words, bits = word_filter(cold, n, by)
+    over = over().select(*by)
+    passing = cut_lineage(hot.select(*by).unionByName(over).join(
+        F.broadcast(words), may_be_in(bits, by), "left_semi"))
+    return Tiers(hot, cold, words, bits, over, tuple(by), passing)
 
 
 def model_tiers(model: NBModel, row_bytes: int) -> Tiers:
@@ -311,24 +316,29 @@ def model_tiers(model: NBModel, row_bytes: int) -> Tiers:
     return kept[row_bytes]
 
 
+# Heap that a broadcast word of ``join_words`` may take on the driver (an estimate): the
+# collected row, its place in the hash table and its part of the blocks sent out.
+JOINED_BYTES = 384
+
+
 def join_words(rows: DataFrame, model: NBModel, weigh, how: str = "inner",
-               row_bytes: int = 96) -> DataFrame:
+               row_bytes: int = JOINED_BYTES) -> DataFrame:
     """``rows`` joined on ``token`` with ``weigh(counts)``, a row per word made
     from the vocabulary counts: ``how`` inner or left. Beyond the size of a
-    broadcast in two tiers, for which ``rows`` is read more than once."""
+    broadcast in two tiers, for which ``rows`` is read twice. The other words
+    are hashed, not sorted: a partition holds its share of the vocabulary."""
     t = model_tiers(model, row_bytes)
     words = weigh(t.hot)
     if t.cold is None:
         return rows.join(F.broadcast(words), "token", how)
-    rest = t.rest(rows).join(weigh(t.cold).hint("merge"), "token", how)
+    rest = t.rest(rows).join(weigh(t.cold).hint("shuffle_hash"), "token", how)
     if how == "inner":
         return rows.join(F.broadcast(words), "token").unionByName(rest)
-    # Left: what is frequent, and what cannot be among the others.
+    # Left: what is frequent, and what cannot be among the others, in one pass.
     words = words.unionByName(t.over, allowMissingColumns=True).withColumn("__known", F.lit(True))
-    first = rows.join(F.broadcast(words), "token", "left")
-    found = first.where("__known").unionByName(
-        first.where("__known IS NULL").join(F.broadcast(t.filter), may_be_in(t.bits), "left_anti"))
-    return found.drop("__known").unionByName(rest)
+    first = rows.join(F.broadcast(words), "token", "left").join(
+        F.broadcast(t.filter), F.col("__known").isNull() & may_be_in(t.bits), "left_anti")
+    return first.drop("__known").unionByName(rest)
 
 
 def weighted_rows(x: DataFrame, keep, sums, weigh, t: Tiers) -> DataFrame:

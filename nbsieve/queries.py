@@ -1039,10 +1039,7 @@ SELECT doc_id, class, NULL, NULL, NULL, NULL, round(contribution, 6) + 0.0, roun
        round(lprior + contribution, 6) + 0.0 FROM tt""")
 def q_mtrace(spark, sf):
     p = _prepared(spark, sf)
-    t = X.multinomial_trace(p.model, _all_tokens(spark, sf))
-    return t.select("doc_id", "class", "token", "tf", r6("log_lik").alias("log_lik"), "unseen",
-                    r6("contribution").alias("contribution"), r6("log_prior").alias("log_prior"),
-                    r6("log_posterior").alias("log_posterior"))
+    return X.multinomial_trace(p.model, _all_tokens(spark, sf), digits=6)
 
 
 _BTRACE = O.with_model(_alld_sql(), "b AS (SELECT 1)") + """

@@ -78,6 +78,28 @@ def test_multinomial_trace_joins_once_a_pass(trained, monkeypatch):
     assert bad.count() == 0
 
 
+def test_multinomial_trace_broadcasts_its_words_once(trained, monkeypatch):
+    tok, fit = trained
+    monkeypatch.setattr(C, "BROADCAST_MAX_BYTES", 4 * SMALL)
+    model = fit()
+    t = nb.model_tiers(model, nb.JOINED_BYTES)
+    # Only words that pass the filter by chance keep rows from the other words.
+    chance = t.hot.select("token").unionByName(t.over).join(t.filter, nb.may_be_in(t.bits), "left_semi")
+    assert _rows(t.passing) == _rows(chance) and t.passing.count() < t.hot.count()
+    df = X.multinomial_trace(model, tok, digits=6)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    held = [x for x in final.splitlines() if "- BroadcastExchange HashedRelationBroadcastMode(List(input[0, string" in x]
+    # Of the rows and of the totals together: the words, and those few; before, four tables of all words.
+    assert t.cold is not None and 0 < len(held) <= 2, final
+
+
+def test_multinomial_trace_rounds_what_it_would_return(trained):
+    tok, fit = trained
+    a, b = (X.multinomial_trace(fit(), tok, digits=d) for d in (None, 6))
+    assert _rows(a) == _rows(b) and a.columns == b.columns
+
+
 def test_bernoulli_trace_in_two_tiers(trained, monkeypatch):
     for part in (0, 1):
         with monkeypatch.context() as m:
