@@ -161,29 +161,39 @@ def multinomial_trace(model: nb.NBModel, tok: DataFrame, alpha: float = C.ALPHA,
     return per_tok.unionByName(tot)
 
 
-def bernoulli_trace(model: nb.NBModel, tok: DataFrame, alpha: float = C.ALPHA) -> DataFrame:
+def bernoulli_trace(model: nb.NBModel, tok: DataFrame, alpha: float = C.ALPHA,
+                    digits: int | None = None) -> DataFrame:
     """I8: per document, class and distinct in-vocabulary token: log P
     present, log P absent, delta; one total row per (document, class) with
-    baseline, delta sum, log-likelihood, log prior, log posterior."""
+    baseline, delta sum, log-likelihood, log prior, log posterior. ``tok`` may hold
+    the distinct tokens as ``words``, stored. With ``digits`` the values of a token
+    are rounded: once a word, not once a row."""
     a = float(alpha)
     st = model.stats.select("n_docs_spam", "n_docs_ham", "n_docs")
-    tok = nb.stored_terms(tok, ["doc_id"])
-    rows = term_table(tok).select("doc_id", "token")
+    if "words" not in tok.columns:           # no frequency is asked for
+        tok = tok.select("doc_id", F.col("terms.token").alias("words")) if "terms" in tok.columns else \
+            cut_lineage(tok.select("doc_id", F.array_distinct("tokens").alias("words")))
+    rows = nb.explode_tokens(tok, "words", ["doc_id"])
 
     def logs(counts: DataFrame) -> DataFrame:
         p = {c: nb.bernoulli_p(F.col(f"df_{c}"), F.col(f"n_docs_{c}"), F.lit(a)) for c in nb.CLASSES}
         return counts.crossJoin(F.broadcast(st)).select("token", *[
             x for c in nb.CLASSES for x in (F.log(p[c]).alias(f"in_{c}"), F.log(1 - p[c]).alias(f"out_{c}"))])
 
+    def values(counts: DataFrame) -> DataFrame:
+        return logs(counts).select("token", *[rounded(x, digits).alias(f"{n}_{c}") for c in nb.CLASSES for n, x in (
+            ("in", F.col(f"in_{c}")), ("out", F.col(f"out_{c}")), ("delta", F.col(f"in_{c}") - F.col(f"out_{c}")))])
+
+    def deltas(counts: DataFrame) -> DataFrame:
+        return logs(counts).select("token", *[
+            (F.col(f"in_{c}") - F.col(f"out_{c}")).alias(f"delta_{c}") for c in nb.CLASSES])
+
     # One join for both classes; a row per class leaves it.
-    j = nb.join_words(rows, model, logs)
-    per_tok = j.select("doc_id", "token", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("class"), F.col(f"in_{c}").alias("i"), F.col(f"out_{c}").alias("o"))
-        for c in nb.CLASSES])).alias("c")).select(
-        "doc_id", "c.class", "token", F.col("c.i").alias("log_p_present"),
-        F.col("c.o").alias("log_p_absent"), (F.col("c.i") - F.col("c.o")).alias("delta"))
-    dsum = j.groupBy("doc_id").agg(*[
-        F.sum(F.col(f"in_{c}") - F.col(f"out_{c}")).alias(f"s_{c}") for c in nb.CLASSES])
+    per_tok = per_class(nb.join_words(rows, model, values)).select(
+        "doc_id", "class", "token", of_class("in").alias("log_p_present"),
+        of_class("out").alias("log_p_absent"), of_class("delta").alias("delta"))
+    dsum = nb.join_words(rows, model, deltas).groupBy("doc_id").agg(*[
+        F.sum(f"delta_{c}").alias(f"s_{c}") for c in nb.CLASSES])
     consts = st.crossJoin(nb.bernoulli_baselines_wide(model, [a]))
     tot = tok.select("doc_id").join(dsum, "doc_id", "left").crossJoin(F.broadcast(consts))
     tot = tot.select("doc_id", F.explode(F.array(*[

@@ -862,6 +862,32 @@ def _all_tokens(spark, sf):
     return nb.tokenize(tables.all_documents(spark, sf).select("doc_id", "label", "text"))
 
 
+def _every_document(spark, sf, p, read, form):
+    """Every document, labelled or not: ``read`` of the set that training stored, and
+    ``form`` of the tokens of the others, stored. A document that the set holds twice
+    (its id or label repeats) is one of the others, so each comes as often as it does
+    in the tables."""
+    once = p.once("once", lambda: p.tok.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n = 1").select("doc_id"))
+    others = tables.all_documents(spark, sf, but=once).select("doc_id", "label", "text")
+    held = p.tok
+    if p.tok.count() != once.count():
+        held = held.join(once, "doc_id", "left_semi")
+    return read(held).unionByName(cut_lineage(form(nb.tokenize(others))))
+
+
+def _all_terms(spark, sf, p):
+    """Distinct tokens with frequencies."""
+    keep = ["doc_id", "label"]
+    return _every_document(spark, sf, p, lambda x: x.select(*keep, "terms"),
+                           lambda x: T.add_term_frequencies(x, keep=keep))
+
+
+def _all_words(spark, sf, p):
+    """Distinct tokens alone."""
+    return _every_document(spark, sf, p, lambda x: x.select("doc_id", F.col("terms.token").alias("words")),
+                           lambda x: x.select("doc_id", F.array_distinct("tokens").alias("words")))
+
+
 _LR = """lr AS (SELECT v.token, ln((v.n_spam + 1.0) / (cls.ntok_spam + 1.0 * vsz.V))
     - ln((v.n_ham + 1.0) / (cls.ntok_ham + 1.0 * vsz.V)) AS score FROM voc v, cls, vsz)"""
 
@@ -1039,7 +1065,7 @@ SELECT doc_id, class, NULL, NULL, NULL, NULL, round(contribution, 6) + 0.0, roun
        round(lprior + contribution, 6) + 0.0 FROM tt""")
 def q_mtrace(spark, sf):
     p = _prepared(spark, sf)
-    return X.multinomial_trace(p.model, _all_tokens(spark, sf), digits=6)
+    return X.multinomial_trace(p.model, _all_terms(spark, sf, p), digits=6)
 
 
 _BTRACE = O.with_model(_alld_sql(), "b AS (SELECT 1)") + """
@@ -1061,9 +1087,8 @@ SELECT doc_id, class, token, round(ln(p), 6) + 0.0 AS log_p_present, round(ln(1
        round(ln(p) - ln(1 - p), 6) + 0.0 AS delta FROM pt""")
 def q_btrace_tokens(spark, sf):
     p = _prepared(spark, sf)
-    per_tok, _ = X.bernoulli_trace(p.model, _all_tokens(spark, sf))
-    return per_tok.select("doc_id", "class", "token", *[r6(c).alias(c) for c in
-                                                        ("log_p_present", "log_p_absent", "delta")])
+    per_tok, _ = X.bernoulli_trace(p.model, _all_words(spark, sf, p), digits=6)
+    return per_tok
 
 
 @register("I8_bernoulli_trace_totals", _BTRACE + """
@@ -1078,7 +1103,7 @@ LEFT JOIN (SELECT doc_id, class, sum(ln(p) - ln(1 - p)) AS ds FROM pt GROUP BY A
   ON s.doc_id = d.doc_id AND s.class = cl.class""")
 def q_btrace_totals(spark, sf):
     p = _prepared(spark, sf)
-    _, tot = X.bernoulli_trace(p.model, _all_tokens(spark, sf))
+    _, tot = X.bernoulli_trace(p.model, _all_words(spark, sf, p))
     return tot.select("doc_id", "class", *[r6(c).alias(c) for c in
                                            ("baseline", "delta_sum", "log_prior", "log_likelihood",
                                             "log_posterior")])

@@ -53,10 +53,18 @@ def unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(labels, "doc_id", "left_anti")
 
 
-def all_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its label when it has one (NULL otherwise)."""
+BROADCAST_IDS = 2_000_000   # rows of ids and labels, some 40 bytes each
+
+
+def all_documents(spark: SparkSession, sf_dir: str, but: DataFrame | None = None) -> DataFrame:
+    """Every document with its label when it has one (NULL otherwise); with ``but``
+    without those whose id is there, and texts are not shuffled to labels that may
+    be broadcast."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    if but is not None:
+        few = lambda ids: F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+        docs, labels = docs.join(few(but), "doc_id", "left_anti"), few(labels)
     return docs.join(labels, "doc_id", "left").select(
         "doc_id", "source", "lang",
         F.when(F.col("toxic") == 1, "spam").when(F.col("toxic").isNotNull(), "ham")

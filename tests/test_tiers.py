@@ -107,6 +107,44 @@ def test_bernoulli_trace_in_two_tiers(trained, monkeypatch):
             assert _plan(tiered).count("Generate") <= 4      # a join for both classes, not one each
 
 
+def test_bernoulli_trace_rounds_words_not_rows(trained, monkeypatch):
+    tok, fit = trained
+    plain = _rows(X.bernoulli_trace(fit(), tok)[0])
+    monkeypatch.setattr(C, "BROADCAST_MAX_BYTES", SMALL)
+    shown = X.bernoulli_trace(fit(), tok, digits=6)[0]
+    assert _rows(shown) == plain
+    # Rounded below the joins, where a row is a word, for the frequent and for the other words.
+    plan = _plan(shown)
+    assert "round(" in plan and "round(" not in plan.split("Join", 1)[0]
+
+
+def test_stored_tokens_are_read_where_they_are_the_documents(spark, tmp_path, monkeypatch):
+    """Documents that training stored are not tokenised again; what comes twice, has
+    no id or no label comes as often as in the tables."""
+    from nbsieve import queries as Q
+    docs = _messages(spark).where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    extra = spark.createDataFrame([(5, "every message again"), (None, "wax message"), (None, None), (900, None),
+                                   (901, "unlabelled wax words")], "doc_id long, text string")
+    docs.select("doc_id", "text").unionByName(extra).withColumn("source", F.lit("s")).withColumn("lang", F.lit("en")) \
+        .write.parquet(f"{tmp_path}/documents.parquet")
+    docs.where("doc_id < 50").select("doc_id", F.when(F.col("label") == "spam", 1).otherwise(0).alias("toxic")).unionByName(
+        spark.createDataFrame([(6, 1), (8, None), (None, 0)], "doc_id long, toxic int")) \
+        .write.parquet(f"{tmp_path}/labels.parquet")
+    sf, formed, tokenize = str(tmp_path), [], nb.tokenize
+    p = Q._prepared(spark, sf)
+    monkeypatch.setattr(nb, "tokenize", lambda df, *a, **k: formed.append(df.count()) or tokenize(df, *a, **k))
+    every = Q._all_tokens(spark, sf)
+    assert formed.pop() == every.count() == 60 + 5 + 2      # 6 and 8 once more by their labels; a NULL id meets none
+    for got, want in ((X.bernoulli_trace(p.model, Q._all_words(spark, sf, p), digits=6),
+                       X.bernoulli_trace(p.model, every)),
+                      ([X.multinomial_trace(p.model, Q._all_terms(spark, sf, p), digits=6)],
+                       [X.multinomial_trace(p.model, every)])):
+        for a, b in zip(got, want):
+            assert _rows(a) == _rows(b)
+    # Stored: 0 to 49 but 5, 6 and 8, which come more than once.
+    assert formed == [every.count() - 47] * 2
+
+
 def test_evidence_in_two_tiers(trained, monkeypatch):
     _both(trained, monkeypatch, lambda m, tok: X.doc_evidence(m, tok))
     tok, fit = trained
