@@ -1,14 +1,15 @@
 """Explanations and traces.
 
-Per-document rankings use windows partitioned by document (bounded by the
-document's own distinct tokens); corpus rankings use ``orderBy().limit()``
-(per-partition top-k, then a merge) or ``top_k_per_group``.
+Per-document rankings keep the k ends of a document in an aggregate; corpus
+rankings use ``orderBy().limit()`` (per-partition top-k, then a merge) or
+``top_k_per_group``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.internal import InternalFunction
 
 from nbsieve import config as C
 from nbsieve.functions import text as T
@@ -27,7 +28,7 @@ def doc_evidence(model: nb.NBModel, tok: DataFrame, alpha: float = C.ALPHA,
     if unigrams_only:
         rows = rows.where(~F.col("token").contains("_"))
     return nb.join_words(rows.select("doc_id", "token"), model,
-                         lambda c: log_ratio(model, alpha, c).select("token", "score")) \
+                         lambda c: log_ratio(model, alpha, c).select("token", "score"), gather="doc_id") \
         .select("token", "doc_id", "score")
 
 
@@ -44,16 +45,17 @@ def term_table(tok: DataFrame) -> DataFrame:
 
 def top_evidence(ev: DataFrame, k: int) -> DataFrame:
     """T4/T5: per document the k most spam-like (rank by score desc, token
-    asc) and the k most ham-like (score asc, token desc) tokens."""
-    w_top = Window.partitionBy("doc_id").orderBy(F.desc("score"), F.asc("token"))
-    w_bot = Window.partitionBy("doc_id").orderBy(F.asc("score"), F.desc("token"))
-    x = ev.select("doc_id", "token", "score", F.row_number().over(w_top).alias("r_top"),
-                  F.row_number().over(w_bot).alias("r_bot"))
-    top = x.where(F.col("r_top") <= k).select("doc_id", F.lit("spam").alias("side"),
-                                              F.col("r_top").alias("rank"), "token", "score")
-    bot = x.where(F.col("r_bot") <= k).select("doc_id", F.lit("ham").alias("side"),
-                                              F.col("r_bot").alias("rank"), "token", "score")
-    return top.unionByName(bot)
+    asc) and the k most ham-like (score asc, token desc) tokens. The two orders
+    are opposite, so both are ends of one, and the aggregate keeps k rows a
+    document and end: nothing is sorted but these."""
+    key = F.struct((-F.col("score")).alias("s"), F.col("token"))
+    g = ev.groupBy("doc_id").agg(InternalFunction.collect_top_k(key, k, True).alias("first"),
+                                 InternalFunction.collect_top_k(key, k, False).alias("last"))
+    g = g.select("doc_id", F.explode(F.array(
+        F.struct(F.lit("spam").alias("side"), F.array_sort("first").alias("words")),
+        F.struct(F.lit("ham").alias("side"), F.reverse(F.array_sort("last")).alias("words")))).alias("e"))
+    g = g.select("doc_id", "e.side", F.posexplode("e.words").alias("at", "w"))
+    return g.select("doc_id", "side", (F.col("at") + 1).alias("rank"), "w.token", (-F.col("w.s")).alias("score"))
 
 
 def evidence_bars(ev: DataFrame, k: int = 5) -> DataFrame:

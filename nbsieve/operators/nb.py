@@ -322,16 +322,21 @@ JOINED_BYTES = 384
 
 
 def join_words(rows: DataFrame, model: NBModel, weigh, how: str = "inner",
-               row_bytes: int = JOINED_BYTES) -> DataFrame:
+               row_bytes: int = JOINED_BYTES, gather: str | None = None) -> DataFrame:
     """``rows`` joined on ``token`` with ``weigh(counts)``, a row per word made
     from the vocabulary counts: ``how`` inner or left. Beyond the size of a
     broadcast in two tiers, for which ``rows`` is read twice. The other words
-    are hashed, not sorted: a partition holds its share of the vocabulary."""
+    are hashed, not sorted: a partition holds its share of the vocabulary.
+
+    What met the other words lies by token, a row of a document in each task; with
+    ``gather`` it is dealt by that column, for an aggregate with large buffers."""
     t = model_tiers(model, row_bytes)
     words = weigh(t.hot)
     if t.cold is None:
         return rows.join(F.broadcast(words), "token", how)
     rest = t.rest(rows).join(weigh(t.cold).hint("shuffle_hash"), "token", how)
+    if gather:
+        rest = rest.hint("rebalance", F.col(gather))
     if how == "inner":
         return rows.join(F.broadcast(words), "token").unionByName(rest)
     # Left: what is frequent, and what cannot be among the others, in one pass.
@@ -374,7 +379,8 @@ def token_weights(model: NBModel, alphas, parts=("m", "b"), counts: DataFrame |
 
 
 def scored_frame(model: NBModel, tok: DataFrame, alphas, keep=("doc_id", "label"),
-                 with_features: bool = True, parts=("m", "b")) -> DataFrame:
+                 with_features: bool = True, parts=("m", "b"),
+                 row_bytes: int | None = None) -> DataFrame:
     """One row per document with, per alpha i, ``m_<c>_<i>`` (sum of the
     multinomial weight over in-vocabulary occurrences) and ``b_<c>_<i>``
     (sum of the Bernoulli weight over distinct in-vocabulary tokens), the
@@ -389,8 +395,7 @@ def scored_frame(model: NBModel, tok: DataFrame, alphas, keep=("doc_id", "label"
     (the joined text has only a-z, '_' and spaces)."""
     keep = [c for c in keep if c in tok.columns]
     names = [f"{p}_{c}_{i}" for i in range(len(alphas)) for c in CLASSES for p in parts]
-    row_bytes = 64 + 8 * len(names)
-    t = model_tiers(model, row_bytes)
+    t = model_tiers(model, row_bytes or 64 + 8 * len(names))
     x = term_rows(tok if t.cold is None else stored_terms(tok, keep), keep)
     # A word's weight counts each occurrence (m) or the document once (b).
     sums = [(F.col({"m": "tf", "b": "d"}[n[0]]) * F.col(f"w{n}")).alias(n) for n in names]
@@ -563,17 +568,19 @@ def posterior_struct(lp_spam: Column, lp_ham: Column, n_tokens: Column) -> list[
 def score(model: NBModel, tok: DataFrame, alpha: float = C.ALPHA, models=MODELS,
           decision_threshold: float = C.DECISION_THRESHOLD,
           confidence_threshold: float = C.CONFIDENCE_THRESHOLD,
-          keep=("doc_id", "label"), log_odds: bool = False) -> DataFrame:
+          keep=("doc_id", "label"), log_odds: bool = False,
+          row_bytes: int | None = None) -> DataFrame:
     """Long table ``(doc_id, [label], model, n_tokens, p_spam, p_ham,
     raw_prediction, prediction, confidence, is_confident)``. With
     ``log_odds`` also ln(p_spam / p_ham), computed from the tempered log
     posteriors (it keeps its precision where the probabilities have become 0
     or 1) and rounded to 9 places, so that equal documents tie whatever the
-    order their terms were added in."""
+    order their terms were added in. ``row_bytes``: of a broadcast word (default:
+    the width of its row)."""
     alphas = [alpha]
     keep = [c for c in keep if c in tok.columns]
     frame = with_model_constants(
-        scored_frame(model, tok, alphas, keep, with_features="gaussian" in models),
+        scored_frame(model, tok, alphas, keep, with_features="gaussian" in models, row_bytes=row_bytes),
         model, alphas)
     lp = frame.select(*keep, "n_tokens", *log_posteriors(frame, model, alphas, models))
     per_model = F.array(*[

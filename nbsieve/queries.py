@@ -1124,8 +1124,8 @@ SELECT l.doc_id, l.prediction, round(l.confidence, 6) + 0.0 AS confidence, round
 FROM lsc l LEFT JOIN tops t ON l.doc_id = t.doc_id""")
 def q_report(spark, sf):
     p = _prepared(spark, sf)
-    docs = _all_tokens(spark, sf)
-    s = nb.score(p.model, docs, models=("multinomial",))
+    docs = _all_terms(spark, sf, p)         # scores and evidence read it
+    s = nb.score(p.model, docs, models=("multinomial",), row_bytes=nb.JOINED_BYTES)    # the tiers of the evidence
     s = s.withColumn("explanation", nb.explanation(F.col("raw_prediction"), F.col("confidence"),
                                                    F.col("p_spam"), F.col("p_ham"),
                                                    F.col("is_confident"), C.CONFIDENCE_THRESHOLD))

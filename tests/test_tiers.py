@@ -145,6 +145,21 @@ def test_stored_tokens_are_read_where_they_are_the_documents(spark, tmp_path, mo
     assert formed == [every.count() - 47] * 2
 
 
+def test_top_evidence_keeps_both_ends(spark):
+    rows = [(d, f"w{(d * 7 + i * 5) % 40:02d}", float((i * i) % 7 - 3)) for d in range(5) for i in range(35)]
+    rows += rows[:20] + [(None, "x", 1.0), (None, "y", 1.0), (7, "only", -0.0)]
+    ev = spark.createDataFrame(rows, "doc_id long, token string, score double").repartition(3)
+    want = []
+    for d in {r[0] for r in rows}:
+        own = sorted(((-s, t) for i, t, s in rows if i == d))
+        for side, ends in (("spam", own[:10]), ("ham", own[::-1][:10])):
+            want += [(d, side, k, t, -s) for k, (s, t) in enumerate(ends, 1)]
+    got = X.top_evidence(ev, 10)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(want, key=repr)
+    assert dict(got.dtypes)["rank"] == "int"
+    assert "Window" not in _plan(got)       # before: all rows of a document were sorted, once an end
+
+
 def test_evidence_in_two_tiers(trained, monkeypatch):
     _both(trained, monkeypatch, lambda m, tok: X.doc_evidence(m, tok))
     tok, fit = trained
