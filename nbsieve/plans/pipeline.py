@@ -14,7 +14,7 @@ from nbsieve import config as C
 from nbsieve.functions import text as T
 from nbsieve.operators import nb
 from nbsieve.operators.split import with_folds, with_split
-from nbsieve.session import cut_lineage, fingerprint
+from nbsieve.session import cut_lineage, fingerprint, free_shuffles
 from nbsieve.sources import tables
 
 
@@ -78,4 +78,5 @@ def _prepare(spark: SparkSession, sf_dir: str, min_df: int, max_df: float,
     tok = cut_lineage(split_tokens(spark, sf_dir).drop("text"), partition_by="split")
     train = tok.where(F.col("split").isin(*train_splits))
     model = nb.fit(train, min_df=min_df, max_df=max_df)
+    free_shuffles(spark)
     return Prepared(tok=tok, model=model)

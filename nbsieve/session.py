@@ -8,6 +8,7 @@ session is used as is, and the checkpoint folder is read from
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 from contextlib import contextmanager
@@ -88,6 +89,13 @@ def cut_lineage(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     return back.select(*[f"`{c}`" for c in df.columns])
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """The shuffle files of tables that are stored by now stay on the executors'
+    disks until the driver happens to collect its garbage: let it collect it."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def fingerprint(spark: SparkSession, *paths: str) -> tuple:
     """(path, length, modification time) of every file at ``paths``: metadata
     only, to tell whether something kept for an input is still true of it."""

@@ -187,3 +187,21 @@ def test_a_cut_by_folder_needs_no_sort(spark, monkeypatch):
     back = cut_lineage(df, partition_by="part")         # more folders than open files
     assert int(seen[0]) > 0 and spark.conf.get(key) == before
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_shuffle_files_of_training_are_freed(spark, tmp_path):
+    import time
+
+    from nbsieve.plans import pipeline
+    docs = _messages(spark).where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    docs.withColumn("source", F.lit("s")).withColumn("lang", F.lit("en")).drop("label").write.parquet(f"{tmp_path}/documents.parquet")
+    docs.select("doc_id", F.when(F.col("label") == "spam", 1).otherwise(0).alias("toxic")).write.parquet(f"{tmp_path}/labels.parquet")
+    held = lambda: set(map(str, spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+        spark._jsc.sc().env().mapOutputTracker().shuffleStatuses().keys())))
+    before = held()
+    p = pipeline.prepare(spark, str(tmp_path), reuse=False)
+    for _ in range(50):                 # the files go in the background
+        if not held() - before:
+            break
+        time.sleep(0.2)
+    assert not held() - before and p.model.vocab_size
