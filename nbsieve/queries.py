@@ -20,7 +20,7 @@ from nbsieve.functions import text as T
 from nbsieve.operators import lemmas as LEM
 from nbsieve.operators import nb
 from nbsieve.plans import pipeline
-from nbsieve.session import cut_lineage
+from nbsieve.session import cut_lineage, free_shuffles
 from nbsieve.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1125,11 +1125,13 @@ FROM lsc l LEFT JOIN tops t ON l.doc_id = t.doc_id""")
 def q_report(spark, sf):
     p = _prepared(spark, sf)
     docs = _all_terms(spark, sf, p)         # scores and evidence read it
+    # The ends of the evidence are small: stored first, its shuffles go before those of the scores.
+    ev = cut_lineage(X.top_evidence(X.doc_evidence(p.model, docs), 10))
+    free_shuffles(spark)
     s = nb.score(p.model, docs, models=("multinomial",), row_bytes=nb.JOINED_BYTES)    # the tiers of the evidence
     s = s.withColumn("explanation", nb.explanation(F.col("raw_prediction"), F.col("confidence"),
                                                    F.col("p_spam"), F.col("p_ham"),
                                                    F.col("is_confident"), C.CONFIDENCE_THRESHOLD))
-    ev = X.top_evidence(X.doc_evidence(p.model, docs), 10)
     lists = ev.groupBy("doc_id").agg(*[
         F.array_join(F.transform(F.array_sort(F.collect_list(
             F.when(F.col("side") == side, F.struct("rank", "token")))), lambda s: s["token"]), " ")
